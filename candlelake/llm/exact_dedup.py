@@ -76,15 +76,17 @@ def exact_dedup(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """The documents that stay, with all columns of the input. Rows that repeat a kept doc_id and its text are one row."""
-    plain = F.regexp_replace(F.coalesce("text", F.lit("")), SEPARATOR_CLASS + "+", "")
+    """The documents that stay, with all columns of the input; rows that repeat a kept doc_id and its text become one.
+
+    Rows are matched by doc_id and digest together, so the copies of a hot text spread over all tasks.
+    """
     index = DigestIndex(docs.sparkSession)
     index.append(docs)
+    plain = F.regexp_replace(F.coalesce("text", F.lit("")), SEPARATOR_CLASS + "+", "")
     rows = docs.withColumn("__digest", F.sha2(plain.cast("binary"), 256))
-    kept = index.table().select(F.col("text_sha256").alias("__digest"), F.col("keep_id").alias("__keep"), F.col("keep_length").alias("__length"))
-    kept = kept.repartition(partitions(docs.sparkSession)).hint("merge")
-    same = (rows["__digest"] == kept["__digest"]) & (F.col("doc_id").eqNullSafe(F.col("__keep"))) & (F.length(F.coalesce("text", F.lit(""))) == F.col("__length"))
-    return rows.join(kept, same, "left_semi").drop("__digest").dropDuplicates(["doc_id", "text"])
+    kept = index.table().select(F.col("text_sha256").alias("__known"), F.col("keep_id").alias("__keep")).repartition(partitions(docs.sparkSession)).hint("merge")
+    same = (rows["__digest"] == kept["__known"]) & docs["doc_id"].cast("long").eqNullSafe(kept["__keep"])
+    return rows.join(kept, same, "left_semi").dropDuplicates(["doc_id", "__digest"]).drop("__digest")
 
 
 #: DuckDB SQL of the query's result.

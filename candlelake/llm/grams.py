@@ -43,27 +43,20 @@ def chunks(items: list[bytes], most: int = 2_000_000) -> Iterator[slice]:
         yield slice(start, len(items))
 
 
-def _prefix_hash(buffer: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    n = len(buffer)
+def prefix_hash(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(sums, down): mix((sums[b] - sums[a]) * down[a]) is the hash of the values from a to b."""
+    n = len(values)
     up = np.full(n + 1, _BASE, np.uint64)
     up[0] = 1
     np.cumprod(up, out=up)
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(_CODES[buffer] * up[:-1], out=sums[1:])
+    np.cumsum(values * up[:-1], out=sums[1:])
     down = np.full(n + 1, _INVERSE, np.uint64)
     down[0] = 1
     np.cumprod(down, out=down)
     return sums, down
 
 
-def byte_grams(buffer: np.ndarray, k: int) -> np.ndarray:
-    """Hash of every k bytes in a row."""
-    if len(buffer) < k:
-        return np.zeros(0, np.uint64)
-    sums, down = _prefix_hash(buffer)
-    return mix((sums[k:] - sums[:-k]) * down[: len(buffer) - k + 1])
-
-
 class Words:
     """The words of some texts: doc (which text), start and end (in buffer), hash, first (of each text its first word)."""
 
@@ -79,7 +72,7 @@ class Words:
         self.start, self.end = edge[::2], edge[1::2]
         self.doc = np.searchsorted(self.offset, self.start, "right") - 1
         self.first = np.searchsorted(self.doc, np.arange(len(items) + 1))
-        sums, down = _prefix_hash(self.buffer)
+        sums, down = prefix_hash(_CODES[self.buffer])
         self.hash = mix(((sums[self.end] - sums[self.start]) * down[self.start]) ^ (self.end - self.start).astype(np.uint64))
 
     def counts(self) -> np.ndarray:
@@ -96,22 +89,6 @@ class Words:
         at = np.flatnonzero(self.doc[: n - k + 1] == self.doc[k - 1 :])
         return at, mix(out[at])
 
-    def long_grams(self, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """As grams(), for many words: from prefix sums over the words' hashes."""
-        n = len(self.hash)
-        if n < k:
-            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-        up = np.full(n + 1, _BASE, np.uint64)
-        up[0] = 1
-        np.cumprod(up, out=up)
-        down = np.full(n + 1, _INVERSE, np.uint64)
-        down[0] = 1
-        np.cumprod(down, out=down)
-        sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(self.hash * up[:-1], out=sums[1:])
-        at = np.flatnonzero(self.doc[: n - k + 1] == self.doc[k - 1 :])
-        return at, mix((sums[at + k] - sums[at]) * down[at])
-
     def shingles(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(text, hash) of the k-word shingles; a text of one to k - 1 words has its whole sequence as one."""
         at, found = self.grams(k)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, html_text, licenses, packing, secrets, toxicity
+from . import decontaminate, exact_dedup, html_text, licenses, ngram_join, packing, secrets, substring_dedup, suffix_dedup, toxicity
 from .common import load
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -19,10 +19,18 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "hits", "words")
 
 
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(load(spark, sf_dir, "documents"))
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_scan(load(spark, sf_dir, "documents"))
 
 
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.suffix_dedup(load(spark, sf_dir, "documents"))
+
+
 def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(load(spark, sf_dir, "pages"))
 
@@ -35,6 +43,10 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_dedup(load(spark, sf_dir, "documents"))
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(load(spark, sf_dir, "documents"))
 
@@ -43,7 +55,11 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(load(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op3_secret_scan, op5_html_extraction, op6_packing, op7_decontamination, op9_license_scan, op10_exact_dedup)}
+_ALL = (
+    op1_toxicity, op2_ngram_jaccard_join, op3_secret_scan, op4_suffix_array_dedup, op5_html_extraction, op6_packing,
+    op7_decontamination, op8_substring_dedup, op9_license_scan, op10_exact_dedup,
+)
+QUERIES = {f.__name__: f for f in _ALL}
 
 ORACLE_SQL = {
     "op7_decontamination": decontaminate.ORACLE,
