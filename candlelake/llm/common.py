@@ -32,24 +32,24 @@ def scratch_dir(spark: SparkSession) -> str:
 
 
 @contextmanager
-def _shuffles_freed(spark: SparkSession) -> Iterator[None]:
-    """Within it, a finished write frees its shuffle files: what was written is all that is read again."""
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, "true")
+def _settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    """Within it, settings of the session; dots are spelt as double underscores."""
+    values = {k.replace("__", "."): v for k, v in values.items()}
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def materialise(df: DataFrame, *partition_by: str) -> DataFrame:
     """Write df to a scratch table and read it back: cuts the lineage, survives the loss of any executor."""
     spark, path = df.sparkSession, scratch_dir(df.sparkSession)
-    with _shuffles_freed(spark):
+    # The finished write frees its shuffle files, as what was written is all that is read again; Arrow batches stay small.
+    with _settings(spark, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true", spark__sql__execution__arrow__maxRecordsPerBatch="2000"):
         writer = df.write.option("compression", "zstd")
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)

@@ -17,11 +17,11 @@ def components(edges: DataFrame) -> DataFrame:
     both = materialise(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct())
     labels = materialise(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("label")))
     while True:
-        near = both.join(labels.hint("merge"), F.col("b") == F.col("node")).groupBy("a").agg(F.min("label").alias("near"))
-        spread = labels.join(near.hint("merge"), F.col("node") == F.col("a"), "left").select("node", "label", F.least("label", "near").alias("new"))
+        near = both.join(labels, F.col("b") == F.col("node")).groupBy("a").agg(F.min("label").alias("near"))
+        spread = labels.join(near, F.col("node") == F.col("a"), "left").select("node", "label", F.least("label", "near").alias("new"))
         spread = materialise(spread)
         up = spread.select(F.col("node").alias("of"), F.col("new").alias("higher"))
-        jumped = materialise(spread.join(up.hint("merge"), F.col("new") == F.col("of"), "left").select("node", F.least("new", "higher").alias("new"), "label"))
+        jumped = materialise(spread.join(up, F.col("new") == F.col("of"), "left").select("node", F.least("new", "higher").alias("new"), "label"))
         changed = jumped.where("new <> label").limit(1).count()
         discard(spread, labels)
         labels = jumped.select("node", F.col("new").alias("label"))

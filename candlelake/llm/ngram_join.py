@@ -145,34 +145,28 @@ def _lists(prefixes: DataFrame, percent: int) -> DataFrame:
     return prefixes.mapInPandas(run, "kind int, a long, b long, shared long, token long, n long, pos long")
 
 
-def _set_table(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """node, hashes (binary) of the documents wanted."""
+def _verified(pairs: DataFrame, held: DataFrame, k: int, percent: int) -> DataFrame:
+    """a, b, linked: whether the intersection reaches the threshold, counted exactly from the two texts.
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for ids, bounds, hashes in _sets(batch, k):
-                raw = hashes.tobytes()
-                yield pd.DataFrame({"node": ids, "hashes": [raw[8 * a : 8 * b] for a, b in zip(bounds[:-1], bounds[1:])]})
-
-    return docs.join(wanted.hint("merge"), F.col("doc_id") == F.col("node"), "left_semi").mapInPandas(run, "node long, hashes binary")
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """a, b, linked: whether the intersection reaches the threshold, counted exactly."""
+    Texts travel instead of sets: compressed, they take less than half the room of their shingles' hashes.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            both = [x for pair in zip(grams.encoded(batch["left"]), grams.encoded(batch["right"])) for x in pair]
             linked = []
-            for x, y in zip(batch["left"], batch["right"]):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                if len(x) > len(y):
-                    x, y = y, x
-                both = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum()) if len(x) else 0
-                linked.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
+            for i in range(0, len(both), 200):
+                bounds, hashes = grams.sets(both[i : i + 200], k, grams.LOWER)
+                for j in range(0, len(bounds) - 1, 2):
+                    x, y = hashes[bounds[j] : bounds[j + 1]], hashes[bounds[j + 1] : bounds[j + 2]]
+                    if len(x) > len(y):
+                        x, y = y, x
+                    common = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum()) if len(x) else 0
+                    linked.append(common > 0 and 100 * common >= percent * (len(x) + len(y) - common))
             yield pd.DataFrame({"a": batch["a"], "b": batch["b"], "linked": linked})
 
-    left = sets.select(F.col("node").alias("a"), F.col("hashes").alias("left")).hint("merge")
-    right = sets.select(F.col("node").alias("b"), F.col("hashes").alias("right")).hint("merge")
+    left = held.select(F.col("doc_id").alias("a"), F.col("text").alias("left"))
+    right = held.select(F.col("doc_id").alias("b"), F.col("text").alias("right"))
     return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInPandas(run, "a long, b long, linked boolean")
 
 
@@ -199,56 +193,61 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFr
     lists = found.where("kind = 1").select("token", F.col("a").alias("doc_id"), "n", "pos")
     # Equal sets are one; the first document stands for them.
     first = rows.where("n > 0").groupBy("key1", "key2").agg(F.min("doc_id").alias("b"), F.count(F.lit(1)).alias("c")).where("c > 1")
-    equal = rows.where("n > 0").join(first.hint("merge"), ["key1", "key2"]).select(F.col("doc_id").alias("a"), "b").where("a <> b")
+    equal = rows.where("n > 0").join(first, ["key1", "key2"]).select(F.col("doc_id").alias("a"), "b").where("a <> b")
     links = materialise(equal.distinct())
 
     nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).unionByName(lists.select(F.col("doc_id").alias("node"))).distinct()
-    sets = materialise(_set_table(docs, nodes, k))
+    held = materialise(docs.join(nodes, F.col("doc_id") == F.col("node"), "left_semi"))
     done: DataFrame | None = None
 
-    def settle(more: DataFrame) -> DataFrame:
-        """Verify pairs, add the links found, and give the components so far."""
+    def settle(more: DataFrame, known: DataFrame | None = None) -> DataFrame:
+        """Verify pairs, add the links found, and give the components so far; ``known`` if there is nothing to verify."""
         nonlocal done, links
         more = more.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         if done is not None:
-            more = more.join(done.hint("merge"), ["a", "b"], "left_anti")
-        new = materialise(_verified(more, sets, percent))
+            more = more.join(done, ["a", "b"], "left_anti")
+        more = materialise(more)
+        if known is not None and more.isEmpty():
+            return known
+        new = materialise(_verified(more, held, k, percent))
         done = new.select("a", "b") if done is None else done.unionByName(new.select("a", "b"))
         links = links.unionByName(new.where("linked").select("a", "b"))
         return components(links)
 
     def apart(pairs: DataFrame, known: DataFrame) -> DataFrame:
         """Of pairs, those whose sides aren't connected yet."""
-        one = known.select(F.col("node").alias("a"), F.col("component").alias("ca")).hint("merge")
-        two = known.select(F.col("node").alias("b"), F.col("component").alias("cb")).hint("merge")
+        one = known.select(F.col("node").alias("a"), F.col("component").alias("ca"))
+        two = known.select(F.col("node").alias("b"), F.col("component").alias("cb"))
         return pairs.join(one, "a", "left").join(two, "b", "left").where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
 
-    best = pairs.groupBy("b").agg(F.max_by("a", F.struct("shared", -F.col("a"))).alias("a"))
-    lead = lambda i: F.min_by("doc_id", F.struct(F.xxhash64("doc_id", F.lit(i)), "doc_id")).alias("lead")
-    star = lists.join(lists.groupBy("token").agg(lead(0)).hint("merge"), "token")
-    known = settle(best.select("a", "b").unionByName(star.select(F.col("lead").alias("a"), F.col("doc_id").alias("b"))))
+    def star(entries: DataFrame, i: int) -> DataFrame:
+        """a (the list's representative, another one for each i) and b for each entry of the lists."""
+        lead = entries.groupBy("token").agg(F.min_by("doc_id", F.struct(F.xxhash64("doc_id", F.lit(i)), "doc_id")).alias("a"))
+        return entries.join(lead, "token").select("a", F.col("doc_id").alias("b")).where("a <> b")
+
+    # First each set with the one partner that shares most of its prefix, a representative of long lists or another set.
+    near = pairs.unionByName(star(lists, 0).groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))).groupBy("b").agg(F.max_by("a", F.struct("shared", -F.col("a"))).alias("a"))
+    known = settle(near.select("a", "b"))
+    known = settle(apart(pairs.select("a", "b"), known), known)
     for i in (1, 2):  # other representatives, for the lists that hold several components still
-        held = materialise(_split_lists(lists, known))
-        again = held.join(held.groupBy("token").agg(lead(i)).hint("merge"), "token").select(F.col("lead").alias("a"), F.col("doc_id").alias("b"))
-        old, known = known, settle(apart(again if i > 1 else again.unionByName(pairs.select("a", "b")), known))
-        discard(held, old)
-    held = materialise(_split_lists(lists, known))
-    left, right = held.select(*[F.col(c).alias(f"{c}1") for c in held.columns]), held.select(*[F.col(c).alias(f"{c}2") for c in held.columns])
+        split = materialise(_split_lists(lists, known))
+        known = settle(apart(star(split, i), known), known)
+        discard(split)
+    split = materialise(_split_lists(lists, known))
+    left, right = split.select(*[F.col(c).alias(f"{c}1") for c in split.columns]), split.select(*[F.col(c).alias(f"{c}2") for c in split.columns])
     need = F.ceil(percent * (F.col("n1") + F.col("n2")) / (100 + percent))
     rest = left.join(right, (F.col("token1") == F.col("token2")) & (F.col("n1") <= F.col("n2")) & (F.col("component1") != F.col("component2"))
                      & (100 * F.col("n1") >= percent * F.col("n2")) & (F.least(F.col("n1") - F.col("pos1"), F.col("n2") - F.col("pos2")) >= need))
-    last = materialise(rest.select(F.least("doc_id1", "doc_id2").alias("a"), F.greatest("doc_id1", "doc_id2").alias("b")).distinct())
-    old, known = known, settle(last)
-    discard(old, held, last, sets, found)
-    known = known.hint("merge")
+    known = settle(rest.select(F.col("doc_id1").alias("a"), F.col("doc_id2").alias("b")), known)
+    discard(split, held, found)
     return rows.join(known, F.col("doc_id") == F.col("node"), "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
 
 
 def _split_lists(lists: DataFrame, known: DataFrame) -> DataFrame:
     """The entries of lists that hold more than one component, with their component."""
-    own = lists.join(known.hint("merge"), F.col("doc_id") == F.col("node"), "left").select("token", "doc_id", "n", "pos", F.coalesce("component", "doc_id").alias("component"))
+    own = lists.join(known, F.col("doc_id") == F.col("node"), "left").select("token", "doc_id", "n", "pos", F.coalesce("component", "doc_id").alias("component"))
     several = own.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("token")
-    return own.join(several.hint("merge"), "token", "left_semi")
+    return own.join(several, "token", "left_semi")
 
 
 def keep_one(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
@@ -256,5 +255,5 @@ def keep_one(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
 
     Of rows that repeat a doc_id all stay or go together.
     """
-    gone = jaccard_components(docs, k, percent).where("component_id <> doc_id").select(F.col("doc_id").alias("__gone")).distinct().hint("merge")
+    gone = jaccard_components(docs, k, percent).where("component_id <> doc_id").select(F.col("doc_id").alias("__gone")).distinct()
     return docs.join(gone, docs["doc_id"].cast("long") == gone["__gone"], "left_anti")
