@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -18,10 +19,23 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, texts
+from .common import SEPARATORS, materialise, texts
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, part int, place long"
-_TAILS = b".,;:!?"
+_IS = {name: np.isin(np.arange(256), list(own)) for name, own in (("mark", b".,;:!?"), ("letter", bytes(range(97, 123))), ("separator", SEPARATORS))}
+
+
+class _Places(dict):
+    """Gives each new key the next number and lists it in ``new``."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[bytes] = []
+
+    def __missing__(self, key: bytes) -> int:
+        self.new.append(key)
+        place = self[key] = len(self)
+        return place
 
 
 class Encoder:
@@ -30,7 +44,7 @@ class Encoder:
     Words are encoded once and remembered, up to a bound.
     """
 
-    def __init__(self, path: str, most: int = 500_000):
+    def __init__(self, path: str, most: int = 1_000_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most = Tokenizer.from_file(path), most
@@ -40,54 +54,66 @@ class Encoder:
         self._reset()
 
     def _reset(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.flat, self.bound = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        self.places = _Places()
+        self.flat = np.zeros(0, np.uint32)
+        self.start = self.size = np.zeros(0, np.int64)
+
+    def _ids(self, lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids one after the other, and where those of each line end."""
+        found = [e.ids for e in self.tokenizer.encode_batch_fast([x.decode("utf-8", "replace") for x in lines], add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(found), np.uint32), np.cumsum([len(x) for x in found], dtype=np.int64)
 
     def _learn(self, words: list[bytes]) -> None:
-        plain, ends, odd = [], [], []
-        for w in words:
-            body, tail = (w[:-1], 1) if w[-1:] in _TAILS else (w, 0)
-            if body.isalpha() or body and (body.isalnum() or body[-1] >= 128) and body.decode("utf-8", "replace").isalpha():
-                plain.append(w)
-                ends.append(1 + tail)
-            else:
-                odd.append(w)
-        rows = []
-        if plain:  # a run of letters is one unit, and so is a mark behind it: each unit ends with a token that says so
-            lines = [b" ".join(plain[i : i + 1000]).decode() for i in range(0, len(plain), 1000)]
-            ids = np.array([i for e in self.tokenizer.encode_batch_fast(lines, add_special_tokens=False) for i in e.ids], np.uint32)
-            units = np.flatnonzero(self.is_end[ids]) + 1
-            want = np.cumsum(ends)
-            if len(units) == want[-1]:
-                rows.append((plain, ids, units[want - 1]))
-            else:
-                odd += plain
-        if odd:
-            found = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in odd], add_special_tokens=False)]
-            rows.append((odd, np.array([i for x in found for i in x], np.uint32), np.cumsum([len(x) for x in found])))
-        for own, ids, bounds in rows:
-            self.known.update(zip(own, range(len(self.bound) - 1, len(self.bound) - 1 + len(own))))
-            self.bound = np.concatenate([self.bound, bounds + len(self.flat)])
+        plain = np.fromiter(map(_letters, words), bool, len(words))
+        start, size = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        for own in (np.flatnonzero(plain), np.flatnonzero(~plain)):
+            if not len(own):
+                continue
+            part, ends = [words[i] for i in own], np.zeros(0)
+            if plain[own[0]]:  # letters are one unit of the tokenizer, which ends with a token that says so: many to a line
+                ids, _ = self._ids([b" ".join(part[i : i + 1000]) for i in range(0, len(part), 1000)])
+                ends = np.flatnonzero(self.is_end[ids]) + 1
+            if len(ends) != len(part):
+                ids, ends = self._ids(part)
+            size[own] = np.diff(ends, prepend=0)
+            start[own] = len(self.flat) + ends - size[own]
             self.flat = np.concatenate([self.flat, ids])
+        self.start, self.size = np.concatenate([self.start, start]), np.concatenate([self.size, size])
 
     def encode(self, items: list[str], end: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids, bounds) of the texts, each followed by the id ``end``."""
-        whole = [i for i, t in enumerate(items) if "<|" in t]  # may spell special tokens
-        split = [[] if "<|" in t else t.encode("utf-8", "replace").lower().split() for t in items]
-        if len(self.known) > self.most:
+        special = {i: np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, np.uint32) for i, t in enumerate(items) if "<|" in t}  # may spell special tokens
+        split = _split([b"" if i in special else t.encode("utf-8", "replace").lower() for i, t in enumerate(items)])
+        if len(self.places) > self.most:
             self._reset()
-        if new := {w for words in split for w in words if w not in self.known}:
-            self._learn(list(new))
-        known = self.known
-        at = np.fromiter((known[w] for words in split for w in words), np.int64, sum(map(len, split)))
-        sizes = self.bound[at + 1] - self.bound[at]
-        ids = self.flat[np.repeat(self.bound[at] - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes) + np.arange(sizes.sum())] if len(at) else np.zeros(0, np.uint32)
-        words = np.concatenate([[0], np.cumsum([len(x) for x in split])]).astype(np.int64)
-        edge = np.concatenate([[0], np.cumsum(sizes)])[words]
-        special = {i: np.array(self.tokenizer.encode(items[i], add_special_tokens=False).ids, np.uint32) for i in whole}
-        out = [part for i in range(len(items)) for part in (special.get(i, ids[edge[i] : edge[i + 1]]), np.array([end], np.uint32))]
+        at = np.array(list(map(self.places.__getitem__, chain.from_iterable(split))), np.int64)
+        if self.places.new:
+            self._learn(self.places.new)
+            self.places.new = []
+        size = self.size[at]
+        ends = np.cumsum(size)
+        ids = self.flat[np.repeat(self.start[at] - (ends - size), size) + np.arange(size.sum())]
+        edge = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum([len(x) for x in split])]).astype(np.int64)]
+        last = np.array([end], np.uint32)
+        out = [part for i in range(len(items)) for part in (special.get(i, ids[edge[i] : edge[i + 1]]), last)]
         sizes = np.array([len(out[2 * i]) + 1 for i in range(len(items))], np.int64)
-        return np.concatenate(out) if out else ids, np.concatenate([[0], np.cumsum(sizes)])
+        return np.concatenate([ids[:0], *out]), np.concatenate([[0], np.cumsum(sizes)])
+
+
+def _split(items: list[bytes]) -> list[list[bytes]]:
+    """Words of texts in lower case. A mark between a letter and white space is a word of its own, as it is a unit of its
+    own for the tokenizer: so fewer words are distinct."""
+    buffer = np.frombuffer(b" ".join([*items, b""]), np.uint8)
+    offset = np.concatenate([[0], np.cumsum([len(x) + 1 for x in items])]).astype(np.int64)
+    mark = np.flatnonzero(_IS["mark"][buffer])
+    mark = mark[(mark > 0) & _IS["letter"][buffer[mark - 1]] & _IS["separator"][buffer[mark + 1]]]
+    parted = np.insert(buffer, mark, 32).tobytes()
+    offset += np.searchsorted(mark, offset)
+    return [parted[a:b].split() for a, b in zip(offset[:-1].tolist(), offset[1:].tolist())]
+
+
+def _letters(word: bytes) -> bool:
+    return word.isalpha() or bool(word) and not word.isascii() and word.decode("utf-8", "replace").isalpha()
 
 
 _encoders: dict[str, Encoder] = {}
