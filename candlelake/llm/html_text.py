@@ -105,9 +105,9 @@ def lines(page: str, gap: int) -> list[tuple[str, int]]:
         if name in BLOCKS:
             flush()
             anchors = 0
-        if name in SECTIONS:
+        if name in SECTIONS and not (articles and name in ("section", "header")):  # those are parts of their article
             out += [("", 0)] * gap
-        if name == "article":
+        if name in ("article", "main"):
             articles = max(0, articles + (-1 if m[1] else 1))
         if not m[1] and name not in VOID and _boilerplate(name, m[3] or "", articles > 0):
             skipped.append(name)
