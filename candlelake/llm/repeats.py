@@ -23,6 +23,8 @@ from .common import discard, materialise, partitions
 
 #: Most windows in a context, for texts that repeat one symbol over and over.
 MOST_WINDOWS = 256
+#: Bytes of symbols in a shard, about; contexts of one gram stay together.
+SHARD_BYTES = 4_000_000
 ENTRY = np.dtype([("gram", "<u8"), ("content", "<u8"), ("doc", "<i8"), ("start", "<u4"), ("size", "<u2")])
 
 
@@ -204,7 +206,7 @@ def repeated_spans(docs: DataFrame, read: Callable, dtype, decide: Callable, gra
             held.clear()
             # Shards of bounded size, each with whole grams, in order of the gram.
             batch = batch.sort_values(["key", "doc_id", "start"], ignore_index=True)
-            size = batch["symbols"].str.len().cumsum().to_numpy() // 8_000_000
+            size = batch["symbols"].str.len().cumsum().to_numpy() // SHARD_BYTES
             key = batch["key"].to_numpy()
             edge = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
             cut = [0, *edge[1:][np.diff(size[edge]) > 0], len(batch)]

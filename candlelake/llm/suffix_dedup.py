@@ -12,6 +12,7 @@ import hashlib
 import numpy as np
 from pyspark.sql import DataFrame
 
+from . import grams
 from .common import texts
 from .repeats import Shard, apply_spans, as_bytes, repeated_spans
 
@@ -20,41 +21,36 @@ PER_KEY = 7
 
 
 def suffix_array(shard: Shard, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """(order, common): suffixes of at least ``least`` bytes within their context, sorted; the length of the prefix that
-    each shares with the one before, no more than either has."""
+    """(order, common): sorted suffixes, and the length of the prefix that each shares with the one before, no more than
+    either has in its context.
+
+    Suffixes whose first ``least`` bytes no other has take part in no repeat of that length and are left out beforehand.
+    """
     n = len(shard.values)
     end = shard.first[1:][shard.of]
-    left = end - np.arange(n)
-    key = np.zeros(n, np.int64)
-    for j in range(PER_KEY):
-        at = np.minimum(np.arange(n) + j, n - 1)
-        key = (key << 9) | np.where(left > j, shard.values[at].astype(np.int64) + 1, 0)
-    levels, width = [], PER_KEY
-    rank = np.unique(key, return_inverse=True)[1].astype(np.int64) + 1
-    levels.append((PER_KEY, rank))
-    while width < int(shard.size.max(initial=0)):
-        at = np.minimum(np.arange(n) + width, n - 1)
-        rank = np.unique(rank * (n + 2) + np.where(left > width, rank[at], 0), return_inverse=True)[1].astype(np.int64) + 1
-        width *= 2
-        levels.append((width, rank))
-    own = np.flatnonzero(left >= least)
-    order = own[np.argsort(rank[own], kind="stable")]
-    a, b = order[:-1].copy(), order[1:].copy()
-    common = np.zeros(len(a), np.int64)
-    most = np.minimum(left[a], left[b])
-    for width, rank in reversed(levels):
-        for _ in range(2 if width == PER_KEY else 1):
-            same = (common + width <= most) & (rank[np.minimum(a, n - 1)] == rank[np.minimum(b, n - 1)])
-            common[same] += width
-            a[same] += width
-            b[same] += width
-    for _ in range(PER_KEY):
-        same = common < most
-        same[same] = shard.values[a[same]] == shard.values[b[same]]
-        common[same] += 1
-        a[same] += 1
-        b[same] += 1
-    return order, np.concatenate([[0], common])[: len(order)]
+    own = np.flatnonzero(end - np.arange(n) >= least)
+    sums, down = grams.prefix_hash(grams._CODES[shard.values])
+    _, which, count = np.unique((sums[own + least] - sums[own]) * down[own], return_inverse=True, return_counts=True)
+    own = own[count[which] > 1]
+    left = end[own] - own
+    keys = np.zeros((-(-int(left.max(initial=0)) // PER_KEY), len(own)), np.int64)
+    for j, key in enumerate(keys):
+        for s in range(PER_KEY):
+            ahead = PER_KEY * j + s
+            at = np.minimum(own + ahead, n - 1)
+            key <<= 9
+            key |= np.where(left > ahead, shard.values[at].astype(np.int64) + 1, 0)
+    order = np.lexsort(keys[::-1]) if len(keys) else np.zeros(0, np.int64)
+    keys, left, own = keys[:, order], left[order], own[order]
+    common = np.zeros(len(own), np.int64)
+    if len(own) > 1:
+        differ = keys[:, 1:] != keys[:, :-1]
+        lead = np.where(differ.any(0), differ.argmax(0), len(keys))
+        at = np.minimum(lead, len(keys) - 1)
+        rest = keys[at, np.arange(1, len(own))] ^ keys[at, np.arange(len(own) - 1)]
+        within = sum(((rest >> (9 * (PER_KEY - 1 - s))) == 0).astype(np.int64) for s in range(PER_KEY))
+        common[1:] = np.minimum(PER_KEY * lead + np.where(lead < len(keys), within, 0), np.minimum(left[1:], left[:-1]))
+    return own, common
 
 
 def maximal_intervals(common: np.ndarray, before: np.ndarray, doc: np.ndarray, least: int) -> list[tuple[int, int, int, int]]:
