@@ -23,6 +23,8 @@ from .common import discard, materialise, partitions
 
 #: Most windows in a context, for texts that repeat one symbol over and over.
 MOST_WINDOWS = 256
+#: Most contexts of one gram in a shard; the windows of a gram with more are aggregated one by one instead.
+CROWDED = 50_000
 #: Bytes of symbols in a shard, about; contexts of one gram stay together.
 SHARD_BYTES = 4_000_000
 ENTRY = np.dtype([("gram", "<u8"), ("content", "<u8"), ("doc", "<i8"), ("start", "<u4"), ("size", "<u2")])
@@ -215,10 +217,30 @@ def repeated_spans(docs: DataFrame, read: Callable, dtype, decide: Callable, gra
                 context, start, end = decide(shard, width)
                 yield _span_frame(0, *_merged(shard.doc[context], shard.start[context] + start, shard.start[context] + end))
 
-    fetched = _fetch(docs, found.where("kind = 1"), read).repartition(parts, "key")
+    opened = found.where("kind = 1")
+    crowded = materialise(opened.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CROWDED).select("key"))
+    spans = found.where("kind = 0").select("doc_id", "start", "end")
+    if not crowded.isEmpty():
+        spans = spans.unionByName(_by_window(_fetch(docs, opened.join(crowded, "key", "left_semi"), read), dtype, width))
+        opened = opened.join(crowded, "key", "left_anti")
+    fetched = _fetch(docs, opened, read).repartition(parts, "key")
     decided = materialise(fetched.mapInPandas(run, "kind int, key long, doc_id long, start long, end long"))
-    spans = found.where("kind = 0").select("doc_id", "start", "end").unionByName(decided.select("doc_id", "start", "end"))
-    return spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    return spans.unionByName(decided.select("doc_id", "start", "end")).groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+
+
+def _by_window(fetched: DataFrame, dtype, width: int) -> DataFrame:
+    """Spans of contexts whose gram has too many for a shard: the smallest document of each window, aggregated before it is
+    shuffled, and joined back."""
+    size = np.dtype(dtype).itemsize
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [(doc, start + i, raw[size * i : size * (i + width)]) for doc, start, raw in zip(batch["doc_id"], batch["start"], batch["symbols"]) for i in range(len(raw) // size - width + 1)]
+            yield pd.DataFrame(rows, columns=["doc_id", "start", "symbols"]).astype({"doc_id": "int64", "start": "int64"})
+
+    windows = materialise(fetched.mapInPandas(run, "doc_id long, start long, symbols binary"))
+    first = windows.groupBy("symbols").agg(F.min("doc_id").alias("first"))
+    return windows.join(first, "symbols").where("doc_id > first").select("doc_id", "start", (F.col("start") + width).alias("end"))
 
 
 def apply_spans(docs: DataFrame, spans: DataFrame, cut: Callable, schema: str) -> DataFrame:

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from candlelake.llm import decontaminate, exact_dedup, html_text, licenses, ngram_join, packing, queries, secrets, substring_dedup, suffix_dedup, toxicity
+from candlelake.llm import decontaminate, exact_dedup, html_text, licenses, ngram_join, packing, queries, repeats, secrets, substring_dedup, suffix_dedup, toxicity
 from candlelake.llm.common import load
 from candlelake.llm.components import components
 
@@ -137,7 +137,9 @@ def test_secret_scan(spark):
     assert secrets.secret_scan(df.limit(0)).count() == 0
 
 
-def test_suffix_dedup(docs, cases, empty):
+@pytest.mark.parametrize("crowded", [50_000, 1])
+def test_suffix_dedup(docs, cases, empty, monkeypatch, crowded):
+    monkeypatch.setattr(repeats, "CROWDED", crowded)
     texts = {i: (t or "").encode() for i, t in cases}
     first = {}
     for i in sorted(texts):
@@ -169,7 +171,9 @@ def test_maximal_intervals_list_all_occurrences():
     assert groups == {b"ABC": 4, b"ABCDEF": 3, b"ABCDEFyy": 2}
 
 
-def test_substring_dedup(docs, cases, empty):
+@pytest.mark.parametrize("crowded", [50_000, 1])
+def test_substring_dedup(docs, cases, empty, monkeypatch, crowded):
+    monkeypatch.setattr(repeats, "CROWDED", crowded)
     words = {i: WORD.findall(t or "") for i, t in cases}
     first = {}
     for i in sorted(words):
