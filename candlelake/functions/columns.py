@@ -45,12 +45,13 @@ def correlation(x: Column | str, y: Column | str) -> Column:
 
 
 def ordered(by: str = "symbol", time: str = "open_time") -> WindowSpec:
-    return Window.partitionBy(by).orderBy(epoch_seconds(time))
+    """For frames of rows. The order is a column rather than an expression: windows in a row then share one sort."""
+    return Window.partitionBy(by).orderBy(time)
 
 
 def trailing(rows: int, interval_s: int, by: str = "symbol", time: str = "open_time") -> WindowSpec:
     """The frame of that many candles up to the current one, by time: a missing candle leaves a frame short."""
-    return ordered(by, time).rangeBetween(-(rows - 1) * interval_s, 0)
+    return Window.partitionBy(by).orderBy(epoch_seconds(time)).rangeBetween(-(rows - 1) * interval_s, 0)
 
 
 def running(by: str = "symbol", time: str = "open_time") -> WindowSpec:

@@ -84,10 +84,10 @@ def sanitize_features(df: DataFrame, cols: list[str] | None = None) -> DataFrame
     return df.drop(*[c for c in cols if spread[c] == 0])
 
 
-def fill_gold(df: DataFrame) -> DataFrame:
-    """Infinite to 0 and numeric null to 0; NaN stays as it is, and so do flags, dates and times."""
+def fill_gold(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Infinite to 0 and numeric null to 0; NaN stays as it is, and so do flags, dates, times and the columns to keep."""
     floats = [f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
-    rest = [c for c in numeric(df) if c not in floats]
+    rest = [c for c in numeric(df) if c not in floats and c not in keep]
     zero = {c: F.when(F.abs(c) == float("inf"), 0.0).otherwise(F.coalesce(c, F.lit(0.0))) for c in floats}
     return df.withColumns(zero | {c: F.coalesce(c, F.lit(0)).cast(df.schema[c].dataType) for c in rest})
 

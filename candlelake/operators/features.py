@@ -1,8 +1,7 @@
 """Window features per candle.
 
-All frames share one window, partitioned by symbol and ordered by time in seconds, so a plan has one exchange and one sort
-for all of them. Groups can be used one by one; ``gold_features`` builds them in stages of columns that don't depend on
-each other.
+All frames share one window, partitioned by symbol and ordered by the column ``__t``, time in seconds, so a plan has one
+exchange and one sort for all of them. Groups can be used one by one; ``gold_features`` builds them one after the other.
 """
 
 from __future__ import annotations
@@ -12,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlelake.functions.columns import PI, ewm, ordered, safe_divide, trailing
+from candlelake.functions.columns import PI, epoch_seconds, ewm, ordered, safe_divide
 from candlelake.operators.clean import fill_gold
 from candlelake.sources.schemas import GOLD_GROUPS
 
@@ -25,10 +24,10 @@ class _Frames:
     """The frames of a feature table: w(n) are the last n candles' time, days(k) the last k days."""
 
     def __init__(self, interval_s: int):
-        self.interval_s, self.row = interval_s, ordered()
+        self.interval_s, self.row = interval_s, ordered("symbol", "__t")
 
     def w(self, n: int):
-        return trailing(n, self.interval_s)
+        return self.row.rangeBetween(-(n - 1) * self.interval_s, 0)
 
     def days(self, name: str):
         return self.row.rangeBetween(-DAYS[name], 0)
@@ -41,6 +40,10 @@ def _return(close: Column, before: Column) -> Column:
     return F.when((close > 0) & (before > 0), F.ln(close / before)).otherwise(0.0)
 
 
+def _timed(df: DataFrame) -> DataFrame:
+    return df.withColumn("__t", epoch_seconds("open_time"))
+
+
 def _with_return(df: DataFrame, f: _Frames) -> DataFrame:
     """__r, the log return from the candle before; 0.0 for the first."""
     return df if "__r" in df.columns else df.withColumn("__r", _return(F.col("close"), f.lag("close")))
@@ -130,7 +133,7 @@ _GROUPS = {"base": _base, "returns": _returns, "volatility": _volatility, "micro
 def feature_group(name: str):
     """The operator (df, interval_s) -> df that adds one group of features."""
     def add(df: DataFrame, interval_s: int) -> DataFrame:
-        return _finish(_GROUPS[name](df, _Frames(interval_s)))
+        return _finish(_GROUPS[name](_timed(df), _Frames(interval_s)))
 
     add.__name__ = f"feat_{name}"
     add.__doc__ = f"Adds {', '.join(GOLD_GROUPS[name])}."
@@ -142,10 +145,10 @@ feat_base, feat_returns, feat_volatility, feat_microstructure, feat_price_positi
 
 def gold_features(df: DataFrame, interval_s: int) -> DataFrame:
     """All groups; nulls and infinities become 0 between the validity flag and the legacy columns."""
-    f = _Frames(interval_s)
+    f, df = _Frames(interval_s), _timed(df)
     for name in _GROUPS:
         if name == "legacy":
-            df = fill_gold(df)
+            df = fill_gold(df, keep=("__t",))
         df = _GROUPS[name](df, f)
     return _finish(df)
 

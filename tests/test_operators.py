@@ -8,7 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from candlelake.functions.columns import normalize_epoch, safe_divide
+from candlelake.functions.columns import normalize_epoch, safe_divide, trailing
 from candlelake.operators import aggs, clean, drift, evaluate, features, joins, labels, ml
 from candlelake.plans.halo import with_halo
 from candlelake.plans.medallion import gold_incremental
@@ -66,7 +66,7 @@ def test_incremental_features_equal_a_full_run(spark, cut):
 
 def test_halo_windows_equal_plain_ones(spark):
     df = candles(spark, [float(i) for i in range(100)])
-    plain = df.withColumn("s", F.sum("close").over(features.trailing(24, 3600)))
+    plain = df.withColumn("s", F.sum("close").over(trailing(24, 3600)))
     halo = with_halo(df, 23 * 3600, 10 * 3600, lambda w: {"s": F.sum("close").over(w.rangeBetween(-23 * 3600, 0))})
     assert sorted(r.s for r in plain.collect()) == sorted(r.s for r in halo.collect())
 
@@ -203,3 +203,8 @@ def test_prediction_alignment(spark):
     preds = gold.select("open_time", "symbol", F.lit(0.1).alias("prediction"))
     out = joins.align_predictions(preds, gold).orderBy("open_time").collect()
     assert [r.direction_correct for r in out] == [True, None, None] and out[2].actual_close is None
+
+
+def test_features_share_one_sort(spark):
+    plan = features.gold_features(candles(spark, [1.0]), 3600)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and plan.count("Sort ") == 1
