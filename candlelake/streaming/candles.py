@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from candlelake.functions.columns import normalize_epoch
 from candlelake.operators.clean import KEY, bronze_candles, silver_candles
 from candlelake.plans.medallion import gold_incremental
-from candlelake.sources.io import max_offsets, parse_topic_values, upsert
+from candlelake.sources.io import max_offsets, parse_topic_values
 from candlelake.sources.schemas import RAW
 
 MODES = ("append", "update", "complete")
@@ -45,49 +45,49 @@ class LayerPaths:
     offsets: str
 
 
-def _read(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
-    """The newest finished version of a table, below ``before`` if given; None without one."""
+def _versions(spark: SparkSession, path: str, before: int | None = None) -> list[str]:
+    """Folders of the finished batches of a layer, below the number ``before`` if given."""
     jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(conf)
     if not fs.exists(p):
-        return None
-    done = [s.getPath().toString() for s in fs.listStatus(p) if fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
-    done = [d for d in done if before is None or int(d.rpartition("=")[2]) < before]
-    return spark.read.parquet(max(done)) if done else None
+        return []
+    found = [s.getPath() for s in fs.listStatus(p) if s.getPath().getName().startswith("v=")]
+    return [f.toString() for f in found if (before is None or int(f.getName()[2:]) < before) and fs.exists(jvm.org.apache.hadoop.fs.Path(f, "_SUCCESS"))]
 
 
-def read_layer(spark: SparkSession, path: str) -> DataFrame | None:
-    """What the stream has brought a layer to."""
-    return _read(spark, path)
+def read_layer(spark: SparkSession, path: str, keys: tuple[str, ...] = KEY, before: int | None = None) -> DataFrame | None:
+    """What the stream has brought a layer to: of each key the row of the latest batch. None before the first batch."""
+    if not (folders := _versions(spark, path, before)):
+        return None
+    rows = spark.read.option("basePath", path).parquet(*folders)
+    rest = [c for c in rows.columns if c not in (*keys, "v")]
+    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct("v", *rest)).alias("__row"))
+    return newest.select(*keys, "__row.*")
 
 
-def _write(df: DataFrame, path: str, version: int) -> None:
-    df.write.mode("overwrite").parquet(f"{path}/v={version:012d}")
+def _write(df: DataFrame, path: str, number: int) -> None:
+    """The rows of a batch, and no others: earlier batches stay as they are."""
+    df.write.mode("overwrite").parquet(f"{path}/v={number}")
 
 
 def stream_medallion(source_sdf: DataFrame, paths: LayerPaths, checkpoint: str, interval_s: int, trigger: dict | None = None, on_batch: Callable[[DataFrame, int], None] | None = None) -> StreamingQuery:
     """Topic messages to silver and gold. For each micro-batch: parse, bronze, silver, features of the new rows from the
-    history they need, upserts, and offsets last; a batch that is repeated after a failure gives the same tables.
+    history they need, then offsets last; a batch that is repeated after a failure replaces what it wrote.
 
-    Each batch writes its tables as a new version, which readers find by its success mark; nothing is overwritten while it
-    is read. ``on_batch`` gets the gold rows of the batch.
+    A batch writes its own rows only, so its cost doesn't grow with the table; readers merge by key, the latest batch
+    first. ``on_batch`` gets the gold rows of the batch.
     """
 
     def layer(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        raw = parse_topic_values(batch, RAW)
-        silver = silver_candles(bronze_candles(raw, "stream"))
-        held = _read(spark, paths.silver, number)
-        history = silver.limit(0) if held is None else held
-        gold = gold_incremental(silver, history, interval_s)
-        before = _read(spark, paths.gold, number)
-        _write(gold if before is None else upsert(before, gold), paths.gold, number)
+        silver = silver_candles(bronze_candles(parse_topic_values(batch, RAW), "stream"))
+        held = read_layer(spark, paths.silver, before=number)
+        gold = gold_incremental(silver, silver.limit(0) if held is None else held, interval_s)
+        _write(gold, paths.gold, number)
         if on_batch:
-            on_batch(gold, number)
-        _write(silver if held is None else upsert(held, silver), paths.silver, number)
-        seen = _read(spark, paths.offsets, number)
-        new = max_offsets(batch)
-        _write(new if seen is None else max_offsets(seen.unionByName(new)), paths.offsets, number)
+            on_batch(spark.read.parquet(f"{paths.gold}/v={number}"), number)
+        _write(silver, paths.silver, number)
+        _write(max_offsets(batch), paths.offsets, number)
 
     return source_sdf.writeStream.foreachBatch(layer).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()

@@ -208,3 +208,20 @@ def test_prediction_alignment(spark):
 def test_features_share_one_sort(spark):
     plan = features.gold_features(candles(spark, [1.0]), 3600)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange ") == 1 and plan.count("Sort ") == 1
+
+
+def test_stream_layers_equal_a_batch(spark, tmp_path):
+    """Three micro-batches in order of time, one of them with rows that are already there."""
+    df = candles(spark, [100.0 + i % 7 for i in range(60)])
+    ms = F.unix_millis("open_time")
+    raw = df.select("symbol", ms.alias("open_time"), (ms + 3599999).alias("close_time"), *[c for c in schemas.RAW.names if c not in ("symbol", "open_time", "close_time")])
+    for i, (a, b) in enumerate([(0, 20), (20, 41), (40, 60)]):
+        part = raw.where((F.col("open_time") >= int((T0 - dt.datetime(1970, 1, 1)).total_seconds() * 1000) + a * 3600000) & (F.col("open_time") < int((T0 - dt.datetime(1970, 1, 1)).total_seconds() * 1000) + b * 3600000))
+        part.select(F.lit("t").alias("topic"), F.lit(0).alias("partition"), F.monotonically_increasing_id().alias("offset"), F.to_json(F.struct(*raw.columns)).alias("value")).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    source = spark.readStream.schema("topic string, partition int, offset long, value string").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    paths = streams.LayerPaths(*[str(tmp_path / n) for n in ("silver", "gold", "offsets")])
+    streams.stream_medallion(source, paths, str(tmp_path / "cp"), 3600).awaitTermination()
+    ours = streams.read_layer(spark, paths.gold).toPandas().sort_values("open_time", ignore_index=True)
+    want = features.gold_features(clean.silver_candles(df), 3600).toPandas().sort_values("open_time", ignore_index=True)
+    pd.testing.assert_frame_equal(ours[sorted(want)], want[sorted(want)])
+    assert streams.read_layer(spark, paths.offsets, ("topic", "partition")).count() == 1
