@@ -26,7 +26,7 @@ MOST_WINDOWS = 256
 #: Most contexts of one gram in a shard; the windows of a gram with more are aggregated one by one instead.
 CROWDED = 50_000
 #: Bytes of symbols in a shard, about; contexts of one gram stay together.
-SHARD_BYTES = 4_000_000
+SHARD_BYTES = 1_000_000
 ENTRY = np.dtype([("gram", "<u8"), ("content", "<u8"), ("doc", "<i8"), ("start", "<u4"), ("size", "<u2")])
 
 
