@@ -4,7 +4,8 @@ Documents become sets of shingle hashes in one global order: shingles that are c
 hash. Sets that reach the threshold share a shingle in their prefixes, so prefixes are dealt out by shingle. In the list
 of a shingle, blocks are skipped by size and by position, which bound the overlap that is still possible.
 
-Relations between sets save most of the work. Equal sets are one set. Of the candidates left, each set is first compared
+Relations between sets save most of the work. Equal sets are one set. Each set has a bitmap of the parities of its hashes;
+bits that differ between two bitmaps bound the shingles that their sets don't share, so most pairs are ruled out by that. Of the candidates left, each set is first compared
 with the partner that shares most of its prefix; sets that turn out to be linked answer for each other, and further pairs
 are compared only where their two sides aren't connected yet. Long lists are compared with representatives first, and
 only what those comparisons leave apart is compared in full. No link between sets in different components is ever skipped.
@@ -35,6 +36,27 @@ def _set_keys(bounds: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.nd
     return total(grams.mix(hashes)).view(np.int64), total(grams.mix(hashes ^ np.uint64(0xA5A5A5A5A5A5A5A5))).view(np.int64)
 
 
+def parities(bounds: np.ndarray, hashes: np.ndarray) -> list[bytes]:
+    """A bitmap for each set, of two to four bits a shingle: bit i is the parity of its hashes that are i modulo the size."""
+    n = np.diff(bounds)
+    size = (1 << (np.ceil(np.log2(np.maximum(n, 4))).astype(np.int64) + 1))
+    first = np.concatenate([[0], np.cumsum(size)])
+    place = np.repeat(first[:-1], n) + (hashes & np.repeat(size - 1, n).astype(np.uint64)).astype(np.int64)
+    raw = np.packbits((np.bincount(place, minlength=first[-1]) & 1).astype(np.uint8), bitorder="little").tobytes()
+    return [raw[a // 8 : b // 8] for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
+
+
+def least_difference(x: bytes, y: bytes) -> int:
+    """Shingles that two sets don't share, at least, by their bitmaps; the larger one is folded to the size of the other."""
+    if len(x) > len(y):
+        x, y = y, x
+    a, b, size = int.from_bytes(x, "little"), int.from_bytes(y, "little"), 8 * len(y)
+    while size > 8 * len(x):
+        size //= 2
+        b = (b >> size) ^ (b & ((1 << size) - 1))
+    return (a ^ b).bit_count()
+
+
 def _sets(batch: pd.DataFrame, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     items, ids = grams.encoded(batch["text"]), batch["doc_id"].to_numpy()
     for part in grams.chunks(items):
@@ -42,7 +64,7 @@ def _sets(batch: pd.DataFrame, k: int) -> Iterator[tuple[np.ndarray, np.ndarray,
 
 
 def _survey(docs: DataFrame, k: int) -> DataFrame:
-    """Of each document its set (doc_id, n, key1, key2); of shingles common within a batch (key1, n sets of the batch)."""
+    """Of each document its set (doc_id, n, key1, key2, bits); of shingles common within a batch (key1, n sets of the batch)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -50,15 +72,15 @@ def _survey(docs: DataFrame, k: int) -> DataFrame:
             for ids, bounds, hashes in _sets(batch, k):
                 one, two = _set_keys(bounds, hashes)
                 n = np.diff(bounds)
-                yield pd.DataFrame({"kind": 0, "doc_id": ids, "n": n, "key1": one, "key2": two})
+                yield pd.DataFrame({"kind": 0, "doc_id": ids, "n": n, "key1": one, "key2": two, "bits": parities(bounds, hashes)})
                 first = np.zeros(len(ids), bool)
                 first[np.unique(one, return_index=True)[1]] = True
                 seen.append(hashes[np.repeat(first, n)])
             found, count = np.unique(np.concatenate(seen), return_counts=True) if seen else (np.zeros(0, np.uint64), np.zeros(0, int))
             often = count >= max(8, len(batch) // 500)
-            yield pd.DataFrame({"kind": 1, "doc_id": 0, "n": count[often], "key1": found[often].view(np.int64), "key2": 0})
+            yield pd.DataFrame({"kind": 1, "doc_id": 0, "n": count[often], "key1": found[often].view(np.int64), "key2": 0, "bits": None})
 
-    return docs.mapInPandas(run, "kind int, doc_id long, n long, key1 long, key2 long")
+    return docs.mapInPandas(run, "kind int, doc_id long, n long, key1 long, key2 long, bits binary")
 
 
 def _needed(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
@@ -145,6 +167,20 @@ def _lists(prefixes: DataFrame, percent: int) -> DataFrame:
     return prefixes.mapInPandas(run, "kind int, a long, b long, shared long, token long, n long, pos long")
 
 
+def _plausible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose bitmaps leave the threshold possible."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            most = ((100 - percent) * (batch["na"] + batch["nb"]) // (100 + percent)).tolist()
+            good = [least_difference(x, y) <= m for x, y, m in zip(batch["left"], batch["right"], most)]
+            yield batch.loc[good, ["a", "b"]]
+
+    left = sets.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("bits").alias("left"))
+    right = sets.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("right"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "left", "right").mapInPandas(run, "a long, b long")
+
+
 def _verified(pairs: DataFrame, held: DataFrame, k: int, percent: int) -> DataFrame:
     """a, b, linked: whether the intersection reaches the threshold, counted exactly from the two texts.
 
@@ -204,6 +240,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFr
         """Verify pairs, add the links found, and give the components so far; ``known`` if there is nothing to verify."""
         nonlocal done, links
         more = more.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        more = _plausible(more, survey.where("kind = 0").select("doc_id", "n", "bits"), percent).distinct()
         if done is not None:
             more = more.join(done, ["a", "b"], "left_anti")
         more = materialise(more)

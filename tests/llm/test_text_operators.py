@@ -114,6 +114,15 @@ def test_jaccard_components(docs, cases, empty, monkeypatch, short_list):
         assert sorted(r.doc_id for r in ngram_join.keep_one(docs).collect()) == sorted(i for i in sets if want[i] == i)
 
 
+def test_bitmaps_never_overstate_a_difference():
+    rng = np.random.default_rng(9)
+    for _ in range(300):
+        a = np.unique(rng.integers(0, 2**63, rng.integers(1, 700), dtype=np.uint64))
+        b = np.unique(np.concatenate([rng.choice(a, rng.integers(0, len(a) + 1), replace=False), rng.integers(0, 2**63, rng.integers(1, 300), dtype=np.uint64)]))
+        x, y = ngram_join.parities(np.array([0, len(a), len(a) + len(b)]), np.concatenate([a, b]))
+        assert ngram_join.least_difference(x, y) <= len(set(a.tolist()) ^ set(b.tolist()))
+
+
 def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(i + 1, i) for i in range(50)] + [(100, 101), (7, 7)], "a long, b long")
     assert {r.node: r.component for r in components(edges).collect()} == {i: 0 for i in range(51)} | {100: 100, 101: 100}
