@@ -89,10 +89,13 @@ def rounded(df: DataFrame) -> DataFrame:
     return df.select(*[plain(n, t) for n, t in df.dtypes])
 
 
-def query(name: str, build: Callable[[Tables], DataFrame], sql: str | None = None, doubles: str = "") -> None:
+def query(name: str, build: Callable[[Tables], DataFrame], sql: str | None = None, doubles: str = "", exact: bool = False) -> None:
+    """``exact`` leaves doubles as they are, for values that are taken over rather than computed."""
+
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-        return rounded(build(Tables(spark, sf_dir)))
+        out = build(Tables(spark, sf_dir))
+        return out if exact else rounded(out)
 
     run.__name__ = name
     QUERIES[name] = run
@@ -232,7 +235,7 @@ _HOLES = lambda t: t.candles_h.withColumns({"close": F.when(F.col("trades") % 4
 CTES["holes"] = "SELECT * REPLACE (CASE WHEN trades % 4 <> 0 THEN close END AS close, CASE WHEN trades % 5 = 0 THEN -volume ELSE volume END AS volume, CASE WHEN hour(open_time) <> 3 THEN symbol END AS symbol) FROM candles_h"
 query("drop_null_critical", lambda t: clean.drop_null_critical(_HOLES(t)).select("symbol", "open_time", "close"), "SELECT symbol, open_time, close FROM holes WHERE symbol IS NOT NULL AND close IS NOT NULL", "close")
 query("valid_candle_rules", lambda t: clean.valid_candle_rules(_HOLES(t)).select("symbol", "open_time", "close"), "SELECT symbol, open_time, close FROM holes WHERE close BETWEEN low AND high AND volume >= 0", "close")
-query("quality_report", lambda t: clean.quality_report(_HOLES(t)), "SELECT count(*) AS rows, count(*) - count(symbol) AS null_symbol, 0::BIGINT AS null_open_time, count(*) FILTER (WHERE volume < 0) AS negative_volume, 'null symbol; negative volume' AS errors, false AS is_valid FROM holes")
+query("quality_report", lambda t: clean.quality_report(_HOLES(t)), "SELECT count(*) AS rows, count(*) - count(symbol) AS null_symbol, 0::BIGINT AS null_open_time, count(*) FILTER (WHERE volume < 0) AS negative_volume, concat_ws('; ', CASE WHEN count(*) > count(symbol) THEN 'null symbol' END, CASE WHEN count(*) FILTER (WHERE volume < 0) > 0 THEN 'negative volume' END) AS errors, count(*) = count(symbol) AND count(*) FILTER (WHERE volume < 0) = 0 AS is_valid FROM holes")
 query("sanitize_features", lambda t: clean.sanitize_features(t.gold.select("symbol", "open_time", "momentum", F.lit(2.0).alias("constant"), F.when(F.col("trades") % 7 == 0, float("inf")).otherwise(F.col("close")).alias("close"))), "SELECT symbol, open_time, coalesce(momentum, 0) AS momentum, CASE WHEN trades % 7 = 0 THEN 0 ELSE close END AS close FROM gold", "momentum close")
 query("fill_gold", lambda t: clean.fill_gold(t.gold.select("symbol", "open_time", "momentum", "log_return_lag2")), "SELECT symbol, open_time, coalesce(momentum, 0) AS momentum, coalesce(log_return_lag2, 0) AS log_return_lag2 FROM gold", "momentum log_return_lag2")
 query("encode_symbol", lambda t: clean.encode_symbol(t.candles_h, ["view", "click"]).select("symbol", "open_time", "symbol_id"), "SELECT symbol, open_time, CASE symbol WHEN 'view' THEN 0 WHEN 'click' THEN 1 ELSE -1 END AS symbol_id FROM candles_h")
@@ -512,5 +515,5 @@ def gold_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(features.gold_features(clean.silver_candles(fixtures.candles_d(spark, sf_dir)), DAY))
 
 
-query("resample_daily_to_week", lambda t: aggs.resample_candles(t.candles_d, "4 days").select("symbol", "open_time", "open", "high", "low", "close"),
-      "SELECT symbol, b AS open_time, arg_min(open, open_time) AS open, max(high) AS high, min(low) AS low, arg_max(close, open_time) AS close FROM (SELECT *, make_timestamp((epoch(open_time)::BIGINT // 345600) * 345600 * 1000000) AS b FROM candles_d) GROUP BY symbol, b", "open high low close")
+query("resample_daily_by_4_days", lambda t: aggs.resample_candles(t.candles_d, "4 days").select("symbol", "open_time", "open", "high", "low", "close"),
+      "SELECT symbol, b AS open_time, arg_min(open, open_time) AS open, max(high) AS high, min(low) AS low, arg_max(close, open_time) AS close FROM (SELECT *, make_timestamp((epoch(open_time)::BIGINT // 345600) * 345600 * 1000000) AS b FROM candles_d) GROUP BY symbol, b", exact=True)
