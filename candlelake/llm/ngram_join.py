@@ -13,11 +13,12 @@ only what those comparisons leave apart is compared in full. No link between set
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import grams
@@ -258,9 +259,12 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFr
         return pairs.join(one, "a", "left").join(two, "b", "left").where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
 
     def star(entries: DataFrame, i: int) -> DataFrame:
-        """a (the list's representative, another one for each i) and b for each entry of the lists."""
-        lead = entries.groupBy("token").agg(F.min_by("doc_id", F.struct(F.xxhash64("doc_id", F.lit(i)), "doc_id")).alias("a"))
-        return entries.join(lead, "token").select("a", F.col("doc_id").alias("b")).where("a <> b")
+        """a (a representative of the list's sets of about that size, another one for each i) and b, of the entries that
+        can be linked with it."""
+        entries = entries.withColumn("scale", F.floor(F.log(F.col("n")) / math.log(100 / percent)))
+        lead = entries.groupBy("token", "scale").agg(F.min_by(F.struct("doc_id", "n", "pos"), F.struct(F.xxhash64("doc_id", F.lit(i)), "doc_id")).alias("lead"))
+        both = entries.join(lead, ["token", "scale"]).where((F.col("lead.doc_id") != F.col("doc_id")) & _possible(F.col("lead.n"), F.col("lead.pos"), F.col("n"), F.col("pos"), percent))
+        return both.select(F.col("lead.doc_id").alias("a"), F.col("doc_id").alias("b"))
 
     # First each set with the one partner that shares most of its prefix, a representative of long lists or another set.
     near = pairs.unionByName(star(lists, 0).groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))).groupBy("b").agg(F.max_by("a", F.struct("shared", -F.col("a"))).alias("a"))
@@ -272,14 +276,18 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFr
         discard(split)
     split = materialise(_split_lists(lists, known))
     left, right = split.select(*[F.col(c).alias(f"{c}1") for c in split.columns]), split.select(*[F.col(c).alias(f"{c}2") for c in split.columns])
-    need = F.ceil(percent * (F.col("n1") + F.col("n2")) / (100 + percent))
-    rest = left.join(right, (F.col("token1") == F.col("token2")) & (F.col("n1") <= F.col("n2")) & (F.col("component1") != F.col("component2"))
-                     & (100 * F.col("n1") >= percent * F.col("n2")) & (F.least(F.col("n1") - F.col("pos1"), F.col("n2") - F.col("pos2")) >= need))
+    rest = left.join(right, (F.col("token1") == F.col("token2")) & (F.col("n1") <= F.col("n2")) & (F.col("component1") != F.col("component2")) & _possible(F.col("n1"), F.col("pos1"), F.col("n2"), F.col("pos2"), percent))
     known = settle(rest.select(F.col("doc_id1").alias("a"), F.col("doc_id2").alias("b")), known)
     discard(split, held, found)
     return rows.join(known, F.col("doc_id") == F.col("node"), "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
 
 
+def _possible(n1: Column, pos1: Column, n2: Column, pos2: Column, percent: int) -> Column:
+    """Whether two sets with a shingle at these places of their order can reach the threshold, if it is their first in common."""
+    need = F.ceil(percent * (n1 + n2) / (100 + percent))
+    return (100 * F.least(n1, n2) >= percent * F.greatest(n1, n2)) & (F.least(n1 - pos1, n2 - pos2) >= need)
+
+
 def _split_lists(lists: DataFrame, known: DataFrame) -> DataFrame:
     """The entries of lists that hold more than one component, with their component."""
     own = lists.join(known, F.col("doc_id") == F.col("node"), "left").select("token", "doc_id", "n", "pos", F.coalesce("component", "doc_id").alias("component"))
