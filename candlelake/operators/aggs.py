@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from candlelake.functions.columns import correlation, ordered
+from candlelake.functions.columns import correlation
 from candlelake.operators.clean import numeric
 from candlelake.operators.reads import newest_per
 
