@@ -302,3 +302,17 @@ def keep_one(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
     """
     gone = jaccard_components(docs, k, percent).where("component_id <> doc_id").select(F.col("doc_id").alias("__gone")).distinct()
     return docs.join(gone, docs["doc_id"].cast("long") == gone["__gone"], "left_anti")
+
+
+#: DuckDB SQL of the query's result.
+ORACLE = r"""
+WITH RECURSIVE
+     d AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+     s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] END) AS g FROM d),
+     n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+     c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+     e AS (SELECT a, b FROM c JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * k >= 75 * (x.n + y.n - k)),
+     r AS (SELECT doc_id AS node, doc_id AS reached FROM d UNION SELECT e.b, r.reached FROM r JOIN e ON e.a = r.node)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT node, min(reached) AS component_id FROM r GROUP BY node) m ON m.node = d.doc_id
+"""

@@ -62,7 +62,9 @@ _ALL = (
 QUERIES = {f.__name__: f for f in _ALL}
 
 ORACLE_SQL = {
+    "op2_ngram_jaccard_join": ngram_join.ORACLE,
     "op7_decontamination": decontaminate.ORACLE,
+    "op8_substring_dedup": substring_dedup.ORACLE,
     "op9_license_scan": licenses.oracle(),
     "op10_exact_dedup": exact_dedup.ORACLE,
 }

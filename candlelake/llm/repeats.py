@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import grams
-from .common import discard, materialise, partitions
+from .common import materialise, partitions
 
 #: Most windows in a context, for texts that repeat one symbol over and over.
 MOST_WINDOWS = 256

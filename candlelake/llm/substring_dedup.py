@@ -133,3 +133,15 @@ def substring_dedup(docs: DataFrame, width: int = 50) -> DataFrame:
     """
     docs = texts(docs)
     return apply_spans(docs, repeated_word_spans(docs, width), _cut, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+
+
+#: DuckDB SQL of the query's result.
+ORACLE = r"""
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+     p AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS i, len(w) AS n FROM d),
+     v AS (SELECT doc_id, i, n, string_agg(x, ' ') OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING) AS k FROM p),
+     f AS (SELECT k, min(doc_id) AS m FROM v WHERE i <= n - 49 GROUP BY k),
+     g AS (SELECT DISTINCT v.doc_id, unnest(range(v.i, v.i + 50)) AS i FROM v JOIN f USING (k) WHERE v.i <= v.n - 49 AND v.doc_id > f.m)
+SELECT d.doc_id, len(d.w) AS n_words, count(g.i) AS n_removed, sha256(coalesce(string_agg(p.x, ' ' ORDER BY p.i) FILTER (g.i IS NULL), '')) AS kept_sha256
+FROM d LEFT JOIN p USING (doc_id) LEFT JOIN g ON g.doc_id = p.doc_id AND g.i = p.i GROUP BY d.doc_id, d.w
+"""
