@@ -239,7 +239,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFr
 
     def settle(more: DataFrame, known: DataFrame | None = None) -> DataFrame:
         """Verify pairs, add the links found, and give the components so far; ``known`` if there is nothing to verify."""
-        nonlocal done, links
+        nonlocal done
         more = more.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         more = _plausible(more, survey.where("kind = 0").select("doc_id", "n", "bits"), percent).distinct()
         if done is not None:
@@ -249,8 +249,8 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFr
             return known
         new = materialise(_verified(more, held, k, percent))
         done = new.select("a", "b") if done is None else done.unionByName(new.select("a", "b"))
-        links = links.unionByName(new.where("linked").select("a", "b"))
-        return components(links)
+        new = new.where("linked").select("a", "b")
+        return components(links.unionByName(new)) if known is None else components(new, known)
 
     def apart(pairs: DataFrame, known: DataFrame) -> DataFrame:
         """Of pairs, those whose sides aren't connected yet."""

@@ -127,6 +127,10 @@ def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(i + 1, i) for i in range(50)] + [(100, 101), (7, 7)], "a long, b long")
     assert {r.node: r.component for r in components(edges).collect()} == {i: 0 for i in range(51)} | {100: 100, 101: 100}
 
+    known = components(edges.where("a % 7 <> 3"))
+    grown = {r.node: r.component for r in components(edges.where("a % 7 = 3"), known).collect()}
+    assert grown == {r.node: r.component for r in components(edges).collect()}
+
 
 BASE = [("assign", re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A), 6, 2), ("access", re.compile("AKIA[A-Z0-9]+"), 20, 0), ("hex", re.compile("[0-9a-f]+"), 24, 0)]
 
