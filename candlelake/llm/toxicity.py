@@ -43,7 +43,7 @@ class Gains:
     ordinary: bytes
     toxic: bytes
     level: int = 3
-    most: int = 400_000
+    most: int = 200_000
     _known: dict = field(default_factory=dict, repr=False)
 
     def __post_init__(self) -> None:
