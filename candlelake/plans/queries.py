@@ -290,12 +290,12 @@ query("open_interest_features", lambda t: features.open_interest_features(t.oi_i
 def _halo(t: Tables) -> DataFrame:
     def sums(w):
         last = w.rangeBetween(-3 * DAY, 0)
-        return {"volume_3d": F.sum("volume").over(last), "close_3d": F.avg("close").over(last)}
+        return {"volume_3d": F.sum("volume").over(last), "close_3d": F.max("close").over(last)}
 
     return with_halo(t.candles_h, 3 * DAY, 7 * DAY, sums).select("symbol", "open_time", "volume_3d", "close_3d")
 
 
-query("halo_windows", _halo, f"SELECT symbol, open_time, sum(volume) OVER {days(3)} AS volume_3d, avg(close) OVER {days(3)} AS close_3d FROM candles_h", "volume_3d close_3d")
+query("halo_windows", _halo, f"SELECT symbol, open_time, sum(volume) OVER {days(3)} AS volume_3d, max(close) OVER {days(3)} AS close_3d FROM candles_h", "volume_3d close_3d")
 
 # --- Time-ordered reads ---------------------------------------------------------------------------------------------
 
