@@ -7,6 +7,9 @@ normalised text. All of it is DataFrame operations.
 
 from __future__ import annotations
 
+import json
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,6 +46,45 @@ APACHE_NOTICE = """Licensed under the Apache License, Version 2.0 (the "License"
 
 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."""
 
+#: Names that a notice gives a licence, and its SPDX identifiers.
+NAMES = {
+    "MIT": (["MIT", "MIT License", "MIT License (MIT)"], ["MIT"]),
+    "ISC": (["ISC", "ISC License"], ["ISC"]),
+    "Zlib": (["zlib", "zlib License"], ["Zlib"]),
+    "BSD-2-Clause": (["BSD-2-Clause", "BSD-2-Clause License", "Simplified BSD License"], ["BSD-2-Clause"]),
+    "BSD-3-Clause": (["BSD-3-Clause", "BSD-3-Clause License", "New BSD License", "Modified BSD License"], ["BSD-3-Clause"]),
+    "Apache-2.0": (["Apache-2.0", "Apache License, Version 2.0", "Apache License 2.0", "Apache-2.0 License"], ["Apache-2.0"]),
+    "GPL-2.0": (["GNU General Public License, Version 2", "GNU General Public License v2.0", "GNU GPL v2", "GPL v2", "GPLv2", "GPL-2.0"], ["GPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later"]),
+    "GPL-3.0": (["GNU General Public License, Version 3", "GNU General Public License v3.0", "GNU GPL v3", "GPL v3", "GPLv3", "GPL-3.0"], ["GPL-3.0", "GPL-3.0-only", "GPL-3.0-or-later"]),
+    "LGPL-2.1": (["GNU Lesser General Public License, Version 2.1", "GNU LGPL v2.1", "LGPL v2.1", "LGPLv2.1", "LGPL-2.1"], ["LGPL-2.1", "LGPL-2.1-only", "LGPL-2.1-or-later"]),
+    "LGPL-3.0": (["GNU Lesser General Public License, Version 3", "GNU Lesser General Public License v3.0", "GNU LGPL v3", "LGPL v3", "LGPLv3", "LGPL-3.0"], ["LGPL-3.0", "LGPL-3.0-only", "LGPL-3.0-or-later"]),
+    "MPL-2.0": (["Mozilla Public License, Version 2.0", "Mozilla Public License 2.0", "MPL 2.0"], ["MPL-2.0"]),
+    "Unlicense": (["Unlicense"], ["Unlicense"]),
+    "CC0-1.0": (["CC0", "CC0 1.0", "CC0 1.0 Universal", "Creative Commons Zero v1.0 Universal"], ["CC0-1.0"]),
+} | {
+    f"CC-{short}-4.0": ([f"CC {short} 4.0", f"Creative Commons {long} 4.0", f"Creative Commons {long} 4.0 License", f"Creative Commons {long} 4.0 International", f"Creative Commons {long} 4.0 International License"], [f"CC-{short}-4.0"])
+    for short, long in {
+        "BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial", "BY-ND": "Attribution-NoDerivatives",
+        "BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives",
+    }.items()
+}
+NOTICES = [
+    (i, f"{subject}{verb} under {article}{name}.")
+    for i, (names, _) in NAMES.items() for name in names for article in ("", "the ", "a ", "the terms of the ")
+    for verb in ("licensed", "released", "distributed") for subject in ("", "This work is ", "This project is ", "This software is ")
+] + [(i, f"SPDX-License-Identifier: {spdx}") for i, (_, ids) in NAMES.items() for spdx in ids]
+
+
+def _full_texts() -> list[tuple[str, str]]:
+    """The long licences, whole and without what they append on how to apply them."""
+    out = []
+    for path in sorted((Path(__file__).parent / "license_texts").glob("*.txt")):
+        whole = path.read_text("utf-8")
+        end = whole.find("END OF TERMS AND CONDITIONS")
+        out += [(path.stem, whole)] + ([(path.stem, whole[:end]), (path.stem, whole[:end] + "END OF TERMS AND CONDITIONS")] if end >= 0 else [])
+    return out
+
+
 #: (licence identifier, its entire text). A user may pass a table of their own with these two columns.
 KNOWN_LICENSES = [
     ("MIT", MIT), ("MIT", "MIT License\n\n" + MIT), ("MIT", "The MIT License (MIT)\n\n" + MIT),
@@ -63,6 +105,7 @@ KNOWN_LICENSES = [
     ("MPL-2.0", "SPDX-License-Identifier: MPL-2.0"), ("MPL-2.0", "Licensed under the Mozilla Public License, Version 2.0."),
     ("CC-BY-4.0", "SPDX-License-Identifier: CC-BY-4.0"), ("CC-BY-4.0", "Licensed under the Creative Commons Attribution 4.0 International License."),
     ("CC0-1.0", "SPDX-License-Identifier: CC0-1.0"),
+    *_full_texts(), *NOTICES,
 ]
 
 #: Lines that only say whose work it is and from when; "the above copyright notice" isn't one.
@@ -75,46 +118,64 @@ SPELLINGS = [
     ("copyright owner", "copyright holder"), ("per cent", "percent"), ("https://", "http://"), ("version 2.0", "v2.0"), ("version 3", "v3"), ("version 2", "v2"),
 ]
 FOLDED = r"[^\p{L}\p{N}]+"
+FOLDED_IN_LINE = r"[^\p{L}\p{N}\n]+"
 
 
-def canonical(text: Column) -> Column:
-    """The normalised form of a text."""
+def _folded(text: Column, apart: str) -> Column:
+    """The text without copyright lines, in one spelling; runs of characters that match ``apart`` are one space."""
     out = F.regexp_replace(F.lower(text), "(?md)" + COPYRIGHT_LINE, " ")
     for spelling, same in SPELLINGS:
         out = F.replace(out, F.lit(spelling), F.lit(same))
-    return F.trim(F.regexp_replace(out, FOLDED, " "))
+    return F.regexp_replace(out, apart, " ")
+
+
+def canonical(text: Column) -> Column:
+    """The normalised form of a text."""
+    return F.trim(_folded(text, FOLDED))
+
+
+def canonical_lines(text: Column) -> Column:
+    """The normalised forms of a text's lines, without empty ones; joined by spaces they are that of the text."""
+    lines = F.transform(F.split(_folded(text, FOLDED_IN_LINE), r"\n"), lambda x: F.trim(x))
+    return F.filter(lines, lambda x: x != "")
+
+
+def _sha(x: Column) -> Column:
+    return F.sha2(x.cast("binary"), 256)
 
 
 def digest(text: Column) -> Column:
     """Hex SHA-256 of the normalised text in UTF-8."""
-    return F.sha2(canonical(text).cast("binary"), 256)
+    return _sha(canonical(text))
 
 
 def known_digests(spark: SparkSession, licenses: list[tuple[str, str]] | None = None) -> DataFrame:
     """license_digest, license_id: one row for each distinct digest; of several licences, the first by name."""
-    rows = F.explode(F.array(*[F.struct(F.lit(i).alias("license_id"), F.lit(t).alias("license_text")) for i, t in licenses or KNOWN_LICENSES]))
+    # One literal for all of them: a literal for each would make the plan long.
+    rows = [{"license_id": i, "license_text": t} for i, t in licenses or KNOWN_LICENSES]
+    rows = F.explode(F.from_json(F.lit(json.dumps(rows)), "array<struct<license_id:string,license_text:string>>"))
     return spark.range(1).select(rows.alias("k")).select(digest(F.col("k.license_text")).alias("license_digest"), "k.license_id").groupBy("license_digest").agg(F.min("license_id").alias("license_id"))
 
 
-def license_scan(docs: DataFrame, known: DataFrame | None = None, max_notice_length: int = 400) -> DataFrame:
+def license_scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """Per document: doc_id, text_digest, license_id (null unless the whole text is a known licence), notices (sorted array
-    of the licences whose notice is a whole line of the text), n_notices.
+    of the licences whose text or notice is a whole line of the text), n_notices.
 
-    A null text counts as empty; empty or punctuation-only texts match nothing. Lines longer than max_notice_length can't be
-    notices and aren't hashed one by one. Each row of a repeated doc_id is judged for itself. ``known`` (license_digest,
-    license_id) is a list of licences; it is broadcast when Spark finds it small and is joined by hash otherwise.
+    A null text counts as empty; empty or punctuation-only texts match nothing. Every line is judged, whatever its length.
+    Each row of a repeated doc_id is judged for itself. ``known`` (license_digest, license_id) is a list of licences; it is
+    broadcast when Spark finds it small and is joined by hash otherwise.
     """
     spark = docs.sparkSession
     known = known_digests(spark) if known is None else known
-    rows = texts(docs).select("doc_id", F.monotonically_increasing_id().alias("row"), digest(F.col("text")).alias("text_digest"),
-                              F.filter(F.split("text", r"\n"), lambda x: (F.length(x) <= max_notice_length) & F.lower(x).rlike("licen[cs]")).alias("lines"))
+    rows = texts(docs).select("doc_id", F.monotonically_increasing_id().alias("row"), canonical_lines(F.col("text")).alias("lines"))
+    rows = rows.select("doc_id", "row", _sha(F.array_join("lines", " ")).alias("text_digest"), F.transform(F.array_distinct("lines"), _sha).alias("lines"))
     known = known.where(F.col("license_digest") != F.sha2(F.lit("").cast("binary"), 256))
-    # Notice lines carry their document's row through the join; the rows come from the same scan, so no key is matched up.
+    # Lines carry their document's row through the join; the rows come from the same scan, so no key is matched up.
     units = rows.select("doc_id", "row", "text_digest", F.explode(F.concat(
         F.array(F.struct(F.lit(True).alias("whole"), F.col("text_digest").alias("unit"))),
-        F.transform(F.array_distinct("lines"), lambda x: F.struct(F.lit(False).alias("whole"), digest(x).alias("unit"))))).alias("u"))
+        F.transform("lines", lambda x: F.struct(F.lit(False).alias("whole"), x.alias("unit"))))).alias("u"))
     units = units.select("doc_id", "row", "text_digest", "u.whole", "u.unit")
-    found = units.join(known, units.unit == known.license_digest, "left")
+    found = units.join(known, units.unit == known.license_digest, "left").where(F.col("whole") | F.col("license_digest").isNotNull())
     out = found.groupBy("row", "doc_id", "text_digest").agg(F.min(F.when(F.col("whole"), F.col("license_id"))).alias("license_id"), F.array_sort(F.collect_set(F.when(~F.col("whole"), F.col("license_id")))).alias("notices"))
     return out.select("doc_id", "text_digest", "license_id", "notices", F.size("notices").cast("long").alias("n_notices"))
 

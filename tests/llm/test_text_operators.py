@@ -266,6 +266,17 @@ def test_license_scan(spark):
     assert got == {0: ("MIT", []), 1: (None, ["Apache-2.0"]), 2: (None, []), 3: (None, []), 4: (None, []), 5: (None, [])}
 
 
+def test_license_scan_knows_the_notices_of_documents(spark):
+    gpl = (licenses.Path(licenses.__file__).parent / "license_texts" / "GPL-3.0.txt").read_text("utf-8")
+    one_line = " ".join(licenses.MIT.split())
+    texts = [(0, "x\nThis work is licensed under the GNU General Public License, version 3.\ny"), (1, "x\nLicensed under CC BY-NC 4.0.\ny"), (2, "x\n" + one_line + "\ny"),
+             (3, gpl), (4, "This project is licensed under a Creative Commons Attribution-ShareAlike 4.0 International Licence"), (5, f"Licensed under CC BY-NC 4.0. {'and more ' * 60}")]
+    got = {r.doc_id: (r.license_id, r.notices) for r in licenses.license_scan(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert got == {0: (None, ["GPL-3.0"]), 1: (None, ["CC-BY-NC-4.0"]), 2: (None, ["MIT"]), 3: ("GPL-3.0", []), 4: ("CC-BY-SA-4.0", ["CC-BY-SA-4.0"]), 5: (None, [])}
+    odd = spark.createDataFrame([(t,) for t in ["", "\n \n", "Copyright 2020 X\r\nΑΣ\n\u2028a\r b\n-\nc’s", gpl, one_line]], "text string")
+    assert all(r[0] == r[1] for r in odd.select(licenses.canonical(F.col("text")), F.array_join(licenses.canonical_lines(F.col("text")), " ")).collect())
+
+
 def test_toxicity_learns_held_in_labels_only(spark):
     rng, words = np.random.default_rng(7), vocabulary()
     bad = ["scoundrel", "vermin", "dastard"]
