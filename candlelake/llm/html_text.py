@@ -3,7 +3,8 @@
 Markup is stripped to lines, one for each block element, each with the length of its text outside links. The lengths
 summed over a sliding window of lines give a distribution; the text lies between a point where it surges and the point
 where it dives to nothing. Elements that are boilerplate by their name, role, class or id are taken out with the markup,
-and the edge of a sectioning element leaves empty lines, so that neighbours outside it don't bridge a dive.
+and the edge of a sectioning element leaves empty lines, so that neighbours outside it don't bridge a dive. An article that
+holds such text is taken whole: the distribution finds the article, and what is boilerplate in it goes by its marks.
 """
 
 from __future__ import annotations
@@ -55,18 +56,23 @@ def _boilerplate(name: str, attributes: str, inside_article: bool) -> bool:
     return any(MARKS.search(x) or not inside_article and HEADS.search(x) for x in marks) or bool(_HIDDEN.search(attributes))
 
 
-def lines(page: str, gap: int) -> list[tuple[str, int]]:
-    """(text, length of its text outside links) of each block in page order; sections are set apart by ``gap`` empty lines."""
-    out: list[tuple[str, int]] = []
+def lines(page: str, gap: int) -> list[tuple[str, int, int]]:
+    """(text, length of its text outside links, number of its article) of each block in page order.
+
+    The article is the outermost one that is open, else the outermost main, else 0. Articles and boilerplate outside them
+    are set apart by ``gap`` empty lines.
+    """
+    out: list[tuple[str, int, int]] = []
     held: list[str] = []
     linked = 0
-    anchors = articles = 0
+    anchors = opened = 0
+    articles: list[tuple[str, int]] = []  # open articles and mains with their numbers
     skipped: list[str] = []  # open elements from the boilerplate one down
 
     def flush() -> None:
         nonlocal linked
         if text := _SPACE.sub(" ", html.unescape("".join(held))).strip():
-            out.append((text, max(0, len(text) - linked)))
+            out.append((text, max(0, len(text) - linked), next((n for name, n in articles if name == "article"), articles[0][1] if articles else 0)))
         held.clear()
         linked = 0
 
@@ -105,11 +111,17 @@ def lines(page: str, gap: int) -> list[tuple[str, int]]:
         if name in BLOCKS:
             flush()
             anchors = 0
-        if name in SECTIONS and not (articles and name in ("section", "header")):  # those are parts of their article
-            out += [("", 0)] * gap
         if name in ("article", "main"):
-            articles = max(0, articles + (-1 if m[1] else 1))
-        if not m[1] and name not in VOID and _boilerplate(name, m[3] or "", articles > 0):
+            if not m[1]:
+                opened += 1
+                articles.append((name, opened))
+            elif articles:
+                articles.pop()
+        boilerplate = not m[1] and name not in VOID and _boilerplate(name, m[3] or "", bool(articles))
+        # In an article only another one is set apart; sections that are text are parts of what is around them.
+        if name in SECTIONS and (name in ("article", "main", "body") or not articles and (name != "section" or boilerplate)):
+            out += [("", 0, 0)] * gap
+        if boilerplate:
             skipped.append(name)
     flush()
     return out
@@ -120,10 +132,10 @@ def main_text(page: str, window: int = 3, surge: int = 40) -> str:
 
     A region is a run of lines whose windows hold text; it surges when a window of it has ``surge`` characters or more
     outside links. Of the regions that surge, those stay that have a quarter of the largest one's text at least; when none
-    surges, the largest stays.
+    surges, the largest stays. An article with a region that stays keeps all of its lines, links among them.
     """
     rows = lines(page, window)
-    sizes = [n for _, n in rows]
+    sizes = [n for _, n, _ in rows]
     blocks = [sum(sizes[i : i + window]) for i in range(len(rows))]
     regions, i = [], 0
     while i < len(rows):
@@ -140,7 +152,9 @@ def main_text(page: str, window: int = 3, surge: int = 40) -> str:
     surged = [r for r in regions if r[2] >= surge] or regions
     most = max(r[3] for r in surged)
     kept = [r for r in surged if 4 * r[3] >= most and r[3]] if len(surged) > 1 and max(r[2] for r in surged) >= surge else [r for r in surged if r[3] == most][:1]
-    return " ".join(text for start, end, _, _ in kept for text, _ in rows[start:end] if text)
+    stay = {j for start, end, _, _ in kept for j in range(start, end)}
+    whole = {rows[j][2] for j in stay if sizes[j]} - {0}
+    return " ".join(text for j, (text, _, article) in enumerate(rows) if text and (j in stay or article in whole))
 
 
 def extract(pages: DataFrame, window: int = 3, surge: int = 40) -> DataFrame:

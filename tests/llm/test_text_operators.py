@@ -212,6 +212,20 @@ def test_html_text():
     assert html_text.main_text("") == "" and html_text.main_text("<p>only</p>") == "only" and html_text.main_text("<script>x") == ""
 
 
+def test_html_text_keeps_articles_whole():
+    lead, body, end = "The lead. " * 20, "".join(f"<p>{f'Paragraph {i}. ' * 20}</p>" for i in range(25)), "The ending. " * 10
+    text = " ".join([lead.strip(), *(f"Paragraph {i}. " * 19 + f"Paragraph {i}." for i in range(25)), end.strip()])
+    for tag in ("article", "main"):
+        for cut in ("<aside>Buy this now</aside>", "<nav><a href=x>One</a></nav>", "<footer>Written by someone</footer>"):
+            assert html_text.main_text(f"<body><{tag}><p>{lead}</p>{cut}{body}{cut}<p>{end}</p></{tag}></body>") == text
+    links = "".join(f"<li><a href=x>Source {i}</a></li>" for i in range(5))
+    sources = " ".join(f"Source {i}" for i in range(5))
+    page = f"<body><nav>{links}</nav><article><h1><a href=x>Title</a></h1><p>{lead}</p><ul>{links}</ul>{body}<article><p>{end}</p></article><ul>{links}</ul></article><p>Outside.</p></body>"
+    assert html_text.main_text(page) == " ".join(["Title", lead.strip(), sources, text[len(lead):], sources])
+    assert html_text.main_text(f"<body><section><p>{lead}</p></section><section>{body}</section><section><p>{end}</p></section></body>") == text
+    assert html_text.main_text(f"<body><main><article>{body}</article><article><p>Another, and shorter text that still surges.</p></article></main></body>") == text[len(lead) : -len(end)]
+
+
 def test_html_extraction(spark):
     df = spark.createDataFrame([(1, "u", None, 3), (2, None, "<p>a b</p>", 3), (2, None, "<p>a b</p>", 3)], "page_id long, url string, html string, text int")
     assert sorted((r.page_id, r.text, r.n_chars) for r in html_text.extract(df).collect()) == [(1, "", 0), (2, "a b", 3), (2, "a b", 3)]
