@@ -23,7 +23,7 @@ BASE = {
 #: kind: (pattern, least length, kinds one of which must be near).
 WEAK = {
     "ident": (r"""(?i)(?:access_?key_?id|client_?id|account_?id|user_?name|login)["']?\x20*[:=]\x20*["']?[A-Za-z0-9@._-]{3,}""", 3, ("opaque", "assign", "hex")),
-    "opaque": (r"(?<![A-Za-z0-9+/=_-])(?=[A-Za-z0-9+/]*[0-9])(?=[A-Za-z0-9+/]*[a-z])(?=[A-Za-z0-9+/]*[A-Z])[A-Za-z0-9+/]{32,128}={0,2}(?![A-Za-z0-9+/=_-])", 32, ("ident", "access", "endpoint")),
+    "opaque": (r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/]*[0-9])(?=[A-Za-z0-9+/]*[a-z])(?=[A-Za-z0-9+/]*[A-Z])[A-Za-z0-9+/]{32,}+={0,2}(?![A-Za-z0-9+/=_-])", 32, ("ident", "access", "endpoint")),
     "endpoint": (r"(?i)(?:https?|postgres(?:ql)?|mysql|mongodb|redis|amqps?|s3)://[A-Za-z0-9._~:@/?&=%-]{4,}", 9, ("ident", "access", "opaque", "assign")),
 }
 KINDS = [*BASE, *WEAK]

@@ -150,6 +150,18 @@ def test_secret_scan(spark):
     assert secrets.secret_scan(df.limit(0)).count() == 0
 
 
+def test_secret_scan_links_keys_and_values(spark):
+    access, value = "AKIA" + "B" * 16, "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"
+    before = [f"AWS_ACCESS_KEY_ID={access}\naws_secret_access_key=", "DefaultEndpointsProtocol=https://a.example.com;é AccountKey=", "https://a.example.com/x?sig="]
+    texts = [b + v + after for b in before for v in (value, value + "==", value * 20) for after in ("", "\nx", "&y=1", ";z")]
+    out = by_id(secrets.secret_scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")))
+    for i, t in enumerate(texts):
+        start = max(t.find(b) + len(b) for b in before if b in t)
+        end = re.compile(r"[A-Za-z0-9+/]+={0,2}").match(t, start).end()
+        assert f"opaque:{start}:{end}" in out[i].spans.split(","), t
+    assert all(r.n_linked == 0 for r in secrets.secret_scan(spark.createDataFrame([(0, f"key={value}"), (1, f"{access} {value}_"), (2, f"{access} {value}===")], "doc_id long, text string")).collect())
+
+
 @pytest.mark.parametrize("crowded", [50_000, 1])
 def test_suffix_dedup(docs, cases, empty, monkeypatch, crowded):
     monkeypatch.setattr(repeats, "CROWDED", crowded)
