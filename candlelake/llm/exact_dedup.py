@@ -2,7 +2,8 @@
 
 The index is a table of one row per distinct text, bucketed and sorted by the text's digest. A batch of new documents is
 reduced to one row per digest (partial aggregation first, so that a hot text shrinks before it is shuffled), deduplicated
-against the index by a sort-merge anti-join on the digest, and what is new is appended. All of it is DataFrame operations.
+against the index by a sort-merge anti-join on the digest, and what is new is appended. Of digests that are known already,
+the batch's count is appended; readers add the counts up. All of it is DataFrame operations.
 """
 
 from __future__ import annotations
@@ -36,7 +37,8 @@ class DigestIndex:
     """A bucketed and sorted table of known digests.
 
     append() takes documents and adds the digests that the index doesn't have yet; digests that it has keep their row, so
-    an earlier batch wins over a later one. Within a batch the longest text wins, then the smallest doc_id.
+    an earlier batch wins over a later one. Within a batch the longest text wins, then the smallest doc_id. group_size counts
+    the documents of all batches; a batch that is appended twice counts twice.
     """
 
     def __init__(self, spark: SparkSession, name: str | None = None, buckets: int | None = None, path: str | None = None):
@@ -49,13 +51,19 @@ class DigestIndex:
         (rows.write.mode("append").format("parquet").option("path", self.path).bucketBy(self.buckets, "text_sha256").sortBy("text_sha256").saveAsTable(self.name))
 
     def table(self) -> DataFrame:
-        return self.spark.table(self.name)
+        """One row per digest; rows that only count hold neither keep_id nor keep_length."""
+        return self.spark.table(self.name).groupBy("text_sha256").agg(F.max("keep_id").alias("keep_id"), F.max("keep_length").alias("keep_length"), F.sum("group_size").alias("group_size"))
 
     def append(self, docs: DataFrame) -> None:
         best = best_rows(digests(docs)).alias("new")
-        known = self.table().select("text_sha256").hint("merge").alias("known")
-        fresh = best.join(known, F.col("new.text_sha256") == F.col("known.text_sha256"), "left_anti")
-        self._write(fresh.repartition(self.buckets, "text_sha256"))
+        stored = self.spark.table(self.name)
+        known = stored.select("text_sha256").hint("merge").alias("known")
+        same = F.col("new.text_sha256") == F.col("known.text_sha256")
+        rows = best.join(known, same, "left_anti")
+        if not stored.isEmpty():
+            again = best.join(known, same, "left_semi")
+            rows = rows.unionByName(again.select("text_sha256", F.lit(None).cast("long").alias("keep_id"), F.lit(None).cast("int").alias("keep_length"), "group_size"))
+        self._write(rows.repartition(self.buckets, "text_sha256"))
 
 
 def exact_dedup(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
@@ -63,7 +71,8 @@ def exact_dedup(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
 
     Texts are equal when they are identical without the characters of ``[\\x20\\x09-\\x0D]``; null counts as empty, and all
     empty texts are one group. Rows that repeat a doc_id count each; of rows equal in text, length and doc_id all are
-    marked kept. An empty table gives an empty result. Extra columns are ignored.
+    marked kept. An empty table gives an empty result. Extra columns are ignored. With an index, docs are a further batch
+    of it: keep_id may be of an earlier batch, and group_size counts the documents of all batches so far.
     """
     index = index or DigestIndex(docs.sparkSession)
     index.append(docs)

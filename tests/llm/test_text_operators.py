@@ -77,6 +77,20 @@ def test_digest_index_keeps_what_it_knows(spark, docs):
     assert all(after[k] == v for k, v in before.items()) and index.table().count() == len(after)
 
 
+def test_digest_index_counts_all_batches(spark):
+    schema = "doc_id long, text string"
+    batches = [[(1, "a b"), (2, "ab"), (3, "c")], [(4, "a\nb"), (5, "d"), (6, "d")], [(7, "ab"), (8, " c"), (9, "e"), (None, None)], [(10, "")]]
+    index, seen, first = exact_dedup.DigestIndex(spark), [], {}
+    for batch in batches:
+        plain = lambda t: re.sub(r"\s", "", t or "")
+        for i, t in sorted(batch, key=lambda x: -len(x[1] or "")):
+            first.setdefault(plain(t), i)
+        seen += [plain(t) for _, t in batch]
+        out = exact_dedup.exact_dedup(spark.createDataFrame(batch, schema), index).collect()
+        assert {(r.doc_id, r.keep_id, r.group_size) for r in out} == {(i, first[plain(t)], seen.count(plain(t))) for i, t in batch} and len(out) == len(batch)
+    assert index.table().count() == len(set(seen))
+
+
 def test_repeated_rows_become_one(docs):
     twice = docs.unionByName(docs)
     assert exact_dedup.keep_first(twice).count() == exact_dedup.keep_first(docs).count()
