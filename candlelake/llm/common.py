@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -13,7 +14,8 @@ from pyspark.sql import functions as F
 SEPARATORS = b" \t\n\x0b\x0c\r"
 SEPARATOR_CLASS = r"[\x20\x09-\x0D]"
 
-FALLBACK_CHECKPOINT_DIR = "/tmp/candlelake-scratch"
+#: Only for sessions in one process, where all tasks see the driver's disk.
+LOCAL_CHECKPOINT_DIR = "/tmp/candlelake-scratch"
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -25,9 +27,22 @@ def texts(docs: DataFrame, *others: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), *others)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, with underscores put before it until df has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def scratch_dir(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir, which all executors share; without that setting, below a local one."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or FALLBACK_CHECKPOINT_DIR
+    """A new folder below spark.checkpoint.dir, which all executors share. Without that setting a session in one process
+    gets a local one; on a cluster it raises, as executors wouldn't see each other's files."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = LOCAL_CHECKPOINT_DIR
     return f"{base.rstrip('/')}/candlelake-{uuid.uuid4().hex}"
 
 

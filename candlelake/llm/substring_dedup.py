@@ -1,9 +1,10 @@
 """Repeated word windows by a compressed full-text index.
 
-Open contexts of a shard (see ``repeats``) are indexed by an FM-index: the Burrows-Wheeler transform of their words in a
-wavelet matrix. Contexts are streamed against it: backward search from the end of each window narrows the interval of
-suffixes that start with it, as long as more than one is left; windows that reach the threshold length have the interval
-of all their occurrences, whose smallest document decides.
+The contexts of a shard (see ``repeats``) are indexed by an FM-index: the Burrows-Wheeler transform of their words in a
+wavelet matrix of packed bits. Contexts are streamed against it: backward search from each of their words narrows the
+interval of suffixes that start with what has been read, as long as it is more than the word itself. That gives the
+matching statistics: how far back from each word its context occurs elsewhere. Where they reach the threshold, the interval
+has all occurrences of the window, and the smallest document among them decides.
 """
 
 from __future__ import annotations
@@ -13,9 +14,21 @@ import hashlib
 import numpy as np
 from pyspark.sql import DataFrame
 
-from . import grams
-from .common import texts
-from .repeats import Shard, apply_spans, as_words, repeated_spans
+from . import grams, repeats
+from .repeats import Shard, apply_spans
+
+
+class BitVector:
+    """Bits packed by 64, with the count of ones before each pack."""
+
+    def __init__(self, bits: np.ndarray):
+        self.words = np.packbits(np.concatenate([bits, np.zeros(64 - len(bits) % 64, bits.dtype)]), bitorder="little").view("<u8")
+        self.before = np.concatenate([[0], np.cumsum(np.bitwise_count(self.words))]).astype(np.int32)
+
+    def rank(self, at: np.ndarray) -> np.ndarray:
+        """Ones before each place."""
+        pack, bit = at >> 6, (at & 63).astype(np.uint64)
+        return self.before[pack] + np.bitwise_count(self.words[pack] & ((np.uint64(1) << bit) - np.uint64(1)))
 
 
 class WaveletMatrix:
@@ -26,8 +39,7 @@ class WaveletMatrix:
         self.planes = []
         for level in reversed(range(self.bits)):
             bit = (values >> level) & 1
-            ones = np.concatenate([[0], np.cumsum(bit, dtype=np.int32)]).astype(np.int32)
-            self.planes.append((ones, len(values) - int(ones[-1])))
+            self.planes.append((BitVector(bit.astype(np.uint8)), int((bit == 0).sum())))
             values = np.concatenate([values[bit == 0], values[bit == 1]])
 
     def rank(self, symbol: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -35,7 +47,7 @@ class WaveletMatrix:
         base = np.zeros_like(low)
         for k, (ones, zeros) in enumerate(self.planes):
             bit = ((symbol >> (self.bits - 1 - k)) & 1).astype(bool)
-            b, lo, hi = ones[base], ones[low], ones[high]
+            b, lo, hi = ones.rank(base), ones.rank(low), ones.rank(high)
             base = np.where(bit, zeros + b, base - b)
             low = np.where(bit, zeros + lo, low - lo)
             high = np.where(bit, zeros + hi, high - hi)
@@ -46,8 +58,7 @@ class FMIndex:
     """Backward search over sequences that are set apart by ends, which match nothing."""
 
     def __init__(self, shard: Shard):
-        self.symbols, code = np.unique(shard.values, return_inverse=True)
-        m = len(shard.size)
+        code, m = shard.values, len(shard.size)  # words are numbered from 0
         # The end of the k-th sequence is the symbol k: ends are distinct, smaller than any word, and never searched for.
         text = np.zeros(len(code) + m, np.int64)
         place = np.arange(len(code)) + shard.of
@@ -56,7 +67,7 @@ class FMIndex:
         self.code, self.place = code + m, place
         self.suffixes = _sorted_suffixes(text, int(shard.size.max(initial=0)) + 1)
         self.last = text[self.suffixes - 1]
-        counts = np.bincount(text, minlength=m + len(self.symbols) + 1)
+        counts = np.bincount(text, minlength=m + int(code.max(initial=-1)) + 2)
         self.before = np.concatenate([[0], np.cumsum(counts)])
         self.matrix = WaveletMatrix(np.where(self.last < m, 0, self.last - m + 1))
         self.ends = m
@@ -81,30 +92,39 @@ def _sorted_suffixes(text: np.ndarray, longest: int) -> np.ndarray:
     return np.argsort(rank, kind="stable")
 
 
+def matching_statistics(index: FMIndex, shard: Shard, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(length, low, high) for each word of the shard: how many words up to and with it, ``most`` at most, occur elsewhere
+    in it as well, and the interval of suffixes that start with them."""
+    within = np.arange(len(shard.values)) - shard.first[shard.of]
+    length, low, high = (np.zeros(len(within), np.int64) for _ in range(3))
+    last = np.arange(len(within))
+    lo, hi = index.before[index.code], index.before[index.code + 1]
+    for step in range(1, most + 1):
+        alive = hi - lo > 1  # one suffix is the word's own
+        last, lo, hi = last[alive], lo[alive], hi[alive]
+        if not len(last):
+            break
+        length[last], low[last], high[last] = step, lo, hi
+        more = within[last] >= step
+        last, lo, hi = last[more], lo[more], hi[more]
+        if step < most and len(last):
+            lo, hi = index.extend(index.code[last - step], lo, hi)
+    return length, low, high
+
+
 def decide(shard: Shard, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(context, start, end) of the windows that a document with a smaller doc_id has as well."""
     index = FMIndex(shard)
     doc = shard.doc[index.owner]
-    within = np.arange(len(shard.values)) - shard.first[shard.of]
-    last = np.flatnonzero(within >= width - 1)  # where windows end
-    symbol = index.code[last]
-    low, high = index.before[symbol], index.before[symbol + 1]
-    for step in range(1, width):
-        alive = high - low > 1  # one suffix is the window itself
-        last, low, high = last[alive], low[alive], high[alive]
-        if not len(last):
-            break
-        low, high = index.extend(index.code[last - step], low, high)
-    keep = high - low > 1
-    last, low, high = last[keep], low[keep], high[keep]
+    length, low, high = matching_statistics(index, shard, width)
+    last = np.flatnonzero(length >= width)
     if len(last):
         # Smallest document of each interval; equal windows have one interval.
-        pairs, which = np.unique(np.stack([low, high], 1), axis=0, return_inverse=True)
+        pairs, which = np.unique(np.stack([low[last], high[last]], 1), axis=0, return_inverse=True)
         smallest = np.minimum.reduceat(np.append(doc, np.iinfo(np.int64).max), pairs.ravel())[::2]
-        hit = shard.doc[shard.of[last]] > smallest[which.ravel()]
-        last = last[hit]
+        last = last[shard.doc[shard.of[last]] > smallest[which.ravel()]]
     context = shard.of[last]
-    start = within[last] - (width - 1)
+    start = last - shard.first[context] - (width - 1)
     return context, start, start + width
 
 
@@ -117,22 +137,16 @@ def _cut(text: bytes, spans: np.ndarray) -> tuple[int, int, str]:
     return len(keep), int((~keep).sum()), hashlib.sha256(kept).hexdigest()
 
 
-def repeated_word_spans(docs: DataFrame, width: int = 50, gram: int = 10) -> DataFrame:
-    """doc_id, spans (of words) of documents that repeat windows of ``width`` words of documents with smaller doc_ids."""
-    return repeated_spans(texts(docs), as_words, np.uint64, decide, gram, width)
-
-
-def substring_dedup(docs: DataFrame, width: int = 50) -> DataFrame:
+def substring_dedup(docs: DataFrame, width: int = 50, gram: int = 10) -> DataFrame:
     """Per document: doc_id, n_words, n_removed, kept_sha256 (of the kept words, joined by one space).
 
     Words are runs of characters outside ``[\\x20\\x09-\\x0D]``, as they are. A word is removed when a window of ``width``
     words that covers it also starts in a document with a smaller doc_id. Null counts as empty; texts with fewer words keep
-    all. A doc_id names one document: rows that repeat it with the same text get the same result, and none repeats
-    another; with different texts, what is found in one is removed from all of them. Extra columns are ignored; an empty
-    table gives an empty result.
+    all, and so do rows without a doc_id, which no other row repeats. Rows that repeat a doc_id are parts of one document
+    and don't repeat each other; each is judged by its own text, however long. Extra columns are ignored, whatever their
+    names; an empty table gives an empty result.
     """
-    docs = texts(docs)
-    return apply_spans(docs, repeated_word_spans(docs, width), _cut, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    return apply_spans(docs, repeats.Words, decide, gram, width, _cut, "n_words long, n_removed long, kept_sha256 string")
 
 
 #: DuckDB SQL of the query's result.

@@ -1,6 +1,6 @@
 """Repeated byte strings by suffix array and common-prefix intervals.
 
-Open contexts of a shard (see ``repeats``) get an enhanced suffix array: suffixes in order, with the length of the prefix
+The contexts of a shard (see ``repeats``) get an enhanced suffix array: suffixes in order, with the length of the prefix
 that each shares with the one before. A scan with a stack builds the tree of common-prefix intervals; an interval whose
 suffixes differ in the byte to their left is a maximal repeat, and all of its suffixes are its occurrences.
 """
@@ -9,12 +9,15 @@ from __future__ import annotations
 
 import hashlib
 
+from collections.abc import Iterator
+
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 
-from . import grams
+from . import grams, repeats
 from .common import texts
-from .repeats import Shard, apply_spans, as_bytes, repeated_spans
+from .repeats import Shard, apply_spans
 
 #: Symbols that one sort key holds: a byte more one, nine bits each; zero stands for the end of the context.
 PER_KEY = 7
@@ -117,18 +120,42 @@ def _cut(text: bytes, spans: np.ndarray) -> tuple[int, int, int, str]:
     return len(text), int((spans[:, 1] - spans[:, 0]).sum()), len(spans), kept.hexdigest()
 
 
-def repeated_byte_spans(docs: DataFrame, width: int = 50, gram: int = 20) -> DataFrame:
-    """doc_id, spans (of bytes) of documents that repeat strings of ``width`` bytes of documents with smaller doc_ids."""
-    return repeated_spans(texts(docs), as_bytes, np.uint8, decide, gram, width)
-
+def repeat_groups(docs: DataFrame, width: int = 50, gram: int = 20) -> DataFrame:
+    """Maximal repeat groups of the distinct contexts, with all occurrences: group, length, doc_id, start (of bytes).
 
-def suffix_dedup(docs: DataFrame, width: int = 50) -> DataFrame:
+    A group is a string of at least ``width`` bytes that occurs more than once and whose occurrences differ in the byte to
+    their left and to their right; strings end where their context does. Equal contexts are one here, that of the first
+    document; its copies have the same groups at the same places of theirs. Rows without a doc_id have none; the start of
+    a row whose doc_id has several texts counts from a place of its own, a multiple of 2 ** 32.
+    """
+    docs = texts(docs)
+    placed = docs.withColumn("place", repeats._place(docs)).where("doc_id IS NOT NULL")
+
+    def run(shard: Shard) -> Iterator[pd.DataFrame]:
+        order, common = suffix_array(shard, width)
+        context = shard.of[order]
+        start = order - shard.first[context]
+        before = np.where(start > 0, shard.values[np.maximum(order - 1, 0)].astype(np.int64), -1)
+        for first, last, length, _ in maximal_intervals(common, before, shard.doc[context], width):
+            own = slice(first, last + 1)
+            text = shard.values[order[first] : order[first] + length].tobytes()
+            name = hashlib.blake2b(text, digest_size=16).hexdigest()
+            yield pd.DataFrame({"group": name, "length": length, "doc_id": shard.doc[context[own]], "start": shard.start[context[own]] + start[own]})
+
+    out = None
+    for fetched in repeats.open_contexts(placed, repeats.Bytes, gram, width)[1]:
+        found = repeats.in_shards(fetched, run, np.uint8, "group string, length long, doc_id long, start long")
+        out = found if out is None else out.unionByName(found)
+    # A string may be in contexts of several shards.
+    return out.distinct()
+
+
+def suffix_dedup(docs: DataFrame, width: int = 50, gram: int = 20) -> DataFrame:
     """Per document: doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256.
 
     A byte is removed when a string of ``width`` bytes that covers it also starts in a document with a smaller doc_id.
-    Null counts as empty; shorter texts keep all. A doc_id names one document: rows that repeat it with the same text get
-    the same result, and none repeats another; with different texts, what is found in one is removed from all of them.
-    Extra columns are ignored; an empty table gives an empty result.
+    Null counts as empty; shorter texts keep all, and so do rows without a doc_id, which no other row repeats. Rows that
+    repeat a doc_id are parts of one document and don't repeat each other; each is judged by its own text, however long.
+    Extra columns are ignored, whatever their names; an empty table gives an empty result.
     """
-    docs = texts(docs)
-    return apply_spans(docs, repeated_byte_spans(docs, width), _cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return apply_spans(docs, repeats.Bytes, decide, gram, width, _cut, "n_bytes long, n_removed long, n_spans long, kept_sha256 string")

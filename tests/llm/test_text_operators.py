@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from candlelake.llm import decontaminate, exact_dedup, html_text, licenses, ngram_join, packing, queries, repeats, secrets, substring_dedup, suffix_dedup, toxicity
+from candlelake.llm import decontaminate, exact_dedup, grams, html_text, licenses, ngram_join, packing, queries, repeats, secrets, substring_dedup, suffix_dedup, toxicity
 from candlelake.llm.common import load
 from candlelake.llm.components import components
 
@@ -176,32 +176,67 @@ def test_secret_scan_links_keys_and_values(spark):
     assert all(r.n_linked == 0 for r in secrets.secret_scan(spark.createDataFrame([(0, f"key={value}"), (1, f"{access} {value}_"), (2, f"{access} {value}===")], "doc_id long, text string")).collect())
 
 
-@pytest.mark.parametrize("crowded", [50_000, 1])
-def test_suffix_dedup(docs, cases, empty, monkeypatch, crowded):
-    monkeypatch.setattr(repeats, "CROWDED", crowded)
-    texts = {i: (t or "").encode() for i, t in cases}
+def thue_morse(n, a, b):
+    """A string of two letters; polynomials modulo a power of two give it and its complement one value."""
+    return "".join(a if i.bit_count() % 2 == 0 else b for i in range(n))
+
+
+@pytest.fixture(scope="module")
+def odd_ids(spark, cases):
+    """The cases with rows that share a doc_id, with equal and different texts, rows without one, and colliding words."""
+    rest, passage = " ".join(f"w{i}" for i in range(49)), " ".join(f"v{i}" for i in range(60))
+    more = [(-1, f"{thue_morse(1024, 'a', 'b')} {rest}"), (-2, f"{thue_morse(1024, 'b', 'a')} {rest}"), (-3, f"{thue_morse(2048, 'a', 'b')} {rest}"), (-4, f"{thue_morse(2048, 'b', 'a')} {rest}")]
+    more += [(None, cases[0][1]), (None, passage), (None, None), (None, cases[0][1]), (1, "short"), (700, passage), (701, passage + " x"), (701, "y " + passage), (701, "short"), (701, "short"), (702, passage)]
+    rows = [*cases, *more]
+    return rows, spark.createDataFrame([(i, t, 0, "x") for i, t in rows], "doc_id long, text string, place int, spans string").repartition(3)
+
+
+def kept_symbols(rows, width, symbols):
+    """(doc_id, symbols, whether each is removed) of each row, by brute force."""
+    parts = [(i, symbols(t or "")) for i, t in rows]
     first = {}
-    for i in sorted(texts):
-        for a in range(len(texts[i]) - 49):
-            first.setdefault(texts[i][a : a + 50], i)
-    out = by_id(suffix_dedup.suffix_dedup(docs.unionByName(docs.where("doc_id < 3"))))
-    for i, t in texts.items():
-        gone = np.zeros(len(t), bool)
-        for a in range(len(t) - 49):
-            if first[t[a : a + 50]] < i:
-                gone[a : a + 50] = True
+    for i, own in parts:
+        for a in range(len(own) - width + 1) if i is not None else ():
+            key = tuple(own[a : a + width])
+            first[key] = min(i, first.get(key, i))
+    for i, own in parts:
+        gone = np.zeros(len(own), bool)
+        for a in range(len(own) - width + 1) if i is not None else ():
+            if first[tuple(own[a : a + width])] < i:
+                gone[a : a + width] = True
+        yield i, own, gone
+
+
+@pytest.mark.parametrize("crowded", [5_000, 1])
+def test_suffix_dedup(odd_ids, empty, monkeypatch, crowded):
+    monkeypatch.setattr(repeats, "CROWDED", crowded)
+    rows, df = odd_ids
+    want = []
+    for i, own, gone in kept_symbols(rows, 50, str.encode):
         runs = int((np.diff(np.concatenate([[0], gone.astype(int)])) == 1).sum())
-        kept = bytes(b for b, g in zip(t, gone) if not g)
-        assert tuple(out[i])[1:] == (len(t), int(gone.sum()), runs, hashlib.sha256(kept).hexdigest()), i
+        want.append((i, len(own), int(gone.sum()), runs, hashlib.sha256(bytes(b for b, g in zip(own, gone) if not g)).hexdigest()))
+    assert sorted(map(tuple, suffix_dedup.suffix_dedup(df).collect()), key=str) == sorted(want, key=str)
     assert suffix_dedup.suffix_dedup(empty).count() == 0
 
 
-def test_maximal_intervals_list_all_occurrences():
-    from candlelake.llm.repeats import Shard
-    import pandas as pd
+def test_repeat_groups_have_all_occurrences(spark):
+    rng, words = np.random.default_rng(8), vocabulary()
+    shared = " ".join(rng.choice(words, 12))
+    texts = {i: f"{' '.join(rng.choice(words, 5))} {i} {shared[: 90 - 5 * (i % 3)]} {i} {' '.join(rng.choice(words, 5))}" for i in range(9)}
+    found = suffix_dedup.repeat_groups(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    assert found and all(r.length >= 50 for r in found)
+    groups = {}
+    for r in found:
+        groups.setdefault(r.group, set()).add((texts[r.doc_id].encode()[r.start : r.start + r.length], r.doc_id))
+    for own in groups.values():
+        strings, docs = {s for s, _ in own}, {d for _, d in own}
+        assert len(strings) == 1 and len(own) > 1
+    assert any(len(own) == 9 for own in groups.values())
 
+
+def test_maximal_intervals_list_all_occurrences():
     texts = [b"xxABCDEFyy", b"zABCDEFw", b"qABCDEFyy", b"ABC"]
-    shard = Shard(pd.DataFrame({"symbols": texts, "doc_id": range(4), "start": 0}), np.uint8)
+    shard = repeats.Shard(texts, np.arange(4), np.zeros(4, np.int64))
     order, common = suffix_dedup.suffix_array(shard, 3)
     suffix = [shard.values[p : shard.first[shard.of[p] + 1]].tobytes() for p in order]
     assert suffix == sorted(suffix) and all(suffix[i - 1][:c] == suffix[i][:c] for i, c in enumerate(common) if i)
@@ -210,24 +245,44 @@ def test_maximal_intervals_list_all_occurrences():
     assert groups == {b"ABC": 4, b"ABCDEF": 3, b"ABCDEFyy": 2}
 
 
-@pytest.mark.parametrize("crowded", [50_000, 1])
-def test_substring_dedup(docs, cases, empty, monkeypatch, crowded):
+@pytest.mark.parametrize("crowded", [5_000, 1])
+def test_substring_dedup(odd_ids, empty, monkeypatch, crowded):
     monkeypatch.setattr(repeats, "CROWDED", crowded)
-    words = {i: WORD.findall(t or "") for i, t in cases}
-    first = {}
-    for i in sorted(words):
-        for a in range(len(words[i]) - 49):
-            first.setdefault(tuple(words[i][a : a + 50]), i)
-    out = by_id(substring_dedup.substring_dedup(docs))
-    for i, w in words.items():
-        gone = np.zeros(len(w), bool)
-        for a in range(len(w) - 49):
-            if first[tuple(w[a : a + 50])] < i:
-                gone[a : a + 50] = True
-        assert tuple(out[i])[1:] == (len(w), int(gone.sum()), hashlib.sha256(" ".join(x for x, g in zip(w, gone) if not g).encode()).hexdigest()), i
+    rows, df = odd_ids
+    want = [(i, len(own), int(gone.sum()), hashlib.sha256(" ".join(x for x, g in zip(own, gone) if not g).encode()).hexdigest()) for i, own, gone in kept_symbols(rows, 50, WORD.findall)]
+    assert sorted(map(tuple, substring_dedup.substring_dedup(df).collect()), key=str) == sorted(want, key=str)
     assert substring_dedup.substring_dedup(empty).count() == 0
 
 
+def test_matching_statistics():
+    rng = np.random.default_rng(4)
+    texts = [" ".join(rng.choice(list("abc"), rng.integers(1, 40))).encode() for _ in range(12)]
+    shard = repeats.Shard(texts, np.arange(12), np.zeros(12, np.int64), np.int64)
+    index = substring_dedup.FMIndex(shard)
+    length, low, high = substring_dedup.matching_statistics(index, shard, 6)
+    words = [t.split() for t in texts]
+    all_ends = [(i, j) for i, w in enumerate(words) for j in range(len(w))]
+    for k, (i, j) in enumerate(all_ends):
+        count = lambda n: sum(words[a][b - n + 1 : b + 1] == words[i][j - n + 1 : j + 1] for a, b in all_ends if b >= n - 1)
+        want = max((n for n in range(1, min(6, j + 1) + 1) if count(n) > 1), default=0)
+        assert length[k] == want and (not want or high[k] - low[k] == count(want))
+
+
+def test_bit_vector_ranks():
+    bits = np.random.default_rng(6).integers(0, 2, 1000).astype(np.uint8)
+    for n in (0, 1, 63, 64, 65, 1000):
+        assert (substring_dedup.BitVector(bits[:n]).rank(np.arange(n + 1)) == np.concatenate([[0], np.cumsum(bits[:n])])).all()
+
+
+def test_hashes_tell_structured_strings_apart():
+    for n in (16, 64, 1024, 4096):
+        x, y = thue_morse(n, "a", "b").encode(), thue_morse(n, "b", "a").encode()
+        one, two = grams.Words([x, y]).hash
+        assert one != two and len(set(grams.span_hash(np.frombuffer(x + y, np.uint8), np.array([0, n]), np.array([n, 2 * n])).tolist())) == 2
+    bounds = grams.exact_sets([b"A b c d e f", b"a b", b"", b"a b c d e f a b c d e"], 5, grams.LOWER)
+    assert [len(x) for x in bounds] == [2, 1, 0, 6] and set(bounds[0]) <= set(bounds[3])
+
+
 def test_html_text():
     page = """<html><head><title>T</title><style>p{}</style></head><body><nav><a href=x>Home</a> <a>News</a></nav><div class="cookie-notice">We use cookies on this site, please accept them all.</div>
     <main><article class="post"><header><h1>The   head&amp;line</h1></header><p>First para<b>graph</b> that has quite a lot of text in it, so that it surges.<p>Of.</p><div class="ad">Buy now, buy now, buy now, it is cheap</div>
