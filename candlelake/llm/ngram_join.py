@@ -1,14 +1,18 @@
 """Exact Jaccard self-join of documents on word shingles, with set-relation skipping.
 
 Documents become sets of shingle hashes in one global order: shingles that are common in the corpus last, the others by
-hash. Sets that reach the threshold share a shingle in their prefixes, so prefixes are dealt out by shingle. In the list
-of a shingle, blocks are skipped by size and by position, which bound the overlap that is still possible.
+hash. Sets that reach the threshold share a shingle in their prefixes, so prefixes are dealt out by shingle. The list of a
+shingle is sorted by size and position; sets that agree in both are a block, and blocks are skipped whole where size and
+position leave too little overlap possible.
 
 Relations between sets save most of the work. Equal sets are one set. Each set has a bitmap of the parities of its hashes;
-bits that differ between two bitmaps bound the shingles that their sets don't share, so most pairs are ruled out by that. Of the candidates left, each set is first compared
-with the partner that shares most of its prefix; sets that turn out to be linked answer for each other, and further pairs
-are compared only where their two sides aren't connected yet. Long lists are compared with representatives first, and
-only what those comparisons leave apart is compared in full. No link between sets in different components is ever skipped.
+bits that differ between two bitmaps bound the shingles that their sets don't share. Each set is first compared with the
+partner that shares most of its prefix, its representative. Sets that turn out to be linked answer for each other: further
+pairs are looked at only where their two sides aren't connected yet. For those the representatives are compared first, and
+the answer for the sets follows from the representatives' overlap, more or less what each set and its representative have
+apart; only pairs that this leaves open are compared themselves. Long lists are compared with leading sets first, and only
+what those comparisons leave apart is compared in full. No link between sets in different components is ever skipped.
+Overlaps are counted on the words of both texts, not on hashes.
 """
 
 from __future__ import annotations
@@ -22,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import grams
-from .common import discard, materialise, partitions, texts
+from .common import discard, free_name, materialise, partitions, texts
 from .components import components
 
 #: Lists of at most that many sets are compared in full at once; longer ones by way of representatives.
@@ -129,41 +133,66 @@ def _prefixes(docs: DataFrame, common, k: int, percent: int, buckets: int) -> Da
     return docs.mapInPandas(run, "bucket long, token long, doc_id long, n long, pos long, entries binary, count long")
 
 
+def _block_pairs(token: np.ndarray, doc: np.ndarray, n: np.ndarray, pos: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of entries (places in the arrays) that can be linked, of entries sorted by token, n and pos."""
+    first = np.flatnonzero(np.concatenate([[True], (token[1:] != token[:-1]) | (n[1:] != n[:-1]) | (pos[1:] != pos[:-1])])[: len(token)])
+    size = np.diff(np.concatenate([first, [len(token)]]))
+    token, n, pos = token[first], n[first], pos[first]
+    left, right, i = [], [], np.arange(len(first))
+    for step in range(len(first)):
+        i = i[i + step < len(first)]
+        j = i + step
+        # Sizes ascend in a list, so once a block is too large, so are all after it.
+        i = i[(token[i] == token[j]) & (100 * n[i] >= percent * n[j])]
+        if not len(i):
+            break
+        j = i + step
+        good = np.minimum(n[i] - pos[i], n[j] - pos[j]) >= _needed(n[i], n[j], percent)
+        x, y = i[good], j[good]
+        count = size[x] * size[y]
+        at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        width = np.repeat(size[y], count)
+        a, b = np.repeat(first[x], count) + at // width, np.repeat(first[y], count) + at % width
+        left.append(a[a < b])
+        right.append(b[a < b])
+    return (np.concatenate(left), np.concatenate(right)) if left else (np.zeros(0, np.int64),) * 2
+
+
 def _lists(prefixes: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs (kind 0: a < b, shared prefix shingles seen) and the entries of long lists (kind 1)."""
+    """Candidate pairs (kind 0: a < b, shared prefix shingles seen) and the entries of long lists (kind 1). Rows come bucket
+    by bucket."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[tuple] = []
-        for batch in batches:
-            common = batch[batch["count"] == 0]
-            yield pd.DataFrame({"kind": 1, "a": common["doc_id"], "b": 0, "shared": 0, "token": common["token"], "n": common["n"], "pos": common["pos"]})
-            for raw, c in zip(batch["entries"], batch["count"]):
-                if c:
-                    held.append((np.frombuffer(raw, "<u8", c), np.frombuffer(raw, "<i8", c, 8 * c), np.frombuffer(raw, "<u4", c, 16 * c).astype(np.int64), np.frombuffer(raw, "<u4", c, 20 * c).astype(np.int64)))
-        if not held:
-            return
+    def listed(held: list[tuple]) -> Iterator[pd.DataFrame]:
         token, doc, n, pos = (np.concatenate([h[j] for h in held]) for j in range(4))
-        held.clear()
-        order = np.lexsort((doc, n, token))
+        order = np.lexsort((doc, pos, n, token))
         token, doc, n, pos = token[order], doc[order], n[order], pos[order]
         edge = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1], [True]]))
         size = np.diff(edge)
         long = np.repeat(size > SHORT_LIST, size)
         yield pd.DataFrame({"kind": 1, "a": doc[long], "b": 0, "shared": 0, "token": token[long].view(np.int64), "n": n[long], "pos": pos[long]})
-        left = np.repeat(edge[1:], size) - np.arange(len(token))  # entries from here to the end of the list
-        a, b = [], []
-        for step in range(1, SHORT_LIST):
-            i = np.flatnonzero(~long & (left > step))
-            if not len(i):
-                break
-            j = i + step
-            # Sizes ascend in a list, so a block is skipped once they are too far apart; positions bound the overlap.
-            good = (100 * n[i] >= percent * n[j]) & (np.minimum(n[i] - pos[i], n[j] - pos[j]) >= _needed(n[i], n[j], percent)) & (doc[i] != doc[j])
-            a.append(np.minimum(doc[i], doc[j])[good])
-            b.append(np.maximum(doc[i], doc[j])[good])
-        if a:
-            pairs = pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)}).value_counts(sort=False).reset_index(name="shared")
-            yield pairs.assign(kind=0, token=0, n=0, pos=0)[["kind", "a", "b", "shared", "token", "n", "pos"]]
+        short = np.repeat((size > 1) & (size <= SHORT_LIST), size)
+        doc = doc[short]
+        i, j = _block_pairs(token[short], doc, n[short], pos[short], percent)
+        apart = doc[i] != doc[j]
+        pairs = pd.DataFrame({"a": np.minimum(doc[i], doc[j])[apart], "b": np.maximum(doc[i], doc[j])[apart]}).value_counts(sort=False).reset_index(name="shared")
+        yield pairs.assign(kind=0, token=0, n=0, pos=0)[["kind", "a", "b", "shared", "token", "n", "pos"]]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[tuple] = []
+        current = None
+        for batch in batches:
+            common = batch[batch["count"] == 0]
+            yield pd.DataFrame({"kind": 1, "a": common["doc_id"], "b": 0, "shared": 0, "token": common["token"], "n": common["n"], "pos": common["pos"]})
+            for bucket, raw, c in zip(batch["bucket"], batch["entries"], batch["count"]):
+                if not c:
+                    continue
+                if bucket != current and held:
+                    yield from listed(held)
+                    held = []
+                current = bucket
+                held.append((np.frombuffer(raw, "<u8", c), np.frombuffer(raw, "<i8", c, 8 * c), np.frombuffer(raw, "<u4", c, 16 * c).astype(np.int64), np.frombuffer(raw, "<u4", c, 20 * c).astype(np.int64)))
+        if held:
+            yield from listed(held)
 
     return prefixes.mapInPandas(run, "kind int, a long, b long, shared long, token long, n long, pos long")
 
@@ -182,29 +211,60 @@ def _plausible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "left", "right").mapInPandas(run, "a long, b long")
 
 
-def _verified(pairs: DataFrame, held: DataFrame, k: int, percent: int) -> DataFrame:
-    """a, b, linked: whether the intersection reaches the threshold, counted exactly from the two texts.
+def _counted(pairs: DataFrame, held: DataFrame, k: int) -> DataFrame:
+    """a, b, na, nb, common: the sizes and the overlap, counted from the words of the two texts.
 
     Texts travel instead of sets: compressed, they take less than half the room of their shingles' hashes.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            both = [x for pair in zip(grams.encoded(batch["left"]), grams.encoded(batch["right"])) for x in pair]
-            linked = []
-            for i in range(0, len(both), 200):
-                bounds, hashes = grams.sets(both[i : i + 200], k, grams.LOWER)
-                for j in range(0, len(bounds) - 1, 2):
-                    x, y = hashes[bounds[j] : bounds[j + 1]], hashes[bounds[j + 1] : bounds[j + 2]]
-                    if len(x) > len(y):
-                        x, y = y, x
-                    common = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum()) if len(x) else 0
-                    linked.append(common > 0 and 100 * common >= percent * (len(x) + len(y) - common))
-            yield pd.DataFrame({"a": batch["a"], "b": batch["b"], "linked": linked})
-
-    left = held.select(F.col("doc_id").alias("a"), F.col("text").alias("left"))
-    right = held.select(F.col("doc_id").alias("b"), F.col("text").alias("right"))
-    return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInPandas(run, "a long, b long, linked boolean")
+            both = [x for pair in zip(batch["left"], batch["right"]) for x in pair]
+            rows = []
+            for i in range(0, len(both), 20):
+                own = grams.exact_sets(both[i : i + 20], k, grams.LOWER)
+                for x, y in zip(own[::2], own[1::2]):
+                    a, b = (x, y) if len(x) < len(y) else (y, x)
+                    rows.append((len(x), len(y), int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum()) if len(a) else 0))
+            yield pd.DataFrame(rows, columns=["na", "nb", "common"]).assign(a=batch["a"], b=batch["b"])[["a", "b", "na", "nb", "common"]]
+
+    left = held.select(F.col("doc_id").alias("a"), F.col("text").cast("binary").alias("left"))
+    right = held.select(F.col("doc_id").alias("b"), F.col("text").cast("binary").alias("right"))
+    return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInPandas(run, "a long, b long, na long, nb long, common long")
+
+
+def _linked(percent: int) -> Column:
+    return (F.col("common") > 0) & (100 * F.col("common") >= percent * (F.col("na") + F.col("nb") - F.col("common")))
+
+
+def _represented(near: DataFrame, done: DataFrame) -> DataFrame:
+    """node, rep, own (shingles that the node has and its representative hasn't), more (the other way round)."""
+    rows = near.select(F.col("b").alias("node"), F.col("a").alias("rep"), F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).join(done, ["a", "b"])
+    of_b = F.col("node") == F.col("b")
+    rows = rows.select("node", "rep", (F.when(of_b, F.col("nb")).otherwise(F.col("na")) - F.col("common")).alias("own"), (F.when(of_b, F.col("na")).otherwise(F.col("nb")) - F.col("common")).alias("more")).distinct()
+    # A doc_id with several texts stands for itself.
+    return rows.groupBy("node").agg(F.first("rep").alias("rep"), F.first("own").alias("own"), F.first("more").alias("more"), F.count(F.lit(1)).alias("c")).where("c = 1").drop("c")
+
+
+def _with_representatives(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+    """a, b, ra, rb (their representatives, in order), own and more (of both together)."""
+    one = reps.select(F.col("node").alias("a"), F.col("rep").alias("r1"), F.col("own").alias("o1"), F.col("more").alias("m1"))
+    two = reps.select(F.col("node").alias("b"), F.col("rep").alias("r2"), F.col("own").alias("o2"), F.col("more").alias("m2"))
+    rows = pairs.select("a", "b").join(one, "a", "left").join(two, "b", "left")
+    r1, r2, zero = F.coalesce("r1", "a"), F.coalesce("r2", "b"), F.lit(0)
+    return rows.select("a", "b", F.least(r1, r2).alias("ra"), F.greatest(r1, r2).alias("rb"), (F.coalesce("o1", zero) + F.coalesce("o2", zero)).alias("own"), (F.coalesce("m1", zero) + F.coalesce("m2", zero)).alias("more"))
+
+
+def _derived(rows: DataFrame, done: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """a, b, answer: whether the pair is linked, as far as the overlap of the representatives tells; else null. It stays null
+    for doc_ids with texts of several sizes."""
+    sizes = sizes.groupBy("doc_id").agg(F.min("n").alias("n"), F.max("n").alias("high")).where("n = high")
+    known = done.select(F.col("a").alias("ra"), F.col("b").alias("rb"), "common")
+    n1, n2 = sizes.select(F.col("doc_id").alias("a"), F.col("n").alias("na")), sizes.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"))
+    rows = rows.join(known, ["ra", "rb"], "left").join(n1, "a", "left").join(n2, "b", "left")
+    need = F.ceil(percent * (F.col("na") + F.col("nb")) / (100 + percent))
+    answer = F.when(F.col("common") + F.col("own") < need, F.lit(False)).when(F.col("common") - F.col("more") >= need, F.lit(True))
+    return rows.groupBy("a", "b").agg(F.max(answer).alias("answer"), F.max(answer.isNull()).alias("open")).select("a", "b", F.when(~F.col("open"), F.col("answer")).alias("answer"))
 
 
 def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
@@ -213,18 +273,23 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFr
     Words are runs of characters outside ``[\\x20\\x09-\\x0D]`` with A-Z in lower case; a set holds the distinct k-word
     shingles, of a text with fewer words its whole sequence. Documents link when 100 times their intersection is at least
     ``percent`` times their union. A text that is null, empty or without words has the empty set, which links with nothing.
-    Rows that repeat a doc_id are one node: its links are those of any of its rows. Extra columns are ignored; an empty
-    table gives an empty result.
+    Rows that repeat a doc_id are one node: its links are those of any of its rows. A row without a doc_id can't be linked
+    to; its component_id is null. Extra columns are ignored, whatever their names; an empty table gives an empty result;
+    texts may have any length.
     """
     spark = docs.sparkSession
     docs = texts(docs)
+    # Rows without a doc_id only want their number of shingles.
+    lone = _survey(docs.where("doc_id IS NULL").withColumn("doc_id", F.lit(0).cast("long")), k).where("kind = 0")
+    lone = lone.select(F.lit(None).cast("long").alias("doc_id"), F.col("n").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"))
+    docs = docs.where("doc_id IS NOT NULL")
     survey = materialise(_survey(docs, k), "kind")
     rows = survey.where("kind = 0").select("doc_id", "n", "key1", "key2")
     often = survey.where("kind = 1").groupBy("key1").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "key1").limit(MOST_COMMON).select("key1")
     common = spark.sparkContext.broadcast(np.sort(np.array([r[0] for r in often.collect()], np.int64).view(np.uint64)))
 
     parts = partitions(spark)
-    prefixes = _prefixes(docs, common, k, percent, 8 * parts).repartition(parts, "bucket")
+    prefixes = _prefixes(docs, common, k, percent, 8 * parts).repartition(parts, "bucket").sortWithinPartitions("bucket")
     found = materialise(_lists(prefixes, percent), "kind")
     pairs = found.where("kind = 0").groupBy("a", "b").agg(F.sum("shared").alias("shared"))
     lists = found.where("kind = 1").select("token", F.col("a").alias("doc_id"), "n", "pos")
@@ -235,22 +300,21 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFr
 
     nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).unionByName(lists.select(F.col("doc_id").alias("node"))).distinct()
     held = materialise(docs.join(nodes, F.col("doc_id") == F.col("node"), "left_semi"))
+    sizes = survey.where("kind = 0").select("doc_id", "n", "bits")
     done: DataFrame | None = None
 
-    def settle(more: DataFrame, known: DataFrame | None = None) -> DataFrame:
-        """Verify pairs, add the links found, and give the components so far; ``known`` if there is nothing to verify."""
+    def counted(more: DataFrame) -> DataFrame:
+        """The pairs that weren't counted yet and that bitmaps leave possible, with their overlap."""
         nonlocal done
-        more = more.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        more = _plausible(more, survey.where("kind = 0").select("doc_id", "n", "bits"), percent).distinct()
-        if done is not None:
-            more = more.join(done, ["a", "b"], "left_anti")
-        more = materialise(more)
-        if known is not None and more.isEmpty():
-            return known
-        new = materialise(_verified(more, held, k, percent))
-        done = new.select("a", "b") if done is None else done.unionByName(new.select("a", "b"))
-        new = new.where("linked").select("a", "b")
-        return components(links.unionByName(new)) if known is None else components(new, known)
+        more = _plausible(more, sizes, percent).distinct()
+        more = materialise(more if done is None else more.join(done, ["a", "b"], "left_anti"))
+        new = materialise(_counted(more, held, k))
+        done = new if done is None else done.unionByName(new)
+        discard(more)
+        return new
+
+    def ordered(pairs: DataFrame) -> DataFrame:
+        return pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
     def apart(pairs: DataFrame, known: DataFrame) -> DataFrame:
         """Of pairs, those whose sides aren't connected yet."""
@@ -258,28 +322,56 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFr
         two = known.select(F.col("node").alias("b"), F.col("component").alias("cb"))
         return pairs.join(one, "a", "left").join(two, "b", "left").where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
 
+    def grown(known: DataFrame, new: DataFrame) -> DataFrame:
+        new = new.select("a", "b")
+        return known if new.isEmpty() else components(new, known)
+
     def star(entries: DataFrame, i: int) -> DataFrame:
-        """a (a representative of the list's sets of about that size, another one for each i) and b, of the entries that
+        """a (a leading set among the list's sets of about that size, another one for each i) and b, of the entries that
         can be linked with it."""
-        entries = entries.withColumn("scale", F.floor(F.log(F.col("n")) / math.log(100 / percent)))
+        entries = entries.withColumn("scale", _scale(percent))
         lead = entries.groupBy("token", "scale").agg(F.min_by(F.struct("doc_id", "n", "pos"), F.struct(F.xxhash64("doc_id", F.lit(i)), "doc_id")).alias("lead"))
         both = entries.join(lead, ["token", "scale"]).where((F.col("lead.doc_id") != F.col("doc_id")) & _possible(F.col("lead.n"), F.col("lead.pos"), F.col("n"), F.col("pos"), percent))
         return both.select(F.col("lead.doc_id").alias("a"), F.col("doc_id").alias("b"))
 
-    # First each set with the one partner that shares most of its prefix, a representative of long lists or another set.
+    # First each set with the one partner that shares most of its prefix, a leading set of long lists or another set.
     near = pairs.unionByName(star(lists, 0).groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))).groupBy("b").agg(F.max_by("a", F.struct("shared", -F.col("a"))).alias("a"))
-    known = settle(near.select("a", "b"))
-    known = settle(apart(pairs.select("a", "b"), known), known)
-    for i in (1, 2):  # other representatives, for the lists that hold several components still
+    near = materialise(near.select("a", "b"))
+    known = components(links.unionByName(counted(ordered(near)).where(_linked(percent)).select("a", "b")))
+    reps = materialise(_represented(near, done))
+
+    def settle(more: DataFrame, known: DataFrame) -> DataFrame:
+        """The components with the links among the pairs: those of their representatives, those that follow, the rest."""
+        more = materialise(_with_representatives(ordered(apart(more, known)).join(done.select("a", "b"), ["a", "b"], "left_anti"), reps))
+        if more.isEmpty():
+            return known
+        between = more.select(F.col("ra").alias("a"), F.col("rb").alias("b"))
+        known = grown(known, counted(ordered(apart(between, known))).where(_linked(percent)))
+        answers = materialise(_derived(more, done, sizes, percent))
+        known = grown(known, answers.where("answer"))
+        rest = apart(answers.where("answer IS NULL"), known)
+        known = grown(known, counted(ordered(rest)).where(_linked(percent)))
+        discard(more, answers)
+        return known
+
+    known = settle(pairs.select("a", "b"), known)
+    for i in (1, 2):  # other leading sets, for the lists that hold several components still
         split = materialise(_split_lists(lists, known))
-        known = settle(apart(star(split, i), known), known)
+        known = settle(star(split, i), known)
         discard(split)
-    split = materialise(_split_lists(lists, known))
-    left, right = split.select(*[F.col(c).alias(f"{c}1") for c in split.columns]), split.select(*[F.col(c).alias(f"{c}2") for c in split.columns])
-    rest = left.join(right, (F.col("token1") == F.col("token2")) & (F.col("n1") <= F.col("n2")) & (F.col("component1") != F.col("component2")) & _possible(F.col("n1"), F.col("pos1"), F.col("n2"), F.col("pos2"), percent))
+    split = materialise(_split_lists(lists, known).withColumn("scale", _scale(percent)))
+    # Sets that can be linked are at most one scale apart.
+    left = split.select(*[F.col(c).alias(f"{c}1") for c in split.columns]).withColumn("scale1", F.explode(F.array(F.col("scale1"), F.col("scale1") + 1)))
+    right = split.select(*[F.col(c).alias(f"{c}2") for c in split.columns])
+    rest = left.join(right, (F.col("token1") == F.col("token2")) & (F.col("scale1") == F.col("scale2")) & (F.col("n1") <= F.col("n2")) & (F.col("component1") != F.col("component2")) & _possible(F.col("n1"), F.col("pos1"), F.col("n2"), F.col("pos2"), percent))
     known = settle(rest.select(F.col("doc_id1").alias("a"), F.col("doc_id2").alias("b")), known)
-    discard(split, held, found)
-    return rows.join(known, F.col("doc_id") == F.col("node"), "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+    discard(split, held, found, near, reps)
+    out = rows.join(known, F.col("doc_id") == F.col("node"), "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+    return out.unionByName(lone)
+
+
+def _scale(percent: int) -> Column:
+    return F.floor(F.log(F.col("n")) / math.log(100 / percent))
 
 
 def _possible(n1: Column, pos1: Column, n2: Column, pos2: Column, percent: int) -> Column:
@@ -298,10 +390,10 @@ def _split_lists(lists: DataFrame, known: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
     """One document of each group of linked ones, the first by doc_id, with all columns; documents without a link stay.
 
-    Of rows that repeat a doc_id all stay or go together.
+    Of rows that repeat a doc_id all stay or go together; rows without one stay.
     """
-    gone = jaccard_components(docs, k, percent).where("component_id <> doc_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["__gone"], "left_anti")
+    gone = jaccard_components(docs, k, percent).where("component_id <> doc_id").select(F.col("doc_id").alias(free_name(docs, "gone"))).distinct()
+    return docs.join(gone, docs["doc_id"].cast("long") == gone[gone.columns[0]], "left_anti")
 
 
 #: DuckDB SQL of the query's result.

@@ -128,6 +128,44 @@ def test_jaccard_components(docs, cases, empty, monkeypatch, short_list):
         assert sorted(r.doc_id for r in ngram_join.keep_one(docs).collect()) == sorted(i for i in sets if want[i] == i)
 
 
+@pytest.mark.parametrize("short_list", [16, 2])
+def test_jaccard_components_of_families(spark, monkeypatch, short_list):
+    """Texts that stray from a few ancestors by more and more words, so that links, near misses and chains abound; repeated
+    doc_ids with several texts, rows without one, colliding words, clashing columns."""
+    monkeypatch.setattr(ngram_join, "SHORT_LIST", short_list)
+    rng, words, rows = np.random.default_rng(12), vocabulary(), []
+    for family in range(6):
+        text = list(rng.choice(words, int(rng.integers(40, 160))))
+        for _ in range(14):
+            own = list(text)
+            for at in rng.integers(0, len(own), int(rng.integers(0, 7))):
+                own[at] = str(rng.choice(words))
+            rows.append((len(rows), " ".join(own[: len(own) - int(rng.integers(0, 12))])))
+            text = own if rng.random() < 0.4 else text
+    alike = " ".join(rng.choice(words, 40))
+    rows += [(300, thue_morse(1024, "a", "b")), (301, thue_morse(1024, "b", "a")), (302, "v w x y " + thue_morse(2048, "a", "b")), (303, "v w x y " + thue_morse(2048, "b", "a"))]
+    rows += [(400, alike), (400, rows[0][1]), (401, alike + " z"), (401, "other words here"), (402, alike), (402, alike), (None, alike), (None, None), (403, rows[20][1])]
+    df = spark.createDataFrame([(i, t, 1, 2, "x") for i, t in rows], "doc_id long, text string, n int, node int, gone string").repartition(4)
+    sets = [(i, shingles(t)) for i, t in rows]
+    links = [(a, b) for a, x in sets for b, y in sets if a is not None and b is not None and a != b and x & y and 100 * len(x & y) >= 75 * len(x | y)]
+    want = classes({i for i, _ in sets if i is not None}, links)
+    out = ngram_join.jaccard_components(df).collect()
+    assert sorted(map(tuple, out), key=str) == sorted(((i, len(s), want.get(i)) for i, s in sets), key=str)
+    kept = ngram_join.keep_one(df)
+    assert kept.columns == df.columns and sorted((r.doc_id for r in kept.collect()), key=str) == sorted((i for i, _ in rows if i is None or want[i] == i), key=str)
+
+
+def test_blocks_of_a_list():
+    rng = np.random.default_rng(3)
+    for percent in (75, 90):
+        rows = sorted((int(t), int(n), int(p), d) for d, (t, n, p) in enumerate(zip(rng.integers(0, 9, 90), rng.integers(1, 12, 90), rng.integers(0, 4, 90))))
+        token, n, pos, doc = (np.array(x) for x in zip(*rows))
+        i, j = ngram_join._block_pairs(token, doc, n, pos, percent)
+        need = lambda a, b: -(-percent * (a + b) // (100 + percent))
+        want = {(a, b) for a in range(90) for b in range(a + 1, 90) if token[a] == token[b] and 100 * n[a] >= percent * n[b] and min(n[a] - pos[a], n[b] - pos[b]) >= need(n[a], n[b])}
+        assert sorted(zip(i.tolist(), j.tolist())) == sorted(want)
+
+
 def test_bitmaps_never_overstate_a_difference():
     rng = np.random.default_rng(9)
     for _ in range(300):
