@@ -72,13 +72,17 @@ def materialise(df: DataFrame, *partition_by: str) -> DataFrame:
     return out
 
 
+def discard_path(spark: SparkSession, path: str) -> None:
+    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(conf).delete(p, True)
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete scratch tables that no later result reads."""
     for t in tables:
         if path := getattr(t, "_scratch", None):
-            jvm, conf = t.sparkSession._jvm, t.sparkSession._jsparkSession.sessionState().newHadoopConf()
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(conf).delete(p, True)
+            discard_path(t.sparkSession, path)
 
 
 def partitions(spark: SparkSession) -> int:

@@ -161,8 +161,9 @@ def license_scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """Per document: doc_id, text_digest, license_id (null unless the whole text is a known licence), notices (sorted array
     of the licences whose text or notice is a whole line of the text), n_notices.
 
-    A null text counts as empty; empty or punctuation-only texts match nothing. Every line is judged, whatever its length.
-    Each row of a repeated doc_id is judged for itself. ``known`` (license_digest, license_id) is a list of licences; it is
+    A null text counts as empty; empty or punctuation-only texts match nothing. Every line is judged, whatever its length,
+    of texts of any length. Each row that repeats a doc_id, or has none, is judged for itself. An empty table gives an empty
+    result; extra columns are ignored, whatever their names. ``known`` (license_digest, license_id) is a list of licences; it is
     broadcast when Spark finds it small and is joined by hash otherwise.
     """
     spark = docs.sparkSession
@@ -180,7 +181,7 @@ def license_scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     return out.select("doc_id", "text_digest", "license_id", "notices", F.size("notices").cast("long").alias("n_notices"))
 
 
-def oracle(licenses: list[tuple[str, str]] | None = None, max_notice_length: int = 400) -> str:
+def oracle(licenses: list[tuple[str, str]] | None = None) -> str:
     """DuckDB SQL of the query's result."""
     quote = lambda x: "'" + x.replace("'", "''") + "'"
 
@@ -194,9 +195,8 @@ def oracle(licenses: list[tuple[str, str]] | None = None, max_notice_length: int
     return f"""
 WITH k AS (SELECT {sha("t")} AS h, min(i) AS i FROM (VALUES {values}) v(i, t) GROUP BY 1),
      d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
-     l AS (SELECT DISTINCT r, line FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM d)
-           WHERE length(line) <= {max_notice_length} AND regexp_matches(lower(line), 'licen[cs]')),
-     n AS (SELECT r, list_sort(list(DISTINCT k.i)) AS notices FROM l JOIN k ON {sha("line")} = k.h GROUP BY r)
+     l AS (SELECT r, {sha("line")} AS h FROM (SELECT DISTINCT r, unnest(string_split(text, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[\\p{{L}}\\p{{N}}]')),
+     n AS (SELECT r, list_sort(list(DISTINCT k.i)) AS notices FROM l JOIN k USING (h) GROUP BY r)
 SELECT doc_id, {sha("text")} AS text_digest, k.i AS license_id, coalesce(n.notices, []) AS notices, len(coalesce(n.notices, [])) AS n_notices
 FROM d LEFT JOIN k ON {sha("text")} = k.h LEFT JOIN n USING (r)
 """

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .common import SEPARATORS, materialise, texts
 
-PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, part int, place long"
+PIECES = "doc_id long, named boolean, start long, length long, ids_crc32 long, doc_tokens long, part int, place long"
 _IS = {name: np.isin(np.arange(256), list(own)) for name, own in (("mark", b".,;:!?"), ("letter", bytes(range(97, 123))), ("separator", SEPARATORS))}
 
 
@@ -144,9 +144,10 @@ def cut(docs: DataFrame, tokenizer_path: str, window: int, end: int) -> DataFram
                 crc = [zlib.crc32(raw[4 * a : 4 * (a + n)]) for a, n in zip(at.tolist(), length.tolist())]
                 place = seen[length] + pd.Series(length).groupby(length).cumcount().to_numpy()
                 seen += np.bincount(length, minlength=window + 1)
-                yield pd.DataFrame({"doc_id": own["doc_id"].to_numpy()[row], "start": start, "length": length, "ids_crc32": crc, "doc_tokens": sizes[row], "part": part, "place": place})
+                yield pd.DataFrame({"doc_id": own["doc_id"].to_numpy()[row], "named": own["named"].to_numpy()[row], "start": start, "length": length, "ids_crc32": crc, "doc_tokens": sizes[row], "part": part, "place": place})
 
-    return texts(docs).mapInPandas(run, PIECES)
+    named = F.col("doc_id").isNotNull()
+    return texts(docs).select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"), named.alias("named"), "text").mapInPandas(run, PIECES)
 
 
 def combinations(lengths: np.ndarray, window: int) -> np.ndarray:
@@ -241,7 +242,8 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = 2048, end: int = 1)
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     A null text counts as empty and is the one id ``end``. Longer documents are cut at multiples of the window. Rows that
-    repeat a doc_id are packed one by one; an empty table gives no pieces; extra columns are ignored.
+    repeat a doc_id, or have none, are packed one by one; an empty table gives no pieces; extra columns are ignored,
+    whatever their names.
     """
     spark = docs.sparkSession
     pieces = materialise(cut(docs, tokenizer_path, window, end))
@@ -249,7 +251,9 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = 2048, end: int = 1)
     by_part = materialise(by_part.withColumn("base", F.sum("n").over(Window.partitionBy("length").orderBy("part")) - F.col("n")))
     histogram = {r["length"]: r["n"] for r in by_part.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # a row for each length of the window at most
     table = spark.sparkContext.broadcast(slots(plan(histogram, window)))
-    ranked = pieces.join(by_part.select("part", "length", "base"), ["part", "length"]).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", (F.col("base") + F.col("place")).alias("rank"))
+    # There is a row for each task and length, so that table grows with the corpus: it is merged, not broadcast.
+    bases = by_part.select("part", "length", "base").hint("merge")
+    ranked = pieces.join(bases, ["part", "length"]).select("doc_id", "named", "start", "length", "ids_crc32", "doc_tokens", (F.col("base") + F.col("place")).alias("rank"))
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = table.value
@@ -260,4 +264,5 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = 2048, end: int = 1)
             at = np.searchsorted(key, batch["length"].to_numpy() * (1 << 44) + rank, "right") - 1
             yield batch.assign(sequence_id=sequence[at] + rank - first[at], offset=offset[at])
 
-    return ranked.mapInPandas(place, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+    out = ranked.mapInPandas(place, "doc_id long, named boolean, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+    return out.select(F.when(F.col("named"), F.col("doc_id")).alias("doc_id"), *out.columns[2:])

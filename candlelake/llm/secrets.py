@@ -29,23 +29,46 @@ WEAK = {
 KINDS = [*BASE, *WEAK]
 
 
-def matches(text: Column, pattern: str, least: int, group: int) -> Column:
-    """Array of (start, end) in code points of the leftmost, non-overlapping matches whose group is long enough."""
-    whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    # What lies between the matches gives the places: the k-th match follows k + 1 of those pieces and k matches.
+#: Matches that are placed at once. An array that is built up is copied at every step, so long ones are built in parts.
+PART = 256
+
+
+def _bound(value: Column, use) -> Column:
+    """use(value), where the value is worked out once although lambdas inside refer to it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _placed(steps: Column) -> Column:
+    """Array of (start, end, size), of steps (gap before a match, its length, size) one after the other."""
     state = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,size:int>>").alias("out"))
 
-    def placed(found: Column, sizes: Column) -> Column:
-        pieces = F.transform(F.split(text, pattern, -1), F.length)
-        steps = F.zip_with(F.slice(pieces, 1, F.size(found)), F.arrays_zip(F.transform(found, F.length).alias("length"), sizes.alias("size")),
-                           lambda gap, m: F.struct(gap.alias("gap"), m["length"].alias("length"), m["size"].alias("size")))
-        return F.aggregate(steps, state, lambda s, x: F.struct(
-            (s["at"] + x["gap"] + x["length"]).alias("at"),
-            F.when(x["size"] >= least, F.concat(s["out"], F.array(F.struct((s["at"] + x["gap"]).alias("start"), (s["at"] + x["gap"] + x["length"]).alias("end"), x["size"].alias("size"))))).otherwise(s["out"]).alias("out")), lambda s: s["out"])
+    def step(s: Column, x: Column) -> Column:
+        start = s["at"] + x["gap"]
+        end = start + x["length"]
+        return F.struct(end.alias("at"), F.concat(s["out"], F.array(F.struct(start.alias("start"), end.alias("end"), x["size"].alias("size")))).alias("out"))
 
+    def parts(own: Column) -> Column:
+        count = F.floor((F.size(own) - 1) / PART).cast("int")
+        return F.transform(F.sequence(F.lit(0), count), lambda k: F.aggregate(F.slice(own, k * PART + 1, F.lit(PART)), state, step))
+
+    def joined(found: Column) -> Column:
+        bases = F.aggregate(found, F.array(F.lit(0)), lambda s, x: F.concat(s, F.array(F.element_at(s, -1) + x["at"])))
+        return F.flatten(F.zip_with(found, F.slice(bases, 1, F.size(found)), lambda x, base: F.transform(x["out"], lambda o: F.struct((o["start"] + base).alias("start"), (o["end"] + base).alias("end"), o["size"].alias("size")))))
+
+    return _bound(_bound(steps, parts), joined)
+
+
+def matches(text: Column, pattern: str, least: int, group: int) -> Column:
+    """Array of (start, end, size) in code points of the leftmost, non-overlapping matches whose group is long enough."""
+    whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    # What lies between the matches gives the places: the k-th match follows k + 1 of those pieces and k matches.
+    gaps = F.transform(F.split(text, pattern, -1), F.length)
     sizes = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), F.length) if group else F.transform(whole, F.length)
+    found = F.zip_with(F.transform(whole, F.length), sizes, lambda length, size: F.struct(length.alias("length"), size.alias("size")))
+    # The piece after the last match has none; a match can't be empty.
+    steps = F.filter(F.zip_with(gaps, found, lambda gap, m: F.struct(gap.alias("gap"), m["length"].alias("length"), m["size"].alias("size"))), lambda x: x["length"].isNotNull())
     none = F.array().cast("array<struct<start:int,end:int,size:int>>")
-    return F.when(F.exists(sizes, lambda n: n >= least), placed(whole, sizes)).otherwise(none)
+    return F.when(F.exists(sizes, lambda n: n >= least), F.filter(_placed(steps), lambda m: m["size"] >= least)).otherwise(none)
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -95,7 +118,9 @@ def secret_scan(docs: DataFrame, scope: int = 400) -> DataFrame:
     """Per document: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_linked.
 
     Null counts as an empty text; an empty text has no spans, and the digest of no spans is that of the empty string. Rows
-    that repeat a doc_id are judged one by one. Of spans that start together, kinds come in the order of KINDS.
+    that repeat a doc_id, or have none, are judged one by one; texts of any length are read whole. Of spans that start
+    together, kinds come in the order of KINDS. An empty table gives an empty result; extra columns are ignored, whatever
+    their names.
     """
     found = materialise(scan(docs))
     linked = linked_parts(found, scope).groupBy("row").agg(F.collect_list(F.struct("start", "kind", "end")).alias("linked"))
