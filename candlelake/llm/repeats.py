@@ -29,7 +29,7 @@ _LOCAL = 32
 #: Most windows in a context, for texts that repeat one symbol over and over.
 MOST_WINDOWS = 128
 #: A gram with more distinct contexts is split by longer grams.
-CROWDED = 5_000
+CROWDED = 20_000
 #: Bytes of contexts in a shard, about; contexts of one gram stay together.
 SHARD_BYTES = 1_000_000
 #: Bytes of text whose contexts are compared with each other before they are shuffled.
@@ -313,24 +313,41 @@ def in_shards(fetched: DataFrame, decide: Callable[[Shard], Iterator[pd.DataFram
     return fetched.repartition(parts, "key").sortWithinPartitions("key").mapInPandas(run, schema)
 
 
+def _narrowed(fetched: DataFrame, read: Callable, gram: int, width: int) -> DataFrame:
+    """The contexts by longer grams within fetched ones: key, doc_id, start, end, text."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            symbols, doc_id, first = read(batch["text"].tolist()), batch["doc_id"].to_numpy(), batch["start"].to_numpy()
+            key, _, at, start, size = contexts(symbols, gram, width)
+            text = [symbols.part(i, a, a + n) for i, a, n in zip(at.tolist(), start.tolist(), size.tolist())]
+            yield pd.DataFrame({"key": key.view(np.int64), "doc_id": doc_id[at], "start": first[at] + start, "end": first[at] + start + size, "text": text})
+
+    return fetched.mapInPandas(run, "key long, doc_id long, start long, end long, text binary")
+
+
 def open_contexts(docs: DataFrame, read: Callable, gram: int, width: int) -> tuple[list[DataFrame], list[DataFrame]]:
-    """(spans that are settled, distinct contexts that share a gram, as fetched) of placed texts, level by level: grams that
-    are crowded go to the next one, where grams are longer."""
+    """(spans that are settled, distinct contexts that share a gram, as fetched) of placed texts. Contexts of crowded grams
+    go on to longer grams, level by level, from what has been fetched."""
     parts = partitions(docs.sparkSession)
     rows = docs.select("doc_id", F.col("place").alias("start"), F.col("text").cast("binary").alias("text"))
-    settled, opened = [], []
-    while True:
-        filed = _file(rows, read, gram, width, 8 * parts).repartition(parts, "bucket").sortWithinPartitions("bucket")
-        found = materialise(_settle(filed), "kind")
-        settled.append(found.where("kind = 0").select("doc_id", "start", "end"))
-        own = found.where("kind = 1")
-        crowded = materialise(own.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CROWDED).select("key")) if gram < width else None
-        if crowded is None or crowded.isEmpty():
-            opened.append(_fetch(docs, own, read))
-            return settled, opened
-        opened.append(_fetch(docs, own.join(crowded, "key", "left_anti"), read))
-        rows = materialise(_fetch(docs, own.join(crowded, "key", "left_semi"), read).select("doc_id", "start", "text"))
+    filed = _file(rows, read, gram, width, 8 * parts).repartition(parts, "bucket").sortWithinPartitions("bucket")
+    found = materialise(_settle(filed), "kind")
+    settled, opened, own = [found.where("kind = 0").select("doc_id", "start", "end")], [], found.where("kind = 1")
+    fetched, counted = _fetch(docs, own, read), own
+    while gram < width:
+        crowded = materialise(counted.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CROWDED).select("key"))
+        if crowded.isEmpty():
+            break
+        fetched = materialise(fetched)
+        opened.append(fetched.join(crowded, "key", "left_anti"))
         gram = width if 4 * gram >= 3 * width else (gram + width) // 2
+        narrowed = materialise(_narrowed(fetched.join(crowded, "key", "left_semi"), read, gram, width))
+        first = narrowed.groupBy("key", "text").agg(F.min("doc_id").alias("first"))
+        both = materialise(narrowed.join(first, ["key", "text"]))
+        settled.append(both.where("doc_id > first").select("doc_id", "start", "end"))
+        fetched = counted = both.where("doc_id = first").select("key", "doc_id", "start", "text")
+    return settled, [*opened, fetched]
 
 
 def repeated_spans(docs: DataFrame, read: Callable, decide: Callable, gram: int, width: int) -> DataFrame:
