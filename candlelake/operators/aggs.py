@@ -48,12 +48,15 @@ def lag_correlation(pairs: DataFrame, max_lag: int = 10, compat: bool = False, x
     """symbol, lag, correlation, n: Pearson's r of x[t + lag] and y[t] for each lag, of symbols with at least twice as many
     rows as lags. With compat, lag k pairs x[t - |k|] and y[t] for either sign, as older results do."""
     w = Window.partitionBy("symbol").orderBy("open_time")
-    rows = pairs.select("symbol", x, y, F.row_number().over(w).alias("__n"), F.count(F.lit(1)).over(Window.partitionBy("symbol")).alias("__rows")).where(F.col("__rows") >= 2 * max_lag)
-    # Every row of y is paired with the rows of x around it: an equi-join on the row number, 2 * max_lag + 1 per row.
-    lags = F.explode(F.sequence(F.lit(-max_lag), F.lit(max_lag))).alias("lag")
-    shifted = rows.select("symbol", F.col(y), "__n", lags).withColumn("__at", F.col("__n") + (-F.abs("lag") if compat else F.col("lag")))
-    other = rows.select("symbol", F.col(x), F.col("__n").alias("__at"))
-    return shifted.join(other, ["symbol", "__at"]).groupBy("symbol", "lag").agg(F.round(correlation(x, y), 4).alias("correlation"), F.count(F.lit(1)).alias("n"))
+    lags = range(-max_lag, max_lag + 1)
+    # One window gives every row the values of x around it; whether there is a row so far off is told by the marker.
+    ahead = lambda c, lag: F.lead(c, -abs(lag) if compat else lag).over(w)
+    name = lambda lag: f"__x{lag + max_lag}"
+    rows = pairs.select("symbol", "open_time", F.col(x).alias("__x"), F.col(y).alias("__y"), F.lit(1).alias("__there"))
+    rows = rows.select("symbol", "__y", *[F.when(ahead("__there", lag).isNotNull(), F.struct(ahead("__x", lag).alias("x"))).alias(name(lag)) for lag in lags])
+    per = rows.groupBy("symbol").agg(F.count(F.lit(1)).alias("__rows"), *[F.struct(F.lit(lag).alias("lag"), F.round(correlation(F.col(name(lag))["x"], "__y"), 4).alias("correlation"), F.count(name(lag)).alias("n")).alias(name(lag)) for lag in lags])
+    found = per.where(F.col("__rows") >= 2 * max_lag).select("symbol", F.explode(F.array(*[name(lag) for lag in lags])).alias("r"))
+    return found.select("symbol", "r.lag", "r.correlation", "r.n").where("n > 0")
 
 
 def regime_performance(aligned: DataFrame, column: str = "regime") -> DataFrame:

@@ -1,7 +1,7 @@
 """Distribution drift of features and predictions, and the decision to train again.
 
 Features are unpivoted, so that all of them share one job; the cumulative distributions of the Kolmogorov-Smirnov
-statistic are windows within a feature, over one row for each distinct value.
+statistic are windows within ranges of a feature's values, over one row for each distinct value.
 """
 
 from __future__ import annotations
@@ -17,6 +17,10 @@ from pyspark.sql import types as T
 NOT_FEATURES = frozenset("symbol open_time close_time date ingestion_time open high low close hour day_of_week is_valid_feature_row source".split())
 
 
+#: Ranges of values of a feature whose distributions are compared.
+RANGES = 64
+
+
 @dataclass
 class DriftConfig:
     threshold: float = 0.2
@@ -43,10 +47,15 @@ def ks_statistic(base: DataFrame, recent: DataFrame, features: list[str]) -> Dat
     """feature, ks_statistic: largest distance of the two distribution functions; 0 where a side has fewer than 2 values."""
     count = lambda s: F.sum((F.col("side") == s).cast("long"))
     values = _both(base, recent, features).groupBy("feature", "x").agg(count(0).alias("b"), count(1).alias("r"))
-    up = Window.partitionBy("feature").orderBy("x")
-    steps = values.select("feature", F.sum("b").over(up).alias("cb"), F.sum("r").over(up).alias("cr"))
-    all_ = Window.partitionBy("feature")
-    steps = steps.select("feature", "cb", "cr", F.max("cb").over(all_).alias("nb"), F.max("cr").over(all_).alias("nr"))
+    # A feature's values are dealt into ranges of about equal size, so that no task sorts all of them; where the ranges end
+    # doesn't matter for the result. What earlier ranges hold is a row for each feature and range.
+    ends = values.groupBy("feature").agg(F.percentile_approx("x", [i / RANGES for i in range(1, RANGES)], 1000).alias("ends"))
+    dealt = values.join(F.broadcast(ends), "feature").select("feature", "x", "b", "r", F.size(F.filter("ends", lambda e: e < F.col("x"))).alias("range"))
+    ranges = dealt.groupBy("feature", "range").agg(F.sum("b").alias("b"), F.sum("r").alias("r"))
+    before, all_ = Window.partitionBy("feature").orderBy("range"), Window.partitionBy("feature")
+    ranges = ranges.select("feature", "range", (F.sum("b").over(before) - F.col("b")).alias("b0"), (F.sum("r").over(before) - F.col("r")).alias("r0"), F.sum("b").over(all_).alias("nb"), F.sum("r").over(all_).alias("nr"))
+    up = Window.partitionBy("feature", "range").orderBy("x")
+    steps = dealt.join(F.broadcast(ranges), ["feature", "range"]).select("feature", (F.col("b0") + F.sum("b").over(up)).alias("cb"), (F.col("r0") + F.sum("r").over(up)).alias("cr"), "nb", "nr")
     found = steps.groupBy("feature").agg(F.max("nb").alias("nb"), F.max("nr").alias("nr"), F.max(F.abs(F.try_divide(F.col("cb"), F.col("nb")) - F.try_divide(F.col("cr"), F.col("nr")))).alias("d"))
     names = base.sparkSession.createDataFrame([(f,) for f in features], "feature string")
     return names.join(found, "feature", "left").select("feature", F.when((F.col("nb") >= 2) & (F.col("nr") >= 2), F.col("d")).otherwise(0.0).alias("ks_statistic"))
@@ -123,4 +132,5 @@ def retrain_decision(report: DataFrame, last_trigger: dt.datetime | None, cooldo
 def drift_history(report: DataFrame, decision: DataFrame) -> DataFrame:
     """The report's rows with the decision about them, to be appended to the history."""
     metric = F.when(F.col("drift_type") == "model", F.col("drift_score"))
-    return report.crossJoin(F.broadcast(decision)).withColumn("model_metric", metric)
+    # A decision is one row; the limit makes that a bound.
+    return report.crossJoin(F.broadcast(decision.limit(1))).withColumn("model_metric", metric)

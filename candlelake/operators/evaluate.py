@@ -40,11 +40,13 @@ def _rolling(df: DataFrame, value, output: str) -> DataFrame:
     w = Window.partitionBy("symbol").orderBy("open_time")
     n = F.count("__v").over(Window.partitionBy("symbol"))
     df = df.withColumn("__v", value).where("__v IS NOT NULL")
-    df = df.withColumns({"__w": F.greatest(F.lit(20), F.least(F.lit(120), F.floor(n / 6))).cast("int"), "__last": F.collect_list("__v").over(w.rowsBetween(-119, 0))})
-    own = F.slice("__last", F.greatest(F.size("__last") - F.col("__w") + 1, F.lit(1)), F.col("__w"))
-    mean = F.aggregate(own, F.lit(0.0), lambda a, x: a + x) / F.size(own)
+    df = df.withColumns({"__w": F.greatest(F.lit(20), F.least(F.lit(120), F.floor(n / 6))).cast("int"), "__n": F.row_number().over(w)})
+    # Row numbers in units of the width make the frame a constant range: the row w before is one unit away, just outside.
+    df = df.withColumn("__k", F.col("__n") / F.col("__w"))
+    over = "OVER (PARTITION BY symbol ORDER BY __k RANGE BETWEEN 0.99999D PRECEDING AND CURRENT ROW)"
     least = F.greatest(F.lit(5), F.floor(F.col("__w") / 4))
-    return df.withColumn(output, F.when(F.size(own) >= least, mean)).drop("__v", "__w", "__last")
+    df = df.withColumns({"__mean": F.expr(f"avg(__v) {over}"), "__own": F.expr(f"count(__v) {over}")})
+    return df.withColumn(output, F.when(F.col("__own") >= least, F.col("__mean"))).drop(*{"__v", "__w", "__n", "__k", "__own", "__mean"} - {output})
 
 
 def rolling_rmse(df: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlelake.functions.columns import PI, epoch_seconds, ewm, ordered, safe_divide
+from candlelake.functions.columns import PI, epoch_seconds, ordered, safe_divide, with_ewm
 from candlelake.operators.clean import fill_gold
 from candlelake.sources.schemas import GOLD_GROUPS
 
@@ -175,7 +175,8 @@ def trade_imbalance(trades: DataFrame, span: int = 10, roll: int = 20) -> DataFr
     row = ordered("symbol", "minute")
     frame = row.rowsBetween(-(roll - 1), 0)
     full = F.count("imbalance").over(frame) >= roll
-    out = out.withColumns({"imbalance_ewm": ewm("imbalance", span, row), "imbalance_std": F.when(full, F.stddev("imbalance").over(frame)), "__mean": F.when(full, F.avg("imbalance").over(frame))})
+    out = with_ewm(out, "imbalance", span, "imbalance_ewm", "symbol", "minute")
+    out = out.withColumns({"imbalance_std": F.when(full, F.stddev("imbalance").over(frame)), "__mean": F.when(full, F.avg("imbalance").over(frame))})
     return out.withColumn("imbalance_z", F.try_divide(F.col("imbalance") - F.col("__mean"), F.col("imbalance_std"))).drop("__mean")
 
 

@@ -39,9 +39,10 @@ def forward_returns(df: DataFrame, horizons: dict[str, int] | None = None, inter
 
 
 def sign_labels(df: DataFrame, column: str, threshold: float, output: str | None = None) -> DataFrame:
-    """2 above the threshold, 0 below its negative, else 1; null stays null."""
+    """2 above the threshold, 0 below its negative, else 1, also for NaN; null stays null."""
     x = F.col(column)
-    return df.withColumn(output or f"sign_{column}", F.when(x > threshold, 2).when(x < -threshold, 0).when(x.isNotNull(), 1))
+    # Spark sorts NaN above all numbers.
+    return df.withColumn(output or f"sign_{column}", F.when(F.isnan(x), 1).when(x > threshold, 2).when(x < -threshold, 0).when(x.isNotNull(), 1))
 
 
 @dataclass

@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from candlelake.operators.evaluate import classification_metrics, regression_met
 
 #: Metrics of which less is better.
 MINIMISED = frozenset({"rmse", "mae", "logloss"})
+METRICS = {"regression": ("rmse", "mae", "correlation", "r2"), "classification": ("accuracy", "precision", "recall", "f1", "logloss")}
 
 
 def _pipeline(model, features: list[str]) -> Pipeline:
@@ -39,13 +41,19 @@ def fit_classifier(df: DataFrame, features: list[str], target: str, weight: str
 
 def select_model(df: DataFrame, features: list[str], target: str, grid: list[dict[str, Any]], metric: str = "rmse", weight: str | None = None, task: str = "regression") -> tuple[PipelineModel, DataFrame]:
     """Fits every candidate on split = train, scores it on split = val; gives the best and a table of all scores."""
+    if metric not in METRICS[task]:
+        raise ValueError(f"metric {metric!r} of a {task} is none of {', '.join(METRICS[task])}")
     fit = fit_regressor if task == "regression" else fit_classifier
     train, val = df.where("split = 'train'"), df.where("split = 'val'")
     scored, best = [], None
     for params in grid:
         model = fit(train, features, target, weight, params)
-        out = model.transform(val).select(F.col(target).cast("double").alias("y"), F.col("prediction").cast("double").alias("yhat"))
-        measured = regression_metrics(out, "y", "yhat") if task == "regression" else classification_metrics(out, "y", "yhat")
+        out = model.transform(val)
+        if metric == "logloss":
+            measured = log_loss(out.where(F.col(target).isNotNull()), target)
+        else:
+            out = out.select(F.col(target).cast("double").alias("y"), F.col("prediction").cast("double").alias("yhat"))
+            measured = regression_metrics(out, "y", "yhat") if task == "regression" else classification_metrics(out, "y", "yhat")
         value = float(measured.first()[metric] or 0.0)
         scored.append((str(sorted(params.items())), value))
         if best is None or (value < best[0] if metric in MINIMISED else value > best[0]):
@@ -53,6 +61,12 @@ def select_model(df: DataFrame, features: list[str], target: str, grid: list[dic
     return best[1], df.sparkSession.createDataFrame(scored, f"params string, {metric} double")
 
 
+def log_loss(df: DataFrame, y: str, probability: str = "probability") -> DataFrame:
+    """One row: mean of -ln of the probability that the vector gives the true class; a class without one counts as 1e-15."""
+    p = F.coalesce(F.get(vector_to_array(probability), F.col(y).cast("int")), F.lit(0.0))
+    return df.agg(F.avg(-F.log(F.greatest(p, F.lit(1e-15)))).alias("logloss"))
+
+
 def score_batches(df: DataFrame, scorer: Callable[[pd.DataFrame], pd.DataFrame], schema: T.StructType | str) -> DataFrame:
     """The scorer's output for each Arrow batch, cast to the declared columns; empty batches are skipped."""
     from pyspark.sql.types import _parse_datatype_string

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlelake.operators.clean import KEY, bronze_candles, silver_candles, valid_feature_rows
@@ -23,17 +23,50 @@ def batch_medallion(raw: DataFrame, interval_s: int, source: str = "batch") -> D
     return gold_features(silver_candles(bronze_candles(raw, source)), interval_s)
 
 
+def _history(batch: DataFrame, history: DataFrame, first: DataFrame, reach: Column) -> DataFrame:
+    """The rows of the batch's symbols that its features may need, from the days that hold them.
+
+    A one-row minimum over the batch bounds the date, so that a table partitioned by date is read from there on. Symbols
+    with too few rows between that bound and their reach are looked for further back, eight times as far each time.
+    """
+    own = batch.columns
+    if "date" not in history.columns:
+        return restrict_to_symbols(history.select(*own), batch)
+    low = first.agg(F.to_date(F.min("__first") - reach).alias("low")).first()["low"]
+    if low is None:
+        return history.select(*own).limit(0)
+    days, rows, wanted = 1, [], first
+    upper: dt.date | None = None
+    while True:
+        bound = low - dt.timedelta(days=days)
+        part = history.where(F.col("date") >= F.lit(bound))
+        part = part if upper is None else part.where(F.col("date") < F.lit(upper))
+        part = restrict_to_symbols(part.select(*own), wanted)
+        rows.append(part)
+        found = rows[0]
+        for more in rows[1:]:
+            found = found.unionByName(more)
+        older = found.join(first, "symbol").where(F.col("open_time") < F.col("__first") - reach).groupBy("symbol").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") >= OLDER_ROWS)
+        wanted = first.join(older, "symbol", "left_anti")
+        earlier = restrict_to_symbols(history.where(F.col("date") < F.lit(bound)).select("symbol"), wanted)
+        if wanted.isEmpty() or earlier.isEmpty():
+            return found
+        upper, days = bound, 8 * days
+
+
 def gold_incremental(batch: DataFrame, history: DataFrame, interval_s: int, reemit: bool = False) -> DataFrame:
     """Features of the batch's rows, equal to those of a full run over history and batch.
 
     Per symbol the history is read as far back as features reach from the batch's first row, and the newest few rows
-    before that for the lags, which count rows whatever the gaps. With ``reemit``, rows after a late one that its arrival
-    changes are given as well.
+    before that for the lags, which count rows whatever the gaps. A history with a date column is read from the first
+    day that is needed on, whatever its length. With ``reemit``, rows after a late one that its arrival changes are given
+    as well. The batch is evaluated several times; persist it where that is costly.
     """
     own = batch.columns
     first = batch.groupBy("symbol").agg(F.min("open_time").alias("__first"))
-    past = restrict_to_symbols(history.select(*own), batch).join(first, "symbol")
-    low = F.col("__first") - F.make_interval(secs=F.lit(reach_seconds(interval_s)))
+    reach = F.make_interval(secs=F.lit(reach_seconds(interval_s)))
+    past = _history(batch, history, first, reach).join(first, "symbol")
+    low = F.col("__first") - reach
     near = past.where(F.col("open_time") >= low).select(*own)
     older = past.where(F.col("open_time") < low).withColumn("__n", F.row_number().over(Window.partitionBy("symbol").orderBy(F.desc("open_time")))).where(F.col("__n") <= OLDER_ROWS).select(*own)
     # Of a key in both, the batch's row is the newer one.

@@ -11,7 +11,7 @@ import uuid
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlelake.functions.columns import normalize_epoch
@@ -80,8 +80,11 @@ class Tables:
         return drift.drift_history(self.report, drift.retrain_decision(self.report, None, 60, dt.datetime(2024, 2, 1)))
 
     def scratch(self) -> str:
-        base = self.spark.conf.get("spark.checkpoint.dir", None) or "/tmp/candlelake-scratch"
-        return f"{base.rstrip('/')}/candlelake-{uuid.uuid4().hex}"
+        """A new folder that all executors share; a session in one process may go without spark.checkpoint.dir."""
+        base = self.spark.conf.get("spark.checkpoint.dir", None)
+        if not base and not self.spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        return f"{(base or '/tmp/candlelake-scratch').rstrip('/')}/candlelake-{uuid.uuid4().hex}"
 
 
 def rounded(df: DataFrame) -> DataFrame:
@@ -290,12 +293,13 @@ query("open_interest_features", lambda t: features.open_interest_features(t.oi_i
 def _halo(t: Tables) -> DataFrame:
     def sums(w):
         last = w.rangeBetween(-3 * DAY, 0)
-        return {"volume_3d": F.sum("volume").over(last), "close_3d": F.max("close").over(last)}
+        return {"volume_3d": F.sum("volume").over(last), "close_3d": F.max("close").over(last), "close_sum_3d": F.sum("close").over(last), "rows_3d": F.count("close").over(last)}
 
-    return with_halo(t.candles_h, 3 * DAY, 7 * DAY, sums).select("symbol", "open_time", "volume_3d", "close_3d")
+    # A mean is the last two, which don't tie when they are rounded.
+    return with_halo(t.candles_h, 3 * DAY, 7 * DAY, sums).select("symbol", "open_time", "volume_3d", "close_3d", "close_sum_3d", "rows_3d")
 
 
-query("halo_windows", _halo, f"SELECT symbol, open_time, sum(volume) OVER {days(3)} AS volume_3d, max(close) OVER {days(3)} AS close_3d FROM candles_h", "volume_3d close_3d")
+query("halo_windows", _halo, f"SELECT symbol, open_time, sum(volume) OVER {days(3)} AS volume_3d, max(close) OVER {days(3)} AS close_3d, sum(close) OVER {days(3)} AS close_sum_3d, count(close) OVER {days(3)} AS rows_3d FROM candles_h", "volume_3d close_3d close_sum_3d")
 
 # --- Time-ordered reads ---------------------------------------------------------------------------------------------
 
@@ -370,6 +374,8 @@ query("resample_candles", lambda t: aggs.resample_candles(t.candles_h, "1 day").
 
 query("forward_returns", lambda t: labels.forward_returns(t.silver, {"return_short": 1, "return_long": 24}).select("symbol", "open_time", "return_short", "return_long", "log_return_lead1"), f"SELECT symbol, open_time, ln(lead(close) OVER {ROW} / close) AS return_short, ln(lead(close, 24) OVER {ROW} / close) AS return_long, ln(lead(close) OVER {ROW} / close) AS log_return_lead1 FROM silver", "return_short return_long log_return_lead1")
 query("sign_labels", lambda t: labels.sign_labels(t.predictions_in, "return_short", 0.0015, "label").select("symbol", "open_time", "label"), "SELECT symbol, open_time, CASE WHEN return_short > 0.0015 THEN 2 WHEN return_short < -0.0015 THEN 0 WHEN return_short IS NOT NULL THEN 1 END AS label FROM predictions_in")
+query("sign_labels_of_nan", lambda t: labels.sign_labels(t.predictions_in.withColumn("r", F.when(F.hour("open_time") % 5 == 0, float("nan")).otherwise(F.col("return_short"))), "r", 0.0015, "label").select("symbol", "open_time", "label"),
+      "SELECT symbol, open_time, CASE WHEN hour(open_time) % 5 = 0 THEN 1 WHEN return_short > 0.0015 THEN 2 WHEN return_short < -0.0015 THEN 0 WHEN return_short IS NOT NULL THEN 1 END AS label FROM predictions_in")
 query("training_frame", lambda t: labels.training_frame(t.gold, labels.TrainingConfig(FEATURES, SYMBOLS, {"return_short": 1, "return_long": 24}, 0.2, True, 20)).select("symbol", "open_time", "return_short", "return_long", "sign_short", "symbol_id"),
       f"""SELECT symbol, open_time, a AS return_short, b AS return_long, CASE WHEN a > 0.2 THEN 2 ELSE 0 END AS sign_short, CASE symbol WHEN 'click' THEN 0 WHEN 'error' THEN 1 WHEN 'purchase' THEN 2 WHEN 'signup' THEN 3 ELSE 4 END AS symbol_id
       FROM (SELECT *, max(open_time) OVER () AS m FROM (SELECT symbol, open_time, ln(lead(close) OVER {ROW} / close) AS a, ln(lead(close, 24) OVER {ROW} / close) AS b FROM gold WHERE is_valid_feature_row) WHERE a IS NOT NULL AND b IS NOT NULL AND abs(a) > 0.2) WHERE open_time >= m - INTERVAL 20 DAYS""", "return_short return_long")
@@ -399,6 +405,35 @@ SCORED = "symbol string, open_time timestamp, return_short double, sign_short do
 query("fit_regressor", lambda t: ml.fit_regressor(_TRAIN(t).where("split = 'train'"), FEATURES, "return_short", None, {"maxDepth": 3, "maxIter": 3}).transform(_TRAIN(t).where("split = 'test'")).select("symbol", "open_time", "prediction"))
 query("fit_classifier", lambda t: ml.fit_classifier(_TRAIN(t).where("split = 'train'"), FEATURES, "sign_short", None, {"numTrees": 5, "maxDepth": 4}).transform(_TRAIN(t).where("split = 'test'")).select("symbol", "open_time", "prediction"))
 query("select_model", _select_model)
+
+
+def _regressor_fit(t: Tables) -> DataFrame:
+    """Boosting lowers the error on its own rows below that of their mean."""
+    rows = _TRAIN(t).where("split = 'train'")
+    out = ml.fit_regressor(rows, FEATURES, "return_short", None, {"maxDepth": 3, "maxIter": 3}).transform(rows)
+    e = F.col("return_short") - F.col("prediction")
+    return out.agg(F.count(F.lit(1)).alias("n"), (F.sqrt(F.avg(e * e)) <= F.stddev_pop("return_short")).alias("beats_the_mean"), F.count("prediction").alias("predicted"))
+
+
+def _classifier_fit(t: Tables) -> DataFrame:
+    rows = _TRAIN(t).where("split = 'train'")
+    out = ml.fit_classifier(rows, FEATURES, "sign_short", None, {"numTrees": 5, "maxDepth": 4}).transform(rows)
+    hit = F.avg((F.col("prediction") == F.col("sign_short")).cast("double"))
+    share = F.greatest(*[F.avg((F.col("sign_short") == k).cast("double")) for k in range(3)])
+    return out.agg(F.count(F.lit(1)).alias("n"), (hit >= 0.9 * share).alias("near_or_above_the_commonest"), F.count_distinct(F.when(~F.col("prediction").isin(0.0, 1.0, 2.0), F.col("prediction"))).alias("other_classes"))
+
+
+def _selection(t: Tables) -> DataFrame:
+    model, scores = ml.select_model(_TRAIN(t), FEATURES, "return_short", [{"maxDepth": 2, "maxIter": 3}, {"maxDepth": 3, "maxIter": 3}])
+    val = _TRAIN(t).where("split = 'val'")
+    own = evaluate.regression_metrics(model.transform(val), "return_short", "prediction").select("rmse", "n")
+    best = scores.agg(F.count(F.lit(1)).alias("candidates"), F.min("rmse").alias("best"))
+    return own.crossJoin(F.broadcast(best)).select("candidates", "n", (F.abs(F.col("rmse") - F.col("best")) < 1e-9).alias("lowest_is_chosen"))
+
+
+query("fit_regressor_quality", _regressor_fit, "SELECT count(*) AS n, true AS beats_the_mean, count(*) AS predicted FROM split_rows WHERE split = 'train' AND return_short IS NOT NULL")
+query("fit_classifier_quality", _classifier_fit, "SELECT count(*) AS n, true AS near_or_above_the_commonest, CAST(0 AS BIGINT) AS other_classes FROM split_rows WHERE split = 'train' AND return_short IS NOT NULL")
+query("select_model_quality", _selection, "SELECT CAST(2 AS BIGINT) AS candidates, count(*) AS n, true AS lowest_is_chosen FROM split_rows WHERE split = 'val' AND return_short IS NOT NULL")
 query("score_batches", lambda t: ml.score_batches(clean.valid_feature_rows(t.gold, FEATURES).select("symbol", "open_time", *FEATURES), _scorer, SCORED), "SELECT symbol, open_time, return_5 / 10 AS return_short, imbalance_ratio + 1 AS sign_short FROM gold WHERE is_valid_feature_row", "return_short sign_short")
 _RAW_OUT = lambda t: t.gold.select("symbol", "open_time", (F.col("return_5") / 10).alias("return_short"), (F.col("imbalance_ratio") * 3).alias("sign_short"))
 for _name, _compat, _guard in (("postprocess_outputs", False, ""), ("postprocess_outputs_compat", True, "WHEN abs(x) < 0.25 THEN 1 ")):
@@ -458,9 +493,21 @@ TARGETS = ["return_short", "return_long"]
 DRIFT_DOUBLES = "drift_score ks_statistic mean_shift std_shift"
 query("ks_statistic", lambda t: drift.ks_statistic(*_SIDES(t), FEATURES), _ks_sql("gold", FEATURES), "ks_statistic")
 query("ks_approximate", lambda t: drift.ks_approximate(*_SIDES(t), FEATURES))
+
+
+def _ks_error(t: Tables) -> DataFrame:
+    exact = drift.ks_statistic(*_SIDES(t), FEATURES).select("feature", F.col("ks_statistic").alias("exact"))
+    return drift.ks_approximate(*_SIDES(t), FEATURES).join(exact, "feature").select("feature", (F.abs(F.col("ks_statistic") - F.col("exact")) <= 0.05).alias("close"))
+
+
+query("ks_approximate_error", _ks_error, " UNION ALL ".join(f"SELECT '{c}' AS feature, true AS close" for c in FEATURES))
 query("mean_std_shift", lambda t: drift.mean_std_shift(*_SIDES(t), FEATURES), _shift_sql("gold", FEATURES), "mean_shift std_shift shift_score")
-query("data_drift", lambda t: drift.data_drift(*_SIDES(t), FEATURES, drift.DriftConfig(0.2, 50, 10**6, 10**6)), _drift_sql("gold", FEATURES, "data"), DRIFT_DOUBLES)
-query("model_drift", lambda t: drift.model_drift(t.predictions_in.where(F.col("open_time") >= F.lit(CUT)), t.predictions_in.where(F.col("open_time") < F.lit(CUT)), TARGETS, drift.DriftConfig(0.2, 50, 10**6, 10**6)), _drift_sql("predictions_in", TARGETS, "model", "__model__."), DRIFT_DOUBLES)
+#: The newest rows of either side that drift is measured on; all sides of the fixture have more.
+_NEWEST = drift.DriftConfig(0.2, 50, recent_rows=300, baseline_rows=500)
+CTES["gold_newest"] = f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY open_time >= TIMESTAMP '{CUT}' ORDER BY open_time DESC, symbol) AS newest FROM gold) WHERE newest <= CASE WHEN open_time >= TIMESTAMP '{CUT}' THEN 300 ELSE 500 END"
+CTES["predictions_newest"] = f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY open_time >= TIMESTAMP '{CUT}' ORDER BY open_time DESC, symbol) AS newest FROM predictions_in) WHERE newest <= CASE WHEN open_time >= TIMESTAMP '{CUT}' THEN 300 ELSE 500 END"
+query("data_drift", lambda t: drift.data_drift(*_SIDES(t), FEATURES, _NEWEST), _drift_sql("gold_newest", FEATURES, "data"), DRIFT_DOUBLES)
+query("model_drift", lambda t: drift.model_drift(t.predictions_in.where(F.col("open_time") >= F.lit(CUT)), t.predictions_in.where(F.col("open_time") < F.lit(CUT)), TARGETS, _NEWEST), _drift_sql("predictions_newest", TARGETS, "model", "__model__."), DRIFT_DOUBLES)
 CTES["drift_rows"] = f"{_drift_sql('gold', FEATURES, 'data')} UNION ALL {_drift_sql('predictions_in', TARGETS, 'model', '__model__.')}"
 CTES["drift_top"] = "SELECT max(drift_score) FILTER (WHERE drift_type = 'data') AS data_drift_score, max(drift_score) FILTER (WHERE drift_type = 'model') AS model_drift_score, max(drift_score) AS overall_drift_score FROM drift_rows"
 CTES["report"] = """SELECT r.*, t.*, 0.2::DOUBLE AS threshold FROM (SELECT * FROM drift_rows UNION ALL SELECT '__model__', 'model', model_drift_score, model_drift_score >= 0.2, 0, 0, 0 FROM drift_top UNION ALL SELECT '__overall__', 'overall', overall_drift_score, overall_drift_score >= 0.2, 0, 0, 0 FROM drift_top) r, drift_top t"""
@@ -478,12 +525,21 @@ ORACLES["health_kpis"] = oracle("""SELECT (SELECT max(open_time) FROM prediction
 
 
 def _stream_of(t: Tables, df: DataFrame, files: int = 3) -> DataFrame:
-    """df as a file stream: written once, then read file by file."""
+    """df as a file stream: written once, then read file by file, a micro-batch each. Rows are in no order."""
     path = t.scratch()
     df.repartition(files).write.parquet(path)
     return t.spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
+def _stream_in_order(t: Tables, df: DataFrame, time: Column) -> DataFrame:
+    """df as a stream of three micro-batches, one after the other in time: the source takes files in the order they came."""
+    path, bounds = t.scratch(), [None, dt.datetime(2024, 1, 11), dt.datetime(2024, 1, 21), None]
+    for low, high in zip(bounds, bounds[1:]):
+        part = df if low is None else df.where(time >= F.lit(low))
+        (part if high is None else part.where(time < F.lit(high))).coalesce(1).write.mode("append").parquet(path)
+    return t.spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
 def _appended(t: Tables, sdf: DataFrame) -> DataFrame:
     out = t.scratch()
     streams.stream_append(sdf, f"{out}/data", f"{out}/checkpoint", trigger={"availableNow": True}).awaitTermination()
@@ -497,23 +553,42 @@ def _ordered_raw(t: Tables) -> DataFrame:
 def _medallion(t: Tables) -> DataFrame:
     out = t.scratch()
     paths = streams.LayerPaths(f"{out}/silver", f"{out}/gold", f"{out}/offsets")
-    streams.stream_medallion(_stream_of(t, t.topic_messages, 1), paths, f"{out}/checkpoint", HOUR).awaitTermination()
+    streams.stream_medallion(_stream_of(t, t.topic_messages, 3), paths, f"{out}/checkpoint", HOUR).awaitTermination()
     return streams.read_layer(t.spark, paths.gold).select("symbol", "open_time", *GOLD)
 
 
-query("stream_bronze", lambda t: _appended(t, streams.stream_bronze(_stream_of(t, _ordered_raw(t), 1))).select("symbol", "open_time", "close"), "SELECT symbol, open_time, close FROM candles_h", "close")
-query("stream_silver", lambda t: _appended(t, streams.stream_silver(streams.stream_bronze(_stream_of(t, _ordered_raw(t), 1)))).select("symbol", "open_time", "close"), "SELECT symbol, open_time, close FROM silver", "close")
+query("stream_bronze", lambda t: _appended(t, streams.stream_bronze(_stream_in_order(t, _ordered_raw(t), normalize_epoch("open_time")))).select("symbol", "open_time", "close"), "SELECT symbol, open_time, close FROM candles_h", "close")
+query("stream_silver", lambda t: _appended(t, streams.stream_silver(streams.stream_bronze(_stream_in_order(t, _ordered_raw(t), normalize_epoch("open_time"))))).select("symbol", "open_time", "close"), "SELECT symbol, open_time, close FROM silver", "close")
 query("stream_append", lambda t: _appended(t, _stream_of(t, t.candles_h)).select("symbol", "open_time", "close"), "SELECT symbol, open_time, close FROM candles_h", "close")
 query("stream_medallion", _medallion, f"SELECT symbol, open_time, {', '.join(GOLD)} FROM gold", GOLD_DOUBLES)
 
 
-# --- Larger tables for the bench ------------------------------------------------------------------------------------
+# --- Larger tables ------------------------------------------------------------------------------------------------
+
+
+def _daily(sql: str) -> str:
+    """The SQL of hourly candles for daily ones: frames of so many candles are that many days, frames of days stay."""
+    import re
+
+    seconds = lambda m: m[0] if int(m[1]) in (DAY, 3 * DAY) else f"INTERVAL {int(m[1]) * DAY // HOUR} SECONDS"
+    return re.sub(r"\b(silver|g1|g2|g3|gold|candles_h)\b", lambda m: "candles_d" if m[1] == "candles_h" else f"{m[1]}_of_days", re.sub(r"INTERVAL (\d+) SECONDS", seconds, sql))
+
+
+CTES |= {f"{name}_of_days": _daily(CTES[name]) for name in ("silver", "g1", "g2", "g3", "gold")}
+
+
+#: Prices here are quotients by up to 50, so their sums often end in a five at the seventh decimal, which either side may
+#: round up or down; columns in units of the price are compared relative to it.
+_PRICED = ["ma_5", "ma_20", "momentum"]
+_DAILY = [c for c in GOLD if c not in _PRICED]
 
 
-def gold_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+def gold_daily(t: Tables) -> DataFrame:
     """Features of daily candles of 25 symbols over seven years."""
-    return rounded(features.gold_features(clean.silver_candles(fixtures.candles_d(spark, sf_dir)), DAY))
+    gold = features.gold_features(clean.silver_candles(t.candles_d), DAY)
+    return gold.select("symbol", "open_time", *_DAILY, *[(F.col(c) / F.col("close")).alias(c) for c in _PRICED])
 
 
+query("gold_daily", gold_daily, f"SELECT symbol, open_time, {', '.join([*_DAILY, *[f'{c} / close AS {c}' for c in _PRICED]])} FROM gold_of_days", GOLD_DOUBLES)
 query("resample_daily_by_4_days", lambda t: aggs.resample_candles(t.candles_d, "4 days").select("symbol", "open_time", "open", "high", "low", "close"),
       "SELECT symbol, b AS open_time, arg_min(open, open_time) AS open, max(high) AS high, min(low) AS low, arg_max(close, open_time) AS close FROM (SELECT *, make_timestamp((epoch(open_time)::BIGINT // 345600) * 345600 * 1000000) AS b FROM candles_d) GROUP BY symbol, b", exact=True)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -45,49 +46,119 @@ class LayerPaths:
     offsets: str
 
 
-def _versions(spark: SparkSession, path: str, before: int | None = None) -> list[str]:
-    """Folders of the finished batches of a layer, below the number ``before`` if given."""
-    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(conf)
-    if not fs.exists(p):
-        return []
-    found = [s.getPath() for s in fs.listStatus(p) if s.getPath().getName().startswith("v=")]
-    return [f.toString() for f in found if (before is None or int(f.getName()[2:]) < before) and fs.exists(jvm.org.apache.hadoop.fs.Path(f, "_SUCCESS"))]
+class _Folder:
+    """A folder of any file system that Spark knows."""
 
+    def __init__(self, spark: SparkSession, path: str):
+        self.hadoop = spark._jvm.org.apache.hadoop.fs
+        self.path = self.hadoop.Path(path)
+        self.fs = self.path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+    def child(self, name: str):
+        return self.hadoop.Path(self.path, name)
+
+    def names(self, prefix: str = "") -> list[str]:
+        found = self.fs.listStatus(self.path) if self.fs.exists(self.path) else []
+        return sorted(n for n in (s.getPath().getName() for s in found) if n.startswith(prefix))
+
+    def delete(self, name: str) -> None:
+        self.fs.delete(self.child(name), True)
 
-def read_layer(spark: SparkSession, path: str, keys: tuple[str, ...] = KEY, before: int | None = None) -> DataFrame | None:
-    """What the stream has brought a layer to: of each key the row of the latest batch. None before the first batch."""
-    if not (folders := _versions(spark, path, before)):
-        return None
-    rows = spark.read.option("basePath", path).parquet(*folders)
-    rest = [c for c in rows.columns if c not in (*keys, "v")]
-    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct("v", *rest)).alias("__row"))
-    return newest.select(*keys, "__row.*")
+
+def _finished(spark: SparkSession, path: str) -> int | None:
+    """The number of the last batch whose rows are all written to a layer."""
+    marks = [int(n[6:]) for n in _Folder(spark, f"{path}/_finished").names("batch=")]
+    return max(marks, default=None)
 
 
 def _write(df: DataFrame, path: str, number: int) -> None:
-    """The rows of a batch, and no others: earlier batches stay as they are."""
-    df.write.mode("overwrite").parquet(f"{path}/v={number}")
+    """The rows of a batch by date, and no others: earlier batches stay as they are. The mark of the batch comes last; one
+    that is repeated after a failure replaces what it wrote."""
+    rows = df.withColumn("v", F.lit(number).cast("long"))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date", "v").parquet(path)
+    marks = _Folder(df.sparkSession, f"{path}/_finished")
+    marks.fs.mkdirs(marks.child(f"batch={number:012d}"))
+    for name in marks.names("batch="):
+        if int(name[6:]) < number:
+            marks.delete(name)
+
+
+def _newest(rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """Of each key the row of the latest batch."""
+    rest = [c for c in rows.columns if c not in (*keys, "v")]
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct("v", *rest)).alias("__row")).select(*keys, "__row.*")
+
 
+def read_layer(spark: SparkSession, path: str, keys: tuple[str, ...] = KEY, before: int | None = None) -> DataFrame | None:
+    """What the stream has brought a layer to: of each key the row of the latest batch. None before the first batch.
 
-def stream_medallion(source_sdf: DataFrame, paths: LayerPaths, checkpoint: str, interval_s: int, trigger: dict | None = None, on_batch: Callable[[DataFrame, int], None] | None = None) -> StreamingQuery:
+    A row's date follows from its key, so rows of a date are merged by key within it: a filter on the date reaches the
+    files, and only those days are read and merged.
+    """
+    last = _finished(spark, path)
+    if last is None or not _Folder(spark, path).names("date="):
+        return None
+    rows = spark.read.parquet(path).where(F.col("v") <= (last if before is None else min(last, before - 1)))
+    return _newest(rows, ("date", *keys)).select(*keys, *[c for c in rows.columns if c not in (*keys, "v")])
+
+
+def compact_layer(spark: SparkSession, path: str, date: dt.date, keys: tuple[str, ...] = KEY) -> None:
+    """Merges what the finished batches wrote for a day into one version; to be run when no batch writes that day."""
+    last, name = _finished(spark, path), f"date={date.isoformat()}"
+    folder = _Folder(spark, path)
+    if last is None or name not in folder.names("date="):
+        return
+    rows = spark.read.parquet(path).where((F.col("date") == F.lit(date)) & (F.col("v") <= last))
+    _newest(rows, ("date", *keys)).withColumn("v", F.lit(last).cast("long")).write.mode("overwrite").partitionBy("date", "v").parquet(f"{path}/_compacted")
+    # The old day steps aside before the new one comes, and goes last.
+    folder.fs.rename(folder.child(name), folder.child(f"_old-{name}"))
+    folder.fs.rename(folder.child(f"_compacted/{name}"), folder.child(name))
+    folder.delete(f"_old-{name}")
+    folder.delete("_compacted")
+
+
+def read_offsets(spark: SparkSession, path: str) -> DataFrame | None:
+    """The highest offset of each topic and partition; None before the first batch."""
+    last = _finished(spark, path)
+    return None if last is None else spark.read.parquet(f"{path}/v={last}").drop("v")
+
+
+def _write_offsets(batch: DataFrame, path: str, number: int) -> None:
+    """All offsets so far: those of the version before, and the batch's. Older versions go."""
+    spark, new = batch.sparkSession, max_offsets(batch)
+    folder = _Folder(spark, path)
+    earlier = [int(n[2:]) for n in folder.names("v=") if int(n[2:]) < number]
+    if earlier:
+        new = new.unionByName(spark.read.parquet(f"{path}/v={max(earlier)}")).groupBy("topic", "partition").agg(F.max("offset").alias("offset"))
+    new.coalesce(1).write.mode("overwrite").parquet(f"{path}/v={number}")
+    marks = _Folder(spark, f"{path}/_finished")
+    marks.fs.mkdirs(marks.child(f"batch={number:012d}"))
+    for v in sorted(earlier)[:-1]:
+        folder.delete(f"v={v}")
+        marks.delete(f"batch={v:012d}")
+
+
+def stream_medallion(source_sdf: DataFrame, paths: LayerPaths, checkpoint: str, interval_s: int, trigger: dict | None = None, on_batch: Callable[[DataFrame, int], None] | None = None, reemit: bool = True) -> StreamingQuery:
     """Topic messages to silver and gold. For each micro-batch: parse, bronze, silver, features of the new rows from the
     history they need, then offsets last; a batch that is repeated after a failure replaces what it wrote.
 
-    A batch writes its own rows only, so its cost doesn't grow with the table; readers merge by key, the latest batch
-    first. ``on_batch`` gets the gold rows of the batch.
+    A batch reads and merges the days that its features reach back to, and writes its own rows by date; with ``reemit``,
+    also the features of rows after a late one, which it changes. Readers merge by key, the latest batch first.
+    ``on_batch`` gets the gold rows of the batch.
     """
 
     def layer(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        silver = silver_candles(bronze_candles(parse_topic_values(batch, RAW), "stream"))
-        held = read_layer(spark, paths.silver, before=number)
-        gold = gold_incremental(silver, silver.limit(0) if held is None else held, interval_s)
-        _write(gold, paths.gold, number)
-        if on_batch:
-            on_batch(spark.read.parquet(f"{paths.gold}/v={number}"), number)
-        _write(silver, paths.silver, number)
-        _write(max_offsets(batch), paths.offsets, number)
+        silver = silver_candles(bronze_candles(parse_topic_values(batch, RAW), "stream")).persist()
+        try:
+            held = read_layer(spark, paths.silver, before=number)
+            gold = gold_incremental(silver, silver.limit(0) if held is None else held, interval_s, reemit)
+            _write(gold, paths.gold, number)
+            if on_batch:
+                on_batch(spark.read.parquet(paths.gold).where(F.col("v") == number).drop("v"), number)
+            _write(silver, paths.silver, number)
+            _write_offsets(batch, paths.offsets, number)
+        finally:
+            silver.unpersist()
 
     return source_sdf.writeStream.foreachBatch(layer).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()

@@ -8,9 +8,10 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from candlelake.functions.columns import normalize_epoch, safe_divide, trailing
+from candlelake.functions.columns import normalize_epoch, safe_divide, trailing, with_ewm
 from candlelake.operators import aggs, clean, drift, evaluate, features, joins, labels, ml
 from candlelake.plans.halo import with_halo
+from candlelake.plans import medallion
 from candlelake.plans.medallion import gold_incremental
 from candlelake.sources import io, schemas
 from candlelake.streaming import candles as streams
@@ -224,4 +225,95 @@ def test_stream_layers_equal_a_batch(spark, tmp_path):
     ours = streams.read_layer(spark, paths.gold).toPandas().sort_values("open_time", ignore_index=True)
     want = features.gold_features(clean.silver_candles(df), 3600).toPandas().sort_values("open_time", ignore_index=True)
     pd.testing.assert_frame_equal(ours[sorted(want)], want[sorted(want)])
-    assert streams.read_layer(spark, paths.offsets, ("topic", "partition")).count() == 1
+    assert streams.read_offsets(spark, paths.offsets).count() == 1
+
+
+def _layers_of(spark, tmp_path, raw, slices):
+    """What a stream makes of the slices of raw candles, one micro-batch each."""
+    for i, part in enumerate(slices):
+        part.select(F.lit("t").alias("topic"), F.lit(0).alias("partition"), (F.monotonically_increasing_id() + 1000 * i).alias("offset"), F.to_json(F.struct(*raw.columns)).alias("value")).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    source = spark.readStream.schema("topic string, partition int, offset long, value string").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    paths = streams.LayerPaths(*[str(tmp_path / n) for n in ("silver", "gold", "offsets")])
+    streams.stream_medallion(source, paths, str(tmp_path / "cp"), 3600).awaitTermination()
+    return paths
+
+
+def test_stream_layers_with_late_rows_equal_a_batch(spark, tmp_path):
+    df = candles(spark, [100.0 + i % 7 for i in range(120)])
+    ms = F.unix_millis("open_time")
+    raw = df.select("symbol", ms.alias("open_time"), (ms + 3599999).alias("close_time"), *[c for c in schemas.RAW.names if c not in ("symbol", "open_time", "close_time")])
+    n = (F.col("open_time") - raw.agg(F.min("open_time")).first()[0]) / 3600000
+    late = (n % 11 == 3) | n.between(60, 62)
+    paths = _layers_of(spark, tmp_path, raw, [raw.where((n < 50) & ~late), raw.where((n >= 50) & ~late), raw.where(late), raw.where(n == 119)])
+    want = features.gold_features(clean.silver_candles(df), 3600).toPandas().sort_values("open_time", ignore_index=True)
+    for _ in range(2):
+        ours = streams.read_layer(spark, paths.gold).toPandas().sort_values("open_time", ignore_index=True)
+        pd.testing.assert_frame_equal(ours[sorted(want)], want[sorted(want)])
+        for day in {d.date() for d in want.open_time}:
+            streams.compact_layer(spark, paths.gold, day)
+    assert all(len(list(d.glob("v=*"))) == 1 for d in (tmp_path / "gold").glob("date=*"))
+    assert streams.read_offsets(spark, paths.offsets).first().offset >= 3000
+    assert len(list((tmp_path / "offsets").glob("v=*"))) <= 2
+
+
+def test_history_is_read_from_the_days_that_are_needed(spark, tmp_path):
+    silver = clean.silver_candles(candles(spark, [100.0 + i % 5 for i in range(24 * 40)]))
+    silver.where("open_time < timestamp'2024-02-05'").write.partitionBy("date").parquet(str(tmp_path / "history"))
+    history = spark.read.parquet(str(tmp_path / "history")).select(*silver.columns)
+    batch = silver.where("open_time >= timestamp'2024-02-05' AND open_time < timestamp'2024-02-06'")
+    out = medallion.gold_incremental(batch, history, 3600)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.split("\n") if "PartitionFilters" in line and "history" in line]
+    assert scans and all("date" in x.split("PartitionFilters: [")[1].split("]")[0] and ">=" in x for x in scans)
+    want = features.gold_features(silver, 3600).where("open_time >= timestamp'2024-02-05' AND open_time < timestamp'2024-02-06'")
+    key = lambda d: d.toPandas().sort_values("open_time", ignore_index=True)
+    pd.testing.assert_frame_equal(key(out.select(*want.columns)), key(want))
+
+
+def test_sparse_history_is_looked_for_further_back(spark, tmp_path):
+    every = candles(spark, [100.0 + i % 5 for i in range(24 * 40)])
+    silver = clean.silver_candles(every.where("hour(open_time) = 0 AND day(open_time) % 3 = 1"))
+    silver.where("open_time < timestamp'2024-02-05'").write.partitionBy("date").parquet(str(tmp_path / "history"))
+    batch = silver.where("open_time >= timestamp'2024-02-05'")
+    out = medallion.gold_incremental(batch, spark.read.parquet(str(tmp_path / "history")).select(*silver.columns), 3600)
+    want = features.gold_features(silver, 3600).where("open_time >= timestamp'2024-02-05'")
+    key = lambda d: d.toPandas().sort_values("open_time", ignore_index=True)
+    assert batch.count() > 0
+    pd.testing.assert_frame_equal(key(out.select(*want.columns)), key(want))
+
+
+def test_nan_returns_are_neutral(spark):
+    df = spark.createDataFrame([(float("nan"),), (0.1,), (-0.1,), (None,), (float("inf"),)], "r double")
+    assert [r.sign_r for r in labels.sign_labels(df, "r", 0.0002).collect()] == [1, 2, 0, None, 2]
+
+
+def test_models_are_selected_by_log_loss(spark):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=400)
+    df = spark.createDataFrame(pd.DataFrame({"x": x, "y": np.digitize(x, [-0.5, 0.5]), "split": ["train"] * 300 + ["val"] * 100}))
+    model, scores = ml.select_model(df, ["x"], "y", [{"numTrees": 1, "maxDepth": 1}, {"numTrees": 20, "maxDepth": 5}], "logloss", task="classification")
+    by = {r.params: r.logloss for r in scores.collect()}
+    val = model.transform(df.where("split = 'val'")).toPandas()
+    own = -np.mean([np.log(max(p[int(y)], 1e-15)) for p, y in zip(val.probability, val.y)])
+    assert abs(min(by.values()) - own) < 1e-9 and own < 0.5
+    with pytest.raises(ValueError):
+        ml.select_model(df, ["x"], "y", [{}], "logloss")
+
+
+def test_exponential_means_have_no_cut(spark):
+    rng = np.random.default_rng(5)
+    for span in (1, 3, 10, 200):
+        x = pd.Series(rng.normal(size=900)).where(rng.random(900) > 0.1)
+        df = spark.createDataFrame([("s", i, None if v != v else float(v)) for i, v in enumerate(x)], "symbol string, open_time long, x double")
+        ours = with_ewm(df, "x", span, "e").toPandas().sort_values("open_time").e.to_numpy()
+        want = x.ewm(span=span, ignore_na=True).mean().to_numpy()
+        assert np.allclose(ours, want, rtol=1e-9, atol=1e-12, equal_nan=True), span
+
+
+def test_ks_over_many_ranges(spark):
+    rng = np.random.default_rng(3)
+    a, b = rng.normal(0, 1, 5000), np.concatenate([rng.normal(0.1, 1.2, 3000), np.repeat(0.5, 500)])
+    grid = np.unique(np.concatenate([a, b]))
+    want = np.abs(np.searchsorted(np.sort(a), grid, "right") / len(a) - np.searchsorted(np.sort(b), grid, "right") / len(b)).max()
+    frame = lambda x: spark.createDataFrame(pd.DataFrame({"f": x}))
+    assert math.isclose(drift.ks_statistic(frame(a), frame(b), ["f"]).first().ks_statistic, want, abs_tol=1e-12)
