@@ -63,6 +63,7 @@ QUERIES = {f.__name__: f for f in _ALL}
 
 ORACLE_SQL = {
     "op2_ngram_jaccard_join": ngram_join.ORACLE,
+    "op4_suffix_array_dedup": suffix_dedup.ORACLE,
     "op7_decontamination": decontaminate.ORACLE,
     "op8_substring_dedup": substring_dedup.ORACLE,
     "op9_license_scan": licenses.oracle(),

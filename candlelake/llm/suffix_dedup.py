@@ -159,3 +159,18 @@ def suffix_dedup(docs: DataFrame, width: int = 50, gram: int = 20) -> DataFrame:
     Extra columns are ignored, whatever their names; an empty table gives an empty result.
     """
     return apply_spans(docs, repeats.Bytes, decide, gram, width, _cut, "n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+
+
+#: DuckDB SQL of the query's result; bytes are pairs of hexadecimal digits.
+ORACLE = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+     w AS (SELECT doc_id, i, substr(h, CAST(2 * i + 1 AS INT), 100) AS k FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 49)) AS i FROM d)),
+     f AS (SELECT k, min(doc_id) AS m FROM w GROUP BY k),
+     g AS (SELECT w.doc_id, i, i > lag(i, 1, -100) OVER (PARTITION BY w.doc_id ORDER BY i) + 50 AS new FROM w JOIN f USING (k) WHERE w.doc_id > f.m),
+     r AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS b FROM (SELECT doc_id, i, sum(CAST(new AS INT)) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM g) GROUP BY doc_id, run),
+     e AS (SELECT doc_id, a, b FROM r UNION ALL SELECT doc_id, len(h) // 2, NULL FROM d),
+     p AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a, b), 0) AS c FROM e)
+SELECT d.doc_id, len(any_value(h)) // 2 AS n_bytes, CAST(coalesce(sum(b - a), 0) AS BIGINT) AS n_removed, count(b) AS n_spans,
+       sha256(unhex(string_agg(substr(h, CAST(2 * c + 1 AS INT), CAST(2 * (a - c) AS INT)), '' ORDER BY a, b))) AS kept_sha256
+FROM d JOIN p USING (doc_id) GROUP BY d.doc_id
+"""
