@@ -145,14 +145,23 @@ def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     return row.select(F.explode(F.array(*[F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(f"`{k}`").alias("correlation")) for a, b, k in both])).alias("__x")).select("__x.*")
 
 
-def histogram(df: DataFrame, column: str, bins: int = 40) -> DataFrame:
-    """bin, low, high, n of equal-width bins that hold rows; the last is closed."""
-    rows = df.where(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("__v"))
+def histogram(df: DataFrame, column: str, bins: int = 40, side: str | None = None) -> DataFrame:
+    """bin, low, high, n of equal-width bins that hold rows; the last is closed. With ``side``, a column that tells several
+    series apart, the bins are common to all of them and each bin is counted by side."""
+    by = [side] if side else []
+    rows = df.where(F.col(column).isNotNull()).select(*by, F.col(column).cast("double").alias("__v"))
     ends = rows.agg(F.min("__v").alias("__a"), F.max("__v").alias("__b"))
     width = (F.col("__b") - F.col("__a")) / bins
     place = F.coalesce(F.least(F.floor(F.try_divide(F.col("__v") - F.col("__a"), width)), F.lit(bins - 1)), F.lit(0)).cast("int")
     rows = rows.crossJoin(F.broadcast(ends)).withColumns({"bin": place, "__w": width})
-    return rows.groupBy("bin").agg(F.min(F.col("__a") + F.col("bin") * F.col("__w")).alias("low"), F.min(F.col("__a") + (F.col("bin") + 1) * F.col("__w")).alias("high"), F.count(F.lit(1)).alias("n"))
+    return rows.groupBy(*by, "bin").agg(F.min(F.col("__a") + F.col("bin") * F.col("__w")).alias("low"), F.min(F.col("__a") + (F.col("bin") + 1) * F.col("__w")).alias("high"), F.count(F.lit(1)).alias("n"))
+
+
+def compared_histograms(sides: dict[str, DataFrame], column: str, bins: int = 50) -> DataFrame:
+    """side, bin, low, high, n: a column of several tables on common bins, such as live rows and the baseline, or
+    predictions before and after a retraining."""
+    rows = [df.select(F.lit(name).alias("side"), column) for name, df in sides.items()]
+    return histogram(reduce(DataFrame.unionByName, rows), column, bins, "side")
 
 
 def residual_summary(aligned: DataFrame) -> DataFrame:

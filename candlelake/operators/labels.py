@@ -66,6 +66,15 @@ def training_frame(gold: DataFrame, cfg: TrainingConfig) -> DataFrame:
     return trailing_window(encode_symbol(df, cfg.symbols), cfg.days)
 
 
+#: Days of each part of a split where neither a model nor the general settings say otherwise.
+SPLIT_DAYS = {"train": 90, "val": 14, "test": 7}
+
+
+def split_days(model: dict[str, int] | None = None, general: dict[str, int] | None = None) -> dict[str, int]:
+    """Days of train, val and test for a model: its own settings first, then the general ones, then SPLIT_DAYS."""
+    return {part: int((model or {}).get(part, (general or {}).get(part, days))) for part, days in SPLIT_DAYS.items()}
+
+
 def time_split(df: DataFrame, train: int, val: int, test: int, gap: int = 1, time: str = "open_time") -> DataFrame:
     """Adds split: the last ``test`` days, before them ``val``, before those ``train``, with gaps of ``gap`` days between
     them; half-open ranges. Rows in gaps or before the first range go."""

@@ -359,6 +359,10 @@ _CORR = " UNION ALL ".join(f"SELECT '{a}' AS x, '{b}' AS y, {'1.0::DOUBLE' if a
 query("correlation_matrix", lambda t: aggs.correlation_matrix(t.gold, FEATURES), f"SELECT x, y, max(correlation) AS correlation FROM ({_CORR}) GROUP BY x, y", "correlation")
 query("histogram", lambda t: aggs.histogram(t.gold, "volatility", 40),
       "SELECT bin, min(a + bin * w) AS low, min(a + (bin + 1) * w) AS high, count(*) AS n FROM (SELECT a, w, CAST(least(floor((v - a) / w), 39) AS INT) AS bin FROM (SELECT volatility AS v, min(volatility) OVER () AS a, (max(volatility) OVER () - min(volatility) OVER ()) / 40 AS w FROM gold)) GROUP BY bin", "low high")
+query("compared_histograms", lambda t: aggs.compared_histograms({"before": t.predictions_in.where(F.col("open_time") < F.lit(CUT)), "after": t.predictions_in.where(F.col("open_time") >= F.lit(CUT))}, "prediction", 50),
+      f"SELECT side, bin, min(a + bin * w) AS low, min(a + (bin + 1) * w) AS high, count(*) AS n FROM (SELECT side, a, w, CAST(least(floor((v - a) / w), 49) AS INT) AS bin FROM (SELECT CASE WHEN open_time < TIMESTAMP '{CUT}' THEN 'before' ELSE 'after' END AS side, prediction AS v, min(prediction) OVER () AS a, (max(prediction) OVER () - min(prediction) OVER ()) / 50 AS w FROM predictions_in)) GROUP BY side, bin", "low high")
+query("time_split_of_a_model", lambda t: labels.time_split(t.candles_h, **labels.split_days({"test": 3}, {"train": 10, "val": 4, "test": 9})).select("symbol", "open_time", "split"),
+      "SELECT symbol, open_time, split FROM (SELECT symbol, open_time, CASE WHEN open_time >= m - INTERVAL 3 DAYS THEN 'test' WHEN open_time >= m - INTERVAL 8 DAYS AND open_time < m - INTERVAL 4 DAYS THEN 'val' WHEN open_time >= m - INTERVAL 19 DAYS AND open_time < m - INTERVAL 9 DAYS THEN 'train' END AS split FROM (SELECT *, max(open_time) OVER () AS m FROM candles_h)) WHERE split IS NOT NULL")
 query("residual_summary", lambda t: aggs.residual_summary(t.aligned), "SELECT avg(residual) AS mean, stddev_samp(residual) AS std, count(residual) AS n FROM aligned", "mean std")
 query("health_kpis", lambda t: aggs.health_kpis(t.gold, t.predictions_in, t.history))
 query("layer_freshness", lambda t: aggs.layer_freshness(t.gold), "SELECT max(open_time) AS last_open_time, arg_max(close, (open_time, symbol)) AS last_close, arg_max(log_return, (open_time, symbol)) AS last_return, count(*) AS n_rows FROM gold", "last_close last_return")
