@@ -12,12 +12,9 @@ from candlelake.operators.clean import KEY, bronze_candles, silver_candles, vali
 from candlelake.operators.features import gold_features, reach_seconds
 from candlelake.operators.joins import restrict_to_keys, restrict_to_symbols
 from candlelake.operators.ml import score_batches
+from candlelake.plans.halo import OLDER_ROWS
 from candlelake.sources.io import advance_state, last_processed_by_symbol, read_incremental_by_key, upsert
 
-#: Rows before the reach that lags need: five, and the one before for the return of the first.
-OLDER_ROWS = 6
-
-
 def batch_medallion(raw: DataFrame, interval_s: int, source: str = "batch") -> DataFrame:
     """Raw candles to gold in one plan."""
     return gold_features(silver_candles(bronze_candles(raw, source)), interval_s)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from candlelake.functions.columns import normalize_epoch
 from candlelake.operators import aggs, clean, drift, evaluate, features, joins, labels, ml, reads
 from candlelake.plans import medallion
-from candlelake.plans.halo import with_halo
+from candlelake.plans.halo import gold_features_by_stretch, with_halo
 from candlelake.sources import fixtures, io, schemas
 from candlelake.streaming import candles as streams
 
@@ -274,6 +274,7 @@ for _group, _columns in schemas.GOLD_GROUPS.items():
 GOLD = [c for g in schemas.GOLD_GROUPS.values() for c in g]
 GOLD_DOUBLES = " ".join(c for c in GOLD if c not in ("hour", "day_of_week", "is_valid_feature_row"))
 query("gold_features", lambda t: t.gold.select("symbol", "open_time", *GOLD), f"SELECT symbol, open_time, {', '.join(GOLD)} FROM gold", GOLD_DOUBLES)
+query("gold_features_by_stretch", lambda t: gold_features_by_stretch(t.silver, HOUR, 4 * DAY).select("symbol", "open_time", *GOLD), f"SELECT symbol, open_time, {', '.join(GOLD)} FROM gold", GOLD_DOUBLES)
 query("gold_incremental", lambda t: medallion.gold_incremental(t.silver.where(F.col("open_time") >= F.lit(CUT)), t.silver.where(F.col("open_time") < F.lit(CUT)), HOUR).select("symbol", "open_time", *GOLD), f"SELECT symbol, open_time, {', '.join(GOLD)} FROM gold WHERE open_time >= TIMESTAMP '{CUT}'", GOLD_DOUBLES)
 _ROWS = "(PARTITION BY symbol ORDER BY open_time ROWS BETWEEN {} PRECEDING AND CURRENT ROW)"
 query("feat_row_windows", lambda t: features.feat_row_windows(t.silver).select("symbol", "open_time", "log_return", "target", "ma_5", "ma_20", "momentum", "trend_strength", "volatility_5"),

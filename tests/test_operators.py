@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from candlelake.functions.columns import normalize_epoch, safe_divide, trailing, with_ewm
 from candlelake.operators import aggs, clean, drift, evaluate, features, joins, labels, ml
-from candlelake.plans.halo import with_halo
+from candlelake.plans.halo import gold_features_by_stretch, with_halo
 from candlelake.plans import medallion
 from candlelake.plans.medallion import gold_incremental
 from candlelake.sources import io, schemas
@@ -317,3 +317,14 @@ def test_ks_over_many_ranges(spark):
     want = np.abs(np.searchsorted(np.sort(a), grid, "right") / len(a) - np.searchsorted(np.sort(b), grid, "right") / len(b)).max()
     frame = lambda x: spark.createDataFrame(pd.DataFrame({"f": x}))
     assert math.isclose(drift.ks_statistic(frame(a), frame(b), ["f"]).first().ks_statistic, want, abs_tol=1e-12)
+
+
+def test_features_by_stretch_equal_those_by_symbol(spark):
+    rng = np.random.default_rng(7)
+    every = candles(spark, [100.0 + float(x) for x in rng.normal(size=24 * 40)]).unionByName(candles(spark, [50.0 + float(x) for x in rng.normal(size=24 * 40)], "y"))
+    day = F.datediff("open_time", F.lit(T0.date()))
+    gaps = every.where(~day.between(9, 24) | (day % 5 == 0) & (F.hour("open_time") == 3)).where((F.col("symbol") == "x") | (day > 30) | (day == 2))
+    silver = clean.silver_candles(gaps)
+    key = lambda d: d.toPandas().sort_values(["symbol", "open_time"], ignore_index=True)
+    want = features.gold_features(silver, 3600)
+    pd.testing.assert_frame_equal(key(gold_features_by_stretch(silver, 3600).select(*want.columns)), key(want))
