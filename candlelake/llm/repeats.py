@@ -331,7 +331,8 @@ def open_contexts(docs: DataFrame, read: Callable, gram: int, width: int) -> tup
     go on to longer grams, level by level, from what has been fetched."""
     parts = partitions(docs.sparkSession)
     rows = docs.select("doc_id", F.col("place").alias("start"), F.col("text").cast("binary").alias("text"))
-    filed = _file(rows, read, gram, width, 8 * parts).repartition(parts, "bucket").sortWithinPartitions("bucket")
+    # Entries take about twice the room of the texts, so they go to twice as many tasks.
+    filed = _file(rows, read, gram, width, 8 * parts).repartition(2 * parts, "bucket").sortWithinPartitions("bucket")
     found = materialise(_settle(filed), "kind")
     settled, opened, own = [found.where("kind = 0").select("doc_id", "start", "end")], [], found.where("kind = 1")
     fetched, counted = _fetch(docs, own, read), own
