@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, materialise, texts
+from .common import discard, free_name, materialise, texts
 
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -140,6 +140,7 @@ def telling_units(counts: DataFrame, n: dict[int, int], samples: int) -> tuple[s
     units = materialise(units.where("toxic >= 2"))
     tried = units.count()
     rows = units.withColumn("chance", _chance(n)).orderBy("chance", "unit", "stem").limit(2 * samples).collect()
+    discard(units)
     share = lambda c, kind: (c + 0.5) / (n[kind] + 1)
     for rate in (0.01, 0.1):
         below = [i for i, r in enumerate(rows, 1) if r["chance"] <= math.log(rate * i / tried)]
@@ -177,6 +178,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, window: in
     threshold = best[0]
     found = rows.select("toxic", _found(gains, window, threshold)("text").alias("f")).select("toxic", "f.*")
     table = found.groupBy(F.least("hits", F.lit(8)).alias("hits"), F.round(F.col("hits") / F.greatest("words", F.lit(1)), 3).alias("rate"), "toxic").count().collect()
+    discard(rows, counts)
     return Model(gains, threshold, _logistic([(r["hits"], r["rate"], r["toxic"], r["count"] / n[r["toxic"]]) for r in table]), window)
 
 
