@@ -40,7 +40,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def chunks(items: list[bytes], most: int = 2_000_000) -> Iterator[slice]:
+def chunks(items: list[bytes], most: int = 500_000) -> Iterator[slice]:
     """Slices of a list of texts with about that many bytes at most; a longer text is one slice."""
     start, size = 0, 0
     for i, x in enumerate(items):

@@ -31,6 +31,10 @@ from .components import components
 
 #: Lists of at most that many sets are compared in full at once; longer ones by way of representatives.
 SHORT_LIST = 16
+#: Numbers of 64 bits of a sketch.
+SKETCH = 8
+#: Rounds of comparing long lists with leading sets, and leading sets of a round, before what is left is compared in full.
+ROUNDS, LEADS = 2, 8
 #: At most that many common shingles are put last in the order. The order is a matter of speed only.
 MOST_COMMON = 200_000
 
@@ -62,6 +66,13 @@ def least_difference(x: bytes, y: bytes) -> int:
     return (a ^ b).bit_count()
 
 
+def sketches(bounds: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """As parities, of one size for all sets: SKETCH numbers of 64 bits, a row for each set."""
+    n = len(bounds) - 1
+    place = np.repeat(np.arange(n) * 64 * SKETCH, np.diff(bounds)) + (hashes & np.uint64(64 * SKETCH - 1)).astype(np.int64)
+    return np.packbits((np.bincount(place, minlength=n * 64 * SKETCH) & 1).astype(np.uint8), bitorder="little").view("<i8").reshape(n, SKETCH)
+
+
 def _sets(batch: pd.DataFrame, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     items, ids = grams.encoded(batch["text"]), batch["doc_id"].to_numpy()
     for part in grams.chunks(items):
@@ -69,7 +80,7 @@ def _sets(batch: pd.DataFrame, k: int) -> Iterator[tuple[np.ndarray, np.ndarray,
 
 
 def _survey(docs: DataFrame, k: int) -> DataFrame:
-    """Of each document its set (doc_id, n, key1, key2, bits); of shingles common within a batch (key1, n sets of the batch)."""
+    """Of each document its set (doc_id, n, key1, key2, bits, sketch); of shingles common within a batch (key1, n sets of the batch)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -77,15 +88,15 @@ def _survey(docs: DataFrame, k: int) -> DataFrame:
             for ids, bounds, hashes in _sets(batch, k):
                 one, two = _set_keys(bounds, hashes)
                 n = np.diff(bounds)
-                yield pd.DataFrame({"kind": 0, "doc_id": ids, "n": n, "key1": one, "key2": two, "bits": parities(bounds, hashes)})
+                yield pd.DataFrame({"kind": 0, "doc_id": ids, "n": n, "key1": one, "key2": two, "bits": parities(bounds, hashes), "sketch": list(sketches(bounds, hashes))})
                 first = np.zeros(len(ids), bool)
                 first[np.unique(one, return_index=True)[1]] = True
                 seen.append(hashes[np.repeat(first, n)])
             found, count = np.unique(np.concatenate(seen), return_counts=True) if seen else (np.zeros(0, np.uint64), np.zeros(0, int))
             often = count >= max(8, len(batch) // 500)
-            yield pd.DataFrame({"kind": 1, "doc_id": 0, "n": count[often], "key1": found[often].view(np.int64), "key2": 0, "bits": None})
+            yield pd.DataFrame({"kind": 1, "doc_id": 0, "n": count[often], "key1": found[often].view(np.int64), "key2": 0, "bits": None, "sketch": None})
 
-    return docs.mapInPandas(run, "kind int, doc_id long, n long, key1 long, key2 long, bits binary")
+    return docs.mapInPandas(run, "kind int, doc_id long, n long, key1 long, key2 long, bits binary, sketch array<long>")
 
 
 def _needed(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
@@ -326,12 +337,13 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFr
         new = new.select("a", "b")
         return known if new.isEmpty() else components(new, known)
 
-    def star(entries: DataFrame, i: int) -> DataFrame:
-        """a (a leading set among the list's sets of about that size, another one for each i) and b, of the entries that
-        can be linked with it."""
+    def star(entries: DataFrame, *seeds: int) -> DataFrame:
+        """a (a leading set among the list's sets of about that size, one for each seed) and b, of the entries that can be
+        linked with it."""
         entries = entries.withColumn("scale", _scale(percent))
-        lead = entries.groupBy("token", "scale").agg(F.min_by(F.struct("doc_id", "n", "pos"), F.struct(F.xxhash64("doc_id", F.lit(i)), "doc_id")).alias("lead"))
-        both = entries.join(lead, ["token", "scale"]).where((F.col("lead.doc_id") != F.col("doc_id")) & _possible(F.col("lead.n"), F.col("lead.pos"), F.col("n"), F.col("pos"), percent))
+        leads = [F.min_by(F.struct("doc_id", "n", "pos"), F.struct(F.xxhash64("doc_id", F.lit(i)), "doc_id")) for i in seeds]
+        lead = entries.groupBy("token", "scale").agg(F.array_distinct(F.array(*leads)).alias("leads"))
+        both = entries.join(lead, ["token", "scale"]).withColumn("lead", F.explode("leads")).where((F.col("lead.doc_id") != F.col("doc_id")) & _possible(F.col("lead.n"), F.col("lead.pos"), F.col("n"), F.col("pos"), percent))
         return both.select(F.col("lead.doc_id").alias("a"), F.col("doc_id").alias("b"))
 
     # First each set with the one partner that shares most of its prefix, a leading set of long lists or another set.
@@ -355,21 +367,30 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFr
         return known
 
     known = settle(pairs.select("a", "b"), known)
-    for i in (1, 2):  # other leading sets, for the lists that hold several components still
+    # Other leading sets, for the lists that hold several components still: each round links a good part of what is left
+    # of a large group, with as many pairs as the lists have entries, times LEADS.
+    for i in range(ROUNDS):
         split = materialise(_split_lists(lists, known))
-        known = settle(star(split, i), known)
+        known = settle(star(split, *range(1 + LEADS * i, 1 + LEADS * (i + 1))), known)
         discard(split)
     split = materialise(_split_lists(lists, known).withColumn("scale", _scale(percent)))
-    # Sets that can be linked are at most one scale apart.
+    # Sets that can be linked are at most one scale apart; sketches rule most pairs out within the join.
+    split = split.join(survey.where("kind = 0").select("doc_id", *[F.get("sketch", F.lit(j)).alias(f"s{j}_") for j in range(SKETCH)]), "doc_id")
     left = split.select(*[F.col(c).alias(f"{c}1") for c in split.columns]).withColumn("scale1", F.explode(F.array(F.col("scale1"), F.col("scale1") + 1)))
     right = split.select(*[F.col(c).alias(f"{c}2") for c in split.columns])
-    rest = left.join(right, (F.col("token1") == F.col("token2")) & (F.col("scale1") == F.col("scale2")) & (F.col("n1") <= F.col("n2")) & (F.col("component1") != F.col("component2")) & _possible(F.col("n1"), F.col("pos1"), F.col("n2"), F.col("pos2"), percent))
+    rest = left.join(right, (F.col("token1") == F.col("token2")) & (F.col("scale1") == F.col("scale2")) & (F.col("n1") <= F.col("n2")) & (F.col("component1") != F.col("component2")) & _possible(F.col("n1"), F.col("pos1"), F.col("n2"), F.col("pos2"), percent) & _alike(percent))
     known = settle(rest.select(F.col("doc_id1").alias("a"), F.col("doc_id2").alias("b")), known)
     discard(split, held, found, near, reps)
     out = rows.join(known, F.col("doc_id") == F.col("node"), "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
     return out.unionByName(lone)
 
 
+def _alike(percent: int) -> Column:
+    """Whether the sketches of two sets leave the threshold possible."""
+    apart = sum((F.bit_count(F.col(f"s{j}_1").bitwiseXOR(F.col(f"s{j}_2"))) for j in range(1, SKETCH)), F.bit_count(F.col("s0_1").bitwiseXOR(F.col("s0_2"))))
+    return (100 + percent) * apart <= (100 - percent) * (F.col("n1") + F.col("n2"))
+
+
 def _scale(percent: int) -> Column:
     return F.floor(F.log(F.col("n")) / math.log(100 / percent))
 

@@ -184,6 +184,8 @@ def test_bitmaps_never_overstate_a_difference():
         b = np.unique(np.concatenate([rng.choice(a, rng.integers(0, len(a) + 1), replace=False), rng.integers(0, 2**63, rng.integers(1, 300), dtype=np.uint64)]))
         x, y = ngram_join.parities(np.array([0, len(a), len(a) + len(b)]), np.concatenate([a, b]))
         assert ngram_join.least_difference(x, y) <= len(set(a.tolist()) ^ set(b.tolist()))
+        one, two = ngram_join.sketches(np.array([0, len(a), len(a) + len(b)]), np.concatenate([a, b])).view(np.uint64)
+        assert np.bitwise_count(one ^ two).sum() <= len(set(a.tolist()) ^ set(b.tolist()))
 
 
 def test_components_of_a_chain(spark):
