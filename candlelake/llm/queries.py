@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, html_text, licenses, ngram_join, packing, secrets, substring_dedup, suffix_dedup, toxicity
+from . import collisions, decontaminate, exact_dedup, html_text, licenses, ngram_join, packing, periodic, secrets, spelling, substring_dedup, suffix_dedup, toxicity
 from .common import load
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -55,9 +55,22 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(load(spark, sf_dir, "documents"))
 
 
+def op11_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collisions.nearest(load(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.periodic_runs(periodic.with_planted_runs(load(spark, sf_dir, "documents"))).drop("runs")
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(load(spark, sf_dir, "documents"), misspell_every=199)
+
+
 _ALL = (
     op1_toxicity, op2_ngram_jaccard_join, op3_secret_scan, op4_suffix_array_dedup, op5_html_extraction, op6_packing,
-    op7_decontamination, op8_substring_dedup, op9_license_scan, op10_exact_dedup,
+    op7_decontamination, op8_substring_dedup, op9_license_scan, op10_exact_dedup, op11_nearest_neighbours,
+    op12_periodic_runs, op13_spelling_variants,
 )
 QUERIES = {f.__name__: f for f in _ALL}
 
@@ -68,4 +81,6 @@ ORACLE_SQL = {
     "op8_substring_dedup": substring_dedup.ORACLE,
     "op9_license_scan": licenses.oracle(),
     "op10_exact_dedup": exact_dedup.ORACLE,
+    "op12_periodic_runs": periodic.ORACLE,
+    "op13_spelling_variants": spelling.ORACLE,
 }
