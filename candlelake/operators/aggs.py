@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlelake.functions.columns import correlation
+from candlelake.functions.stretches import STRETCH, with_row_frames
 from candlelake.operators.clean import numeric
 from candlelake.operators.reads import newest_per
 
@@ -44,16 +45,17 @@ def sentiment_by_source(df: DataFrame, start=None, end=None) -> DataFrame:
     return df.groupBy("source").agg(F.count(F.lit(1)).alias("messages"), F.sum("engagement").alias("engagement")).orderBy(F.desc("messages"), "source")
 
 
-def lag_correlation(pairs: DataFrame, max_lag: int = 10, compat: bool = False, x: str = "sentiment_index", y: str = "log_return") -> DataFrame:
+def lag_correlation(pairs: DataFrame, max_lag: int = 10, compat: bool = False, x: str = "sentiment_index", y: str = "log_return", stretch_s: int = STRETCH) -> DataFrame:
     """symbol, lag, correlation, n: Pearson's r of x[t + lag] and y[t] for each lag, of symbols with at least twice as many
     rows as lags. With compat, lag k pairs x[t - |k|] and y[t] for either sign, as older results do."""
-    w = Window.partitionBy("symbol").orderBy("open_time")
     lags = range(-max_lag, max_lag + 1)
-    # One window gives every row the values of x around it; whether there is a row so far off is told by the marker.
-    ahead = lambda c, lag: F.lead(c, -abs(lag) if compat else lag).over(w)
     name = lambda lag: f"__x{lag + max_lag}"
-    rows = pairs.select("symbol", "open_time", F.col(x).alias("__x"), F.col(y).alias("__y"), F.lit(1).alias("__there"))
-    rows = rows.select("symbol", "__y", *[F.when(ahead("__there", lag).isNotNull(), F.struct(ahead("__x", lag).alias("x"))).alias(name(lag)) for lag in lags])
+    rows = pairs.select("symbol", "open_time", F.struct(F.col(x).alias("x")).alias("__x"), F.col(y).alias("__y"))
+    # One window gives every row the values of x around it; a null struct says that there is no row so far off.
+    shifts = {abs(lag) if compat else -lag for lag in lags}
+    around = lambda w: {f"__at{s}": F.lag("__x", s).over(w) for s in sorted(shifts)}
+    rows = with_row_frames(rows, around, before=max_lag, after=0 if compat else max_lag, stretch_s=stretch_s)
+    rows = rows.select("symbol", "__y", *[F.col(f"__at{abs(lag) if compat else -lag}").alias(name(lag)) for lag in lags])
     per = rows.groupBy("symbol").agg(F.count(F.lit(1)).alias("__rows"), *[F.struct(F.lit(lag).alias("lag"), F.round(correlation(F.col(name(lag))["x"], "__y"), 4).alias("correlation"), F.count(name(lag)).alias("n")).alias(name(lag)) for lag in lags])
     found = per.where(F.col("__rows") >= 2 * max_lag).select("symbol", F.explode(F.array(*[name(lag) for lag in lags])).alias("r"))
     return found.select("symbol", "r.lag", "r.correlation", "r.n").where("n > 0")

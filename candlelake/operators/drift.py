@@ -76,10 +76,11 @@ def ks_approximate(base: DataFrame, recent: DataFrame, features: list[str], poin
 
 
 def mean_std_shift(base: DataFrame, recent: DataFrame, features: list[str]) -> DataFrame:
-    """feature, mean_shift, std_shift, shift_score: changes relative to the baseline, and their mean."""
+    """feature, mean_shift, std_shift, shift_score: changes relative to the baseline, and their mean; 0 where a side has fewer
+    than 2 values."""
     x = lambda s: F.when(F.col("side") == s, F.col("x"))
-    r = _both(base, recent, features).groupBy("feature").agg(F.avg(x(0)).alias("mb"), F.avg(x(1)).alias("mr"), F.stddev_pop(x(0)).alias("sb"), F.stddev_pop(x(1)).alias("sr"))
-    shift = lambda a, b: F.coalesce(F.abs(F.col(b) - F.col(a)) / (F.abs(F.col(a)) + 1e-6), F.lit(0.0))
+    r = _both(base, recent, features).groupBy("feature").agg(F.count(x(0)).alias("nb"), F.count(x(1)).alias("nr"), F.avg(x(0)).alias("mb"), F.avg(x(1)).alias("mr"), F.stddev_pop(x(0)).alias("sb"), F.stddev_pop(x(1)).alias("sr"))
+    shift = lambda a, b: F.when((F.col("nb") >= 2) & (F.col("nr") >= 2), F.abs(F.col(b) - F.col(a)) / (F.abs(F.col(a)) + 1e-6)).otherwise(0.0)
     return r.select("feature", shift("mb", "mr").alias("mean_shift"), shift("sb", "sr").alias("std_shift")).withColumn("shift_score", (F.col("mean_shift") + F.col("std_shift")) / 2)
 
 

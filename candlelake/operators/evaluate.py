@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from candlelake.functions.columns import correlation, running
+from candlelake.functions.columns import correlation
+from candlelake.functions.stretches import STRETCH, with_last_before, with_row_frames, with_row_numbers, with_running
 
 
 def regression_metrics(df: DataFrame, y: str, yhat: str) -> DataFrame:
@@ -35,66 +36,73 @@ def binned_actual_sign(df: DataFrame, column: str, threshold: float, output: str
     return df.withColumn(output, F.when(x <= -threshold, 0).when(x <= threshold, 1).when(x > threshold, 2))
 
 
-def _rolling(df: DataFrame, value, output: str) -> DataFrame:
-    """Mean of the last w values per symbol, w a sixth of the symbol's rows within 20 to 120; null for fewer than w / 4."""
-    w = Window.partitionBy("symbol").orderBy("open_time")
-    n = F.count("__v").over(Window.partitionBy("symbol"))
+#: Rows of the widest rolling frame.
+WIDEST = 120
+
+
+def _rolling(df: DataFrame, value, output: str, stretch_s: int) -> DataFrame:
+    """Mean of the last w values per symbol, w a sixth of the symbol's rows within 20 to 120; null for fewer than w / 4. Adds
+    __overall too, the mean of all values of the symbol."""
     df = df.withColumn("__v", value).where("__v IS NOT NULL")
-    df = df.withColumns({"__w": F.greatest(F.lit(20), F.least(F.lit(120), F.floor(n / 6))).cast("int"), "__n": F.row_number().over(w)})
+    # A row for each symbol: its width and mean.
+    per = df.groupBy(F.col("symbol").alias("__symbol")).agg(F.count("__v").alias("__count"), F.avg("__v").alias("__overall"))
+    per = per.select("__symbol", F.greatest(F.lit(20), F.least(F.lit(WIDEST), F.floor(F.col("__count") / 6))).cast("int").alias("__w"), "__overall")
+    df = with_row_numbers(df, "__n", stretch_s=stretch_s).join(per, F.col("symbol").eqNullSafe(F.col("__symbol"))).drop("__symbol")
+
     # Row numbers in units of the width make the frame a constant range: the row w before is one unit away, just outside.
     df = df.withColumn("__k", F.col("__n") / F.col("__w"))
-    over = "OVER (PARTITION BY symbol ORDER BY __k RANGE BETWEEN 0.99999D PRECEDING AND CURRENT ROW)"
+    over = "OVER (PARTITION BY symbol, __block ORDER BY __k RANGE BETWEEN 0.99999D PRECEDING AND CURRENT ROW)"
+    df = with_row_frames(df, lambda _: {"__mean": F.expr(f"avg(__v) {over}"), "__own": F.expr(f"count(__v) {over}")}, before=WIDEST - 1, stretch_s=stretch_s)
     least = F.greatest(F.lit(5), F.floor(F.col("__w") / 4))
-    df = df.withColumns({"__mean": F.expr(f"avg(__v) {over}"), "__own": F.expr(f"count(__v) {over}")})
-    return df.withColumn(output, F.when(F.col("__own") >= least, F.col("__mean"))).drop(*{"__v", "__w", "__n", "__k", "__own", "__mean"} - {output})
+    return df.withColumn(output, F.when(F.col("__own") >= least, F.col("__mean")))
 
 
-def rolling_rmse(df: DataFrame) -> DataFrame:
+def rolling_rmse(df: DataFrame, stretch_s: int = STRETCH) -> DataFrame:
     """symbol, open_time, rolling_rmse and the symbol's overall_rmse."""
-    squared = F.col("residual") * F.col("residual")
-    out = _rolling(df, squared, "__mean")
-    overall = F.sqrt(F.avg(squared).over(Window.partitionBy("symbol")))
-    return out.select("symbol", "open_time", F.sqrt("__mean").alias("rolling_rmse"), overall.alias("overall_rmse"))
+    out = _rolling(df, F.col("residual") * F.col("residual"), "__rolling", stretch_s)
+    return out.select("symbol", "open_time", F.sqrt("__rolling").alias("rolling_rmse"), F.sqrt("__overall").alias("overall_rmse"))
 
 
-def rolling_score(df: DataFrame, column: str) -> DataFrame:
+def rolling_score(df: DataFrame, column: str, stretch_s: int = STRETCH) -> DataFrame:
     """symbol, open_time, rolling_score: rolling mean of a flag or score."""
-    return _rolling(df, F.col(column).cast("double"), "rolling_score").select("symbol", "open_time", "rolling_score")
+    return _rolling(df, F.col(column).cast("double"), "rolling_score", stretch_s).select("symbol", "open_time", "rolling_score")
 
 
-def backtest(df: DataFrame, threshold: float = 0.0, cost: float = 0.0, direct: bool = False, predicted: str = "prediction", actual: str = "actual_log_return_lead1") -> DataFrame:
-    """Signals, turnover, strategy and benchmark returns, their cumulative products and drawdowns, per symbol."""
+def backtest(df: DataFrame, threshold: float = 0.0, cost: float = 0.0, direct: bool = False, predicted: str = "prediction", actual: str = "actual_log_return_lead1", stretch_s: int = STRETCH) -> DataFrame:
+    """Signals, turnover, strategy and benchmark returns, their cumulative products and drawdowns, per symbol. ``direct``
+    takes the prediction, rounded and kept within -1 to 1, as the signal; null or NaN is none."""
     p, r = F.col(predicted), F.coalesce(actual, F.lit(0.0))
-    rows = df.select("symbol", "open_time", (F.signum(p) if direct else F.when(p > threshold, 1.0).when(p < -threshold, -1.0).otherwise(0.0)).alias("signal"), r.alias("benchmark_return"))
-    w, run = Window.partitionBy("symbol").orderBy("open_time"), running()
-    rows = rows.withColumn("turnover", F.coalesce(F.abs(F.col("signal") - F.lag("signal").over(w)), F.lit(0.0)))
+    signal = F.when(p.isNotNull() & ~F.isnan(p), F.least(F.greatest(F.rint(p), F.lit(-1.0)), F.lit(1.0))) if direct else F.when(p > threshold, 1.0).when(p < -threshold, -1.0).otherwise(0.0)
+    rows = with_last_before(df.select("symbol", "open_time", signal.alias("signal"), r.alias("benchmark_return")), "signal", "__before", stretch_s=stretch_s)
+    rows = rows.withColumn("turnover", F.coalesce(F.abs(F.col("signal") - F.col("__before")), F.lit(0.0))).drop("__before")
     rows = rows.withColumn("strategy_return", F.col("signal") * F.col("benchmark_return") - F.col("turnover") * cost)
-    rows = rows.withColumns({"cumulative": F.product(1 + F.col("strategy_return")).over(run), "benchmark_cumulative": F.product(1 + F.col("benchmark_return")).over(run)})
-    for c, d in (("cumulative", "drawdown"), ("benchmark_cumulative", "benchmark_drawdown")):
-        rows = rows.withColumn(d, F.try_divide(F.col(c), F.max(c).over(run)) - 1)
-    return rows
+    products = {"cumulative": ("product", 1 + F.col("strategy_return")), "benchmark_cumulative": ("product", 1 + F.col("benchmark_return"))}
+    rows = with_running(rows, products, {"__top": "cumulative", "__benchmark_top": "benchmark_cumulative"}, stretch_s=stretch_s)
+    drawdown = lambda c, top: F.try_divide(F.col(c), F.col(top)) - 1
+    return rows.withColumns({"drawdown": drawdown("cumulative", "__top"), "benchmark_drawdown": drawdown("benchmark_cumulative", "__benchmark_top")}).drop("__top", "__benchmark_top")
 
 
-def simulate_pnl(aligned: DataFrame, threshold: float = 0.0) -> DataFrame:
+def simulate_pnl(aligned: DataFrame, threshold: float = 0.0, stretch_s: int = STRETCH) -> DataFrame:
     """Trades whose prediction exceeds the threshold: signal, trade_return, running sum, drawdown, per symbol."""
     p, r = F.col("prediction"), F.col("actual_log_return_lead1")
     rows = aligned.where(r.isNotNull() & (F.abs(p) > threshold)).select("symbol", "open_time", F.signum(p).alias("signal"), (F.signum(p) * r).alias("trade_return"))
-    rows = rows.withColumn("cumulative_pnl", F.sum("trade_return").over(running()))
-    return rows.withColumn("drawdown", F.col("cumulative_pnl") - F.max("cumulative_pnl").over(running()))
+    rows = with_running(rows, {"cumulative_pnl": ("sum", "trade_return")}, {"__top": "cumulative_pnl"}, stretch_s=stretch_s)
+    return rows.withColumn("drawdown", F.col("cumulative_pnl") - F.col("__top")).drop("__top")
 
 
 def pnl_summary(aligned: DataFrame, threshold: float = 0.0, periods: int = 252 * 24) -> DataFrame:
     """One row: trades, share of winning ones, total, annualised sharpe (null without spread)."""
-    rows = simulate_pnl(aligned, threshold)
-    r = F.col("trade_return")
+    p, r = F.col("prediction"), F.col("trade_return")
+    rows = aligned.where(F.col("actual_log_return_lead1").isNotNull() & (F.abs(p) > threshold)).select((F.signum(p) * F.col("actual_log_return_lead1")).alias("trade_return"))
     return rows.agg(F.count(F.lit(1)).alias("n_trades"), F.avg((r > 0).cast("double")).alias("hit_ratio"), F.sum(r).alias("total_return"), (F.try_divide(F.avg(r), F.stddev(r)) * F.sqrt(F.lit(float(periods)))).alias("sharpe"))
 
 
-def sign_strategy(df: DataFrame, predicted: str = "prediction", actual: str = "actual_log_return_lead1") -> DataFrame:
+def sign_strategy(df: DataFrame, predicted: str = "prediction", actual: str = "actual_log_return_lead1", stretch_s: int = STRETCH) -> DataFrame:
     """Per symbol and time: strategy and buy-and-hold running sums, and the symbol's sharpe (population deviation)."""
     rows = df.where(F.col(actual).isNotNull()).select("symbol", "open_time", F.col(actual).alias("hold_return"), F.when(F.col(predicted) > 0, F.col(actual)).otherwise(-F.col(actual)).alias("strategy_return"))
-    own = Window.partitionBy("symbol")
-    return rows.withColumns({"strategy_total": F.sum("strategy_return").over(running()), "hold_total": F.sum("hold_return").over(running()), "sharpe": F.try_divide(F.avg("strategy_return").over(own), F.stddev_pop("strategy_return").over(own))})
+    sharpe = rows.groupBy(F.col("symbol").alias("__symbol")).agg(F.try_divide(F.avg("strategy_return"), F.stddev_pop("strategy_return")).alias("sharpe"))
+    rows = with_running(rows, {"strategy_total": ("sum", "strategy_return"), "hold_total": ("sum", "hold_return")}, stretch_s=stretch_s)
+    return rows.join(sharpe, F.col("symbol").eqNullSafe(F.col("__symbol"))).drop("__symbol")
 
 
 def direction_metrics(df: DataFrame, y: str, yhat: str) -> DataFrame:

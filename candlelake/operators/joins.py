@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlelake.functions.columns import ordered
+from candlelake.functions.stretches import STRETCH, with_last_before, with_row_frames
 
 KEY = ["symbol", "open_time"]
 
@@ -18,10 +18,10 @@ def restrict_to_keys(df: DataFrame, keys: DataFrame) -> DataFrame:
     return df.join(keys.select(*KEY), KEY, "left_semi")
 
 
-def _outcomes(gold: DataFrame) -> DataFrame:
+def _outcomes(gold: DataFrame, stretch_s: int) -> DataFrame:
     """Of each candle its close and that of the candle after it, with the return between the two."""
-    after = F.lead("close").over(ordered())
-    return gold.select(*KEY, "close", after.alias("actual_close")).withColumn("actual_log_return_lead1", F.when((F.col("close") > 0) & (F.col("actual_close") > 0), F.ln(F.col("actual_close") / F.col("close"))))
+    rows = with_row_frames(gold.select(*KEY, "close"), lambda w: {"actual_close": F.lead("close").over(w)}, after=1, stretch_s=stretch_s)
+    return rows.withColumn("actual_log_return_lead1", F.when((F.col("close") > 0) & (F.col("actual_close") > 0), F.ln(F.col("actual_close") / F.col("close"))))
 
 
 def _judged(df: DataFrame) -> DataFrame:
@@ -30,16 +30,16 @@ def _judged(df: DataFrame) -> DataFrame:
     return df.withColumns({"abs_error": F.abs("residual"), "direction_correct": F.when(F.signum(real) != 0, F.signum("prediction") == F.signum(real))})
 
 
-def align_predictions(preds: DataFrame, gold: DataFrame, version: str = "All") -> DataFrame:
+def align_predictions(preds: DataFrame, gold: DataFrame, version: str = "All", stretch_s: int = STRETCH) -> DataFrame:
     """Predictions with what came of them: the next candle of their symbol. Unmatched ones keep nulls."""
     from candlelake.operators.clean import filter_model_version
 
-    return _judged(filter_model_version(preds, version).join(_outcomes(gold), KEY, "left"))
+    return _judged(filter_model_version(preds, version).join(_outcomes(gold, stretch_s), KEY, "left"))
 
 
-def align_gold(gold: DataFrame, prediction: str = "log_return_lag1") -> DataFrame:
+def align_gold(gold: DataFrame, prediction: str = "log_return_lag1", stretch_s: int = STRETCH) -> DataFrame:
     """As align_predictions, for tables without predictions: a column of gold stands in for them."""
-    return _judged(gold.select(*KEY, F.col(prediction).alias("prediction")).join(_outcomes(gold), KEY, "left"))
+    return _judged(gold.select(*KEY, F.col(prediction).alias("prediction")).join(_outcomes(gold, stretch_s), KEY, "left"))
 
 
 def predicted_close(preds: DataFrame, candles: DataFrame) -> DataFrame:
@@ -48,10 +48,10 @@ def predicted_close(preds: DataFrame, candles: DataFrame) -> DataFrame:
     return preds.join(closes, KEY, "left").withColumn("predicted_close", F.when(F.col("__close") != 0, F.col("__close") * F.exp("prediction"))).drop("__close")
 
 
-def fill_actuals(preds: DataFrame, candles: DataFrame) -> DataFrame:
+def fill_actuals(preds: DataFrame, candles: DataFrame, stretch_s: int = STRETCH) -> DataFrame:
     """Fills actual_close, error and direction_correct of predictions that lack them, from their own candle and the one
     before; the first candle of a symbol has none before and fills nothing."""
-    known = candles.select(*KEY, F.col("close").alias("__close"), F.lag("close").over(ordered()).alias("__before"))
+    known = with_last_before(candles.select(*KEY, F.col("close").alias("__close")), "__close", "__before", stretch_s=stretch_s)
     open_ = F.col("actual_close").isNull() & F.col("__before").isNotNull()
     df = preds if "actual_close" in preds.columns else preds.withColumns({"actual_close": F.lit(None).cast("double"), "error": F.lit(None).cast("double"), "direction_correct": F.lit(None).cast("boolean")})
     right = (F.col("predicted_close") > F.col("__before")) == (F.col("__close") > F.col("__before"))

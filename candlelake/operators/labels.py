@@ -7,7 +7,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlelake.functions.columns import col, ordered
+from candlelake.functions.columns import col
+from candlelake.functions.stretches import STRETCH, with_row_frames
 from candlelake.operators.clean import encode_symbol, trailing_window, valid_feature_rows
 
 _MINUTES = {"m": 1, "h": 60, "d": 1440}
@@ -30,12 +31,16 @@ def horizon_steps(horizon: str, interval: str) -> int:
     return max(1, minutes // interval_minutes(interval))
 
 
-def forward_returns(df: DataFrame, horizons: dict[str, int] | None = None, interval: str = "5m") -> DataFrame:
+def forward_returns(df: DataFrame, horizons: dict[str, int] | None = None, interval: str = "5m", stretch_s: int = STRETCH) -> DataFrame:
     """ln(close h candles on / close) per target; also as log_return_lead1 for the next candle."""
-    horizons = horizons or {n: horizon_steps(h, interval) for n, h in DEFAULT_TARGETS.items()}
-    ahead = lambda h: F.lead("close", h).over(ordered())
-    ret = lambda h: F.when((F.col("close") > 0) & (ahead(h) > 0), F.ln(ahead(h) / F.col("close")))
-    return df.withColumns({n: ret(h) for n, h in horizons.items()} | {"log_return_lead1": ret(1)})
+    horizons = {"log_return_lead1": 1} | (horizons or {n: horizon_steps(h, interval) for n, h in DEFAULT_TARGETS.items()})
+
+    def returns(w) -> dict:
+        ahead = {n: F.lead("close", h).over(w) for n, h in horizons.items()}
+        return {n: F.when((F.col("close") > 0) & (later > 0), F.ln(later / F.col("close"))) for n, later in ahead.items()}
+
+    out = with_row_frames(df, returns, after=max(horizons.values()), stretch_s=stretch_s)
+    return out.select(*[c for c in df.columns if c not in horizons], *horizons)
 
 
 def sign_labels(df: DataFrame, column: str, threshold: float, output: str | None = None) -> DataFrame:

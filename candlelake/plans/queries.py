@@ -11,7 +11,7 @@ import uuid
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from candlelake.functions.columns import normalize_epoch
@@ -22,6 +22,8 @@ from candlelake.sources import fixtures, io, schemas
 from candlelake.streaming import candles as streams
 
 HOUR, DAY = fixtures.HOUR, fixtures.DAY
+#: Stretches so short that the fixture has several of each symbol.
+STRETCH = 4 * DAY
 CUT = dt.datetime(2024, 1, 16)
 SYMBOLS = ["click", "error", "purchase", "signup", "view"]
 FEATURES = ["return_5", "volatility_5", "imbalance_ratio", "volume_ratio", "range_ratio"]
@@ -54,7 +56,7 @@ class Tables:
 
     @cached_property
     def aligned(self) -> DataFrame:
-        return joins.align_predictions(self.predictions_in, self.candles_h)
+        return joins.align_predictions(self.predictions_in, self.candles_h, stretch_s=STRETCH)
 
     @cached_property
     def priced(self) -> DataFrame:
@@ -62,7 +64,7 @@ class Tables:
 
     @cached_property
     def filled(self) -> DataFrame:
-        return joins.fill_actuals(self.priced, self.candles_h)
+        return joins.fill_actuals(self.priced, self.candles_h, STRETCH)
 
     @cached_property
     def pairs(self) -> DataFrame:
@@ -334,8 +336,8 @@ query("sentiment_by_source", lambda t: aggs.sentiment_by_source(t.sentiment_silv
 _LAGS = """SELECT a.symbol, l.lag, round(covar_pop(b.x, a.y) / (stddev_pop(b.x) * stddev_pop(a.y)), 4) AS correlation, count(*) AS n
     FROM (SELECT symbol, log_return AS y, row_number() OVER {r} AS n FROM pairs) a CROSS JOIN (SELECT CAST(unnest(range(-10, 11)) AS INT) AS lag) l
     JOIN (SELECT symbol, sentiment_index AS x, row_number() OVER {r} AS n FROM pairs) b ON a.symbol = b.symbol AND b.n = a.n + {shift} GROUP BY a.symbol, l.lag"""
-query("lag_correlation", lambda t: aggs.lag_correlation(t.pairs), _LAGS.format(r=ROW, shift="l.lag"), "correlation")
-query("lag_correlation_compat", lambda t: aggs.lag_correlation(t.pairs, compat=True), _LAGS.format(r=ROW, shift="-abs(l.lag)"), "correlation")
+query("lag_correlation", lambda t: aggs.lag_correlation(t.pairs, stretch_s=STRETCH), _LAGS.format(r=ROW, shift="l.lag"), "correlation")
+query("lag_correlation_compat", lambda t: aggs.lag_correlation(t.pairs, compat=True, stretch_s=STRETCH), _LAGS.format(r=ROW, shift="-abs(l.lag)"), "correlation")
 query("regime_performance", lambda t: aggs.regime_performance(joins.regime_join(t.aligned, t.gold, "hour")), "SELECT g.hour AS regime, count(*) AS n, avg(CAST(direction_correct AS INT)) AS accuracy, avg(abs_error) AS mae FROM aligned a JOIN gold g ON a.symbol = g.symbol AND a.open_time = g.open_time GROUP BY g.hour", "accuracy mae")
 query("confidence_bins", lambda t: aggs.confidence_bins(t.aligned),
       """SELECT bin, max(low + w * (bin - 0.5)) AS midpoint, count(*) AS n, avg(CAST(direction_correct AS INT)) AS accuracy FROM (SELECT *, CAST(least(greatest(ceil((c - low) / w), 1), 10) AS INT) AS bin
@@ -377,7 +379,7 @@ query("resample_candles", lambda t: aggs.resample_candles(t.candles_h, "1 day").
 
 # --- Labels ---------------------------------------------------------------------------------------------------------
 
-query("forward_returns", lambda t: labels.forward_returns(t.silver, {"return_short": 1, "return_long": 24}).select("symbol", "open_time", "return_short", "return_long", "log_return_lead1"), f"SELECT symbol, open_time, ln(lead(close) OVER {ROW} / close) AS return_short, ln(lead(close, 24) OVER {ROW} / close) AS return_long, ln(lead(close) OVER {ROW} / close) AS log_return_lead1 FROM silver", "return_short return_long log_return_lead1")
+query("forward_returns", lambda t: labels.forward_returns(t.silver, {"return_short": 1, "return_long": 24}, stretch_s=STRETCH).select("symbol", "open_time", "return_short", "return_long", "log_return_lead1"), f"SELECT symbol, open_time, ln(lead(close) OVER {ROW} / close) AS return_short, ln(lead(close, 24) OVER {ROW} / close) AS return_long, ln(lead(close) OVER {ROW} / close) AS log_return_lead1 FROM silver", "return_short return_long log_return_lead1")
 query("sign_labels", lambda t: labels.sign_labels(t.predictions_in, "return_short", 0.0015, "label").select("symbol", "open_time", "label"), "SELECT symbol, open_time, CASE WHEN return_short > 0.0015 THEN 2 WHEN return_short < -0.0015 THEN 0 WHEN return_short IS NOT NULL THEN 1 END AS label FROM predictions_in")
 query("sign_labels_of_nan", lambda t: labels.sign_labels(t.predictions_in.withColumn("r", F.when(F.hour("open_time") % 5 == 0, float("nan")).otherwise(F.col("return_short"))), "r", 0.0015, "label").select("symbol", "open_time", "label"),
       "SELECT symbol, open_time, CASE WHEN hour(open_time) % 5 = 0 THEN 1 WHEN return_short > 0.0015 THEN 2 WHEN return_short < -0.0015 THEN 0 WHEN return_short IS NOT NULL THEN 1 END AS label FROM predictions_in")
@@ -458,17 +460,22 @@ query("classification_metrics", lambda t: evaluate.classification_metrics(_SIGNE
 query("binned_actual_sign", lambda t: _SIGNED(t).select("symbol", "open_time", F.col("actual_sign").cast("double").alias("actual_sign")), "SELECT symbol, open_time, CAST(actual_sign AS DOUBLE) AS actual_sign FROM signed")
 _ROLL = """SELECT symbol, open_time, {out} FROM (SELECT symbol, open_time, list_slice(l, greatest(len(l) - w + 1, 1), len(l)) AS own, w, overall FROM (SELECT symbol, open_time, list(v) OVER (PARTITION BY symbol ORDER BY open_time ROWS BETWEEN 119 PRECEDING AND CURRENT ROW) AS l,
     CAST(greatest(20, least(120, floor(count(*) OVER (PARTITION BY symbol) / 6))) AS INT) AS w, avg(v) OVER (PARTITION BY symbol) AS overall FROM (SELECT symbol, open_time, {v} AS v FROM aligned) WHERE v IS NOT NULL))"""
-query("rolling_rmse", lambda t: evaluate.rolling_rmse(t.aligned), _ROLL.format(v="residual * residual", out="CASE WHEN len(own) >= greatest(5, floor(w / 4)) THEN sqrt(list_sum(own) / len(own)) END AS rolling_rmse, sqrt(overall) AS overall_rmse"), "rolling_rmse overall_rmse")
-query("rolling_score", lambda t: evaluate.rolling_score(t.aligned, "direction_correct"), _ROLL.format(v="CAST(direction_correct AS INT)", out="CASE WHEN len(own) >= greatest(5, floor(w / 4)) THEN list_sum(own) / len(own) END AS rolling_score"), "rolling_score")
+query("rolling_rmse", lambda t: evaluate.rolling_rmse(t.aligned, STRETCH), _ROLL.format(v="residual * residual", out="CASE WHEN len(own) >= greatest(5, floor(w / 4)) THEN sqrt(list_sum(own) / len(own)) END AS rolling_rmse, sqrt(overall) AS overall_rmse"), "rolling_rmse overall_rmse")
+query("rolling_score", lambda t: evaluate.rolling_score(t.aligned, "direction_correct", STRETCH), _ROLL.format(v="CAST(direction_correct AS INT)", out="CASE WHEN len(own) >= greatest(5, floor(w / 4)) THEN list_sum(own) / len(own) END AS rolling_score"), "rolling_score")
 _TAMED = lambda t: t.aligned.withColumn(_Y, F.col(_Y) / 100)
 _BACK = f"""SELECT *, s * b - turnover * 0.0005 AS x FROM (SELECT *, coalesce(abs(s - lag(s) OVER {ROW}), 0) AS turnover FROM (SELECT symbol, open_time, CASE WHEN prediction > 0.001 THEN 1.0 WHEN prediction < -0.001 THEN -1.0 ELSE 0.0 END AS s, coalesce({_Y} / 100, 0) AS b FROM aligned))"""
-query("backtest", lambda t: evaluate.backtest(_TAMED(t), 0.001, 0.0005),
+query("backtest", lambda t: evaluate.backtest(_TAMED(t), 0.001, 0.0005, stretch_s=STRETCH),
       f"""SELECT symbol, open_time, s::DOUBLE AS signal, b AS benchmark_return, turnover::DOUBLE AS turnover, x AS strategy_return, c AS cumulative, d AS benchmark_cumulative, c / max(c) OVER {RUN} - 1 AS drawdown, d / max(d) OVER {RUN} - 1 AS benchmark_drawdown
       FROM (SELECT *, product(1 + x) OVER {RUN} AS c, product(1 + b) OVER {RUN} AS d FROM ({_BACK}))""", "signal benchmark_return turnover strategy_return cumulative benchmark_cumulative drawdown benchmark_drawdown")
+#: Predictions from -3 to 3, a third of them about halves, which are rounded to even.
+_WIDE = lambda t: _TAMED(t).withColumn("prediction", F.when(F.hour("open_time") % 3 == 0, F.hour("open_time") - 11.5).otherwise(F.col("prediction") * 300))
+_DIRECT = f"""SELECT *, s * b - turnover * 0.0005 AS x FROM (SELECT *, coalesce(abs(s - lag(s) OVER {ROW}), 0) AS turnover FROM (SELECT symbol, open_time, least(greatest(round_even(CASE WHEN hour(open_time) % 3 = 0 THEN hour(open_time) - 11.5 ELSE prediction * 300 END, 0), -1), 1) AS s, coalesce({_Y} / 100, 0) AS b FROM aligned))"""
+query("backtest_direct", lambda t: evaluate.backtest(_WIDE(t), 0.001, 0.0005, direct=True, stretch_s=STRETCH).select("symbol", "open_time", "signal", "turnover", "strategy_return", "cumulative", "drawdown"),
+      f"""SELECT symbol, open_time, s::DOUBLE AS signal, turnover::DOUBLE AS turnover, x AS strategy_return, c AS cumulative, c / max(c) OVER {RUN} - 1 AS drawdown FROM (SELECT *, product(1 + x) OVER {RUN} AS c FROM ({_DIRECT}))""", "signal turnover strategy_return cumulative drawdown")
 _PNL = f"SELECT symbol, open_time, sign(prediction)::DOUBLE AS signal, sign(prediction) * {_Y} AS trade_return FROM aligned WHERE {_Y} IS NOT NULL AND abs(prediction) > 0.002"
-query("simulate_pnl", lambda t: evaluate.simulate_pnl(t.aligned, 0.002), f"SELECT *, cumulative_pnl - max(cumulative_pnl) OVER {RUN} AS drawdown FROM (SELECT *, sum(trade_return) OVER {RUN} AS cumulative_pnl FROM ({_PNL}))", "signal trade_return cumulative_pnl drawdown")
+query("simulate_pnl", lambda t: evaluate.simulate_pnl(t.aligned, 0.002, STRETCH), f"SELECT *, cumulative_pnl - max(cumulative_pnl) OVER {RUN} AS drawdown FROM (SELECT *, sum(trade_return) OVER {RUN} AS cumulative_pnl FROM ({_PNL}))", "signal trade_return cumulative_pnl drawdown")
 query("pnl_summary", lambda t: evaluate.pnl_summary(t.aligned, 0.002), f"SELECT count(*) AS n_trades, avg(CAST(trade_return > 0 AS INT)) AS hit_ratio, sum(trade_return) AS total_return, avg(trade_return) / stddev_samp(trade_return) * sqrt(252 * 24) AS sharpe FROM ({_PNL})", "hit_ratio total_return sharpe")
-query("sign_strategy", lambda t: evaluate.sign_strategy(t.aligned), f"SELECT symbol, open_time, h AS hold_return, s AS strategy_return, sum(s) OVER {RUN} AS strategy_total, sum(h) OVER {RUN} AS hold_total, avg(s) OVER (PARTITION BY symbol) / stddev_pop(s) OVER (PARTITION BY symbol) AS sharpe FROM (SELECT symbol, open_time, {_Y} AS h, CASE WHEN prediction > 0 THEN {_Y} ELSE -{_Y} END AS s FROM aligned WHERE {_Y} IS NOT NULL)", "hold_return strategy_return strategy_total hold_total sharpe")
+query("sign_strategy", lambda t: evaluate.sign_strategy(t.aligned, stretch_s=STRETCH), f"SELECT symbol, open_time, h AS hold_return, s AS strategy_return, sum(s) OVER {RUN} AS strategy_total, sum(h) OVER {RUN} AS hold_total, avg(s) OVER (PARTITION BY symbol) / stddev_pop(s) OVER (PARTITION BY symbol) AS sharpe FROM (SELECT symbol, open_time, {_Y} AS h, CASE WHEN prediction > 0 THEN {_Y} ELSE -{_Y} END AS s FROM aligned WHERE {_Y} IS NOT NULL)", "hold_return strategy_return strategy_total hold_total sharpe")
 query("direction_metrics", lambda t: evaluate.direction_metrics(t.aligned, _Y, "prediction"), f"SELECT avg(CAST((y > 0) = (p > 0) AS INT)) AS direction_accuracy, count(*) FILTER (WHERE y > 0 AND p > 0) / count(*) FILTER (WHERE p > 0) AS precision_up, count(*) FILTER (WHERE y > 0 AND p > 0) / count(*) FILTER (WHERE y > 0) AS recall_up, count(*) AS n FROM (SELECT {_Y} AS y, prediction AS p FROM aligned WHERE {_Y} IS NOT NULL)", "direction_accuracy precision_up recall_up")
 
 # --- Drift ----------------------------------------------------------------------------------------------------------
@@ -507,6 +514,10 @@ def _ks_error(t: Tables) -> DataFrame:
 
 query("ks_approximate_error", _ks_error, " UNION ALL ".join(f"SELECT '{c}' AS feature, true AS close" for c in FEATURES))
 query("mean_std_shift", lambda t: drift.mean_std_shift(*_SIDES(t), FEATURES), _shift_sql("gold", FEATURES), "mean_shift std_shift shift_score")
+#: One recent value of a feature, and none of another: no shift can be told.
+_FEW = lambda t: (_SIDES(t)[0], _SIDES(t)[1].select(F.when(F.row_number().over(Window.orderBy("open_time", "symbol")) == 1, F.col("return_5")).alias("return_5"), F.lit(None).cast("double").alias("volume_ratio"), "range_ratio"))
+query("mean_std_shift_of_few", lambda t: drift.mean_std_shift(*_FEW(t), ["return_5", "volume_ratio", "range_ratio"]),
+      f"SELECT feature, CASE WHEN feature = 'range_ratio' THEN mean_shift ELSE 0.0 END AS mean_shift, CASE WHEN feature = 'range_ratio' THEN std_shift ELSE 0.0 END AS std_shift, CASE WHEN feature = 'range_ratio' THEN shift_score ELSE 0.0 END AS shift_score FROM ({_shift_sql('gold', ['return_5', 'volume_ratio', 'range_ratio'])})", "mean_shift std_shift shift_score")
 #: The newest rows of either side that drift is measured on; all sides of the fixture have more.
 _NEWEST = drift.DriftConfig(0.2, 50, recent_rows=300, baseline_rows=500)
 CTES["gold_newest"] = f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY open_time >= TIMESTAMP '{CUT}' ORDER BY open_time DESC, symbol) AS newest FROM gold) WHERE newest <= CASE WHEN open_time >= TIMESTAMP '{CUT}' THEN 300 ELSE 500 END"
