@@ -1,6 +1,7 @@
 """Windows by stretch against plain windows by symbol: gaps, nulls, ties, null symbols and times, products that change sign."""
 
 import datetime as dt
+import re
 
 import numpy as np
 import pandas as pd
@@ -95,15 +96,9 @@ def test_direct_signals_are_rounded_and_kept_within_bounds(spark):
     assert [r.signal for r in evaluate.backtest(df, direct=True).orderBy("open_time").collect()] == [0.0, 0.0, 1.0, -1.0, 1.0, -1.0, None, None]
 
 
-def test_a_symbol_has_as_many_tasks_as_stretches(spark):
-    """All rows are of one symbol; more than one task of the window stage gets rows."""
-    df = spark.range(4000).select(F.lit("x").alias("symbol"), F.timestamp_seconds(F.col("id") * 3600).alias("open_time"), F.col("id").cast("double").alias("x"))
-    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        out = stretches.with_running(df, {"s": ("sum", "x")}, stretch_s=20 * DAY)
-        assert out.select(F.spark_partition_id().alias("p")).distinct().count() > 1
-        frames = stretches.with_row_frames(df, lambda w: {"l": F.lag("x").over(w)}, before=1, stretch_s=20 * DAY, block=500)
-        assert frames.select(F.spark_partition_id().alias("p")).distinct().count() > 1
-    finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+def test_no_window_over_rows_is_partitioned_by_symbol_alone(candles):
+    rows = candles.withColumns({"actual_log_return_lead1": F.col("close") - 1, "residual": F.col("close") - 1, "predicted_close": F.col("close")})
+    for out in (evaluate.backtest(rows), evaluate.simulate_pnl(rows), evaluate.sign_strategy(rows), evaluate.rolling_rmse(rows), evaluate.rolling_score(rows, "close"), labels.forward_returns(rows), joins.fill_actuals(rows, candles),
+                joins.align_predictions(rows.select("symbol", "open_time", "prediction"), candles), aggs.lag_correlation(rows, x="close", y="prediction")):
+        windows = re.findall(r"\bWindow \[.*\], \[(symbol#\d+(?:, \w+#\d+L?)*)\], \[(\w+)#", out._jdf.queryExecution().executedPlan().toString())
+        assert windows and all("," in by or order == "__stretch" for by, order in windows), windows
