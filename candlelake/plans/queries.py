@@ -277,7 +277,26 @@ GOLD = [c for g in schemas.GOLD_GROUPS.values() for c in g]
 GOLD_DOUBLES = " ".join(c for c in GOLD if c not in ("hour", "day_of_week", "is_valid_feature_row"))
 query("gold_features", lambda t: t.gold.select("symbol", "open_time", *GOLD), f"SELECT symbol, open_time, {', '.join(GOLD)} FROM gold", GOLD_DOUBLES)
 query("gold_features_by_stretch", lambda t: gold_features_by_stretch(t.silver, HOUR, 4 * DAY).select("symbol", "open_time", *GOLD), f"SELECT symbol, open_time, {', '.join(GOLD)} FROM gold", GOLD_DOUBLES)
-query("gold_incremental", lambda t: medallion.gold_incremental(t.silver.where(F.col("open_time") >= F.lit(CUT)), t.silver.where(F.col("open_time") < F.lit(CUT)), HOUR).select("symbol", "open_time", *GOLD), f"SELECT symbol, open_time, {', '.join(GOLD)} FROM gold WHERE open_time >= TIMESTAMP '{CUT}'", GOLD_DOUBLES)
+
+
+def _gold_incremental(t: Tables) -> DataFrame:
+    """A batch with a symbol that has no history, and the tail of the rows before."""
+    new = F.col("symbol") == "view"
+    batch, history = t.silver.where((F.col("open_time") >= F.lit(CUT)) | new), t.silver.where((F.col("open_time") < F.lit(CUT)) & ~new)
+    return medallion.gold_incremental(batch, medallion.tail_of(history, HOUR), HOUR)
+
+
+def _gold_steps(t: Tables) -> DataFrame:
+    """Two batches after a first one, each from the tail that the one before it left."""
+    bounds = [dt.datetime(2024, 1, 11), dt.datetime(2024, 1, 21)]
+    first, second, third = (t.silver.where(x) for x in (F.col("open_time") < F.lit(bounds[0]), (F.col("open_time") >= F.lit(bounds[0])) & (F.col("open_time") < F.lit(bounds[1])), F.col("open_time") >= F.lit(bounds[1])))
+    tail = medallion.tail_of(first, HOUR)
+    return medallion.gold_incremental(second, tail, HOUR).unionByName(medallion.gold_incremental(third, medallion.advance_tail(tail, second, HOUR), HOUR))
+
+
+query("gold_incremental", lambda t: _gold_incremental(t).select("symbol", "open_time", *GOLD), f"SELECT symbol, open_time, {', '.join(GOLD)} FROM gold WHERE open_time >= TIMESTAMP '{CUT}' OR symbol = 'view'", GOLD_DOUBLES)
+query("gold_incremental_steps", lambda t: _gold_steps(t).select("symbol", "open_time", *GOLD), f"SELECT symbol, open_time, {', '.join(GOLD)} FROM gold WHERE open_time >= TIMESTAMP '2024-01-11'", GOLD_DOUBLES)
+query("gold_with_history", lambda t: medallion.gold_with_history(t.silver.where(F.col("open_time") >= F.lit(CUT)), t.silver.where(F.col("open_time") < F.lit(CUT)), HOUR).select("symbol", "open_time", *GOLD), f"SELECT symbol, open_time, {', '.join(GOLD)} FROM gold WHERE open_time >= TIMESTAMP '{CUT}'", GOLD_DOUBLES)
 _ROWS = "(PARTITION BY symbol ORDER BY open_time ROWS BETWEEN {} PRECEDING AND CURRENT ROW)"
 query("feat_row_windows", lambda t: features.feat_row_windows(t.silver).select("symbol", "open_time", "log_return", "target", "ma_5", "ma_20", "momentum", "trend_strength", "volatility_5"),
       f"SELECT symbol, open_time, ln(close / open) AS log_return, lead(ln(close / open)) OVER {ROW} AS target, avg(close) OVER {_ROWS.format(5)} AS ma_5, avg(close) OVER {_ROWS.format(20)} AS ma_20, close - avg(close) OVER {_ROWS.format(5)} AS momentum, avg(close) OVER {_ROWS.format(5)} - avg(close) OVER {_ROWS.format(20)} AS trend_strength, avg(high - low) OVER {_ROWS.format(5)} AS volatility_5 FROM silver", "log_return target ma_5 ma_20 momentum trend_strength volatility_5")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from candlelake.functions.columns import normalize_epoch
 from candlelake.operators.clean import KEY, bronze_candles, silver_candles
-from candlelake.plans.medallion import gold_incremental
+from candlelake.plans.medallion import LATE, gold_incremental, gold_with_history, tail_of, too_late
 from candlelake.sources.io import max_offsets, parse_topic_values
 from candlelake.sources.schemas import RAW
 
@@ -44,6 +45,10 @@ class LayerPaths:
     silver: str
     gold: str
     offsets: str
+    tail: str = ""
+
+    def __post_init__(self):
+        self.tail = self.tail or f"{self.silver}_tail"
 
 
 class _Folder:
@@ -138,25 +143,76 @@ def _write_offsets(batch: DataFrame, path: str, number: int) -> None:
         marks.delete(f"batch={v:012d}")
 
 
-def stream_medallion(source_sdf: DataFrame, paths: LayerPaths, checkpoint: str, interval_s: int, trigger: dict | None = None, on_batch: Callable[[DataFrame, int], None] | None = None, reemit: bool = True) -> StreamingQuery:
+class Tail:
+    """The tail of the silver layer (see ``plans.medallion.tail_of``) as a table that each batch adds to.
+
+    A version is the tail after its batch; the rows of the batches since then lie beside it. Every few batches a new version is
+    written, so a batch writes its own rows nearly always, and reads one version and the few batches after it. A batch that is
+    repeated reads what was there before it: one version more than the last is kept for that.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, interval_s: int, late_s: int, every: int = 16):
+        self.spark, self.path, self.interval_s, self.late_s, self.every = spark, path, interval_s, late_s, every
+
+    def _written(self, kind: str) -> list[int]:
+        folder = _Folder(self.spark, f"{self.path}/{kind}")
+        return sorted(int(n[2:]) for n in folder.names("v=") if folder.fs.exists(folder.hadoop.Path(folder.child(n), "_SUCCESS")))
+
+    def read(self, before: int) -> DataFrame | None:
+        """The tail as it was before a batch; None if nothing has been written."""
+        versions, batches = ([v for v in self._written(kind) if v < before] for kind in ("version", "batch"))
+        last = max(versions, default=-1)
+        parts = [f"{self.path}/version/v={last}"] if versions else []
+        parts += [f"{self.path}/batch/v={v}" for v in batches if v > last]
+        if not parts:
+            return None
+        rows = reduce(DataFrame.unionByName, [self.spark.read.parquet(p).withColumn("v", F.lit(k)) for k, p in enumerate(parts)])
+        return _newest(rows, KEY).select(*[c for c in rows.columns if c != "v"])
+
+    def begin(self, rows: DataFrame, number: int) -> None:
+        """The first version, of a layer that was there before its tail."""
+        tail_of(rows, self.interval_s, self.late_s).write.mode("overwrite").parquet(f"{self.path}/version/v={number}")
+
+    def add(self, batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{self.path}/batch/v={number}")
+        versions = [v for v in self._written("version") if v < number]
+        if number - max(versions, default=-1) >= self.every:
+            self.begin(self.read(number + 1), number)
+            for kind in ("version", "batch"):
+                for v in self._written(kind):
+                    if v < max(versions, default=-1) + (kind == "batch"):
+                        _Folder(self.spark, f"{self.path}/{kind}").delete(f"v={v}")
+
+
+def stream_medallion(source_sdf: DataFrame, paths: LayerPaths, checkpoint: str, interval_s: int, trigger: dict | None = None, on_batch: Callable[[DataFrame, int], None] | None = None, reemit: bool = True, late_s: int = LATE) -> StreamingQuery:
     """Topic messages to silver and gold. For each micro-batch: parse, bronze, silver, features of the new rows from the
-    history they need, then offsets last; a batch that is repeated after a failure replaces what it wrote.
+    tail of what came before, then offsets last; a batch that is repeated after a failure replaces what it wrote.
 
-    A batch reads and merges the days that its features reach back to, and writes its own rows by date; with ``reemit``,
-    also the features of rows after a late one, which it changes. Readers merge by key, the latest batch first.
-    ``on_batch`` gets the gold rows of the batch.
+    A batch reads the tail, whose size doesn't grow with the layers, and no file of silver or gold; only if a row comes more
+    than ``late_s`` seconds late, the days that its features reach back to. It writes its own rows by date; with ``reemit``,
+    also the features of rows after a late one, which it changes. Readers merge by key, the latest batch first. ``on_batch``
+    gets the gold rows of the batch.
     """
 
     def layer(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         silver = silver_candles(bronze_candles(parse_topic_values(batch, RAW), "stream")).persist()
+        tail = Tail(spark, paths.tail, interval_s, late_s)
         try:
-            held = read_layer(spark, paths.silver, before=number)
-            gold = gold_incremental(silver, silver.limit(0) if held is None else held, interval_s, reemit)
+            held = tail.read(number)
+            if held is None and (before := read_layer(spark, paths.silver, before=number)) is not None:
+                tail.begin(before, number - 1)
+                held = tail.read(number)
+            held = silver.limit(0) if held is None else held
+            if too_late(silver, held, late_s).isEmpty():
+                gold = gold_incremental(silver, held, interval_s, reemit)
+            else:
+                gold = gold_with_history(silver, read_layer(spark, paths.silver, before=number), interval_s, reemit)
             _write(gold, paths.gold, number)
             if on_batch:
                 on_batch(spark.read.parquet(paths.gold).where(F.col("v") == number).drop("v"), number)
             _write(silver, paths.silver, number)
+            tail.add(silver, number)
             _write_offsets(batch, paths.offsets, number)
         finally:
             silver.unpersist()

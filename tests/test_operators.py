@@ -261,7 +261,7 @@ def test_history_is_read_from_the_days_that_are_needed(spark, tmp_path):
     silver.where("open_time < timestamp'2024-02-05'").write.partitionBy("date").parquet(str(tmp_path / "history"))
     history = spark.read.parquet(str(tmp_path / "history")).select(*silver.columns)
     batch = silver.where("open_time >= timestamp'2024-02-05' AND open_time < timestamp'2024-02-06'")
-    out = medallion.gold_incremental(batch, history, 3600)
+    out = medallion.gold_with_history(batch, history, 3600)
     plan = out._jdf.queryExecution().executedPlan().toString()
     scans = [line for line in plan.split("\n") if "PartitionFilters" in line and "history" in line]
     assert scans and all("date" in x.split("PartitionFilters: [")[1].split("]")[0] and ">=" in x for x in scans)
@@ -275,7 +275,7 @@ def test_sparse_history_is_looked_for_further_back(spark, tmp_path):
     silver = clean.silver_candles(every.where("hour(open_time) = 0 AND day(open_time) % 3 = 1"))
     silver.where("open_time < timestamp'2024-02-05'").write.partitionBy("date").parquet(str(tmp_path / "history"))
     batch = silver.where("open_time >= timestamp'2024-02-05'")
-    out = medallion.gold_incremental(batch, spark.read.parquet(str(tmp_path / "history")).select(*silver.columns), 3600)
+    out = medallion.gold_with_history(batch, spark.read.parquet(str(tmp_path / "history")).select(*silver.columns), 3600)
     want = features.gold_features(silver, 3600).where("open_time >= timestamp'2024-02-05'")
     key = lambda d: d.toPandas().sort_values("open_time", ignore_index=True)
     assert batch.count() > 0
