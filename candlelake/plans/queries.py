@@ -279,19 +279,27 @@ query("gold_features", lambda t: t.gold.select("symbol", "open_time", *GOLD), f"
 query("gold_features_by_stretch", lambda t: gold_features_by_stretch(t.silver, HOUR, 4 * DAY).select("symbol", "open_time", *GOLD), f"SELECT symbol, open_time, {', '.join(GOLD)} FROM gold", GOLD_DOUBLES)
 
 
+def _kept(t: Tables, df: DataFrame) -> DataFrame:
+    """df as a table that has been written."""
+    path = t.scratch()
+    df.write.parquet(path)
+    return t.spark.read.parquet(path)
+
+
 def _gold_incremental(t: Tables) -> DataFrame:
     """A batch with a symbol that has no history, and the tail of the rows before."""
-    new = F.col("symbol") == "view"
-    batch, history = t.silver.where((F.col("open_time") >= F.lit(CUT)) | new), t.silver.where((F.col("open_time") < F.lit(CUT)) & ~new)
-    return medallion.gold_incremental(batch, medallion.tail_of(history, HOUR), HOUR)
+    new, silver = F.col("symbol") == "view", _kept(t, t.silver)
+    batch, history = silver.where((F.col("open_time") >= F.lit(CUT)) | new), silver.where((F.col("open_time") < F.lit(CUT)) & ~new)
+    return medallion.gold_incremental(batch, _kept(t, medallion.tail_of(history, HOUR)), HOUR)
 
 
 def _gold_steps(t: Tables) -> DataFrame:
     """Two batches after a first one, each from the tail that the one before it left."""
-    bounds = [dt.datetime(2024, 1, 11), dt.datetime(2024, 1, 21)]
-    first, second, third = (t.silver.where(x) for x in (F.col("open_time") < F.lit(bounds[0]), (F.col("open_time") >= F.lit(bounds[0])) & (F.col("open_time") < F.lit(bounds[1])), F.col("open_time") >= F.lit(bounds[1])))
-    tail = medallion.tail_of(first, HOUR)
-    return medallion.gold_incremental(second, tail, HOUR).unionByName(medallion.gold_incremental(third, medallion.advance_tail(tail, second, HOUR), HOUR))
+    silver, bounds = _kept(t, t.silver), [dt.datetime(2024, 1, 11), dt.datetime(2024, 1, 21)]
+    first, second, third = (silver.where(x) for x in (F.col("open_time") < F.lit(bounds[0]), (F.col("open_time") >= F.lit(bounds[0])) & (F.col("open_time") < F.lit(bounds[1])), F.col("open_time") >= F.lit(bounds[1])))
+    tail = _kept(t, medallion.tail_of(first, HOUR))
+    later = _kept(t, medallion.advance_tail(tail, second, HOUR))
+    return medallion.gold_incremental(second, tail, HOUR).unionByName(medallion.gold_incremental(third, later, HOUR))
 
 
 query("gold_incremental", lambda t: _gold_incremental(t).select("symbol", "open_time", *GOLD), f"SELECT symbol, open_time, {', '.join(GOLD)} FROM gold WHERE open_time >= TIMESTAMP '{CUT}' OR symbol = 'view'", GOLD_DOUBLES)
