@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlelake.functions.columns import correlation
@@ -130,12 +130,50 @@ def null_rates(df: DataFrame, cols: list[str] | None = None, counts: bool = Fals
     return _unpivoted(share, cols, "null_pct").where("null_pct > 0").orderBy(F.desc("null_pct"), "column")
 
 
+#: Ranges that the values of a column are counted in, before the ones that hold a quantile are looked into.
+RANGES = 256
+
+
+def exact_quantiles(values: DataFrame, shares: list[float], by: str = "feature", value: str = "x") -> DataFrame:
+    """by, and q0, q1, ...: the quantiles of the values of each series, interpolated between neighbours; null without values.
+
+    A sketch deals the values of a series into ranges; counts of the ranges say which of them hold the ranks that are asked
+    for, and only their values are counted one by one. No task or buffer holds a series, and where the ranges end doesn't
+    matter for the result. NaN counts as the largest value.
+    """
+    rows = values.where(F.col(value).isNotNull()).select(by, F.col(value).cast("double").alias("__x"))
+    ends = rows.groupBy(by).agg(F.percentile_approx("__x", [i / RANGES for i in range(1, RANGES)], 10 * RANGES).alias("__ends"), F.count(F.lit(1)).alias("__n"))
+    # A range goes from the end before it, left out, to its own; equal values share one.
+    place = F.size(F.filter("__ends", lambda e: e < F.col("__x")))
+    dealt = rows.join(F.broadcast(ends), by).select(by, "__x", "__n", place.alias("__range"))
+    counts = dealt.groupBy(by, "__range").agg(F.count(F.lit(1)).alias("__c"), F.first("__n").alias("__n"))
+    before = F.sum("__c").over(Window.partitionBy(by).orderBy("__range")) - F.col("__c")
+    low = lambda s: F.floor((F.col("__n") - 1) * F.lit(float(s))).cast("long")
+    high = lambda s: F.least(low(s) + 1, F.col("__n") - 1)
+    wanted = F.array(*[rank(s) for s in shares for rank in (low, high)])
+    ranges = counts.withColumn("__before", before).withColumn("__wanted", F.filter(wanted, lambda r: (r >= F.col("__before")) & (r < F.col("__before") + F.col("__c")))).where(F.size("__wanted") > 0)
+    # Values of those ranges, once each with their number: a value that is as common as a range is one row.
+    inside = dealt.join(F.broadcast(ranges.select(by, "__range", "__before")), [by, "__range"]).groupBy(by, "__range", "__before", "__x").agg(F.count(F.lit(1)).alias("__c"))
+    last = F.col("__before") + F.sum("__c").over(Window.partitionBy(by, "__range").orderBy("__x"))
+    inside = inside.withColumn("__last", last).withColumn("__first", F.col("__last") - F.col("__c")).join(F.broadcast(ends.select(by, "__n")), by)
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((rank >= F.col("__first")) & (rank < F.col("__last")), F.col("__x")))
+
+    found = inside.groupBy(by).agg(F.first("__n").alias("__n"), *[at(r(s)).alias(f"__{n}{i}") for i, s in enumerate(shares) for n, r in (("low", low), ("high", high))])
+    part = lambda i, s: (F.col("__n") - 1) * F.lit(float(s)) - low(s)
+    return found.select(by, *[F.when(part(i, s) == 0, F.col(f"__low{i}")).otherwise(F.col(f"__low{i}") + (F.col(f"__high{i}") - F.col(f"__low{i}")) * part(i, s)).alias(f"q{i}") for i, s in enumerate(shares)])
+
+
 def baseline_stats(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """feature, mean, std, min, p25, p75, max of numeric columns, in one pass."""
+    """feature, mean, std, min, p25, p75, max of numeric columns: one pass for the moments, and exact quantiles of all columns
+    together."""
     cols = numeric(df) if cols is None else cols
-    fn = {"mean": F.avg, "std": F.stddev, "min": F.min, "p25": lambda c: F.percentile(c, F.lit(0.25)), "p75": lambda c: F.percentile(c, F.lit(0.75)), "max": F.max}
+    fn = {"mean": F.avg, "std": F.stddev, "min": F.min, "max": F.max}
     row = df.agg(*[F.struct(*[f(F.col(c).cast("double")).alias(n) for n, f in fn.items()]).alias(c) for c in cols])
-    return _unpivoted(row, cols, "__s", "feature").select("feature", "__s.*")
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").cast("double").alias("x")) for c in cols])).alias("__v")).select("__v.*")
+    stats = _unpivoted(row, cols, "__s", "feature").select("feature", "__s.*")
+    return stats.join(exact_quantiles(long, [0.25, 0.75]).withColumnsRenamed({"q0": "p25", "q1": "p75"}), "feature", "left").select("feature", "mean", "std", "min", "p25", "p75", "max")
 
 
 def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
