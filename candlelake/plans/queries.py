@@ -54,6 +54,17 @@ class Tables:
     def gold(self) -> DataFrame:
         return features.gold_features(self.silver, HOUR)
 
+    @cached_property
+    def written_gold(self) -> DataFrame:
+        """Gold as a table, as it is where drift is measured."""
+        return self.kept(self.gold)
+
+    def kept(self, df: DataFrame) -> DataFrame:
+        """df as a table that has been written."""
+        path = self.scratch()
+        df.write.parquet(path)
+        return self.spark.read.parquet(path)
+
     @cached_property
     def aligned(self) -> DataFrame:
         return joins.align_predictions(self.predictions_in, self.candles_h, stretch_s=STRETCH)
@@ -72,7 +83,8 @@ class Tables:
 
     @cached_property
     def report(self) -> DataFrame:
-        data = drift.data_drift(self.gold.where(F.col("open_time") < F.lit(CUT)), self.gold.where(F.col("open_time") >= F.lit(CUT)), FEATURES, drift.DriftConfig(0.2, 50))
+        gold = self.written_gold
+        data = drift.data_drift(gold.where(F.col("open_time") < F.lit(CUT)), gold.where(F.col("open_time") >= F.lit(CUT)), FEATURES, drift.DriftConfig(0.2, 50))
         p = self.predictions_in
         model = drift.model_drift(p.where(F.col("open_time") >= F.lit(CUT)), p.where(F.col("open_time") < F.lit(CUT)), ["return_short", "return_long"], drift.DriftConfig(0.2, 50))
         return drift.drift_report(data, model, drift.DriftConfig(0.2))
@@ -279,26 +291,19 @@ query("gold_features", lambda t: t.gold.select("symbol", "open_time", *GOLD), f"
 query("gold_features_by_stretch", lambda t: gold_features_by_stretch(t.silver, HOUR, 4 * DAY).select("symbol", "open_time", *GOLD), f"SELECT symbol, open_time, {', '.join(GOLD)} FROM gold", GOLD_DOUBLES)
 
 
-def _kept(t: Tables, df: DataFrame) -> DataFrame:
-    """df as a table that has been written."""
-    path = t.scratch()
-    df.write.parquet(path)
-    return t.spark.read.parquet(path)
-
-
 def _gold_incremental(t: Tables) -> DataFrame:
     """A batch with a symbol that has no history, and the tail of the rows before."""
-    new, silver = F.col("symbol") == "view", _kept(t, t.silver)
+    new, silver = F.col("symbol") == "view", t.kept(t.silver)
     batch, history = silver.where((F.col("open_time") >= F.lit(CUT)) | new), silver.where((F.col("open_time") < F.lit(CUT)) & ~new)
-    return medallion.gold_incremental(batch, _kept(t, medallion.tail_of(history, HOUR)), HOUR)
+    return medallion.gold_incremental(batch, t.kept(medallion.tail_of(history, HOUR)), HOUR)
 
 
 def _gold_steps(t: Tables) -> DataFrame:
     """Two batches after a first one, each from the tail that the one before it left."""
-    silver, bounds = _kept(t, t.silver), [dt.datetime(2024, 1, 11), dt.datetime(2024, 1, 21)]
+    silver, bounds = t.kept(t.silver), [dt.datetime(2024, 1, 11), dt.datetime(2024, 1, 21)]
     first, second, third = (silver.where(x) for x in (F.col("open_time") < F.lit(bounds[0]), (F.col("open_time") >= F.lit(bounds[0])) & (F.col("open_time") < F.lit(bounds[1])), F.col("open_time") >= F.lit(bounds[1])))
-    tail = _kept(t, medallion.tail_of(first, HOUR))
-    later = _kept(t, medallion.advance_tail(tail, second, HOUR))
+    tail = t.kept(medallion.tail_of(first, HOUR))
+    later = t.kept(medallion.advance_tail(tail, second, HOUR))
     return medallion.gold_incremental(second, tail, HOUR).unionByName(medallion.gold_incremental(third, later, HOUR))
 
 
@@ -507,7 +512,7 @@ query("direction_metrics", lambda t: evaluate.direction_metrics(t.aligned, _Y, "
 
 # --- Drift ----------------------------------------------------------------------------------------------------------
 
-_SIDES = lambda t: (t.gold.where(F.col("open_time") < F.lit(CUT)), t.gold.where(F.col("open_time") >= F.lit(CUT)))
+_SIDES = lambda t: (t.written_gold.where(F.col("open_time") < F.lit(CUT)), t.written_gold.where(F.col("open_time") >= F.lit(CUT)))
 
 
 def _long_sql(table: str, names: list[str]) -> str:
@@ -536,7 +541,7 @@ query("ks_approximate", lambda t: drift.ks_approximate(*_SIDES(t), FEATURES))
 
 def _ks_error(t: Tables) -> DataFrame:
     exact = drift.ks_statistic(*_SIDES(t), FEATURES).select("feature", F.col("ks_statistic").alias("exact"))
-    return drift.ks_approximate(*_SIDES(t), FEATURES).join(exact, "feature").select("feature", (F.abs(F.col("ks_statistic") - F.col("exact")) <= 0.05).alias("close"))
+    return drift.ks_approximate(*_SIDES(t), FEATURES).join(exact, "feature").select("feature", (F.abs(F.col("ks_statistic") - F.col("exact")) <= 0.01).alias("close"))
 
 
 query("ks_approximate_error", _ks_error, " UNION ALL ".join(f"SELECT '{c}' AS feature, true AS close" for c in FEATURES))
@@ -551,6 +556,25 @@ CTES["gold_newest"] = f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY
 CTES["predictions_newest"] = f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY open_time >= TIMESTAMP '{CUT}' ORDER BY open_time DESC, symbol) AS newest FROM predictions_in) WHERE newest <= CASE WHEN open_time >= TIMESTAMP '{CUT}' THEN 300 ELSE 500 END"
 query("data_drift", lambda t: drift.data_drift(*_SIDES(t), FEATURES, _NEWEST), _drift_sql("gold_newest", FEATURES, "data"), DRIFT_DOUBLES)
 query("model_drift", lambda t: drift.model_drift(t.predictions_in.where(F.col("open_time") >= F.lit(CUT)), t.predictions_in.where(F.col("open_time") < F.lit(CUT)), TARGETS, _NEWEST), _drift_sql("predictions_newest", TARGETS, "model", "__model__."), DRIFT_DOUBLES)
+
+
+def _kept_sketches(t: Tables, gold: DataFrame) -> DataFrame:
+    """Sketches of a table in two appends, kept by date."""
+    path = t.scratch()
+    for part in (F.hour("open_time") < 12, F.hour("open_time") >= 12):
+        io.write_partitioned(drift.drift_sketches(gold.where(part), FEATURES), path, partition_by=("date",))
+    return t.spark.read.parquet(path)
+
+
+def _sketch_drift(t: Tables) -> DataFrame:
+    """Shifts from sketches, and whether KS is as near to the exact one as sketches are."""
+    found = drift.drift_from_sketches(*[_kept_sketches(t, side) for side in _SIDES(t)], FEATURES, drift.DriftConfig(0.2, 50))
+    exact = drift.ks_statistic(*_SIDES(t), FEATURES).select(F.col("feature").alias("feature_name"), F.col("ks_statistic").alias("exact"))
+    return found.join(exact, "feature_name").select("feature_name", "drift_type", "mean_shift", "std_shift", (F.abs(F.col("ks_statistic") - F.col("exact")) <= 0.01).alias("close"), (F.col("drift_score") >= F.greatest("ks_statistic", (F.col("mean_shift") + F.col("std_shift")) / 2) - 1e-12).alias("highest"))
+
+
+query("drift_from_sketches", _sketch_drift, f"SELECT feature AS feature_name, 'data' AS drift_type, mean_shift, std_shift, true AS close, true AS highest FROM ({_shift_sql('gold', FEATURES)})", "mean_shift std_shift")
+query("newest_rows", lambda t: drift.newest_rows(t.predictions_in, 333).select("symbol", "open_time", "prediction"), "SELECT symbol, open_time, prediction FROM predictions_in ORDER BY open_time DESC, symbol LIMIT 333", "prediction")
 CTES["drift_rows"] = f"{_drift_sql('gold', FEATURES, 'data')} UNION ALL {_drift_sql('predictions_in', TARGETS, 'model', '__model__.')}"
 CTES["drift_top"] = "SELECT max(drift_score) FILTER (WHERE drift_type = 'data') AS data_drift_score, max(drift_score) FILTER (WHERE drift_type = 'model') AS model_drift_score, max(drift_score) AS overall_drift_score FROM drift_rows"
 CTES["report"] = """SELECT r.*, t.*, 0.2::DOUBLE AS threshold FROM (SELECT * FROM drift_rows UNION ALL SELECT '__model__', 'model', model_drift_score, model_drift_score >= 0.2, 0, 0, 0 FROM drift_top UNION ALL SELECT '__overall__', 'overall', overall_drift_score, overall_drift_score >= 0.2, 0, 0, 0 FROM drift_top) r, drift_top t"""
