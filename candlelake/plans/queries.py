@@ -430,8 +430,12 @@ query("ordered_split", lambda t: labels.ordered_split(t.candles_h).select("symbo
 _TRAIN = lambda t: _SPLIT(t).where("return_short IS NOT NULL").select("symbol", "open_time", "split", "return_short", "sign_short", *FEATURES)
 
 
-def _select_model(t: Tables) -> DataFrame:
-    return ml.select_model(_TRAIN(t), FEATURES, "return_short", [{"maxDepth": 2, "maxIter": 3}, {"maxDepth": 3, "maxIter": 3}])[1]
+#: Candidates of a search: half of them go on with twice the trees.
+_GRID = [{"maxDepth": 1, "maxIter": 4}, {"maxDepth": 2, "maxIter": 4}, {"maxDepth": 3, "maxIter": 4}]
+
+
+def _searched(t: Tables) -> tuple:
+    return ml.select_model(t.kept(_TRAIN(t)), FEATURES, "return_short", _GRID, halving=2)
 
 
 def _scorer(batch):
@@ -442,37 +446,45 @@ def _scorer(batch):
 
 SCORED = "symbol string, open_time timestamp, return_short double, sign_short double"
 query("fit_regressor", lambda t: ml.fit_regressor(_TRAIN(t).where("split = 'train'"), FEATURES, "return_short", None, {"maxDepth": 3, "maxIter": 3}).transform(_TRAIN(t).where("split = 'test'")).select("symbol", "open_time", "prediction"))
-query("fit_classifier", lambda t: ml.fit_classifier(_TRAIN(t).where("split = 'train'"), FEATURES, "sign_short", None, {"numTrees": 5, "maxDepth": 4}).transform(_TRAIN(t).where("split = 'test'")).select("symbol", "open_time", "prediction"))
-query("select_model", _select_model)
+query("fit_classifier", lambda t: ml.fit_classifier(_TRAIN(t).where("split = 'train'"), FEATURES, "sign_short", None, {"maxIter": 3, "maxDepth": 3}).transform(_TRAIN(t).where("split = 'test'")).select("symbol", "open_time", "prediction"))
+query("select_model", lambda t: _searched(t)[1])
 
 
 def _regressor_fit(t: Tables) -> DataFrame:
-    """Boosting lowers the error on its own rows below that of their mean."""
-    rows = _TRAIN(t).where("split = 'train'")
-    out = ml.fit_regressor(rows, FEATURES, "return_short", None, {"maxDepth": 3, "maxIter": 3}).transform(rows)
-    e = F.col("return_short") - F.col("prediction")
-    return out.agg(F.count(F.lit(1)).alias("n"), (F.sqrt(F.avg(e * e)) <= F.stddev_pop("return_short")).alias("beats_the_mean"), F.count("prediction").alias("predicted"))
+    """On the val split, boosting leaves less than nine tenths of the error that the mean of the train split leaves."""
+    rows = t.kept(_TRAIN(t))
+    train, val = rows.where("split = 'train'"), rows.where("split = 'val'")
+    out = ml.fit_regressor(train, FEATURES, "return_short", None, {"maxDepth": 3, "maxIter": 8}).transform(val).crossJoin(F.broadcast(train.agg(F.avg("return_short").alias("mean"))))
+    error = lambda c: F.sqrt(F.avg((F.col("return_short") - F.col(c)) ** 2))
+    return out.agg(F.count(F.lit(1)).alias("n"), (error("prediction") < 0.9 * error("mean")).alias("beats_the_mean"), F.count("prediction").alias("predicted"))
 
 
 def _classifier_fit(t: Tables) -> DataFrame:
-    rows = _TRAIN(t).where("split = 'train'")
-    out = ml.fit_classifier(rows, FEATURES, "sign_short", None, {"numTrees": 5, "maxDepth": 4}).transform(rows)
-    hit = F.avg((F.col("prediction") == F.col("sign_short")).cast("double"))
-    share = F.greatest(*[F.avg((F.col("sign_short") == k).cast("double")) for k in range(3)])
-    return out.agg(F.count(F.lit(1)).alias("n"), (hit >= 0.9 * share).alias("near_or_above_the_commonest"), F.count_distinct(F.when(~F.col("prediction").isin(0.0, 1.0, 2.0), F.col("prediction"))).alias("other_classes"))
+    """On the val split, the log loss is below that of a forest of as many trees of the same depth (by more than minus one
+    standard error of the rows' differences, as the smallest tables don't tell the two apart) and of the train split's shares."""
+    rows = t.kept(_TRAIN(t))
+    train, val = rows.where("split = 'train'"), rows.where("split = 'val'")
+    for name, params in {"boosted": {"maxIter": 10, "maxDepth": 2, "stepSize": 0.2}, "forest": {"numTrees": 30, "maxDepth": 2}}.items():
+        val = ml.fit_classifier(train, FEATURES, "sign_short", None, params).transform(val)
+        val = val.withColumn(name, -F.log(F.get(ml.vector_to_array("probability"), F.col("sign_short")))).select(*rows.columns, *[c for c in ("boosted", "forest") if c in val.columns or c == name])
+    share = [F.avg((F.col("sign_short") == k).cast("double")).alias(f"s{k}") for k in range(3)]
+    plain = -F.log(F.element_at(F.array("s0", "s1", "s2"), F.col("sign_short") + 1))
+    d, n = F.col("boosted") - F.col("forest"), F.count(F.lit(1))
+    return val.crossJoin(F.broadcast(train.agg(*share))).agg(n.alias("n"), (F.avg(d) < F.stddev(d) / F.sqrt(n)).alias("below_the_forest"), (F.avg("boosted") < 0.95 * F.avg(plain)).alias("below_the_shares"))
 
 
 def _selection(t: Tables) -> DataFrame:
-    model, scores = ml.select_model(_TRAIN(t), FEATURES, "return_short", [{"maxDepth": 2, "maxIter": 3}, {"maxDepth": 3, "maxIter": 3}])
-    val = _TRAIN(t).where("split = 'val'")
-    own = evaluate.regression_metrics(model.transform(val), "return_short", "prediction").select("rmse", "n")
-    best = scores.agg(F.count(F.lit(1)).alias("candidates"), F.min("rmse").alias("best"))
-    return own.crossJoin(F.broadcast(best)).select("candidates", "n", (F.abs(F.col("rmse") - F.col("best")) < 1e-9).alias("lowest_is_chosen"))
+    """What the table of scores says of the search, and the score of the model that was chosen."""
+    model, scores = _searched(t)
+    own = evaluate.regression_metrics(model.transform(_TRAIN(t).where("split = 'val'")), "return_short", "prediction").select("rmse", "n")
+    scores = scores.withColumn("last", F.max("rung").over(Window.partitionBy(F.lit(0))))  # a few rows
+    best = scores.agg(F.count(F.lit(1)).alias("fitted"), F.max("trees").alias("trees"), F.min(F.when(F.col("rung") == F.col("last"), F.col("rmse"))).alias("best"), F.max(F.when(F.col("chosen"), F.col("rmse"))).alias("chosen"))
+    return own.crossJoin(F.broadcast(best)).select("fitted", "trees", "n", ((F.abs(F.col("rmse") - F.col("best")) < 1e-9) & (F.col("best") == F.col("chosen"))).alias("lowest_is_chosen"))
 
 
-query("fit_regressor_quality", _regressor_fit, "SELECT count(*) AS n, true AS beats_the_mean, count(*) AS predicted FROM split_rows WHERE split = 'train' AND return_short IS NOT NULL")
-query("fit_classifier_quality", _classifier_fit, "SELECT count(*) AS n, true AS near_or_above_the_commonest, CAST(0 AS BIGINT) AS other_classes FROM split_rows WHERE split = 'train' AND return_short IS NOT NULL")
-query("select_model_quality", _selection, "SELECT CAST(2 AS BIGINT) AS candidates, count(*) AS n, true AS lowest_is_chosen FROM split_rows WHERE split = 'val' AND return_short IS NOT NULL")
+query("fit_regressor_quality", _regressor_fit, "SELECT count(*) AS n, true AS beats_the_mean, count(*) AS predicted FROM split_rows WHERE split = 'val' AND return_short IS NOT NULL")
+query("fit_classifier_quality", _classifier_fit, "SELECT count(*) AS n, true AS below_the_forest, true AS below_the_shares FROM split_rows WHERE split = 'val' AND return_short IS NOT NULL")
+query("select_model_quality", _selection, "SELECT CAST(5 AS BIGINT) AS fitted, CAST(4 AS INT) AS trees, count(*) AS n, true AS lowest_is_chosen FROM split_rows WHERE split = 'val' AND return_short IS NOT NULL")
 query("score_batches", lambda t: ml.score_batches(clean.valid_feature_rows(t.gold, FEATURES).select("symbol", "open_time", *FEATURES), _scorer, SCORED), "SELECT symbol, open_time, return_5 / 10 AS return_short, imbalance_ratio + 1 AS sign_short FROM gold WHERE is_valid_feature_row", "return_short sign_short")
 _RAW_OUT = lambda t: t.gold.select("symbol", "open_time", (F.col("return_5") / 10).alias("return_short"), (F.col("imbalance_ratio") * 3).alias("sign_short"))
 for _name, _compat, _guard in (("postprocess_outputs", False, ""), ("postprocess_outputs_compat", True, "WHEN abs(x) < 0.25 THEN 1 ")):
