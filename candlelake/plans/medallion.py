@@ -8,20 +8,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from candlelake.functions.stretches import STRETCH
 from candlelake.operators.clean import KEY, bronze_candles, silver_candles, valid_feature_rows
 from candlelake.operators.features import gold_features, reach_seconds
 from candlelake.operators.joins import restrict_to_keys, restrict_to_symbols
 from candlelake.operators.ml import score_batches
-from candlelake.plans.halo import OLDER_ROWS
+from candlelake.plans.halo import OLDER_ROWS, gold_features_by_stretch
 from candlelake.sources.io import advance_state, last_processed_by_symbol, read_incremental_by_key, upsert
 
 #: Seconds that a row may be late by.
 LATE = 86400
 
 
-def batch_medallion(raw: DataFrame, interval_s: int, source: str = "batch") -> DataFrame:
-    """Raw candles to gold in one plan."""
-    return gold_features(silver_candles(bronze_candles(raw, source)), interval_s)
+def batch_medallion(raw: DataFrame, interval_s: int, source: str = "batch", stretch_s: int = STRETCH) -> DataFrame:
+    """Raw candles to gold in one plan, in as many tasks as there are symbols and stretches of time."""
+    return gold_features_by_stretch(silver_candles(bronze_candles(raw, source)), interval_s, stretch_s)
 
 
 def _history(batch: DataFrame, history: DataFrame, first: DataFrame, reach: Column) -> DataFrame:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -101,9 +103,24 @@ def read_incremental_by_key(df: DataFrame, state: DataFrame, lookback: str | Non
     return rows.join(state, (F.col(by) == F.col("__by")) & (F.col(time) > F.col("__mark"))).select(*df.columns)
 
 
-def read_latest_partition(df: DataFrame, partition: str = "date") -> DataFrame:
-    last = df.agg(F.max(partition).alias("__last"))
-    return df.join(F.broadcast(last), F.col(partition) == F.col("__last"), "left_semi")
+def latest_partition(table: DataFrame, partition: str = "date") -> str | int | None:
+    """The largest value of a partition column among a table's files, as the file index of its folder has them: no data is
+    read. None for a table without partitions; null partitions don't count. Values are compared as numbers if the column is
+    one, else as text, which is the order of dates."""
+    whole = isinstance(table.schema[partition].dataType, T.IntegralType)
+    found = {unquote(m[1]) for m in (re.search(rf"/{re.escape(partition)}=([^/]+)/", f) for f in table.inputFiles()) if m}
+    return max((int(v) if whole else v for v in found - {"__HIVE_DEFAULT_PARTITION__"}), default=None)
+
+
+def read_latest_partition(table: DataFrame | str, partition: str = "date", spark: SparkSession | None = None) -> DataFrame:
+    """The rows of the latest partition. Of a path (with spark) it is taken from the names of the folders, and only its files
+    are read; of other tables from the rows."""
+    if isinstance(table, str):
+        rows = spark.read.parquet(table)
+        last = latest_partition(rows, partition)
+        return rows.limit(0) if last is None else rows.where(F.col(partition) == F.lit(last).cast(rows.schema[partition].dataType))
+    last = table.agg(F.max(partition).alias("__last"))
+    return table.join(F.broadcast(last), F.col(partition) == F.col("__last"), "left_semi")
 
 
 def last_value(df: DataFrame, column: str = "open_time") -> DataFrame:

@@ -32,14 +32,46 @@ def stream_silver(sdf: DataFrame) -> DataFrame:
     return silver_candles(sdf)
 
 
-def stream_append(sdf: DataFrame, path: str, checkpoint: str, mode: str = "append", trigger: dict | None = None, partition_by: tuple[str, ...] = ("symbol", "date"), name: str | None = None) -> StreamingQuery:
-    """Writes a stream to Parquet; trigger is {"availableNow": True} or {"processingTime": "5 minutes"}."""
+def stream_append(sdf: DataFrame, path: str, checkpoint: str, mode: str = "append", trigger: dict | None = None, partition_by: tuple[str, ...] = ("symbol", "date"), name: str | None = None, keys: tuple[str, ...] = ()) -> StreamingQuery:
+    """Writes a stream to Parquet; trigger is {"availableNow": True} or {"processingTime": "5 minutes"}.
+
+    Spark's file sink appends only. With mode "update" each batch writes the rows that it changed as a version of its own, and
+    with "complete" a version of the whole result, which takes the place of the one before; a batch that is repeated replaces
+    its version. ``read_versions`` reads either; updates are merged by ``keys``.
+    """
     if mode not in MODES:
         raise ValueError(f"mode {mode!r} is none of {', '.join(MODES)}")
-    writer = sdf.writeStream.format("parquet").outputMode(mode).option("path", path).option("checkpointLocation", checkpoint).partitionBy(*partition_by).trigger(**(trigger or {"processingTime": "5 minutes"}))
+    if mode == "update" and not keys:
+        raise ValueError("mode 'update' needs the keys that rows are merged by")
+    writer = sdf.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "5 minutes"}))
+    if mode == "append":
+        writer = writer.format("parquet").option("path", path).partitionBy(*partition_by)
+    else:
+        writer = writer.foreachBatch(lambda batch, number: _write_version(batch, path, number, mode == "complete"))
     return (writer.queryName(name) if name else writer).start()
 
 
+def _write_version(batch: DataFrame, path: str, number: int, alone: bool) -> None:
+    batch.write.mode("overwrite").parquet(f"{path}/v={number}")
+    folder = _Folder(batch.sparkSession, path)
+    for n in folder.names("v=") if alone else ():
+        if int(n[2:]) < number:
+            folder.delete(n)
+
+
+def read_versions(spark: SparkSession, path: str, keys: tuple[str, ...] = ()) -> DataFrame | None:
+    """What a stream has brought a table to: the newest row of each key, or the newest version without keys. None before the
+    first batch. Versions that aren't finished don't count."""
+    folder = _Folder(spark, path)
+    done = sorted(int(n[2:]) for n in folder.names("v=") if folder.fs.exists(folder.hadoop.Path(folder.child(n), "_SUCCESS")))
+    if not done:
+        return None
+    if not keys:
+        return spark.read.parquet(f"{path}/v={done[-1]}")
+    rows = spark.read.option("basePath", path).parquet(*[f"{path}/v={n}" for n in done])
+    return _newest(rows, keys).select(*[c for c in rows.columns if c != "v"])
+
+
 @dataclass
 class LayerPaths:
     silver: str
