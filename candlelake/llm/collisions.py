@@ -79,7 +79,7 @@ class Shard:
         low, high = at_centre, at_centre
         counts, seen = np.zeros((len(queries), len(self.ids)), np.uint8), np.zeros((len(queries), len(self.ids)), bool)
         found = [(np.zeros(0, np.int64), np.zeros(0))] * len(queries)
-        active = all_of
+        floors, active = np.where(np.isnan(bounds), -np.inf, bounds), all_of
         while len(active):
             reach = r[active] * WIDTH / np.sqrt(self.vectors.shape[1] + 1)
             left = np.stack([s.searchsorted(c - reach, "left") for s, c in zip(self.sorted, centres[active].T, strict=True)])
@@ -89,6 +89,9 @@ class Shard:
                 new = np.flatnonzero((counts[i] >= self.least) & ~seen[i])
                 seen[i, new] = True
                 new = new[self.ids[new] != own[i]]
+                # A product that is fast but may be off in its last bits leaves out what can't be among the best.
+                floor = max(found[i][1][-1] if len(found[i][1]) == k else -np.inf, floors[i])
+                new = new[self.vectors[new] @ queries[i] >= floor - 1e-9 * norms[i] * self.top]
                 places, scores = np.concatenate([found[i][0], new]), np.concatenate([found[i][1], (self.vectors[new] * queries[i]).sum(1)])
                 best = np.lexsort((self.ids[places], -scores))[:k]
                 found[i] = places[best], scores[best]
