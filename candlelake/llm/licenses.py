@@ -1,8 +1,10 @@
 """License scan by canonical digest: normalise a whole text, hash it, join it to the digests of known licences.
 
-Normalisation: lower case, copyright lines removed, equivalent spellings unified, punctuation and white space folded. A
-unit is a whole document, or one line of it (for one-line notices). Both are joined by the digest of their entire
-normalised text. All of it is DataFrame operations.
+Normalisation: lower case, copyright lines removed, equivalent spellings unified within words, punctuation and white space
+folded, so that neither line breaks nor spaces matter. A unit is a whole document, or one line of it (for one-line
+notices). Both are joined by the digest of their entire normalised text; a whole document also with its copyright lines, as
+long licences hold some of their own that a text with other line breaks has amid its lines. All of it is DataFrame
+operations.
 """
 
 from __future__ import annotations
@@ -110,28 +112,32 @@ KNOWN_LICENSES = [
 
 #: Lines that only say whose work it is and from when; "the above copyright notice" isn't one.
 COPYRIGHT_LINE = r"^[ \t]*(?:[#*/;%-]+[ \t]*)?(?:copyright[^\n]*(?:[0-9]{4}|©|\(c\))|©|\(c\)[ \t]+(?:copyright|[0-9]{4}))[^\n]*$|^[ \t]*all rights reserved\.?[ \t]*$"
-#: (spelling, the one that it counts as), applied in order to lower-case text.
+#: (spelling, the one that it counts as), in lower case and applied in order. None has white space in it, so that line breaks
+#: don't matter.
 SPELLINGS = [
-    ("‘", "'"), ("’", "'"), ("“", '"'), ("”", '"'), ("–", "-"), ("—", "-"),
-    ("licence", "license"), ("licencing", "licensing"), ("sub-license", "sublicense"), ("non-infringement", "noninfringement"),
-    ("acknowledgement", "acknowledgment"), ("favour", "favor"), ("organisation", "organization"), ("merchantibility", "merchantability"),
-    ("copyright owner", "copyright holder"), ("per cent", "percent"), ("https://", "http://"), ("version 2.0", "v2.0"), ("version 3", "v3"), ("version 2", "v2"),
+    ("licenc", "licens"), ("sub-licens", "sublicens"), ("non-infringement", "noninfringement"), ("acknowledgement", "acknowledgment"), ("favour", "favor"), ("organisation", "organization"),
+    ("merchantibility", "merchantability"), ("owner", "holder"), ("https:", "http:"),
 ]
 FOLDED = r"[^\p{L}\p{N}]+"
 FOLDED_IN_LINE = r"[^\p{L}\p{N}\n]+"
+#: The number of a version, as in "v2".
+SHORT_VERSION = r"(^|[^\p{L}\p{N}])v([0-9])"
+LONG_VERSION = r"$1version $2"
 
 
-def _folded(text: Column, apart: str) -> Column:
-    """The text without copyright lines, in one spelling; runs of characters that match ``apart`` are one space."""
-    out = F.regexp_replace(F.lower(text), "(?md)" + COPYRIGHT_LINE, " ")
+def _folded(text: Column, apart: str, cut: bool = True) -> Column:
+    """The text, without copyright lines if these are cut, in one spelling; runs of characters that match ``apart`` are one
+    space."""
+    out = F.lower(text)
+    out = F.regexp_replace(out, "(?md)" + COPYRIGHT_LINE, " ") if cut else out
     for spelling, same in SPELLINGS:
         out = F.replace(out, F.lit(spelling), F.lit(same))
-    return F.regexp_replace(out, apart, " ")
+    return F.regexp_replace(F.regexp_replace(out, apart, " "), SHORT_VERSION, LONG_VERSION)
 
 
-def canonical(text: Column) -> Column:
+def canonical(text: Column, cut: bool = True) -> Column:
     """The normalised form of a text."""
-    return F.trim(_folded(text, FOLDED))
+    return F.trim(_folded(text, FOLDED, cut))
 
 
 def canonical_lines(text: Column) -> Column:
@@ -154,7 +160,8 @@ def known_digests(spark: SparkSession, licenses: list[tuple[str, str]] | None =
     # One literal for all of them: a literal for each would make the plan long.
     rows = [{"license_id": i, "license_text": t} for i, t in licenses or KNOWN_LICENSES]
     rows = F.explode(F.from_json(F.lit(json.dumps(rows)), "array<struct<license_id:string,license_text:string>>"))
-    return spark.range(1).select(rows.alias("k")).select(digest(F.col("k.license_text")).alias("license_digest"), "k.license_id").groupBy("license_digest").agg(F.min("license_id").alias("license_id"))
+    both = F.explode(F.array(digest(F.col("k.license_text")), _sha(canonical(F.col("k.license_text"), cut=False))))
+    return spark.range(1).select(rows.alias("k")).select(both.alias("license_digest"), "k.license_id").groupBy("license_digest").agg(F.min("license_id").alias("license_id"))
 
 
 def license_scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
@@ -168,12 +175,13 @@ def license_scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """
     spark = docs.sparkSession
     known = known_digests(spark) if known is None else known
-    rows = texts(docs).select("doc_id", F.monotonically_increasing_id().alias("row"), canonical_lines(F.col("text")).alias("lines"))
-    rows = rows.select("doc_id", "row", _sha(F.array_join("lines", " ")).alias("text_digest"), F.transform(F.array_distinct("lines"), _sha).alias("lines"))
+    uncut = F.when(F.lower("text").rlike("(?md)" + COPYRIGHT_LINE), _sha(canonical(F.col("text"), cut=False)))
+    rows = texts(docs).select("doc_id", F.monotonically_increasing_id().alias("row"), canonical_lines(F.col("text")).alias("lines"), uncut.alias("uncut"))
+    rows = rows.select("doc_id", "row", _sha(F.array_join("lines", " ")).alias("text_digest"), "uncut", F.transform(F.array_distinct("lines"), _sha).alias("lines"))
     known = known.where(F.col("license_digest") != F.sha2(F.lit("").cast("binary"), 256))
     # Lines carry their document's row through the join; the rows come from the same scan, so no key is matched up.
     units = rows.select("doc_id", "row", "text_digest", F.explode(F.concat(
-        F.array(F.struct(F.lit(True).alias("whole"), F.col("text_digest").alias("unit"))),
+        F.transform(F.array_distinct(F.array_compact(F.array("text_digest", "uncut"))), lambda x: F.struct(F.lit(True).alias("whole"), x.alias("unit"))),
         F.transform("lines", lambda x: F.struct(F.lit(False).alias("whole"), x.alias("unit"))))).alias("u"))
     units = units.select("doc_id", "row", "text_digest", "u.whole", "u.unit")
     found = units.join(known, units.unit == known.license_digest, "left").where(F.col("whole") | F.col("license_digest").isNotNull())
@@ -185,18 +193,19 @@ def oracle(licenses: list[tuple[str, str]] | None = None) -> str:
     """DuckDB SQL of the query's result."""
     quote = lambda x: "'" + x.replace("'", "''") + "'"
 
-    def sha(x: str) -> str:
-        x = f"regexp_replace(lower({x}), {quote('(?m)' + COPYRIGHT_LINE)}, ' ', 'g')"
+    def sha(x: str, cut: bool = True) -> str:
+        x = f"regexp_replace(lower({x}), {quote('(?m)' + COPYRIGHT_LINE)}, ' ', 'g')" if cut else f"lower({x})"
         for spelling, same in SPELLINGS:
             x = f"replace({x}, {quote(spelling)}, {quote(same)})"
-        return f"sha256(trim(regexp_replace({x}, {quote(FOLDED)}, ' ', 'g')))"
+        x = f"regexp_replace(regexp_replace({x}, {quote(FOLDED)}, ' ', 'g'), {quote(SHORT_VERSION)}, {quote(LONG_VERSION.replace('$', chr(92)))}, 'g')"
+        return f"sha256(trim({x}))"
 
     values = ", ".join(f"({quote(i)}, {quote(t)})" for i, t in licenses or KNOWN_LICENSES)
     return f"""
-WITH k AS (SELECT {sha("t")} AS h, min(i) AS i FROM (VALUES {values}) v(i, t) GROUP BY 1),
+WITH k AS (SELECT h, min(i) AS i FROM (SELECT i, unnest([{sha("t")}, {sha("t", False)}]) AS h FROM (VALUES {values}) v(i, t)) GROUP BY h),
      d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
      l AS (SELECT r, {sha("line")} AS h FROM (SELECT DISTINCT r, unnest(string_split(text, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[\\p{{L}}\\p{{N}}]')),
      n AS (SELECT r, list_sort(list(DISTINCT k.i)) AS notices FROM l JOIN k USING (h) GROUP BY r)
-SELECT doc_id, {sha("text")} AS text_digest, k.i AS license_id, coalesce(n.notices, []) AS notices, len(coalesce(n.notices, [])) AS n_notices
-FROM d LEFT JOIN k ON {sha("text")} = k.h LEFT JOIN n USING (r)
+SELECT doc_id, {sha("text")} AS text_digest, least(k.i, u.i) AS license_id, coalesce(n.notices, []) AS notices, len(coalesce(n.notices, [])) AS n_notices
+FROM d LEFT JOIN k ON {sha("text")} = k.h LEFT JOIN k u ON {sha("text", False)} = u.h LEFT JOIN n USING (r)
 """

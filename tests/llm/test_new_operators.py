@@ -6,6 +6,7 @@ import hashlib
 import os
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter
 
@@ -15,7 +16,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from candlelake.llm import collisions, periodic, queries, spelling
+from candlelake.llm import collisions, licenses, periodic, queries, spelling
 from candlelake.llm.common import load
 
 SF = "/root/testdata/sf0.001"
@@ -239,3 +240,47 @@ def test_spelling_variants(spark, every):
     assert found == want
     assert sum(x[4] != (x[0] or w) for w, x in want.items()) > 3  # roots further off than forms
     assert spelling.spelling_variants(table(spark, rows).limit(0)).count() == 0
+
+
+# --- Licences -------------------------------------------------------------------------------------------------------
+
+
+def wrapped(text, width):
+    """The same paragraphs at another line width."""
+    return "\n\n".join(textwrap.fill(p, width, break_long_words=False, break_on_hyphens=False) for p in re.split(r"\n[ \t]*\n", text))
+
+
+def test_licences_are_known_however_their_lines_break(spark):
+    texts = {p.stem: p.read_text("utf-8") for p in (licenses.Path(licenses.__file__).parent / "license_texts").glob("*.txt")}
+    texts |= {"MIT": licenses.MIT, "ISC": licenses.ISC, "Zlib": licenses.ZLIB}
+    own = "Copyright (c) 2021 Some One\n\n"
+    shapes = {f"width {w}": (lambda t, w=w: wrapped(t, w)) for w in (40, 60, 72, 100, 10_000)} | {
+        "crlf": lambda t: t.replace("\n", "\r\n"), "double spaces": lambda t: t.replace(" ", "  "), "tabs": lambda t: t.replace("\n", "\n\t"), "upper": lambda t: t.upper(), "british": lambda t: t.replace("license", "licence")}
+    rows, want = [], {}
+    for name, text in texts.items():
+        for shape, change in shapes.items():
+            for head in ("", own):
+                if head and name not in ("MIT", "ISC", "Zlib"):
+                    continue
+                want[len(rows)] = (name, shape, head)
+                rows.append((len(rows), head + change(text)))
+        want[len(rows)] = (None, "a word more", "")
+        rows.append((len(rows), text + " word"))
+    found = {r.doc_id: r.license_id for r in licenses.license_scan(table(spark, rows)).collect()}
+    assert [(w, found[i]) for i, w in want.items() if found[i] != w[0]] == []
+
+
+def test_notices_with_other_white_space(spark):
+    rows = [(0, "Licensed under the Mozilla Public License, Version\n2.0."), (1, "x\nLicensed under the Mozilla Public License, Version  2.0.\ny"), (2, "x\nLicensed under the Mozilla Public Licence,\tversion 2.0\r\ny"), (3, "x\nLicensed under GPLv2\ny"), (4, "Licensed under the v2 thing")]
+    found = {r.doc_id: (r.license_id, r.notices) for r in licenses.license_scan(table(spark, rows)).collect()}
+    assert found == {0: ("MPL-2.0", []), 1: (None, ["MPL-2.0"]), 2: (None, ["MPL-2.0"]), 3: (None, ["GPL-2.0"]), 4: (None, [])}
+
+
+def test_license_query_equals_sql_on_planted_texts(spark, tmp_path):
+    texts = [p.read_text("utf-8") for p in (licenses.Path(licenses.__file__).parent / "license_texts").glob("*.txt")]
+    rows = [(i, wrapped(t, w)) for i, (t, w) in enumerate((t, w) for t in texts for w in (60, 100))] + [(99, None), (100, "Copyright (c) 2020 A\n" + licenses.MIT), (101, "x v2 licence\nv3 owner")]
+    table(spark, rows).write.parquet(str(tmp_path / "documents"))
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents/*.parquet'")
+    ours = {(r.doc_id, r.text_digest, r.license_id, tuple(r.notices)) for r in licenses.license_scan(table(spark, rows)).collect()}
+    assert ours == {(i, d, k, tuple(n)) for i, d, k, n, _ in con.sql(licenses.oracle()).fetchall()}
