@@ -118,7 +118,8 @@ def _with_groups(rows: DataFrame, index: DigestIndex) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """The documents that stay, with all columns of the input; rows that repeat a kept doc_id and its text become one.
+    """The documents that stay, with all columns of the input; rows that repeat a kept doc_id and its text become one. A row
+    without a doc_id stays if it is the one that its text's group keeps, and goes if another row is.
 
     Rows are matched by doc_id and digest together, so the copies of a hot text spread over all tasks.
     """
