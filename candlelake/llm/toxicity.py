@@ -112,11 +112,12 @@ def training_rows(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
 
 
 def _words(rows: DataFrame) -> DataFrame:
-    """word, toxic (documents of that kind that use it), ordinary. Documents with the same three longest words are near
-    copies and count as one: else the chance words of a text that was copied often would look telling."""
+    """word, toxic (documents of that kind that use it), ordinary. Documents that agree in the three smallest hashes of their
+    words are near copies and count as one: else the chance words of a text that was copied often would look telling. Sets of
+    words that differ much hardly ever agree in them, whatever single words they share."""
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0)))
-    longest = F.slice(F.sort_array(F.transform("words", lambda w: F.struct(F.length(w).alias("length"), w.alias("word"))), False), 1, 3)
-    rows = rows.select("toxic", words.alias("words")).withColumn("copies", F.xxhash64(F.to_json(longest)))
+    smallest = F.slice(F.array_sort(F.transform("words", lambda w: F.xxhash64(w))), 1, 3)
+    rows = rows.select("toxic", words.alias("words")).withColumn("copies", F.xxhash64(smallest))
     own = rows.select(F.explode("words").alias("word"), "copies", "toxic").distinct()
     return own.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("ordinary"))
 

@@ -556,6 +556,22 @@ def test_toxicity_learns_from_short_and_similar_texts(spark):
     assert all(scored[i].predicted == int(i % 5 == 0) for i in range(120))
 
 
+def test_toxicity_learns_from_texts_with_the_same_longest_words(spark):
+    """A notice that all texts hold doesn't make them copies; two hundred near copies of one toxic text count as one."""
+    rng, words, bad = np.random.default_rng(19), vocabulary(1500), ["vermin", "dastard", "scoundrel", "lowlife"]
+    notice = "copyrightedpublication {} allrightsreservedworldwide termsandconditionsapply"
+    texts = [(i, notice.format(" ".join([*rng.choice(words, 40), *(rng.choice(bad, 2, replace=False) if i % 2 else [])]))) for i in range(400)]
+    labels = [(i, i % 2) for i in range(400)]
+    copied = [f"oddity{i}" for i in range(200)]
+    near = [(1000 + i, " ".join([*copied[:i], f"edit{i}", *copied[i + 1 :], "vermin"])) for i in range(200)]
+    df = spark.createDataFrame([*texts, *near], "doc_id long, text string")
+    model = toxicity.train(df, spark.createDataFrame([*[x for x in labels if x[0] % 3], *[(i, 1) for i, _ in near]], "doc_id long, toxic int"))
+    clean = [(2000 + i, " ".join([*rng.choice(words, 40), *rng.choice(copied, 3)])) for i in range(100)]
+    out = by_id(toxicity.toxicity(df.unionByName(spark.createDataFrame(clean, "doc_id long, text string")), model))
+    assert all(out[i].predicted == i % 2 for i in range(0, 400, 3))
+    assert not any(out[i].predicted for i, _ in clean)
+
+
 def test_toxicity_score_by_hand(spark):
     """Scores are those of the formula on hits that are counted window by window."""
     rng, words = np.random.default_rng(18), vocabulary()
