@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, Window, WindowSpec
 from pyspark.sql import functions as F
 
 #: Below this a denominator counts as zero.
@@ -53,33 +51,3 @@ def ordered(by: str = "symbol", time: str = "open_time") -> WindowSpec:
 def trailing(rows: int, interval_s: int, by: str = "symbol", time: str = "open_time") -> WindowSpec:
     """The frame of that many candles up to the current one, by time: a missing candle leaves a frame short."""
     return Window.partitionBy(by).orderBy(epoch_seconds(time)).rangeBetween(-(rows - 1) * interval_s, 0)
-
-
-def running(by: str = "symbol", time: str = "open_time") -> WindowSpec:
-    return Window.partitionBy(by).orderBy(time).rowsBetween(Window.unboundedPreceding, 0)
-
-
-def with_ewm(df: DataFrame, c: str, span: int, output: str, by: str = "symbol", time: str = "open_time") -> DataFrame:
-    """Adds the exponentially weighted mean of the values that aren't null, up to each row: weights (1 - alpha)^i of the
-    i-th last.
-
-    Values go in stretches, so long that a weight from the stretch before last is below a double's precision. A row's sum is
-    the running sum of its stretch and the total of the one before, each scaled by its distance: no row holds an array.
-    """
-    keep = 1 - 2 / (span + 1)
-    if keep <= 0:  # the last value is all
-        return df.withColumn(output, F.last(c, True).over(running(by, time)).cast("double"))
-    stretch = math.ceil(math.log(1e-17) / math.log(keep))
-    x, n = F.col(c), F.count(c).over(running(by, time))
-    rows = df.withColumn("__n", n - 1).withColumns({"__b": F.floor(F.greatest("__n", F.lit(0)) / stretch), "__p": F.greatest("__n", F.lit(0)) % stretch})
-    inside = Window.partitionBy(by, "__b").orderBy(time).rowsBetween(Window.unboundedPreceding, 0)
-    before = Window.partitionBy(by).orderBy("__b").rangeBetween(-1, -1)
-    kept = lambda e: F.pow(F.lit(keep), e)
-
-    def total(value: Column) -> Column:
-        own = F.sum(F.when(x.isNotNull(), value * kept(-F.col("__p")))).over(inside) * kept(F.col("__p"))
-        earlier = F.sum(F.when(x.isNotNull(), value * kept(stretch - 1 - F.col("__p")))).over(before) * kept(F.col("__p") + 1)
-        return F.coalesce(own, F.lit(0.0)) + F.coalesce(earlier, F.lit(0.0))
-
-    mean = F.try_divide(total(x), total(F.lit(1.0)))
-    return rows.withColumn(output, F.when(F.col("__n") >= 0, mean)).drop("__n", "__b", "__p")

@@ -10,6 +10,7 @@ Null symbols are a symbol, and null times come first, as in the windows that the
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -110,3 +111,33 @@ def with_last_before(df: DataFrame, value: Column | str, output: str, by: str =
     w = _inside(by, time)
     own = rows.withColumns({"__lag": F.lag("__v").over(w), "__place": F.row_number().over(w)})
     return _with_summary(own, before, by).withColumn(output, F.when(F.col("__place") > 1, F.col("__lag")).otherwise(F.col("__before")["__v"])).select(*[c for c in df.columns if c != output], output)
+
+
+def with_ewm(df: DataFrame, c: str, span: int, output: str, by: str = "symbol", time: str = "open_time", stretch_s: int = STRETCH) -> DataFrame:
+    """Adds the exponentially weighted mean of the values that aren't null, up to each row: weights (1 - alpha)^i of the
+    i-th last.
+
+    Values go in runs, so long that a weight from the run before last is below a double's precision. A row's sum is the
+    running sum of its run and the total of the one before, each scaled by its distance: no row holds an array.
+    """
+    keep, x = 1 - 2 / (span + 1), F.col(c)
+    rows = with_running(df, {"__n": ("sum", x.isNotNull().cast("long"))}, by=by, time=time, stretch_s=stretch_s)
+    if keep <= 0:  # the last value is all
+        return rows.withColumn(output, F.when(F.col("__n") > 0, F.max(x).over(Window.partitionBy(by, "__n"))).cast("double")).drop("__n")
+    length = math.ceil(math.log(1e-17) / math.log(keep))
+    place = F.greatest(F.col("__n") - 1, F.lit(0))
+    rows = rows.withColumns({"__b": F.floor(place / length), "__p": place % length})
+    kept = lambda e: F.pow(F.lit(keep), e)
+    scaled = lambda value, e: F.sum(F.when(x.isNotNull(), value * kept(e)))
+
+    rest = length - 1 - F.col("__p")
+    ends = rows.groupBy(F.col(by).alias("__by"), (F.col("__b") + 1).alias("__at")).agg(scaled(x, rest).alias("__sum"), scaled(F.lit(1.0), rest).alias("__weight"))
+    inside = Window.partitionBy(by, "__b").orderBy("__n").rangeBetween(Window.unboundedPreceding, 0)
+
+    def total(value: Column, end: str) -> Column:
+        own, earlier = scaled(value, -F.col("__p")).over(inside) * kept(F.col("__p")), F.col(end) * kept(F.col("__p") + 1)
+        return F.coalesce(own, F.lit(0.0)) + F.coalesce(earlier, F.lit(0.0))
+
+    rows = rows.join(ends, rows[by].eqNullSafe(ends["__by"]) & (rows["__b"] == ends["__at"]), "left")
+    mean = F.try_divide(total(x, "__sum"), total(F.lit(1.0), "__weight"))
+    return rows.withColumn(output, F.when(F.col("__n") > 0, mean)).drop("__n", "__b", "__p", "__by", "__at", "__sum", "__weight")

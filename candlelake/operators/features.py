@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
-from candlelake.functions.columns import PI, epoch_seconds, ordered, safe_divide, with_ewm
+from candlelake.functions.columns import PI, epoch_seconds, ordered, safe_divide
+from candlelake.functions.stretches import STRETCH, with_ewm, with_row_frames
 from candlelake.operators.clean import fill_gold
 from candlelake.sources.schemas import GOLD_GROUPS
 
@@ -158,31 +159,42 @@ def reach_seconds(interval_s: int) -> int:
     return max(DAYS["3d"], 23 * interval_s)
 
 
-def feat_row_windows(df: DataFrame) -> DataFrame:
+def feat_row_windows(df: DataFrame, stretch_s: int = STRETCH) -> DataFrame:
     """Exploration features over frames of rows: 6 and 21 rows, unscaled volatility, the next return as target."""
-    row = ordered()
-    w5, w20 = row.rowsBetween(-5, 0), row.rowsBetween(-20, 0)
-    df = df.withColumns({"log_return": F.when((F.col("close") > 0) & (F.col("open") > 0), F.ln(F.col("close") / F.col("open"))), "volatility": F.col("high") - F.col("low"), "ma_5": F.avg("close").over(w5), "ma_20": F.avg("close").over(w20), "volume_5": F.avg("volume").over(w5)})
-    return df.withColumns({"log_return_lag1": F.lag("log_return", 1).over(row), "log_return_lag2": F.lag("log_return", 2).over(row), "target": F.lead("log_return", 1).over(row), "momentum": F.col("close") - F.col("ma_5"), "trend_strength": F.col("ma_5") - F.col("ma_20"), "volatility_5": F.avg("volatility").over(w5), "volume_spike": safe_divide("volume", "volume_5")})
 
+    def framed(row: WindowSpec) -> dict[str, Column]:
+        w5, r = row.rowsBetween(-5, 0), "log_return"
+        means = {"ma_5": F.avg("close").over(w5), "ma_20": F.avg("close").over(row.rowsBetween(-20, 0)), "volume_5": F.avg("volume").over(w5), "volatility_5": F.avg("volatility").over(w5)}
+        return means | {"log_return_lag1": F.lag(r, 1).over(row), "log_return_lag2": F.lag(r, 2).over(row), "target": F.lead(r, 1).over(row)}
 
-def trade_imbalance(trades: DataFrame, span: int = 10, roll: int = 20) -> DataFrame:
+    df = df.withColumns({"log_return": F.when((F.col("close") > 0) & (F.col("open") > 0), F.ln(F.col("close") / F.col("open"))), "volatility": F.col("high") - F.col("low")})
+    df = with_row_frames(df, framed, before=20, after=1, stretch_s=stretch_s)
+    return df.withColumns({"momentum": F.col("close") - F.col("ma_5"), "trend_strength": F.col("ma_5") - F.col("ma_20"), "volume_spike": safe_divide("volume", "volume_5")})
+
+
+def trade_imbalance(trades: DataFrame, span: int = 10, roll: int = 20, stretch_s: int = STRETCH) -> DataFrame:
     """Per minute and symbol: bought and sold volume, imbalance, its exponential mean, rolling deviation and z-score."""
     side = lambda seller: F.coalesce(F.sum(F.when(F.col("is_buyer_maker") == seller, F.col("qty"))), F.lit(0.0))
     minutes = trades.groupBy("symbol", F.date_trunc("minute", "timestamp").alias("minute")).agg(side(False).alias("buy_volume"), side(True).alias("sell_volume"))
-    bought, sold = F.col("buy_volume"), F.col("sell_volume")
-    out = minutes.withColumn("imbalance", (bought - sold) / (bought + sold + 1e-9))
-    row = ordered("symbol", "minute")
-    frame = row.rowsBetween(-(roll - 1), 0)
-    full = F.count("imbalance").over(frame) >= roll
-    out = with_ewm(out, "imbalance", span, "imbalance_ewm", "symbol", "minute")
-    out = out.withColumns({"imbalance_std": F.when(full, F.stddev("imbalance").over(frame)), "__mean": F.when(full, F.avg("imbalance").over(frame))})
-    return out.withColumn("imbalance_z", F.try_divide(F.col("imbalance") - F.col("__mean"), F.col("imbalance_std"))).drop("__mean")
+    bought, sold, x = F.col("buy_volume"), F.col("sell_volume"), "imbalance"
+    out = with_ewm(minutes.withColumn(x, (bought - sold) / (bought + sold + 1e-9)), x, span, "imbalance_ewm", "symbol", "minute", stretch_s)
+
+    def framed(row: WindowSpec) -> dict[str, Column]:
+        frame = row.rowsBetween(-(roll - 1), 0)
+        full = F.count(x).over(frame) >= roll
+        return {"imbalance_std": F.when(full, F.stddev(x).over(frame)), "__mean": F.when(full, F.avg(x).over(frame))}
 
+    out = with_row_frames(out, framed, before=roll - 1, by="symbol", time="minute", stretch_s=stretch_s)
+    return out.withColumn("imbalance_z", F.try_divide(F.col(x) - F.col("__mean"), F.col("imbalance_std"))).drop("__mean")
 
-def open_interest_features(df: DataFrame, roll: int = 50) -> DataFrame:
+
+def open_interest_features(df: DataFrame, roll: int = 50, stretch_s: int = STRETCH) -> DataFrame:
     """Change of open interest, its z-score over the last ``roll`` rows, change of the taker ratio."""
-    row = ordered("symbol", "timestamp")
-    frame, x = row.rowsBetween(-(roll - 1), 0), F.col("sum_open_interest")
-    full = F.count(x).over(frame) >= roll
-    return df.withColumns({"oi_delta": x - F.lag(x).over(row), "oi_zscore": F.when(full, F.try_divide(x - F.avg(x).over(frame), F.stddev(x).over(frame))), "ratio_delta": F.col("sum_taker_long_short_vol_ratio") - F.lag("sum_taker_long_short_vol_ratio").over(row)})
+    x, ratio = F.col("sum_open_interest"), F.col("sum_taker_long_short_vol_ratio")
+
+    def framed(row: WindowSpec) -> dict[str, Column]:
+        frame = row.rowsBetween(-(roll - 1), 0)
+        full = F.count(x).over(frame) >= roll
+        return {"oi_delta": x - F.lag(x).over(row), "oi_zscore": F.when(full, F.try_divide(x - F.avg(x).over(frame), F.stddev(x).over(frame))), "ratio_delta": ratio - F.lag(ratio).over(row)}
+
+    return with_row_frames(df, framed, before=max(roll - 1, 1), by="symbol", time="timestamp", stretch_s=stretch_s)

@@ -8,7 +8,8 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from candlelake.functions.columns import normalize_epoch, safe_divide, trailing, with_ewm
+from candlelake.functions.columns import normalize_epoch, safe_divide, trailing
+from candlelake.functions.stretches import with_ewm
 from candlelake.operators import aggs, clean, drift, evaluate, features, joins, labels, ml
 from candlelake.plans.halo import gold_features_by_stretch, with_halo
 from candlelake.plans import medallion

@@ -10,7 +10,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from candlelake.functions import stretches
-from candlelake.operators import aggs, evaluate, joins, labels
+from candlelake.operators import aggs, evaluate, features, joins, labels
 
 T0 = dt.datetime(2024, 1, 1)
 DAY = 86400
@@ -102,3 +102,48 @@ def test_no_window_over_rows_is_partitioned_by_symbol_alone(candles):
                 joins.align_predictions(rows.select("symbol", "open_time", "prediction"), candles), aggs.lag_correlation(rows, x="close", y="prediction")):
         windows = re.findall(r"\bWindow \[.*\], \[(symbol#\d+(?:, \w+#\d+L?)*)\], \[(\w+)#", out._jdf.queryExecution().executedPlan().toString())
         assert windows and all("," in by or order == "__stretch" for by, order in windows), windows
+
+
+@pytest.mark.parametrize("span", [1, 3, 10])
+@pytest.mark.parametrize("stretch_s", [3600, DAY, 1000 * DAY])
+def test_exponential_means_for_any_stretch(series, stretch_s, span):
+    df = series.where("symbol IS NOT NULL AND open_time IS NOT NULL").select("symbol", "open_time", "x")
+    plain = df.toPandas().sort_values(["symbol", "open_time"], ignore_index=True)
+    plain["e"] = plain.groupby("symbol").x.transform(lambda v: v.ewm(span=span, adjust=True, ignore_na=True).mean())
+    ours = stretches.with_ewm(df, "x", span, "e", stretch_s=stretch_s)
+    pd.testing.assert_frame_equal(ours.toPandas().sort_values(["symbol", "open_time"], ignore_index=True), plain, rtol=1e-9, atol=1e-12)
+
+
+@pytest.fixture(scope="module")
+def rows_of_features(series):
+    """The series as candles, as trades and as open interest; ``extra`` and null symbols stay."""
+    s = series.where("open_time IS NOT NULL")
+    c = s.select("symbol", "open_time", "extra", (F.abs("y") + 1).alias("close"), (F.abs("y") + 0.5).alias("open"), (F.abs("y") + 2).alias("high"), F.abs("y").alias("low"), F.abs("x").alias("volume"))
+    t = s.select("symbol", F.col("open_time").alias("timestamp"), (F.col("extra") == 1).alias("is_buyer_maker"), F.abs("x").alias("qty"))
+    o = s.select("symbol", F.col("open_time").alias("timestamp"), "extra", F.col("x").alias("sum_open_interest"), F.col("y").alias("sum_taker_long_short_vol_ratio"))
+    return c, t, o
+
+
+def test_features_over_frames_of_rows(rows_of_features):
+    """Against plain windows by symbol, for short stretches."""
+    c, t, o = rows_of_features
+    w5, w20 = row().rowsBetween(-5, 0), row().rowsBetween(-20, 0)
+    plain = c.withColumns({"log_return": F.ln(F.col("close") / F.col("open")), "volatility": F.col("high") - F.col("low"), "ma_5": F.avg("close").over(w5), "ma_20": F.avg("close").over(w20), "volume_5": F.avg("volume").over(w5)})
+    plain = plain.withColumns({"volatility_5": F.avg("volatility").over(w5), "log_return_lag1": F.lag("log_return").over(row()), "log_return_lag2": F.lag("log_return", 2).over(row()), "target": F.lead("log_return").over(row()),
+                               "momentum": F.col("close") - F.col("ma_5"), "trend_strength": F.col("ma_5") - F.col("ma_20"), "volume_spike": F.when(F.col("volume_5") < 1e-6, 0.0).otherwise(F.coalesce(F.col("volume") / F.col("volume_5"), F.when(F.col("volume_5").isNull(), 0.0)))})
+    same(features.feat_row_windows(c, stretch_s=DAY), plain)
+    by_time = lambda d: d.withColumnRenamed("timestamp", "open_time")
+    x, ratio, f = F.col("sum_open_interest"), F.col("sum_taker_long_short_vol_ratio"), row().rowsBetween(-9, 0)
+    plain = by_time(o).withColumns({"oi_delta": x - F.lag(x).over(row()), "oi_zscore": F.when(F.count(x).over(f) >= 10, (x - F.avg(x).over(f)) / F.stddev(x).over(f)), "ratio_delta": ratio - F.lag(ratio).over(row())})
+    same(by_time(features.open_interest_features(o, roll=10, stretch_s=DAY)), plain)
+    of_minutes = lambda s: features.trade_imbalance(t, roll=5, stretch_s=s).withColumnRenamed("minute", "open_time")
+    same(of_minutes(6 * 3600), of_minutes(10_000 * DAY))
+    for empty in (features.feat_row_windows(c.limit(0)), features.trade_imbalance(t.limit(0)), features.open_interest_features(o.limit(0))):
+        assert empty.count() == 0
+
+
+def test_features_over_frames_of_rows_have_no_window_by_symbol(rows_of_features):
+    c, t, o = rows_of_features
+    for out in (features.feat_row_windows(c), features.trade_imbalance(t), features.open_interest_features(o)):
+        windows = re.findall(r"\bWindow \[.*\], \[(symbol#\d+(?:, \w+#\d+L?)*)\], \[(\w+)#", out._jdf.queryExecution().executedPlan().toString())
+        assert windows and all("," in by or order == "__stretch" for by, order in windows), windows
