@@ -1,7 +1,7 @@
 """Exact Jaccard self-join of documents on word shingles, with set-relation skipping.
 
-Documents become sets of shingle hashes in one global order: shingles that are common in the corpus last, the others by
-hash. Sets that reach the threshold share a shingle in their prefixes, so prefixes are dealt out by shingle. The list of a
+Documents become sets of shingle hashes in one global order: the more common a shingle is in the corpus, the later it comes,
+in steps of twice the count; the others come first, by hash. Sets that reach the threshold share a shingle in their prefixes, so prefixes are dealt out by shingle. The list of a
 shingle is sorted by size and position; sets that agree in both are a block, and blocks are skipped whole where size and
 position leave too little overlap possible.
 
@@ -37,6 +37,10 @@ SKETCH = 8
 ROUNDS, LEADS = 2, 8
 #: At most that many common shingles are put last in the order. The order is a matter of speed only.
 MOST_COMMON = 200_000
+#: Shingles are counted in groups of about that many; those that as many sets of a group have count as common.
+GROUP, OFTEN = 2_000_000, 3
+#: Prefix entries of shingles of that level or a higher one, with 2 ** HOT sets or more, are dealt by document instead of by shingle.
+HOT = 10
 
 
 def _set_keys(bounds: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -80,21 +84,31 @@ def _sets(batch: pd.DataFrame, k: int) -> Iterator[tuple[np.ndarray, np.ndarray,
 
 
 def _survey(docs: DataFrame, k: int) -> DataFrame:
-    """Of each document its set (doc_id, n, key1, key2, bits, sketch); of shingles common within a batch (key1, n sets of the batch)."""
+    """Of each document its set (doc_id, n, key1, key2, bits, sketch); of shingles common within a group of sets (key1, n sets of the group)."""
+
+    def common(seen: list[np.ndarray]) -> pd.DataFrame:
+        found, count = np.unique(np.concatenate(seen), return_counts=True) if seen else (np.zeros(0, np.uint64), np.zeros(0, int))
+        often = count >= OFTEN
+        return pd.DataFrame({"kind": 1, "doc_id": 0, "n": count[often], "key1": found[often].view(np.int64), "key2": 0, "bits": None, "sketch": None})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen, keys, size = [], set(), 0
         for batch in batches:
-            seen: list[np.ndarray] = []
             for ids, bounds, hashes in _sets(batch, k):
                 one, two = _set_keys(bounds, hashes)
                 n = np.diff(bounds)
                 yield pd.DataFrame({"kind": 0, "doc_id": ids, "n": n, "key1": one, "key2": two, "bits": parities(bounds, hashes), "sketch": list(sketches(bounds, hashes))})
                 first = np.zeros(len(ids), bool)
-                first[np.unique(one, return_index=True)[1]] = True
+                for i, key in enumerate(one.tolist()):  # equal sets count once
+                    if key not in keys:
+                        keys.add(key)
+                        first[i] = True
                 seen.append(hashes[np.repeat(first, n)])
-            found, count = np.unique(np.concatenate(seen), return_counts=True) if seen else (np.zeros(0, np.uint64), np.zeros(0, int))
-            often = count >= max(8, len(batch) // 500)
-            yield pd.DataFrame({"kind": 1, "doc_id": 0, "n": count[often], "key1": found[often].view(np.int64), "key2": 0, "bits": None, "sketch": None})
+                size += len(seen[-1])
+                if size >= GROUP:
+                    yield common(seen)
+                    seen, keys, size = [], set(), 0
+        yield common(seen)
 
     return docs.mapInPandas(run, "kind int, doc_id long, n long, key1 long, key2 long, bits binary, sketch array<long>")
 
@@ -104,11 +118,24 @@ def _needed(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
     return -(-(percent * (a + b)) // (100 + percent))
 
 
+def _levels(counts: np.ndarray) -> np.ndarray:
+    """1 to 15, one more for twice the count."""
+    return np.clip(np.floor(np.log2(np.maximum(counts, 1))), 1, 15).astype(np.uint64)
+
+
+def _tokens(hashes: np.ndarray, last: np.ndarray, level: np.ndarray) -> np.ndarray:
+    """Numbers in the order of shingles: the level of common ones (last, ascending), else 0, in four bits; then the hash."""
+    if not len(last):
+        return hashes >> np.uint64(4)
+    at = np.minimum(np.searchsorted(last, hashes), len(last) - 1)
+    return (hashes >> np.uint64(4)) | (np.where(last[at] == hashes, level[at], np.uint64(0)) << np.uint64(60))
+
+
 def _prefixes(docs: DataFrame, common, k: int, percent: int, buckets: int) -> DataFrame:
     """Prefix entries, dealt into buckets: one row for each batch and bucket; entries of common shingles are rows of their own."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last = common.value
+        last, level = common.value
         for batch in batches:
             held, seen = [], set()
             for ids, bounds, hashes in _sets(batch, k):
@@ -119,8 +146,7 @@ def _prefixes(docs: DataFrame, common, k: int, percent: int, buckets: int) -> Da
                     if n[i] and (key := (one[i], two[i])) not in seen:
                         seen.add(key)
                         new[i] = True
-                hot = last[np.minimum(np.searchsorted(last, hashes), len(last) - 1)] == hashes if len(last) else np.zeros(len(hashes), bool)
-                token = (hashes >> np.uint64(1)) | (hot.astype(np.uint64) << np.uint64(63))
+                token = _tokens(hashes, last, level)
                 owner = np.repeat(np.arange(len(ids)), n)
                 order = np.lexsort((token, owner))
                 token, owner = token[order], owner[order]
@@ -128,8 +154,8 @@ def _prefixes(docs: DataFrame, common, k: int, percent: int, buckets: int) -> Da
                 keep = new[owner] & (pos < (n - -(-percent * n // 100) + 1)[owner])
                 held.append((token[keep], ids[owner[keep]], n[owner[keep]], pos[keep]))
             token, doc, n, pos = (np.concatenate([h[j] for h in held]) for j in range(4)) if held else (np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 3)
-            hot = token >> np.uint64(63) == 1
-            yield pd.DataFrame({"bucket": doc[hot] % buckets, "token": (token[hot] & np.uint64(2**63 - 1)).view(np.int64), "doc_id": doc[hot], "n": n[hot], "pos": pos[hot], "entries": None, "count": 0})
+            hot = token >> np.uint64(60) >= HOT
+            yield pd.DataFrame({"bucket": doc[hot] % buckets, "token": token[hot].view(np.int64), "doc_id": doc[hot], "n": n[hot], "pos": pos[hot], "entries": None, "count": 0})
             token, doc, n, pos = token[~hot], doc[~hot], n[~hot], pos[~hot]
             bucket = (token % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
@@ -296,8 +322,10 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFr
     docs = docs.where("doc_id IS NOT NULL")
     survey = materialise(_survey(docs, k), "kind")
     rows = survey.where("kind = 0").select("doc_id", "n", "key1", "key2")
-    often = survey.where("kind = 1").groupBy("key1").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "key1").limit(MOST_COMMON).select("key1")
-    common = spark.sparkContext.broadcast(np.sort(np.array([r[0] for r in often.collect()], np.int64).view(np.uint64)))
+    # Counts are of the groups that have the shingle often enough, so at least those.
+    often = survey.where("kind = 1").groupBy("key1").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "key1").limit(MOST_COMMON).toPandas()
+    last, order = often["key1"].to_numpy(np.int64).view(np.uint64), np.argsort(often["key1"].to_numpy(np.int64).view(np.uint64))
+    common = spark.sparkContext.broadcast((last[order], _levels(often["n"].to_numpy())[order]))
 
     parts = partitions(spark)
     prefixes = _prefixes(docs, common, k, percent, 8 * parts).repartition(parts, "bucket").sortWithinPartitions("bucket")
