@@ -11,7 +11,8 @@ partner that shares most of its prefix, its representative. Sets that turn out t
 pairs are looked at only where their two sides aren't connected yet. For those the representatives are compared first, and
 the answer for the sets follows from the representatives' overlap, more or less what each set and its representative have
 apart; only pairs that this leaves open are compared themselves. Long lists are compared with leading sets first, and only
-what those comparisons leave apart is compared in full. No link between sets in different components is ever skipped.
+what those comparisons leave apart is compared in full: a pair is made in the list of its first common shingle, and in a later
+one only if that is out of sight. No link between sets in different components is ever skipped.
 Overlaps are counted on the words of both texts, not on hashes.
 """
 
@@ -22,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import grams
@@ -41,6 +42,8 @@ MOST_COMMON = 200_000
 GROUP, OFTEN = 2_000_000, 3
 #: Prefix entries of shingles of that level or a higher one, with 2 ** HOT sets or more, are dealt by document instead of by shingle.
 HOT = 10
+#: Two sets that share one of that many shingles before a shingle of their prefixes are a pair of that earlier list already.
+EARLIER = 8
 
 
 def _set_keys(bounds: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -283,22 +286,26 @@ def _represented(near: DataFrame, done: DataFrame) -> DataFrame:
     return rows.groupBy("node").agg(F.first("rep").alias("rep"), F.first("own").alias("own"), F.first("more").alias("more"), F.count(F.lit(1)).alias("c")).where("c = 1").drop("c")
 
 
-def _with_representatives(pairs: DataFrame, reps: DataFrame) -> DataFrame:
-    """a, b, ra, rb (their representatives, in order), own and more (of both together)."""
-    one = reps.select(F.col("node").alias("a"), F.col("rep").alias("r1"), F.col("own").alias("o1"), F.col("more").alias("m1"))
-    two = reps.select(F.col("node").alias("b"), F.col("rep").alias("r2"), F.col("own").alias("o2"), F.col("more").alias("m2"))
+def _about(sizes: DataFrame, reps: DataFrame) -> DataFrame:
+    """node, n (null for doc_ids with texts of several sizes), rep, own and more (null without a representative)."""
+    n = F.when(F.min("n") == F.max("n"), F.min("n"))
+    return sizes.groupBy(F.col("doc_id").alias("node")).agg(n.alias("n")).join(reps, "node", "left")
+
+
+def _with_representatives(pairs: DataFrame, about: DataFrame) -> DataFrame:
+    """a, b, na, nb, ra, rb (their representatives, in order), own and more (of both together)."""
+    one = about.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("rep").alias("r1"), F.col("own").alias("o1"), F.col("more").alias("m1"))
+    two = about.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("rep").alias("r2"), F.col("own").alias("o2"), F.col("more").alias("m2"))
     rows = pairs.select("a", "b").join(one, "a", "left").join(two, "b", "left")
     r1, r2, zero = F.coalesce("r1", "a"), F.coalesce("r2", "b"), F.lit(0)
-    return rows.select("a", "b", F.least(r1, r2).alias("ra"), F.greatest(r1, r2).alias("rb"), (F.coalesce("o1", zero) + F.coalesce("o2", zero)).alias("own"), (F.coalesce("m1", zero) + F.coalesce("m2", zero)).alias("more"))
+    return rows.select("a", "b", "na", "nb", F.least(r1, r2).alias("ra"), F.greatest(r1, r2).alias("rb"), (F.coalesce("o1", zero) + F.coalesce("o2", zero)).alias("own"), (F.coalesce("m1", zero) + F.coalesce("m2", zero)).alias("more"))
 
 
-def _derived(rows: DataFrame, done: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+def _derived(rows: DataFrame, done: DataFrame, percent: int) -> DataFrame:
     """a, b, answer: whether the pair is linked, as far as the overlap of the representatives tells; else null. It stays null
     for doc_ids with texts of several sizes."""
-    sizes = sizes.groupBy("doc_id").agg(F.min("n").alias("n"), F.max("n").alias("high")).where("n = high")
     known = done.select(F.col("a").alias("ra"), F.col("b").alias("rb"), "common")
-    n1, n2 = sizes.select(F.col("doc_id").alias("a"), F.col("n").alias("na")), sizes.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"))
-    rows = rows.join(known, ["ra", "rb"], "left").join(n1, "a", "left").join(n2, "b", "left")
+    rows = rows.join(known, ["ra", "rb"], "left")
     need = F.ceil(percent * (F.col("na") + F.col("nb")) / (100 + percent))
     answer = F.when(F.col("common") + F.col("own") < need, F.lit(False)).when(F.col("common") - F.col("more") >= need, F.lit(True))
     return rows.groupBy("a", "b").agg(F.max(answer).alias("answer"), F.max(answer.isNull()).alias("open")).select("a", "b", F.when(~F.col("open"), F.col("answer")).alias("answer"))
@@ -352,6 +359,11 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFr
         discard(more)
         return new
 
+    def unseen(pairs: DataFrame) -> DataFrame:
+        """The pairs that weren't counted yet. An anti-join would be moved below the distinct that made them, onto a row for
+        each shingle that a pair shares."""
+        return pairs.join(done.select("a", "b", F.lit(True).alias("seen")), ["a", "b"], "left").where("seen IS NULL").select("a", "b")
+
     def ordered(pairs: DataFrame) -> DataFrame:
         return pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
@@ -378,16 +390,16 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFr
     near = pairs.unionByName(star(lists, 0).groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))).groupBy("b").agg(F.max_by("a", F.struct("shared", -F.col("a"))).alias("a"))
     near = materialise(near.select("a", "b"))
     known = components(links.unionByName(counted(ordered(near)).where(_linked(percent)).select("a", "b")))
-    reps = materialise(_represented(near, done))
+    about = materialise(_about(sizes, _represented(near, done)))
 
     def settle(more: DataFrame, known: DataFrame) -> DataFrame:
         """The components with the links among the pairs: those of their representatives, those that follow, the rest."""
-        more = materialise(_with_representatives(ordered(apart(more, known)).join(done.select("a", "b"), ["a", "b"], "left_anti"), reps))
+        more = materialise(_with_representatives(apart(unseen(ordered(more)), known), about))
         if more.isEmpty():
             return known
         between = more.select(F.col("ra").alias("a"), F.col("rb").alias("b"))
-        known = grown(known, counted(ordered(apart(between, known))).where(_linked(percent)))
-        answers = materialise(_derived(more, done, sizes, percent))
+        known = grown(known, counted(apart(ordered(between), known)).where(_linked(percent)))
+        answers = materialise(_derived(more, done, percent))
         known = grown(known, answers.where("answer"))
         rest = apart(answers.where("answer IS NULL"), known)
         known = grown(known, counted(ordered(rest)).where(_linked(percent)))
@@ -401,18 +413,28 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFr
         split = materialise(_split_lists(lists, known))
         known = settle(star(split, *range(1 + LEADS * i, 1 + LEADS * (i + 1))), known)
         discard(split)
-    split = materialise(_split_lists(lists, known).withColumn("scale", _scale(percent)))
-    # Sets that can be linked are at most one scale apart; sketches rule most pairs out within the join.
-    split = split.join(survey.where("kind = 0").select("doc_id", *[F.get("sketch", F.lit(j)).alias(f"s{j}_") for j in range(SKETCH)]), "doc_id")
-    left = split.select(*[F.col(c).alias(f"{c}1") for c in split.columns]).withColumn("scale1", F.explode(F.array(F.col("scale1"), F.col("scale1") + 1)))
-    right = split.select(*[F.col(c).alias(f"{c}2") for c in split.columns])
-    rest = left.join(right, (F.col("token1") == F.col("token2")) & (F.col("scale1") == F.col("scale2")) & (F.col("n1") <= F.col("n2")) & (F.col("component1") != F.col("component2")) & _possible(F.col("n1"), F.col("pos1"), F.col("n2"), F.col("pos2"), percent) & _alike(percent))
-    known = settle(rest.select(F.col("doc_id1").alias("a"), F.col("doc_id2").alias("b")), known)
-    discard(split, held, found, near, reps)
+    split = materialise(_split_lists(lists, known))
+    known = settle(_remaining(split, survey.where("kind = 0"), percent), known)
+    discard(split, held, found, near, about)
     out = rows.join(known, F.col("doc_id") == F.col("node"), "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
     return out.unionByName(lone)
 
 
+def _remaining(split: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """a, b: the pairs of a list's entries that can be linked and aren't in one component. Sketches rule most pairs out within
+    the join. Sets that have a shingle in common shortly before are left to the list of that one: it holds both, at places
+    where they can be linked if they can here. A doc_id with several texts has no such sets."""
+    sketch = [F.get("sketch", F.lit(j)).alias(f"s{j}_") for j in range(SKETCH)]
+    sets = sets.select("doc_id", *sketch, F.count(F.lit(1)).over(Window.partitionBy("doc_id")).alias("texts"))
+    before = F.collect_list("token").over(Window.partitionBy("doc_id").orderBy("pos").rowsBetween(-EARLIER, -1))
+    split = split.withColumn("scale", _scale(percent)).join(sets, "doc_id").withColumn("earlier", F.when(F.col("texts") == 1, before).otherwise(F.array().cast("array<long>"))).drop("texts")
+    # Sets that can be linked are at most one scale apart.
+    left = split.select(*[F.col(c).alias(f"{c}1") for c in split.columns]).withColumn("scale1", F.explode(F.array(F.col("scale1"), F.col("scale1") + 1)))
+    right = split.select(*[F.col(c).alias(f"{c}2") for c in split.columns])
+    new = (F.col("n1") <= F.col("n2")) & (F.col("component1") != F.col("component2")) & _possible(F.col("n1"), F.col("pos1"), F.col("n2"), F.col("pos2"), percent) & _alike(percent) & ~F.arrays_overlap("earlier1", "earlier2")
+    return left.join(right, (F.col("token1") == F.col("token2")) & (F.col("scale1") == F.col("scale2")) & new).select(F.col("doc_id1").alias("a"), F.col("doc_id2").alias("b"))
+
+
 def _alike(percent: int) -> Column:
     """Whether the sketches of two sets leave the threshold possible."""
     apart = sum((F.bit_count(F.col(f"s{j}_1").bitwiseXOR(F.col(f"s{j}_2"))) for j in range(1, SKETCH)), F.bit_count(F.col("s0_1").bitwiseXOR(F.col("s0_2"))))
