@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import grams
-from .common import free_name, materialise, texts
+from .common import free_name, materialise, texts, tidied
 
 SCHEMA = "doc_id long, item_id long, n_item_shingles long, n_shared long, containment double"
 #: Bits of the filter for each hash, probes of a hash, and the most bits of all.
@@ -62,7 +62,7 @@ def signatures(items: DataFrame, k: int, threshold: float) -> DataFrame:
             at = bounds[row] + np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
             yield pd.DataFrame({"item": ids[row], "size_class": own[row], "gram": gram[row], "hash": hashes[at].view(np.int64)})
 
-    return items.select("item", F.col("text").cast("binary").alias("text")).mapInPandas(run, "item long, size_class long, gram long, hash long")
+    return items.select("item", F.col("text").cast("binary").alias("text")).mapInPandas(tidied(run), "item long, size_class long, gram long, hash long")
 
 
 def _bits(hashes: np.ndarray, size: int) -> np.ndarray:
@@ -81,7 +81,7 @@ def _filter(own: DataFrame, count: int) -> np.ndarray:
             yield pd.DataFrame({"word": (bits >> np.uint64(6)).astype(np.int64), "mask": (np.uint64(1) << (bits & np.uint64(63))).view(np.int64)})
 
     out = np.zeros(size // 64, np.uint64)
-    found = own.mapInPandas(run, "word long, mask long").groupBy("word").agg(F.bit_or("mask").alias("mask")).toPandas()
+    found = own.mapInPandas(tidied(run), "word long, mask long").groupBy("word").agg(F.bit_or("mask").alias("mask")).toPandas()
     out[found["word"].to_numpy(np.int64)] = found["mask"].to_numpy(np.int64).view(np.uint64)
     return out
 
@@ -109,7 +109,7 @@ def _passing(docs: DataFrame, bloom, sizes: list[int], k: int) -> DataFrame:
                 at = [r[0] for r in rows]
                 yield own.iloc[at].reset_index(drop=True).assign(gram=[r[1] for r in rows], hash=[r[2] for r in rows])
 
-    return docs.mapInPandas(run, "row long, doc_id long, named boolean, text binary, gram long, hash array<long>")
+    return docs.mapInPandas(tidied(run), "row long, doc_id long, named boolean, text binary, gram long, hash array<long>")
 
 
 def _verified(pairs: DataFrame, k: int, threshold: float) -> DataFrame:
@@ -129,7 +129,7 @@ def _verified(pairs: DataFrame, k: int, threshold: float) -> DataFrame:
                     rows.append((row, item, len(wanted), shared))
             yield pd.DataFrame(rows, columns=["row", "item", "n_item_shingles", "n_shared"]).astype("int64")
 
-    return pairs.mapInPandas(run, "row long, item long, n_item_shingles long, n_shared long")
+    return pairs.mapInPandas(tidied(run), "row long, item long, n_item_shingles long, n_shared long")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, k: int = 5, threshold: float = 0.75) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import grams
-from .common import discard, free_name, materialise, partitions, texts
+from .common import discard, free_name, materialise, partitions, texts, tidied
 from .components import components
 
 #: Lists of at most that many sets are compared in full at once; longer ones by way of representatives.
@@ -113,7 +113,7 @@ def _survey(docs: DataFrame, k: int) -> DataFrame:
                     seen, keys, size = [], set(), 0
         yield common(seen)
 
-    return docs.mapInPandas(run, "kind int, doc_id long, n long, key1 long, key2 long, bits binary, sketch array<long>")
+    return docs.mapInPandas(tidied(run), "kind int, doc_id long, n long, key1 long, key2 long, bits binary, sketch array<long>")
 
 
 def _needed(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
@@ -170,7 +170,7 @@ def _prefixes(docs: DataFrame, common, k: int, percent: int, buckets: int) -> Da
             out = pd.DataFrame(rows, columns=["bucket", "entries", "count"])
             yield out.assign(token=0, doc_id=0, n=0, pos=0)[["bucket", "token", "doc_id", "n", "pos", "entries", "count"]]
 
-    return docs.mapInPandas(run, "bucket long, token long, doc_id long, n long, pos long, entries binary, count long")
+    return docs.mapInPandas(tidied(run), "bucket long, token long, doc_id long, n long, pos long, entries binary, count long")
 
 
 def _block_pairs(token: np.ndarray, doc: np.ndarray, n: np.ndarray, pos: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -234,7 +234,7 @@ def _lists(prefixes: DataFrame, percent: int) -> DataFrame:
         if held:
             yield from listed(held)
 
-    return prefixes.mapInPandas(run, "kind int, a long, b long, shared long, token long, n long, pos long")
+    return prefixes.mapInPandas(tidied(run), "kind int, a long, b long, shared long, token long, n long, pos long")
 
 
 def _plausible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -248,7 +248,7 @@ def _plausible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     left = sets.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("bits").alias("left"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("right"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "left", "right").mapInPandas(run, "a long, b long")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "left", "right").mapInPandas(tidied(run), "a long, b long")
 
 
 def _counted(pairs: DataFrame, held: DataFrame, k: int) -> DataFrame:
@@ -270,7 +270,7 @@ def _counted(pairs: DataFrame, held: DataFrame, k: int) -> DataFrame:
 
     left = held.select(F.col("doc_id").alias("a"), F.col("text").cast("binary").alias("left"))
     right = held.select(F.col("doc_id").alias("b"), F.col("text").cast("binary").alias("right"))
-    return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInPandas(run, "a long, b long, na long, nb long, common long")
+    return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInPandas(tidied(run), "a long, b long, na long, nb long, common long")
 
 
 def _linked(percent: int) -> Column:

@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SEPARATORS, materialise, texts
+from .common import SEPARATORS, materialise, texts, tidied
 
 PIECES = "doc_id long, named boolean, start long, length long, ids_crc32 long, doc_tokens long, part int, place long"
 _IS = {name: np.isin(np.arange(256), list(own)) for name, own in (("mark", b".,;:!?"), ("letter", bytes(range(97, 123))), ("separator", SEPARATORS))}
@@ -51,9 +51,10 @@ class Encoder:
         ends = [i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]
         self.is_end = np.zeros(max(self.tokenizer.get_vocab().values()) + 1, bool)
         self.is_end[ends] = True
-        self._reset()
+        self.forget()
 
-    def _reset(self) -> None:
+    def forget(self) -> None:
+        """Words that were encoded go, the tokenizer stays."""
         self.places = _Places()
         self.flat = np.zeros(0, np.uint32)
         self.start = self.size = np.zeros(0, np.int64)
@@ -85,7 +86,7 @@ class Encoder:
         special = {i: np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, np.uint32) for i, t in enumerate(items) if "<|" in t}  # may spell special tokens
         split = _split([b"" if i in special else t.encode("utf-8", "replace").lower() for i, t in enumerate(items)])
         if len(self.places) > self.most:
-            self._reset()
+            self.forget()
         at = np.array(list(map(self.places.__getitem__, chain.from_iterable(split))), np.int64)
         if self.places.new:
             self._learn(self.places.new)
@@ -120,7 +121,7 @@ _encoders: dict[str, Encoder] = {}
 
 
 def encoder(path: str) -> Encoder:
-    """One for each Python worker, so that words stay known from task to task."""
+    """One for each Python worker; of a tokenizer that is loaded anew, memory isn't all returned."""
     if path not in _encoders:
         _encoders[path] = Encoder(path)
     return _encoders[path]
@@ -130,24 +131,27 @@ def cut(docs: DataFrame, tokenizer_path: str, window: int, end: int) -> DataFram
     """The pieces of all documents, with their rank (place) among the pieces of their length in their task (part)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        part, seen, encode = TaskContext.get().partitionId(), np.zeros(window + 1, np.int64), encoder(tokenizer_path).encode
-        for batch in batches:
-            for i in range(0, len(batch), 500):
-                own = batch.iloc[i : i + 500]
-                ids, bounds = encode(list(own["text"]), end)
-                raw, sizes = memoryview(ids.astype("<u4").tobytes()), np.diff(bounds)
-                count = -(-sizes // window)
-                row = np.repeat(np.arange(len(own)), count)
-                start = (np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)) * window
-                length = np.minimum(window, sizes[row] - start)
-                at = bounds[row] + start
-                crc = [zlib.crc32(raw[4 * a : 4 * (a + n)]) for a, n in zip(at.tolist(), length.tolist())]
-                place = seen[length] + pd.Series(length).groupby(length).cumcount().to_numpy()
-                seen += np.bincount(length, minlength=window + 1)
-                yield pd.DataFrame({"doc_id": own["doc_id"].to_numpy()[row], "named": own["named"].to_numpy()[row], "start": start, "length": length, "ids_crc32": crc, "doc_tokens": sizes[row], "part": part, "place": place})
+        part, seen, own_encoder = TaskContext.get().partitionId(), np.zeros(window + 1, np.int64), encoder(tokenizer_path)
+        try:
+            for batch in batches:
+                for i in range(0, len(batch), 500):
+                    own = batch.iloc[i : i + 500]
+                    ids, bounds = own_encoder.encode(list(own["text"]), end)
+                    raw, sizes = memoryview(ids.astype("<u4").tobytes()), np.diff(bounds)
+                    count = -(-sizes // window)
+                    row = np.repeat(np.arange(len(own)), count)
+                    start = (np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)) * window
+                    length = np.minimum(window, sizes[row] - start)
+                    at = bounds[row] + start
+                    crc = [zlib.crc32(raw[4 * a : 4 * (a + n)]) for a, n in zip(at.tolist(), length.tolist())]
+                    place = seen[length] + pd.Series(length).groupby(length).cumcount().to_numpy()
+                    seen += np.bincount(length, minlength=window + 1)
+                    yield pd.DataFrame({"doc_id": own["doc_id"].to_numpy()[row], "named": own["named"].to_numpy()[row], "start": start, "length": length, "ids_crc32": crc, "doc_tokens": sizes[row], "part": part, "place": place})
+        finally:
+            own_encoder.forget()  # the worker stays, and later stages need the room
 
     named = F.col("doc_id").isNotNull()
-    return texts(docs).select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"), named.alias("named"), "text").mapInPandas(run, PIECES)
+    return texts(docs).select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"), named.alias("named"), "text").mapInPandas(tidied(run), PIECES)
 
 
 def combinations(lengths: np.ndarray, window: int) -> np.ndarray:
@@ -264,5 +268,5 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = 2048, end: int = 1)
             at = np.searchsorted(key, batch["length"].to_numpy() * (1 << 44) + rank, "right") - 1
             yield batch.assign(sequence_id=sequence[at] + rank - first[at], offset=offset[at])
 
-    out = ranked.mapInPandas(place, "doc_id long, named boolean, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+    out = ranked.mapInPandas(tidied(place), "doc_id long, named boolean, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
     return out.select(F.when(F.col("named"), F.col("doc_id")).alias("doc_id"), *out.columns[2:])
