@@ -14,21 +14,25 @@ import hashlib
 import numpy as np
 from pyspark.sql import DataFrame
 
-from . import grams, repeats
+from . import repeats
 from .repeats import Shard, apply_spans
 
 
+#: Of each place in a pack, the bits below it.
+_BELOW = (np.uint64(1) << np.arange(64, dtype=np.uint64)) - np.uint64(1)
+
+
 class BitVector:
     """Bits packed by 64, with the count of ones before each pack."""
 
     def __init__(self, bits: np.ndarray):
         self.words = np.packbits(np.concatenate([bits, np.zeros(64 - len(bits) % 64, bits.dtype)]), bitorder="little").view("<u8")
-        self.before = np.concatenate([[0], np.cumsum(np.bitwise_count(self.words))]).astype(np.int32)
+        self.before = np.concatenate([[0], np.cumsum(np.bitwise_count(self.words))]).astype(np.int64)
 
     def rank(self, at: np.ndarray) -> np.ndarray:
         """Ones before each place."""
-        pack, bit = at >> 6, (at & 63).astype(np.uint64)
-        return self.before[pack] + np.bitwise_count(self.words[pack] & ((np.uint64(1) << bit) - np.uint64(1)))
+        pack = at >> 6
+        return self.before[pack] + np.bitwise_count(self.words[pack] & _BELOW[at & 63])
 
 
 class WaveletMatrix:
@@ -41,14 +45,18 @@ class WaveletMatrix:
             bit = (values >> level) & 1
             self.planes.append((BitVector(bit.astype(np.uint8)), int((bit == 0).sum())))
             values = np.concatenate([values[bit == 0], values[bit == 1]])
+        # Where each symbol's places begin below the last plane; the same for every query of it.
+        self.base, symbols = np.zeros(1 << self.bits, np.int64), np.arange(1 << self.bits)
+        for k, (ones, zeros) in enumerate(self.planes):
+            b = ones.rank(self.base)
+            self.base = np.where((symbols >> (self.bits - 1 - k)) & 1, zeros + b, self.base - b)
 
     def rank(self, symbol: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of each symbol: its count before low and before high (of the same query)."""
-        base = np.zeros_like(low)
+        base = self.base[symbol]
         for k, (ones, zeros) in enumerate(self.planes):
             bit = ((symbol >> (self.bits - 1 - k)) & 1).astype(bool)
-            b, lo, hi = ones.rank(base), ones.rank(low), ones.rank(high)
-            base = np.where(bit, zeros + b, base - b)
+            lo, hi = ones.rank(low), ones.rank(high)
             low = np.where(bit, zeros + lo, low - lo)
             high = np.where(bit, zeros + hi, high - hi)
         return low - base, high - base, base
@@ -92,13 +100,14 @@ def _sorted_suffixes(text: np.ndarray, longest: int) -> np.ndarray:
     return np.argsort(rank, kind="stable")
 
 
-def matching_statistics(index: FMIndex, shard: Shard, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def matching_statistics(index: FMIndex, shard: Shard, most: int, least: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(length, low, high) for each word of the shard: how many words up to and with it, ``most`` at most, occur elsewhere
-    in it as well, and the interval of suffixes that start with them."""
+    in it as well, and the interval of suffixes that start with them. Words that fewer than ``least - 1`` of their context
+    come before can't reach that length; they aren't searched for and have zeros."""
     within = np.arange(len(shard.values)) - shard.first[shard.of]
     length, low, high = (np.zeros(len(within), np.int64) for _ in range(3))
-    last = np.arange(len(within))
-    lo, hi = index.before[index.code], index.before[index.code + 1]
+    last = np.flatnonzero(within >= least - 1)
+    lo, hi = index.before[index.code[last]], index.before[index.code[last] + 1]
     for step in range(1, most + 1):
         alive = hi - lo > 1  # one suffix is the word's own
         last, lo, hi = last[alive], lo[alive], hi[alive]
@@ -116,7 +125,7 @@ def decide(shard: Shard, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray
     """(context, start, end) of the windows that a document with a smaller doc_id has as well."""
     index = FMIndex(shard)
     doc = shard.doc[index.owner]
-    length, low, high = matching_statistics(index, shard, width)
+    length, low, high = matching_statistics(index, shard, width, width)
     last = np.flatnonzero(length >= width)
     if len(last):
         # Smallest document of each interval; equal windows have one interval.
@@ -129,12 +138,13 @@ def decide(shard: Shard, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray
 
 
 def _cut(text: bytes, spans: np.ndarray) -> tuple[int, int, str]:
-    words = grams.Words([text])
-    keep = np.ones(len(words.start), bool)
-    for start, end in spans:
-        keep[start:end] = False
-    kept = b" ".join(text[a:b] for a, b in zip(words.start[keep].tolist(), words.end[keep].tolist()))
-    return len(keep), int((~keep).sum()), hashlib.sha256(kept).hexdigest()
+    words = text.split()  # bytes split at SEPARATORS and nothing else
+    kept, at = [], 0
+    for start, end in spans.tolist():  # in order and apart
+        kept += words[at:start]
+        at = end
+    kept += words[at:]
+    return len(words), len(words) - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest()
 
 
 def substring_dedup(docs: DataFrame, width: int = 50, gram: int = 10) -> DataFrame:

@@ -342,6 +342,37 @@ def test_matching_statistics():
         assert length[k] == want and (not want or high[k] - low[k] == count(want))
 
 
+def test_only_ends_of_windows_are_searched_for(monkeypatch):
+    rng = np.random.default_rng(9)
+    common = " ".join(f"c{i}" for i in rng.integers(0, 30, 70))
+    texts = [" ".join([*(f"a{k}.{i}" for i in range(20)), common, *(f"b{k}.{i}" for i in range(k))]).encode() for k in range(12)]
+    shard = repeats.Shard(texts, np.arange(12), np.zeros(12, np.int64), np.int64)
+    index = substring_dedup.FMIndex(shard)
+    symbols = np.arange(int(shard.values.max()) + 2)
+    all_before = index.matrix.rank(symbols, np.zeros_like(symbols), np.full_like(symbols, len(index.last)))
+    coded = np.where(index.last < index.ends, 0, index.last - index.ends + 1)
+    assert (all_before[0] == 0).all() and (all_before[1] == np.bincount(coded, minlength=len(symbols))).all()
+    asked = []
+    rank = substring_dedup.BitVector.rank
+    monkeypatch.setattr(substring_dedup.BitVector, "rank", lambda self, at: asked.append(len(at)) or rank(self, at))
+    every = substring_dedup.matching_statistics(index, shard, 50)
+    most, asked[:] = sum(asked), []
+    ends = substring_dedup.matching_statistics(index, shard, 50, 50)
+    within = np.arange(len(shard.values)) - shard.first[shard.of]
+    assert all((b == np.where(within >= 49, a, 0)).all() for a, b in zip(every, ends)) and (ends[0] == 50).sum() == 12 * 21
+    # At most two ranks for each plane, step and end of a window; none for the words before the first end.
+    assert sum(asked) <= 2 * index.matrix.bits * 49 * int((within >= 49).sum()) and sum(asked) < most
+
+
+def test_cut_splits_at_separators_only():
+    text = "a\x1cb \x85c\td\u00a0e\x0b\x0cf\u2003g\r\nh ".encode()
+    sha = lambda *words: hashlib.sha256(" ".join(words).encode()).hexdigest()
+    words = WORD.findall(text.decode())
+    assert len(words) == 5 and substring_dedup._cut(text, np.zeros((0, 2), np.int64)) == (5, 0, sha(*words))
+    assert substring_dedup._cut(text, np.array([[0, 1], [2, 4]])) == (5, 3, sha(words[1], words[4]))
+    assert substring_dedup._cut(b"", np.zeros((0, 2), np.int64)) == (0, 0, sha())
+
+
 def test_bit_vector_ranks():
     bits = np.random.default_rng(6).integers(0, 2, 1000).astype(np.uint8)
     for n in (0, 1, 63, 64, 65, 1000):
