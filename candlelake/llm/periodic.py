@@ -4,23 +4,26 @@ A run of period q is a stretch of words that equal those q words further on, at
 exploded into overlapping tiles per octave of periods (P to 2P - 1), so long that neighbouring tiles see 2P common places;
 a tile is solved on its own, and what it finds at its ends is stitched afterwards, by document and period.
 
-Within a tile, boundaries lie so close that every run spans one together with GRAM equal words after it. Two Z-functions at
-each boundary, of the words after it and of the reversed words before it, tell for all periods of the octave at once how
-far the equality reaches; pieces of neighbouring boundaries overlap. A boundary can only matter if the gram that starts
-there comes again within 2P - 1 words, which a sort of the tile's grams shows; no run is missed by that.
+Within a tile, boundaries lie so close that every run spans one together with GRAM equal words after it. From a boundary,
+the periods at which its gram comes again are followed in both directions as far as the words are equal; pieces of
+neighbouring boundaries overlap. Where that holds for many periods of the octave, two Z-functions, of the words after the
+boundary and of the reversed words before it, tell for all of them at once, so that no text takes longer than its octaves
+times its words. A boundary can only matter if its gram comes again within 2P - 1 words, which a sort of the tile's grams
+shows; no run is missed by that.
 """
 
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import grams
 from .common import materialise, partitions
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -29,6 +32,12 @@ SHORTEST = 12
 GRAM = SHORTEST // 2
 #: Periods below it are compared place by place.
 SMALL = 8
+#: A boundary with more periods gets Z-functions.
+DENSE = 32
+#: Words that are compared at once.
+BLOCK = 1 << 20
+#: Most fragments in a batch, about.
+FRAGMENTS = 200_000
 #: Words of a tile of the lowest octaves, which share their tiles.
 TILE = 16_384
 FRAGMENT = "row long, period long, low long, high long"
@@ -39,18 +48,26 @@ def least_equal(period):
     return np.maximum(SHORTEST - period, period)
 
 
-def next_same(codes: np.ndarray) -> np.ndarray:
-    """For each place, how far on the GRAM words from there come next (by a 64-bit hash; a chance hit only costs time)."""
-    n = max(0, len(codes) - GRAM + 1)
-    out = np.full(len(codes), np.iinfo(np.int64).max)
-    if n > 1:
-        h = np.zeros(n, np.uint64)
-        for k in range(GRAM):
-            h = (h ^ codes[k : k + n].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
-            h ^= h >> np.uint64(29)
-        order = np.argsort(h, kind="stable")
-        same = h[order[1:]] == h[order[:-1]]
-        out[order[:-1][same]] = (order[1:] - order[:-1])[same]
+def gram_hashes(values: np.ndarray) -> np.ndarray:
+    """64-bit hashes of every GRAM values in a row."""
+    n, values = max(0, len(values) - GRAM + 1), values.astype(np.uint64)
+    h = np.zeros(n, np.uint64)
+    for k in range(GRAM):
+        h ^= values[k : k + n]
+        h *= np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+    return h
+
+
+def next_same(h: np.ndarray, doc: np.ndarray | None = None) -> np.ndarray:
+    """For each gram, how far on it comes next (by its hash; a chance hit only costs time). With the documents of several
+    documents' words, one after the other, only grams within the same one count."""
+    out = np.full(len(h), np.iinfo(np.int64).max)
+    order = np.argsort(h, kind="stable")
+    same = h[order[1:]] == h[order[:-1]]
+    if doc is not None:
+        same &= doc[order[1:] + GRAM - 1] == doc[order[:-1]]
+    out[order[:-1][same]] = (order[1:] - order[:-1])[same]
     return out
 
 
@@ -77,29 +94,55 @@ def _joined(period: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.n
     return period[at], low[at], np.maximum.reduceat(high, at)
 
 
+def _reach(padded: np.ndarray, margin: int, a: np.ndarray, q: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """How many places from a on, and how many before a, equal those q further on: ``most`` at most. The words have a margin
+    of places on either side that equal none of them."""
+    spans, forward, back = np.lib.stride_tricks.sliding_window_view(padded, 2 * most), [], []
+    for block in range(0, len(a), size := max(1, BLOCK // most)):
+        at = a[block : block + size] + margin - most
+        differ = spans[at] != spans[at + q[block : block + size]]
+        for out, own in ((forward, differ[:, most:]), (back, differ[:, most - 1 :: -1])):
+            first = own.argmax(1)
+            out.append(np.where(own[np.arange(len(own)), first], first, most))
+    return np.concatenate(forward), np.concatenate(back)
+
+
 def equal_stretches(codes: np.ndarray, lowest: int, highest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """period, low, high: for periods from lowest to highest, the stretches of places low to high - 1 that equal the place a
-    period further on, among them all with ``least_equal`` places and those at the ends with GRAM places or more."""
-    n, follows, found = len(codes), next_same(codes), []
-    for q in range(lowest, min(highest + 1, SMALL, n)):
-        if (follows <= q).any():
-            equal = np.diff(np.concatenate([[0], (codes[q:] == codes[:-q]).view(np.int8), [0]]))
-            low, high = np.flatnonzero(equal > 0), np.flatnonzero(equal < 0)
-            found.append((np.full(len(low), q), low, high))
-    words, octave = codes.tolist(), max(SMALL, 1 << (lowest.bit_length() - 1))
+    period further on, among them all with ``least_equal`` places, and those from the first place on with GRAM places or more. What is shorter
+    and ends at the last place lies whole in the next tile."""
+    n, h, found = len(codes), gram_hashes(codes), []
+    follows = next_same(h)
+    nearest, margin = follows.min(initial=n), 2 * highest
+    for q in range(max(lowest, nearest), min(highest + 1, SMALL, n)):
+        equal = np.diff(np.concatenate([[0], (codes[q:] == codes[:-q]).view(np.int8), [0]]))
+        low, high = np.flatnonzero(equal > 0), np.flatnonzero(equal < 0)
+        found.append((np.full(len(low), q), low, high))
+    words, octave = None, max(SMALL, 1 << (lowest.bit_length() - 1))
     while octave <= highest and octave < n:
-        step = octave - GRAM + 1
-        at = np.arange(0, n, step)
-        for a in at[follows[at] < 2 * octave].tolist():
-            # From a on, against each place octave to 2 * octave - 1 further; before a likewise. Neither looks further than octave.
-            after = z_function(words[a : a + 3 * octave])[octave : 2 * octave]
-            end, own = min(a + 2 * octave - 1, n), words[max(0, a - octave) : a][::-1]
-            before = z_function([*own, None, *words[a - len(own) : end][::-1]])
-            q = np.arange(octave, octave + len(after))
-            forward = np.minimum(np.array(after, np.int64), octave)
-            back = np.array(before, np.int64)[len(own) + 1 + end - a - q]  # where the word before a + q is, counted from the end
-            keep = (forward + back >= GRAM) & (q <= highest)
-            found.append((q[keep], a - back[keep], a + forward[keep]))
+        at = np.arange(0, len(h), octave - GRAM + 1)
+        at = at[follows[at] < 2 * octave]
+        if len(at):
+            q = np.arange(octave, min(2 * octave, highest + 1))
+            again = at[:, None] + q
+            hit = (h[np.minimum(again, len(h) - 1)] == h[at][:, None]) & (again < len(h))
+            dense = hit.sum(1) > DENSE
+            i, j = np.nonzero(hit & ~dense[:, None])
+            if len(i):
+                if words is None:
+                    words = np.concatenate([(none := np.full(margin, -1, np.int32)), codes, none, none])
+                forward, back = _reach(words, margin, at[i], q[j], octave)
+                found.append((q[j], at[i] - back, at[i] + forward))
+            for a in at[dense].tolist():
+                # From a on, against each place octave to 2 * octave - 1 further; before a likewise. Neither looks further than octave.
+                after = z_function(codes[a : a + 3 * octave].tolist())[octave : 2 * octave]
+                end, own = min(a + 2 * octave - 1, n), codes[max(0, a - octave) : a][::-1].tolist()
+                before = z_function([*own, None, *codes[a - len(own) : end][::-1].tolist()])
+                q = np.arange(octave, octave + len(after))
+                forward = np.minimum(np.array(after, np.int64), octave)
+                back = np.array(before, np.int64)[len(own) + 1 + end - a - q]  # where the word before a + q is, counted from the end
+                keep = (forward >= GRAM) & (q <= highest)
+                found.append((q[keep], a - back[keep], a + forward[keep]))
         octave *= 2
     period, low, high = (np.concatenate([np.zeros(0, np.int64), *(x[i] for x in found)]) for i in range(3))
     if len(period):
@@ -131,31 +174,48 @@ _EXPLODED = "row long, doc_id string, n long, text string, sha256 string, lowest
 
 def _explode(batches: Iterable[pd.DataFrame], tile: int) -> Iterator[pd.DataFrame]:
     """Of each document: a row with its digest, and with its text if words may go; its tiles in which a gram comes again."""
-    split, columns = re.compile(WORD).findall, [x.split()[0] for x in _EXPLODED.split(", ")]
+    columns = [x.split()[0] for x in _EXPLODED.split(", ")]
     for batch in batches:
-        out: list[tuple] = []
-        for row, doc_id, text in batch.itertuples(index=False):
-            words = split(text)
-            n, text, codes = len(words), " ".join(words), pd.factorize(np.array(words, object))[0].astype("<i4")
-            follows = next_same(codes)
-            live = [x for x in tiles(n, tile) if follows[x[2] : x[3]].min(initial=n) <= x[1]]
-            out.append((row, doc_id, n, text if live else None, hashlib.sha256(text.encode()).hexdigest(), *(None,) * 4))
-            out += [(row, doc_id, n, None, None, low, high, start, codes[start:end].tobytes()) for low, high, start, end in live]
-            if sum(len(x[-1] or "") + len(x[3] or "") for x in out) > 1 << 23:
-                yield pd.DataFrame(out, columns=columns)
-                out = []
+        rows, ids, items, out, size = batch["row"].tolist(), batch["doc_id"].tolist(), grams.encoded(batch["text"]), [], 0
+        for part in grams.chunks(items):
+            split = [text.split() for text in items[part]]  # bytes split at the characters that WORD leaves out
+            counts = np.fromiter(map(len, split), np.int64, len(split))
+            codes = pd.factorize(np.array([*chain.from_iterable(split)], object))[0].astype("<i4")
+            follows = next_same(gram_hashes(codes), np.repeat(np.arange(len(split)), counts))
+            for row, doc_id, words, end in zip(rows[part], ids[part], split, np.cumsum(counts).tolist()):
+                n, text, live = len(words), b" ".join(words), []
+                first, own = end - n, follows[end - n : end]
+                if own.min(initial=n) <= n // 2:
+                    live = [x for x in tiles(n, tile) if own[x[2] : x[3]].min(initial=n) <= x[1]]
+                out.append((row, doc_id, n, text.decode() if live else None, hashlib.sha256(text).hexdigest(), *(None,) * 4))
+                if live:
+                    out += [(row, doc_id, n, None, None, low, high, a, codes[first + a : first + b].tobytes()) for low, high, a, b in live]
+                    size += len(text) + sum(4 * (b - a) for *_, a, b in live)
+                if size > 1 << 23:
+                    yield pd.DataFrame(out, columns=columns)
+                    out, size = [], 0
         yield pd.DataFrame(out, columns=columns)
 
 
+def _fragments(parts: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame({c: np.concatenate(x) for c, x in zip(("row", "period", "low", "high"), zip(*parts))})
+
+
 def _solve(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The fragments of tiles: row, period, low, high."""
     for batch in batches:
-        for row, n, lowest, highest, start, codes in batch.itertuples(index=False):
+        out, size = [], 0
+        for row, n, lowest, highest, start, codes in zip(*(batch[c].tolist() for c in batch)):
             codes = np.frombuffer(codes, "<i4")
             period, low, high = equal_stretches(codes, lowest, highest)
             clipped = (low == 0) & (start > 0) | (high == len(codes) - period) & (start + len(codes) < n)
             keep = clipped | (high - low >= least_equal(period))
-            yield pd.DataFrame({"row": row, "period": period[keep], "low": low[keep] + start, "high": high[keep] + start})
+            out.append((np.full(int(keep.sum()), row), period[keep], low[keep] + start, high[keep] + start))
+            if (size := size + len(out[-1][0])) > FRAGMENTS:
+                yield _fragments(out)
+                out, size = [], 0
+        if out:
+            yield _fragments(out)
 
 
 def _stitched(fragments: DataFrame) -> DataFrame:

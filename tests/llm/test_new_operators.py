@@ -168,6 +168,60 @@ def test_periodic_runs(spark, periodic_cases, tile):
     assert periodic.periodic_runs(table(spark, rows).limit(0), tile).count() == 0
 
 
+def stretches_of(codes, lowest, highest):
+    """period, low, high of the stretches that equal_stretches promises, by comparing all places."""
+    out = set()
+    for q in range(lowest, highest + 1):
+        edge = np.flatnonzero(np.diff(np.concatenate([[False], codes[q:] == codes[:-q], [False]]).astype(int)))
+        out |= {(q, a, b) for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()) if b - a >= max(12 - q, q) or a == 0 and b >= 6}
+    return out
+
+
+@pytest.mark.parametrize("dense", [0, 2, 32, 10**6])
+def test_equal_stretches_with_and_without_z_functions(monkeypatch, dense):
+    monkeypatch.setattr(periodic, "DENSE", dense)
+    monkeypatch.setattr(periodic, "BLOCK", 64)
+    rng = np.random.default_rng(8)
+    for n in (12, 13, 40, 300, 900):
+        for kinds, p in ((1, 1), (2, 3), (3, 9), (1000, 17), (1000, n // 3), (1000, n // 2)):
+            codes = rng.integers(0, kinds, n).astype("<i4")
+            a = int(rng.integers(0, n // 4))
+            codes[a:] = codes[a + np.arange(n - a) % p]
+            codes[rng.integers(0, n, n // 200)] = 5000
+            for lowest, highest in ((1, n // 2), (8, min(15, n // 2))):
+                if lowest > highest:
+                    continue
+                found = list(zip(*(x.tolist() for x in periodic.equal_stretches(codes, lowest, highest))))
+                want = stretches_of(codes, lowest, highest)
+                own = {(q, low, high) for q, low, high in found if high - low >= max(12 - q, q) or low == 0 and high >= 6}
+                assert len(found) == len(set(found)) and own == want
+
+
+def test_few_periods_need_no_z_functions(monkeypatch):
+    calls, z_function = [], periodic.z_function
+    monkeypatch.setattr(periodic, "z_function", lambda s: calls.append(len(s)) or z_function(s))
+    codes = np.concatenate([np.arange(100), 200 + np.arange(800) % 40]).astype("<i4")
+    period, low, high = periodic.equal_stretches(codes, 1, 450)
+    assert sorted(zip(period.tolist(), low.tolist(), high.tolist())) == [(q, 100, 900 - q) for q in range(40, 441, 40)] and not calls
+    periodic.equal_stretches(np.zeros(900, "<i4"), 1, 450)
+    assert calls  # all periods of long octaves from every boundary
+
+
+def test_documents_and_tiles_are_taken_together(monkeypatch):
+    calls, next_same = [], periodic.next_same
+    monkeypatch.setattr(periodic, "next_same", lambda *a: calls.append(len(a[0])) or next_same(*a))
+    texts = ["a b c d e f", "a b c d e f", "", "x " * 30, "q a b c d e f r", " a\x1cb\u00a0c\t" * 20]
+    batch = pd.DataFrame({"row": range(6), "doc_id": list("012345"), "text": texts})
+    out = pd.concat(periodic._explode(iter([batch]), periodic.TILE), ignore_index=True)
+    assert len(calls) == 1
+    heads, live = out[out["codes"].isna()], out[out["codes"].notna()]
+    assert heads["n"].tolist() == [6, 6, 0, 30, 8, 20] and heads["sha256"].tolist() == [hashlib.sha256(" ".join(WORD.findall(t)).encode()).hexdigest() for t in texts]
+    assert set(live["row"]) - {2} == {3, 5}  # grams that come again in another document don't count
+    tiles = live[["row", "n", "lowest", "highest", "start", "codes"]].astype({c: "int64" for c in ("n", "lowest", "highest", "start")})
+    frames = list(periodic._solve(iter([tiles])))
+    assert len(frames) == 1 and set(frames[0]["row"]) == {3, 5}
+
+
 def test_planted_runs_are_found(spark):
     rnd = random.Random(6)
     rows = [(i, " ".join(f"w{rnd.randrange(300)}" for _ in range(rnd.randrange(0, 120)))) for i in range(400)] + [(None, "a b c"), (401, None)]
